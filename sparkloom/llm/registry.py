@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing, resharding
+from . import mixing, packing, pii, resharding
 
 QUERIES = {
+    "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op3_personal_data": pii.op3_personal_data,
     "op7_resharding": resharding.op7_resharding,
     "op9_entropy_mixing": mixing.op9_entropy_mixing,
 }
