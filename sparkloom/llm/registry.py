@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import html_text, language, mixing, packing, pii, resharding
+from . import hmm, html_text, language, mixing, packing, pii, resharding
 
 QUERIES = {
+    "op10_hmm_scoring": hmm.op10_hmm_scoring,
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op3_personal_data": pii.op3_personal_data,
     "op5_language_id": language.op5_language_id,
