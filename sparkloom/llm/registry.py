@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import hmm, html_text, language, mixing, packing, pii, resharding
+from . import hmm, html_text, jaccard, language, mixing, packing, pii, resharding
 
 QUERIES = {
     "op10_hmm_scoring": hmm.op10_hmm_scoring,
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op3_personal_data": pii.op3_personal_data,
     "op5_language_id": language.op5_language_id,
+    "op6_ngram_jaccard": jaccard.op6_ngram_jaccard,
     "op7_resharding": resharding.op7_resharding,
     "op8_html_extraction": html_text.op8_html_extraction,
     "op9_entropy_mixing": mixing.op9_entropy_mixing,
