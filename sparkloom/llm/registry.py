@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import hmm, html_text, jaccard, language, mixing, packing, pii, resharding
+from . import cover_tree, hmm, html_text, jaccard, language, mixing, packing, pii, resharding
 
 QUERIES = {
     "op10_hmm_scoring": hmm.op10_hmm_scoring,
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op2_embedding_near_dedup": cover_tree.op2_embedding_near_dedup,
     "op3_personal_data": pii.op3_personal_data,
     "op5_language_id": language.op5_language_id,
     "op6_ngram_jaccard": jaccard.op6_ngram_jaccard,
