@@ -183,6 +183,7 @@ def identify(docs: DataFrame, labelled: Column, *, id_col: str = "doc_id", text_
     model = fit(sample(docs, labelled, text_col=text_col, lang_col=lang_col, id_col=id_col, sample_docs=sample_docs, sample_chars=sample_chars))
     schema = docs.select(*(docs[c] for c in keep)).schema.add("lang_pred", "string").add("score", "double").add("shares", MapType(StringType(), DoubleType()))
     names = [f.name for f in schema.fields]
+    at_text = keep.index(text_col) if text_col in keep else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -190,13 +191,14 @@ def identify(docs: DataFrame, labelled: Column, *, id_col: str = "doc_id", text_
                 batch = whole.slice(at, 2500)
                 pred, score, shares = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows, [[] for _ in range(batch.num_rows)]
                 if model.labels:
-                    for row, share in label_shares(model, (x.as_py() for x in batch.column(len(keep)))):
+                    for row, share in label_shares(model, (x.as_py() for x in batch.column(at_text))):
                         if share is not None:
                             pred[row], score[row] = model.labels[int(share.argmax())], float(min(1.0, share.max()))
                             shares[row] = list(zip(model.labels, share.tolist(), strict=True))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(shares, pa.map_(pa.string(), pa.float64()))], names)
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(shares, pa.map_(pa.string(), pa.float64()))], names)
 
-    return docs.select(*(docs[c] for c in keep), docs[text_col].alias("__text")).mapInArrow(run, schema)
+    more = () if text_col in keep else (docs[text_col].alias("__text"),)
+    return docs.select(*(docs[c] for c in keep), *more).mapInArrow(run, schema)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

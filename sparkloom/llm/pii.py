@@ -40,7 +40,6 @@ LOOSE = {
     "card": re.compile(r"(?<![0-9A-Za-z+.-])[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,7}(?![0-9A-Za-z])"),
     "phone": re.compile(r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,4}\)|0?[0-9]{2,4})[\x20./-][0-9]{2,4}(?:[\x20./-][0-9]{2,5}){1,3}(?![0-9A-Za-z])"),
 }
-SPAN = "start int, kind int, stop int"
 
 
 def luhn(digits: str) -> bool:
@@ -93,8 +92,8 @@ def contexts(text: str, start: int, stop: int) -> list[str]:
     return [f"{l2} _", f"{l1} _ {r1}"]
 
 
-def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each document: rid, doc_id, base spans, and all candidates with their contexts."""
+def scan(docs: DataFrame, *, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """One row for each document: rid, the columns ``keep``, base spans, and all candidates with their contexts."""
     found = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32())]))
     cand = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32()), ("seed", pa.bool_()), ("value", pa.string()), ("patterns", pa.list_(pa.string()))]))
 
@@ -102,7 +101,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
         rid = TaskContext.get().partitionId() << 40
         for batch in batches:
             base, other = [], []
-            for cell in batch.column(1):
+            for cell in batch.column(len(keep)):
                 text = cell.as_py() or ""
                 b = base_spans(text)
                 base.append([{"start": s, "kind": k, "stop": e} for s, k, e in b])
@@ -113,10 +112,11 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
                 ])
             rids = pa.array(range(rid, rid + len(base)), pa.int64())
             rid += len(base)
-            yield pa.RecordBatch.from_arrays([rids, batch.column(0), pa.array(base, found), pa.array(other, cand)], ["rid", "doc_id", "base", "candidates"])
+            yield pa.RecordBatch.from_arrays([rids, *batch.columns[:-1], pa.array(base, found), pa.array(other, cand)], ["rid", *keep, "base", "candidates"])
 
-    schema = f"rid long, doc_id {docs.schema[id_col].dataType.simpleString()}, base array<struct<{SPAN.replace(' ', ':').replace(',:', ',')}>>, candidates array<struct<start:int,kind:int,stop:int,seed:boolean,value:string,patterns:array<string>>>"
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, schema)
+    kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    schema = f"rid long, {kept}, base array<struct<start:int,kind:int,stop:int>>, candidates array<struct<start:int,kind:int,stop:int,seed:boolean,value:string,patterns:array<string>>>"
+    return docs.select(*(docs[c] for c in keep), docs[text_col].alias("__text")).mapInArrow(run, schema)
 
 
 def bootstrap(candidates: DataFrame, *, rounds: int = 3, least_seeds: int = 8, confident: float = 0.9) -> DataFrame:
@@ -142,15 +142,15 @@ def bootstrap(candidates: DataFrame, *, rounds: int = 3, least_seeds: int = 8, c
     return good
 
 
-def find_personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **settings: float) -> DataFrame:
-    """One row for each document: rid, doc_id, base and spans (arrays of start, kind, stop; code points, end exclusive)."""
-    rows = cut(scan(docs, id_col=id_col, text_col=text_col))
+def find_personal_data(docs: DataFrame, *, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", **settings: float) -> DataFrame:
+    """One row for each document: the columns ``keep``, base and spans (arrays of start, kind, stop; code points, end exclusive)."""
+    rows = cut(scan(docs, keep=keep, text_col=text_col))
     seen = rows.select("rid", F.explode("candidates").alias("c")).select("rid", "c.*")
     good = bootstrap(seen, **settings)
     loose = seen.where("not seed").select("rid", "start", "kind", "stop", F.explode("patterns").alias("pattern"))
     more = loose.join(good, ["pattern", "kind"]).groupBy("rid").agg(F.collect_set(F.struct("start", "kind", "stop")).alias("more"))
     none = F.array().cast(rows.schema["base"].dataType)
-    return rows.join(more, "rid", "left").select("rid", "doc_id", "base", F.array_sort(F.concat("base", F.coalesce("more", none))).alias("spans"))
+    return rows.join(more, "rid", "left").select(*keep, "base", F.array_sort(F.concat("base", F.coalesce("more", none))).alias("spans"))
 
 
 def span_text(spans: Column) -> Column:
