@@ -1,0 +1,316 @@
+"""Scans: archives of numbered JSON banks, ranked lists, decks, CSV, JSON lines, checksums, binary indexes, XML, HTML."""
+
+from __future__ import annotations
+
+import io
+import json
+import re
+import sqlite3
+import struct
+import tempfile
+import zipfile
+from pathlib import Path
+
+import pandas as pd
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import udtf
+
+from sparkloom.operators.nested import HtmlTags, nodes
+from sparkloom.operators.windows import pages
+from sparkloom.registry import Tables, query
+
+
+@udtf(returnType="member string, bank_number int, entry_ordinal int, raw string")
+class BankRows:
+    """Rows of the members ``<prefix>_<number>.json`` of a ZIP, numbered banks in numeric order."""
+
+    def eval(self, content: bytes, prefix: str):
+        if content is None:
+            return
+        with zipfile.ZipFile(io.BytesIO(content)) as z:
+            found = [(int(m[1]), n) for n in z.namelist() if (m := re.fullmatch(rf"{re.escape(prefix)}_(\d+)\.json", n))]
+            for number, name in sorted(found):
+                for k, row in enumerate(json.loads(z.read(name))):
+                    yield name, number, k, json.dumps(row, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+
+
+def scan_banks(archives: DataFrame, content: str = "content", prefix: str = "term_bank") -> DataFrame:
+    """Rows of all banks of the archives in a binary column; files come from :func:`binary_files`."""
+    spark = archives.sparkSession
+    spark.udtf.register("sparkloom_banks", BankRows)
+    return spark.sql(f"SELECT b.* FROM {{a}} a, LATERAL sparkloom_banks(a.`{content}`, '{prefix}') b", a=archives)
+
+
+def binary_files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path)
+
+
+@F.pandas_udf("binary")
+def zip_members(names: pd.Series, texts: pd.Series) -> pd.Series:
+    """A ZIP of text members with a fixed time, so equal members give equal bytes."""
+
+    def one(ns, ts) -> bytes:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=9) as z:
+            for n, x in zip(ns, ts, strict=True):
+                z.writestr(zipfile.ZipInfo(n, (1980, 1, 1, 0, 0, 0)), x, zipfile.ZIP_DEFLATED, 9)
+        return out.getvalue()
+
+    return pd.Series([one(n, x) for n, x in zip(names, texts, strict=True)])
+
+
+def part_archives(t: Tables) -> DataFrame:
+    """(p_type, content): an archive of term banks of at most 100 parts for each type."""
+    row = F.to_json(F.array("p_name", "p_brand", F.lit(""), F.lit("n"), F.lit("0"), "p_type", F.col("p_partkey").cast("string"), F.lit("")))
+    banks = pages(t.part.withColumn("row", row), 100, "p_partkey", by="p_type").groupBy("p_type", "page").agg(F.array_sort(F.collect_list(F.struct("p_partkey", "row"))).alias("x"))
+    text = F.concat(F.lit("["), F.array_join(F.transform("x", lambda v: v["row"]), ","), F.lit("]"))
+    named = banks.select("p_type", F.struct(F.concat(F.lit("term_bank_"), (F.col("page") + 1).cast("string"), F.lit(".json")).alias("n"), text.alias("t")).alias("m"))
+    g = named.groupBy("p_type").agg(F.array_sort(F.collect_list("m")).alias("m"))
+    return g.select("p_type", zip_members(F.transform("m", lambda v: v["n"]), F.transform("m", lambda v: v["t"])).alias("content"))
+
+
+@query("s01_bank_scan", "WITH p AS (SELECT p_partkey, p_name, (ROW_NUMBER() OVER (PARTITION BY p_type ORDER BY p_partkey) - 1) AS k FROM part) SELECT p_partkey, CAST(k // 100 + 1 AS INT) AS bank_number, CAST(k % 100 AS INT) AS entry_ordinal, p_name AS expression FROM p")
+def bank_scan(t: Tables) -> DataFrame:
+    rows = scan_banks(part_archives(t))
+    cells = F.from_json("raw", "array<string>")
+    return rows.select(cells[6].cast("long").alias("p_partkey"), "bank_number", "entry_ordinal", cells[0].alias("expression"))
+
+
+def well_formed(raw: Column) -> Column:
+    """A JSON array of eight cells or more whose seventh is an integer, and not a boolean."""
+    v = F.try_parse_json(raw)
+    cells = F.json_array_length(raw)
+    return F.coalesce((cells >= 8) & F.schema_of_variant(F.try_variant_get(v, "$[6]", "variant")).isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit(False))
+
+
+@query("s02_row_shape_filter", "SELECT p_partkey FROM part WHERE p_partkey % 3 = 0")
+def row_shape(t: Tables) -> DataFrame:
+    raw = F.when(F.col("p_partkey") % 3 == 0, F.format_string('["a","b","","n",0,"g",%d,""]', "p_partkey")).when(F.col("p_partkey") % 3 == 1, '["a","b","","n",0,"g",true,""]').otherwise('["a","b"]')
+    return t.part.withColumn("raw", raw).where(well_formed(F.col("raw"))).select("p_partkey")
+
+
+def bank_number(name: Column) -> Column:
+    return F.regexp_extract(name, r"(\d+)", 1).cast("int")
+
+
+@query("s03_numeric_bank_order", "SELECT 'term_bank_' || s_suppkey || '.json' AS name, ROW_NUMBER() OVER (ORDER BY s_suppkey) AS place FROM supplier")
+def numeric_order(t: Tables) -> DataFrame:
+    names = t.supplier.select(F.concat(F.lit("term_bank_"), F.col("s_suppkey").cast("string"), F.lit(".json")).alias("name"))
+    return names.select("name", F.row_number().over(Window.orderBy(bank_number(F.col("name")))).cast("long").alias("place"))
+
+
+def ranked_rows(rows: DataFrame, order: str, limit: int) -> DataFrame:
+    """The first ``limit`` rows with ``rank`` from 1, before any term is dropped for being repeated."""
+    top = rows.orderBy(order).limit(limit)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(order)).cast("long"))
+
+
+@query("s04_row_order_rank", "SELECT p_name AS term, MIN(rank) AS rank FROM (SELECT p_name, ROW_NUMBER() OVER (ORDER BY p_partkey) AS rank FROM part) WHERE rank <= 500 GROUP BY 1")
+def row_order_rank(t: Tables) -> DataFrame:
+    return ranked_rows(t.part, "p_partkey", 500).groupBy(F.col("p_name").alias("term")).agg(F.min("rank").alias("rank"))
+
+
+def recorded_rank(raw: Column, limit: int) -> Column:
+    """A rank that is a number, or in ``frequency`` or ``value``; cut to an integer, null outside 1 to ``limit``, and for booleans."""
+    v = F.try_parse_json(raw)
+    plain = F.when(F.schema_of_variant(v) != "BOOLEAN", F.try_variant_get(v, "$", "double"))
+    field = lambda name: F.when(F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant")) != "BOOLEAN", F.try_variant_get(v, f"$.{name}", "double"))
+    rank = F.coalesce(plain, field("frequency"), field("value")).cast("long")
+    return F.when(rank.between(1, limit), rank)
+
+
+@query("s05_recorded_rank", "SELECT p_partkey, CAST(p_size AS BIGINT) AS rank FROM part WHERE p_partkey % 4 <> 3 AND p_size BETWEEN 1 AND 40")
+def recorded(t: Tables) -> DataFrame:
+    k, size = F.col("p_partkey") % 4, F.col("p_size").cast("string")
+    raw = F.when(k == 0, size).when(k == 1, F.concat(F.lit('{"value":'), size, F.lit(".9}"))).when(k == 2, F.concat(F.lit('{"frequency":'), size, F.lit(',"value":1}'))).otherwise("true")
+    return t.part.select("p_partkey", recorded_rank(raw, 40).alias("rank")).where("rank IS NOT NULL")
+
+
+@query("s06_first_rank_dedupe", "SELECT term, MIN(rank) AS rank FROM (SELECT STRING_SPLIT(p_name, ' ')[1] AS term, ROW_NUMBER() OVER (ORDER BY p_partkey) AS rank FROM part) WHERE rank <= 800 GROUP BY 1")
+def first_rank(t: Tables) -> DataFrame:
+    return ranked_rows(t.part, "p_partkey", 800).groupBy(F.split("p_name", " ")[0].alias("term")).agg(F.min("rank").alias("rank"))
+
+
+def deck_notes(content: bytes) -> list[tuple[int, str]]:
+    """(id, fields) of the notes of a deck: a ZIP with an SQLite file, perhaps compressed."""
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        name = next(n for n in ("collection.anki21b", "collection.anki21", "collection.anki2") if n in z.namelist())
+        data = z.read(name)
+    if data[:4] == b"\x28\xb5\x2f\xfd":
+        data = zstandard.ZstdDecompressor().decompressobj().decompress(data)
+    with tempfile.TemporaryDirectory() as d:  # inside one call: nothing is read from it later
+        Path(d, "notes.db").write_bytes(data)
+        with sqlite3.connect(f"{d}/notes.db") as db:
+            return db.execute("SELECT id, flds FROM notes ORDER BY id").fetchall()
+
+
+def scan_decks(files: DataFrame) -> DataFrame:
+    """(path, id, fields array) of decks read as binary files."""
+
+    def run(batches):
+        for batch in batches:
+            rows = [(p, i, f.split("\x1f")) for p, c in zip(batch["path"], batch["content"], strict=True) for i, f in deck_notes(bytes(c))]
+            yield pd.DataFrame(rows, columns=["path", "id", "fields"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, id long, fields array<string>")
+
+
+def pad_fields(joined: Column, n: int) -> Column:
+    """Fields split at the unit separator, padded with empty ones."""
+    return F.slice(F.concat(F.split(joined, "\x1f"), F.array_repeat(F.lit(""), n)), 1, n)
+
+
+@query("s07_deck_fields", "SELECT c_custkey, c_name AS word, '' AS example FROM customer")
+def deck_fields(t: Tables) -> DataFrame:
+    f = pad_fields(F.concat_ws("\x1f", "c_name", "c_mktsegment"), 5)
+    return t.customer.select("c_custkey", f[0].alias("word"), f[4].alias("example"))
+
+
+@query("s08_required_fields", "SELECT p_partkey FROM part WHERE p_partkey % 2 = 0")
+def required_fields(t: Tables) -> DataFrame:
+    row = t.part.select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise("  ").alias("a"), "p_brand", "p_type")
+    return row.where((F.trim("a") != "") & (F.trim("p_brand") != "") & (F.trim("p_type") != "")).select("p_partkey")
+
+
+@query("s09_tag_harvest", "SELECT p_brand AS code, p_brand AS label, COUNT(*) AS n FROM part GROUP BY 1, 2")
+def tag_harvest(t: Tables) -> DataFrame:
+    n = nodes(t)
+    tags = n.where("cls = 'tag'").select("p_partkey", "pointer", "code")
+    labels = n.where("kind = 'string' AND field = 'content'").select("p_partkey", F.regexp_replace("pointer", "/content$", "").alias("pointer"), F.col("text").alias("label"))
+    return tags.join(labels, ["p_partkey", "pointer"]).groupBy("code", "label").agg(F.count("*").alias("n"))
+
+
+def strict_csv(spark: SparkSession, path: str, schema: T.StructType, rows: int) -> DataFrame:
+    """A CSV file with exactly these columns and so many rows; anything else is an error."""
+    df = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+    if (found := df.count()) != rows:
+        raise ValueError(f"{found} rows, not {rows}")
+    return df
+
+
+def strict_json_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """Lines as variants; a blank, malformed or non-object line is an error."""
+    v = F.try_parse_json(F.col(col))
+    fine = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    return lines.withColumn("json", F.when(fine, v).otherwise(F.raise_error(F.concat(F.lit("not a JSON object: "), F.coalesce(F.col(col), F.lit("null")))).cast("variant")))
+
+
+@query("s11_strict_json_lines", "SELECT event_id, CAST(props->>'k' AS BIGINT) AS k FROM events")
+def json_lines(t: Tables) -> DataFrame:
+    return strict_json_lines(t.events, "props").select("event_id", F.try_variant_get("json", "$.k", "bigint").alias("k"))
+
+
+@query("s12_event_lines", "SELECT user_id, ARG_MAX(CAST(props->>'k' AS BIGINT), event_id) AS last_usage, COUNT(*) AS lines FROM events WHERE event_id % 10 <> 0 GROUP BY 1")
+def event_lines(t: Tables) -> DataFrame:
+    """Malformed lines are skipped; the last usage wins."""
+    line = F.when(F.col("event_id") % 10 == 0, "not json").otherwise(F.col("props"))
+    e = t.events.withColumn("v", F.try_parse_json(line)).where("v IS NOT NULL").withColumn("k", F.try_variant_get("v", "$.k", "bigint"))
+    return e.groupBy("user_id").agg(F.max_by("k", "event_id").alias("last_usage"), F.count("*").alias("lines"))
+
+
+@query("s13_manifest_scan", "SELECT conv_id AS batch_id, turn AS unit, role FROM conversations")
+def manifest_scan(t: Tables) -> DataFrame:
+    m = t.conversations.groupBy("conv_id").agg(F.to_json(F.struct(F.col("conv_id").alias("batch_id"), F.collect_list(F.struct(F.col("turn").alias("unit"), "role")).alias("units"))).alias("raw"))
+    p = m.select(F.from_json("raw", "batch_id bigint, units array<struct<unit:bigint,role:string>>").alias("m"))
+    return p.select("m.batch_id", F.explode("m.units").alias("u")).select("batch_id", "u.unit", "u.role")
+
+
+@query("s14_headword_scan", "SELECT DISTINCT p_name AS headword FROM part")
+def headwords(t: Tables) -> DataFrame:
+    return scan_banks(part_archives(t)).select(F.get_json_object("raw", "$[0]").alias("headword")).distinct()
+
+
+@query("s15_lenient_frequency_scan", "SELECT p_name AS term, CAST(MIN(p_size) FILTER (p_partkey % 4 <> 3 AND p_size <= 20) AS BIGINT) AS best, COUNT(*) AS seen FROM part GROUP BY 1")
+def lenient_frequency(t: Tables) -> DataFrame:
+    raw = F.when(F.col("p_partkey") % 4 == 3, "broken").otherwise(F.col("p_size").cast("string"))
+    return t.part.groupBy(F.col("p_name").alias("term")).agg(F.min(recorded_rank(raw, 20)).alias("best"), F.count("*").alias("seen"))
+
+
+@query("s16_table_scan", "SELECT * FROM supplier")
+def table_scan(t: Tables) -> DataFrame:
+    return t.supplier
+
+
+def file_hashes(files: DataFrame) -> DataFrame:
+    """(path, sha256, bytes) of binary files."""
+    return files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
+
+
+@query("s18_content_hash", "SELECT page_id, SHA256(html) AS sha256, CAST(STRLEN(html) AS BIGINT) AS bytes FROM pages")
+def content_hash(t: Tables) -> DataFrame:
+    raw = F.encode("html", "utf-8")
+    return t.pages.select("page_id", F.sha2(raw, 256).alias("sha256"), F.octet_length(raw).cast("long").alias("bytes"))
+
+
+def checksum_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """(digest, filename) of a checksum list."""
+    parts = F.split(F.trim(F.col(col)), r"\s+\*?", 2)
+    return lines.where(F.trim(F.col(col)) != "").select(F.lower(parts[0]).alias("digest"), parts[1].alias("filename"))
+
+
+@query("s19_checksum_list", "SELECT SHA256(n_name) AS digest, n_name || '.zip' AS filename FROM nation")
+def checksum_list(t: Tables) -> DataFrame:
+    return checksum_lines(t.nation.select(F.concat(F.upper(F.sha2("n_name", 256)), F.lit("  "), "n_name", F.lit(".zip")).alias("value")))
+
+
+@udtf(returnType="word string, position long, size long")
+class IndexRecords:
+    """Records of a binary index: a word, a zero byte, and two big-endian 32-bit numbers."""
+
+    def eval(self, data: bytes):
+        at = 0
+        while data is not None and at < len(data):
+            end = data.index(b"\0", at)
+            position, size = struct.unpack_from(">II", data, end + 1)
+            yield data[at:end].decode(), position, size
+            at = end + 9
+
+
+def pack_index(word: Column, position: Column, size: Column) -> Column:
+    number = lambda c: F.unhex(F.lpad(F.hex(c.cast("long")), 8, "0"))
+    return F.concat(F.encode(word, "utf-8"), F.unhex(F.lit("00")), number(position), number(size))
+
+
+@query("s20_binary_index", "SELECT n_name AS word, CAST(n_nationkey * 100 AS BIGINT) AS position, CAST(LENGTH(n_name) AS BIGINT) AS size FROM nation")
+def binary_index(t: Tables) -> DataFrame:
+    t.spark.udtf.register("sparkloom_index", IndexRecords)
+    data = t.nation.groupBy("n_regionkey").agg(F.collect_list(pack_index(F.col("n_name"), F.col("n_nationkey") * 100, F.length("n_name"))).alias("x"))
+    whole = data.select(F.aggregate("x", F.lit(b""), lambda a, b: F.concat(a, b)).alias("data"))
+    return t.spark.sql("SELECT r.* FROM {d} d, LATERAL sparkloom_index(d.data) r", d=whole)
+
+
+@query("s21_xml_count", "SELECT n_regionkey, COUNT(*) AS entries FROM nation GROUP BY 1")
+def xml_count(t: Tables) -> DataFrame:
+    one = F.concat(F.lit("<entry><title>"), "n_name", F.lit("</title></entry>"))
+    doc = t.nation.groupBy("n_regionkey").agg(F.concat(F.lit("<d>"), F.array_join(F.collect_list(one), ""), F.lit("</d>")).alias("xml"))
+    return doc.select("n_regionkey", F.size(F.xpath("xml", F.lit("/d/entry"))).cast("long").alias("entries"))
+
+
+def xml_rows(spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str) -> DataFrame:
+    return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
+
+
+@query("s23_html_tags", "SELECT page_id, LEN(REGEXP_EXTRACT_ALL(html, '<[a-zA-Z][a-zA-Z0-9]*')) AS tags, LEN(REGEXP_EXTRACT_ALL(html, '<p[ >]')) AS paragraphs FROM pages")
+def html_tags(t: Tables) -> DataFrame:
+    t.spark.udtf.register("sparkloom_html", HtmlTags)
+    tags = t.spark.sql("SELECT p.page_id, h.tag FROM {p} p, LATERAL sparkloom_html(p.html) h", p=t.pages.select("page_id", "html"))
+    return tags.groupBy("page_id").agg(F.count("*").alias("tags"), F.count_if(F.col("tag") == "p").alias("paragraphs"))
+
+
+@query("s24_keyed_rows", "SELECT p_name AS expression, p_brand AS reading, p_partkey AS sequence FROM part")
+def keyed_rows(t: Tables) -> DataFrame:
+    c = F.from_json("raw", "array<string>")
+    return scan_banks(part_archives(t)).select(c[0].alias("expression"), c[1].alias("reading"), c[6].cast("long").alias("sequence"))
+
+
+def sample_envelopes(spark: SparkSession, n: int) -> DataFrame:
+    """(id, bytes, units): sizes by remainders, without randomness."""
+    return spark.range(n).select("id", (F.lit(200) + F.col("id") * 37 % 900).alias("bytes"), (F.lit(1) + F.col("id") % 7).alias("units"))
+
+
+@query("s25_generated_envelopes", "SELECT i AS id, 200 + i * 37 % 900 AS bytes, 1 + i % 7 AS units FROM range(10000) t(i)")
+def generated(t: Tables) -> DataFrame:
+    return sample_envelopes(t.spark, 10_000)
