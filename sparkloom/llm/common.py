@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -13,8 +14,15 @@ SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows may be long, so less goes to Python at once than Spark's default."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables, whole."""
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -43,6 +51,7 @@ def cut(df: DataFrame) -> DataFrame:
     A lost executor then costs a read of the table, not a new run of what made it.
     """
     spark = df.sparkSession
+    bounded_batches(spark)
     path = f"{shared_dir(spark)}/sparkloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -51,13 +60,18 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def forget(*frames: DataFrame | None) -> None:
-    """Delete tables made by :func:`cut` that nothing will read again."""
+    """Delete tables made by :func:`cut` that nothing will read again, and let go of their shuffles."""
+    frames = tuple(df for df in frames if df is not None)
     for df in frames:
         path = getattr(df, "_sparkloom_path", None)
         if path:
             jvm = df.sparkSession._jvm
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+    if frames:
+        # shuffle files go once the driver's garbage is collected, else they pile up over the steps of a query
+        gc.collect()
+        frames[0].sparkSession._jvm.System.gc()
 
 
 def crc_mod(col: Column, n: int) -> Column:
