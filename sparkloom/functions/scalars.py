@@ -9,17 +9,18 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from sparkloom.registry import Tables, query
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(x: pd.Series) -> pd.Series:
     """NFC without white space at the ends; Spark has no built-in normaliser."""
     return x.map(lambda s: None if s is None else unicodedata.normalize("NFC", s).strip())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(x: pd.Series) -> pd.Series:
     return x.map(lambda s: None if s is None else unicodedata.normalize("NFKC", s))
 
@@ -71,7 +72,7 @@ def sha256(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.sha2("text", 256).alias("sha256"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def canonical_json(x: pd.Series) -> pd.Series:
     """JSON text with sorted keys, no spaces and no ASCII escapes; null if it doesn't parse."""
 

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.sql.functions import udtf
 
 from sparkloom.operators.windows import pages
@@ -176,7 +177,7 @@ def canonical(tree) -> str:
     return json.dumps(tree, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def json_pointer(raw: pd.Series, pointer: pd.Series) -> pd.Series:
     """Canonical JSON of what a pointer leads to; null if it leads nowhere."""
 
@@ -194,7 +195,7 @@ def pointers(t: Tables) -> DataFrame:
     return trees(t).select("p_partkey", json_pointer("raw", F.lit("/content/1/content/0/content")).alias("value"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def structural_fingerprint(raw: pd.Series, units: pd.Series) -> pd.Series:
     """Hash of a tree with its units' values masked: the same as long as only those change."""
 
@@ -217,7 +218,7 @@ def fingerprint(t: Tables) -> DataFrame:
     return f.select("p_partkey", F.count("*").over(Window.partitionBy("f")).alias("alike"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def reassemble(raw: pd.Series, targets: pd.Series) -> pd.Series:
     """The tree with accepted targets (array of struct<pointer, text>) in place and its language changed; outer white space stays."""
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import udtf
+from pyspark.sql.types import BinaryType
 
 from sparkloom.operators.nested import HtmlTags, nodes
 from sparkloom.operators.windows import pages
@@ -48,7 +49,7 @@ def binary_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def zip_members(names: pd.Series, texts: pd.Series) -> pd.Series:
     """A ZIP of text members with a fixed time, so equal members give equal bytes."""
 
