@@ -159,6 +159,10 @@ def span_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
+def count_kind(spans: Column, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def redact(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
     """The text with every span replaced by its kind; of overlapping spans the first one names it."""
     if text is None or not spans:
@@ -173,7 +177,7 @@ def redact(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
 
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
+    counts = [count_kind(F.col("base"), k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
 
 
