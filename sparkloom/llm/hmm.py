@@ -197,7 +197,7 @@ def joint(items: Iterator[tuple]) -> Iterator[list[tuple]]:
         yield held
 
 
-def train(data: DataFrame, classes: Classes, prior: np.ndarray, *, states: int, rounds: int, strength: float = 20.0, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[float]]:
+def train(data: DataFrame, classes: Classes, prior: np.ndarray, *, states: int, rounds: int, strength: float = 2000.0, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[float]]:
     """start, move and emit (state by class) after some rounds of Baum-Welch; the log likelihood before each.
 
     ``prior`` is the share of every class among the training tokens; each state's
