@@ -242,7 +242,7 @@ def near_pairs(vectors: DataFrame, *, cosine: float = 0.95, id_col: str = "vec_i
         blobs = [group["id"].to_numpy().astype("<i8").tobytes(), group["times"].to_numpy().astype("<i8").tobytes(), raw.tobytes(), *tree.arrays()]
         return pa.Table.from_arrays([*cols, pa.array([blobs], pa.list_(pa.binary()))], ["dim", "cell", "block", "parts"])
 
-    blocks = cut(placed.select("dim", "cell", "block", "id", "times", "vec").groupBy("dim", "cell", "block").applyInArrow(grow, "dim int, cell int, block long, parts array<binary>"))
+    blocks = cut(placed.select("dim", "cell", "block", "id", "times", "vec").groupBy("dim", "cell", "block").applyInArrow(grow, "dim int, cell int, block long, parts array<binary>"), blobs=True)
     forget(dealt)
     pairs = spark.createDataFrame(reachable, "dim int, ca int, cb int")
     name = lambda s: blocks.select("dim", F.col("cell").alias(f"c{s}"), F.col("block").alias(f"k{s}"))

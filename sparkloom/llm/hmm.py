@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chains import forward, forward_backward, time_major
-from .common import crc_mod, cut, forget, table
+from .common import crc_mod, cut, fewer, forget, table
 
 SMOOTH = 0.1
 CHUNK_TOKENS = 1_500_000
@@ -105,7 +105,7 @@ def chunks(docs: DataFrame, held: Column, *, id_col: str = "doc_id", text_col: s
         if doc_ids:
             yield close()
 
-    return docs.select(docs[id_col].alias("doc_id"), held.alias("held"), docs[text_col].cast("binary").alias("text")).mapInArrow(run, schema)
+    return fewer(docs.select(docs[id_col].alias("doc_id"), held.alias("held"), docs[text_col].cast("binary").alias("text"))).mapInArrow(run, schema)
 
 
 def count_words(data: DataFrame, *, top: int, buckets: int) -> DataFrame:
@@ -258,8 +258,8 @@ def score_documents(docs: DataFrame, held: Column, *, id_col: str = "doc_id", te
     Texts for which ``held`` is true are scored but never learned from.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    data = cut(chunks(docs, held, id_col=id_col, text_col=text_col))
-    counted = cut(count_words(data, top=top, buckets=buckets))
+    data = cut(chunks(docs, held, id_col=id_col, text_col=text_col), blobs=True)
+    counted = cut(count_words(data, top=top, buckets=buckets), blobs=True)
     whole = counted.where("chunk < 0")
     # the driver sees `top` words and `buckets` sums
     best = whole.select(F.explode("words").alias("w")).orderBy(F.desc("w.n"), "w.h").limit(top).select("w.*").collect()

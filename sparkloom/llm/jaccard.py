@@ -1,17 +1,23 @@
 """N-gram Jaccard join with vertical partitioning.
 
 The distinct five-word shingles of a text, as 64-bit hashes, are sorted by one
-global order: common shingles last (a bounded sketch of counts tells which), by
-hash otherwise. Two sets with a Jaccard similarity of 3/4 or more share a shingle
-in their prefixes, the first quarter of that order, and prefixes sharing few of
-them can be ruled out by counting. Surviving pairs are counted exactly by
-vertical partitioning: the order is cut into fragments, every set into segments,
-the overlap of a pair is counted in each fragment by itself and summed.
-
-Only classes are asked for, so links that can't join two classes aren't counted:
-first each shared prefix shingle proposes one hub to its texts, twice, and only
-texts that are still in different classes then meet each other. No group of
-copies is ever expanded into its pairs.
+global order: common shingles last, by hash otherwise. Two sets with a Jaccard
+similarity of 3/4 or more share a shingle in their prefixes, the first quarter
+of that order. Prefixes are dealt out by hash range; each range counts what
+pairs of texts share in it by itself, and the partial counts are summed per
+pair, which rules out most of them. The others are compared exactly: texts that
+pairs connect go to one task, each once; where that would be too many, the order
+is cut into fragments once more, every set into segments, and the overlap of a
+pair is counted in each fragment and summed.
+
+Only classes are asked for, so a pair inside a class that is already known isn't
+compared; those that share most come first. Where more than ``GROUP`` texts share
+a common shingle, they don't meet in pairs at all but one hub drawn for each
+shingle, in some turns; only texts that are still in different classes then meet
+each other. No group of copies is expanded into its pairs.
+
+The texts are read once, into chunks of word numbers with a vocabulary of 64-bit
+word hashes; shingles are made from these when needed.
 
 Null, empty and odd input: a null or empty text, or one without words, has an
 empty set and links with nothing; a text of fewer than five words has its whole
@@ -22,7 +28,7 @@ ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,23 +37,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, forget, table
+from .common import cut, fewer, forget, table
 from .components import components
+from .hmm import Numbers, numbers, planes
 
 WORDS = 5
 FRAGMENTS = 4
-SKETCH_BITS = 22
-BLOCK = 1 << 16
-KEPT_WORDS = 400_000
-BUCKET_POSTINGS = 500_000
-
-
-class WordHashes(dict):
-    """64-bit hashes of words, made when first asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+SLOT_BITS = 28
+COMMON = 16  # a slot with more shingles than this is common
+MOST_COMMON = 1 << 22  # common slots that are told apart, the most frequent ones
+GROUP = 256
+PAIRS_AT_ONCE = 300_000
+CHUNK_WORDS = 500_000
+RANGE_POSTINGS = 300_000
+BROADCAST_ROWS = 500_000  # 8 MB
+BLOCK_TEXTS = 4_000  # texts whose pairs one task compares
 
 
 def shingles(words: np.ndarray, size: int = WORDS) -> np.ndarray:
@@ -67,79 +71,133 @@ def shingles(words: np.ndarray, size: int = WORDS) -> np.ndarray:
     return h[np.append(True, h[1:] != h[:-1])]
 
 
-def text_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS) -> DataFrame:
-    """One row for each document: row, doc_id, text_hash, n, rep, set.
+def read_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS) -> DataFrame:
+    """Chunks of some documents each: their rows, ids, hashes, set sizes, representatives, digests of their sets, and words.
 
-    ``rep`` is the row of the first document of the partition with the same set;
-    only that one carries it.
+    The representative of a document is the first one of its chunk with the same
+    words; only that one has words here: ``lengths`` of them in ``tokens``, which
+    are places in ``vocab``.
     """
-    schema = f"row long, doc_id {docs.schema[id_col].dataType.simpleString()}, text_hash long, n int, rep long, set binary"
+    kind = docs.schema[id_col].dataType
+    arrow = {"long": pa.int64(), "integer": pa.int32(), "string": pa.string()}.get(kind.typeName(), pa.int64())
+    schema = f"docs array<struct<row:long,doc_id:{kind.simpleString()},text_hash:long,n:int,rep:long,length:int,mark:binary>>, tokens binary, vocab binary"
+    item = pa.struct([("row", pa.int64()), ("doc_id", arrow), ("text_hash", pa.int64()), ("n", pa.int32()), ("rep", pa.int64()), ("length", pa.int32()), ("mark", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 36
-        hashes, first = WordHashes(), {}
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
-                rows, ns, reps, sets, marks = [], [], [], [], []
-                for text in batch.column(1):
-                    raw = text.as_py() or b""
-                    words = raw.lower().split()  # on bytes: ASCII letters and white space alone
-                    if len(hashes) > KEPT_WORDS:
-                        hashes.clear()
-                    own = shingles(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), size)
-                    data = own.tobytes()
-                    rep = first.setdefault(xxhash.xxh3_128_digest(data), row) if len(own) else row
-                    rows.append(row)
-                    ns.append(len(own))
-                    reps.append(rep)
-                    sets.append(data if rep == row and len(own) else None)
-                    marks.append(xxhash.xxh3_64_intdigest(raw) - (1 << 63))
-                    row += 1
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), batch.column(0), pa.array(marks, pa.int64()), pa.array(ns, pa.int32()), pa.array(reps, pa.int64()), pa.array(sets, pa.binary())], ["row", "doc_id", "text_hash", "n", "rep", "set"])
-
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("binary").alias("text")).mapInArrow(run, schema)
-
-
-def merged(df: DataFrame, fill: Callable[[np.ndarray, pa.RecordBatch], None], slots: int, dtype: str, ufunc: np.ufunc) -> np.ndarray:
-    """A table of ``slots`` numbers filled by every partition and merged block by block.
-
-    ``slots`` is bounded, whatever the size of ``df``.
-    """
+        ids, first, own, tokens, total = Numbers(), {}, [], [], 0
+
+        def close() -> pa.RecordBatch:
+            nonlocal total
+            vocab = np.fromiter(map(xxhash.xxh3_64_intdigest, ids), np.uint64, len(ids))
+            flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int32)
+            words, at = vocab[flat], 0
+            sizes: dict[int, int] = {}
+            for x in own:
+                if x["length"]:
+                    found = shingles(words[at : at + x["length"]], size)
+                    sizes[x["row"]], x["mark"] = len(found), xxhash.xxh3_128_digest(found.tobytes())
+                    at += x["length"]
+                x["n"] = sizes.get(x["rep"], 0)
+            out = pa.RecordBatch.from_arrays([pa.array([own], pa.list_(item)), pa.array([planes(flat)]), pa.array([vocab.tobytes()])], ["docs", "tokens", "vocab"])
+            ids.clear()
+            first.clear()
+            own.clear()
+            tokens.clear()
+            total = 0
+            return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(slots, dtype)
         for batch in batches:
-            fill(own, batch)
-        for k in range(0, slots, BLOCK):
-            if own[k : k + BLOCK].any():
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([own[k : k + BLOCK].tobytes()])], ["block", "data"])
-
-    def add(group: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(x.as_py(), dtype) for x in group["data"]]
-        total = parts[0].copy()
-        for x in parts[1:]:
-            ufunc(total, x, out=total)
-        return pa.table({"block": group["block"][:1], "data": pa.array([total.tobytes()])})
-
-    out = np.zeros(slots, dtype)
-    for r in df.mapInArrow(run, "block long, data binary").groupBy("block").applyInArrow(add, "block long, data binary").collect():
-        own = np.frombuffer(r["data"], dtype)
-        out[r["block"] : r["block"] + len(own)] = own
-    return out
-
-
-def common_classes(sets: DataFrame, *, bits: int = SKETCH_BITS) -> np.ndarray:
-    """For each of 2**bits slots of hashes, 0 or, if its shingles are common, how common."""
-
-    def fill(own: np.ndarray, batch: pa.RecordBatch) -> None:
-        for x in batch.column(0):
-            if x.is_valid:
-                np.add.at(own, (np.frombuffer(x.as_py(), np.uint64) >> np.uint64(64 - bits)).astype(np.int64), 1)
-
-    counts = merged(sets.select("set"), fill, 1 << bits, "<u4", np.add).astype(np.float64)
-    usual = 2 * counts.mean() + 16
-    return np.where(counts > usual, np.minimum(63, 1 + np.floor(2 * np.log2(np.maximum(counts, 1) / usual))), 0).astype(np.uint8)
+            for doc, text, mark in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                raw = text.as_py() or b""
+                words = raw.lower().split()  # on bytes: ASCII letters and white space alone
+                rep = first.setdefault(xxhash.xxh3_128_digest(b" ".join(words)), row) if words else row
+                fresh = len(words) if rep == row else 0
+                if fresh:
+                    tokens.append(np.fromiter(map(ids.__getitem__, words), np.int32, fresh))
+                own.append({"row": row, "doc_id": doc, "text_hash": mark, "rep": rep, "length": fresh, "mark": None})
+                row += 1
+                total += fresh + 1
+                if total >= CHUNK_WORDS:
+                    yield close()
+        if own:
+            yield close()
+
+    return fewer(docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("binary").alias("text"), F.xxhash64(docs[text_col]).alias("text_hash"))).mapInArrow(run, schema)
+
+
+def sets_of(batches: Iterator[pa.RecordBatch], size: int = WORDS, pick=None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, set sizes, sorted sets end to end) of some texts at a time, those that ``pick`` chooses by row.
+
+    The batches have rows, lengths, tokens and vocab of chunks.
+    """
+    for batch in batches:
+        for rows, lengths, raw, vocab in zip(*(batch.column(i) for i in range(4)), strict=True):
+            rows, lengths = rows.values.to_numpy(), lengths.values.to_numpy().astype(np.int64)
+            some = lengths > 0
+            if pick is not None:
+                some &= pick(rows)
+            if not some.any():
+                continue
+            words = np.frombuffer(vocab.as_py(), np.uint64)[numbers(raw.as_py())]
+            begins = np.cumsum(lengths) - lengths
+            which = np.flatnonzero(some)
+            for at in range(0, len(which), 1000):
+                own = which[at : at + 1000]
+                sets = [shingles(words[begins[i] : begins[i] + lengths[i]], size) for i in own.tolist()]
+                yield rows[own], np.fromiter(map(len, sets), np.int64, len(sets)), np.concatenate(sets)
+
+
+def texts_of(chunks: DataFrame) -> DataFrame:
+    return chunks.select(F.col("docs.row").alias("rows"), F.col("docs.length").alias("lengths"), "tokens", "vocab")
+
+
+def common_slots(chunks: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """The slots (first ``SLOT_BITS`` bits of a hash) of common shingles, sorted, and how common they are (1 to 63).
+
+    Every partition sends its slots, sorted, as steps of a byte each; ranges of
+    slots are summed by a task each. At most ``MOST_COMMON`` slots come back.
+    """
+    ranges = 1 << max(8, int(total // (8 * RANGE_POSTINGS)).bit_length())
+    wide = (1 << SLOT_BITS) // ranges
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            slots = np.sort(np.concatenate(held))
+            edges = np.searchsorted(slots, np.arange(0, (1 << SLOT_BITS) + 1, wide))
+            out = [[], [], []]
+            for r in range(ranges):
+                own = slots[edges[r] : edges[r + 1]].astype(np.int64)
+                if len(own):
+                    steps = np.diff(own, prepend=r * wide)
+                    out[0].append(r)
+                    out[1].append(np.minimum(steps, 255).astype(np.uint8).tobytes())
+                    out[2].append(steps[steps >= 255].astype("<u4").tobytes())
+            return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1]), pa.array(out[2])], ["range", "steps", "far"])
+
+        for _, _, h in sets_of(batches):
+            held.append((h >> np.uint64(64 - SLOT_BITS)).astype(np.uint32))
+            size += len(h)
+            if size >= 1_500_000:
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
+
+    def add(key: tuple, group: pa.Table) -> pa.Table:
+        counts = np.zeros(wide, np.int64)
+        for raw, far in zip(group["steps"], group["far"], strict=True):
+            steps = np.frombuffer(raw.as_py(), np.uint8).astype(np.int64)
+            steps[steps == 255] = np.frombuffer(far.as_py(), "<u4")
+            counts += np.bincount(np.cumsum(steps), minlength=wide)
+        some = np.flatnonzero(counts > COMMON)
+        return pa.table({"slot": pa.array(some + key[0].as_py() * wide, pa.int64()), "n": pa.array(counts[some])})
+
+    found = texts_of(chunks).mapInArrow(send, "range int, steps binary, far binary").groupBy("range").applyInArrow(add, "slot long, n long")
+    best = found.orderBy(F.desc("n"), "slot").limit(MOST_COMMON).toPandas().sort_values("slot")
+    return best["slot"].to_numpy(np.int64), np.minimum(63, 1 + np.floor(2 * np.log2(np.maximum(1.0, best["n"].to_numpy(np.float64) / COMMON)))).astype(np.int64)
 
 
 def prefix_size(n: np.ndarray) -> np.ndarray:
@@ -147,7 +205,7 @@ def prefix_size(n: np.ndarray) -> np.ndarray:
 
 
 def squeeze(x: np.ndarray) -> bytes:
-    """Bytes of the same rank together: what is shuffled is compressed by Spark."""
+    """64-bit numbers, bytes of the same rank together: what is shuffled is compressed by Spark."""
     return x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
@@ -155,166 +213,421 @@ def expand(x: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
-def shared_prefixes(sets: DataFrame, classes: np.ndarray, total: int, *, bits: int = SKETCH_BITS) -> DataFrame:
-    """(hash, row) of prefix shingles that two sets or more have in their prefixes."""
-    buckets = max(12, total // 4 // BUCKET_POSTINGS)
+def mixed(x: np.ndarray, parts: int) -> np.ndarray:
+    return (((x * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+
+
+def pieces(part: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(part, places of its elements) of all parts that have any."""
+    order = np.argsort(part, kind="stable")
+    edges = np.searchsorted(part[order], np.arange(parts + 1))
+    for p in range(parts):
+        if edges[p] < edges[p + 1]:
+            yield p, order[edges[p] : edges[p + 1]]
+
+
+def prefixes(chunks: DataFrame, slots: np.ndarray, ranks: np.ndarray, parts: int) -> DataFrame:
+    """The prefixes of all sets, dealt to ``parts`` by shingle: hashes, rows, set sizes, and how many of a prefix are common."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, rows = [], []
-        for batch in batches:
-            some = [(r, np.frombuffer(x.as_py(), np.uint64)) for r, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) if x.is_valid]
-            for at in range(0, len(some), 1000):
-                own = some[at : at + 1000]
-                n = np.fromiter((len(x) for _, x in own), np.int64, len(own))
-                h = np.concatenate([x for _, x in own])
-                rank = classes[(h >> np.uint64(64 - bits)).astype(np.int64)].astype(np.int64)
-                h = h[np.argsort(np.repeat(np.arange(len(own)) << 6, n) + rank, kind="stable")]
-                place = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
-                front = place < np.repeat(prefix_size(n), n)
-                hashes.append(h[front])
-                rows.append(np.repeat(np.fromiter((r for r, _ in own), np.int64, len(own)), n)[front])
-        if not hashes:
-            return
-        h, r = np.concatenate(hashes), np.concatenate(rows)
-        del hashes, rows
-        bucket = ((h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)) % np.uint64(buckets)
-        order = np.lexsort((h, bucket))
-        ends = np.cumsum(np.bincount(bucket.astype(np.int64), minlength=buckets))
-        for b, (s, e) in enumerate(zip(np.append(0, ends[:-1]), ends, strict=True)):
-            if e > s:
-                own = order[s:e]
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([squeeze(h[own])]), pa.array([squeeze(r[own])])], ["bucket", "hashes", "rows"])
-
-    def meet(group: pa.Table) -> pa.Table:
-        h = np.concatenate([expand(x.as_py()) for x in group["hashes"]])
-        r = np.concatenate([expand(x.as_py()) for x in group["rows"]])
+        held: list[tuple] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            h, row, n, common = (np.concatenate(x) for x in zip(*held, strict=True))
+            out = [[], [], [], [], []]
+            for p, own in pieces(mixed(h, parts), parts):
+                own = own[np.argsort(h[own])]
+                for col, x in zip(out, (p, squeeze(h[own]), squeeze(row[own]), planes(n[own]), planes(common[own])), strict=True):
+                    col.append(x)
+            return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *map(pa.array, out[1:])], ["part", "h", "row", "n", "common"])
+
+        for rows, n, h in sets_of(batches):
+            rank = np.zeros(len(h), np.int64)
+            if len(slots):
+                s = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+                k = np.minimum(np.searchsorted(slots, s), len(slots) - 1)
+                rank = np.where(slots[k] == s, ranks[k], 0)
+            order = np.argsort((np.repeat(np.arange(len(n)) << 6, n)) + rank, kind="stable")
+            place = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
+            front = place < np.repeat(prefix_size(n), n)
+            hot = (rank[order] > 0) & front
+            common = np.add.reduceat(hot.astype(np.int64), np.cumsum(n) - n)
+            # the top bit of a size tells if the shingle itself is common
+            marked = (np.repeat(n, n) | (hot.astype(np.int64) << 31))[front].astype(np.uint32)
+            held.append((h[order][front], np.repeat(rows, n)[front], marked, np.repeat(common, n)[front]))
+            size += int(front.sum())
+            if size >= 800_000:
+                yield flush()
+                held.clear()
+                size = 0
+        if held:
+            yield flush()
+
+    return texts_of(chunks).mapInArrow(post, "part int, h binary, row binary, n binary, common binary")
+
+
+class Tally:
+    """Distinct pair numbers with how often they came, held in bounded pieces."""
+
+    def __init__(self):
+        self.pairs, self.times, self.held, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
+
+    def add(self, pairs: np.ndarray) -> None:
+        self.held.append(pairs)
+        self.size += len(pairs)
+        if self.size > PAIRS_AT_ONCE:
+            self.fold()
+
+    def fold(self) -> None:
+        new, c = np.unique(np.concatenate(self.held), return_counts=True)
+        self.held, self.size = [], 0
+        self.pairs, back = np.unique(np.append(self.pairs, new), return_inverse=True)
+        self.times = np.bincount(back, np.append(self.times, c), len(self.pairs)).astype(np.int64)
+
+    def whole(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.held:
+            self.fold()
+        return self.pairs, self.times
+
+
+def pair_pieces(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, c: np.ndarray, slack: np.ndarray, parts: int) -> list[list]:
+    """Columns part, a, b, na, nb, c, slack of counted pairs, dealt to ``parts`` by pair."""
+    cols: list[list] = [[], [], [], [], [], [], []]
+    for p, own in pieces(mixed(a.astype(np.uint64) * np.uint64(31) + b.astype(np.uint64), parts), parts):
+        for col, v in zip(cols, (p, squeeze(a[own]), squeeze(b[own]), planes(na[own]), planes(nb[own]), planes(c[own]), planes(slack[own])), strict=True):
+            col.append(v)
+    return cols
+
+
+def meet(posted: DataFrame, parts: int) -> DataFrame:
+    """What is shared in each range: rows of ``kind`` 0 have pairs of texts with the number of shingles
+    they share there, dealt to ``parts`` by pair; rows of kind 1 have common shingles that more than ``GROUP`` texts share.
+    """
+
+    def join(group: pa.Table) -> pa.Table:
+        h, row = (np.concatenate([expand(x.as_py()) for x in group[c]]) for c in ("h", "row"))
+        n, common = (np.concatenate([numbers(x.as_py()) for x in group[c]]) for c in ("n", "common"))
         order = np.argsort(h, kind="stable")
-        h, r = h[order], r[order]
-        same = h[1:] == h[:-1]
-        some = np.append(False, same) | np.append(same, False) if len(h) else np.zeros(0, bool)
-        return pa.table({"hash": pa.array(h[some].view(np.int64)), "row": pa.array(r[some].view(np.int64))})
+        h, row, n, common = h[order], row[order].astype(np.int64), n[order], common[order].astype(np.int64)
+        hot, n = n >> np.uint32(31) > 0, (n & np.uint32(0x7FFFFFFF)).astype(np.int64)
+        texts, first, place = np.unique(row, return_index=True, return_inverse=True)
+        begins = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        sizes = np.diff(np.append(begins, len(h)))
+        large = (sizes > GROUP) & hot[begins]
+        tally = Tally()
+        for s in np.unique(sizes[~large & (sizes > 1)]).tolist():
+            at = begins[~large & (sizes == s)]
+            i, j = np.triu_indices(s, 1)
+            step = max(1, PAIRS_AT_ONCE // len(i))
+            for k in range(0, len(at), step):
+                some = place[at[k : k + step, None] + np.arange(s)]
+                x, y = some[:, i].ravel(), some[:, j].ravel()
+                size = n[first[x]], n[first[y]]
+                fits = 4 * np.minimum(*size) >= 3 * np.maximum(*size)
+                tally.add(np.minimum(x, y)[fits] * len(texts) + np.maximum(x, y)[fits])
+        pairs, times = tally.whole()
+        x, y = first[pairs // len(texts)], first[pairs % len(texts)]
+        cols = pair_pieces(row[x], row[y], n[x], n[y], times, np.minimum(common[x], common[y]), parts)
+        kinds = [0] * len(cols[0])
+        many = np.repeat(large, sizes)
+        if many.any():
+            kinds.append(1)
+            for col, v in zip(cols, (0, squeeze(h[many]), squeeze(row[many]), planes(n[many]), None, None, None), strict=True):
+                col.append(v)
+        return pa.table([pa.array(kinds, pa.int32()), pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["kind", "part", "a", "b", "na", "nb", "c", "slack"])
+
+    return posted.groupBy("part").applyInArrow(join, "kind int, part int, a binary, b binary, na binary, nb binary, c binary, slack binary")
+
+
+def summed(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the shingles c that their prefixes share, where these can suffice for a link."""
+
+    def add(group: pa.Table) -> pa.Table:
+        a, b = (np.concatenate([expand(x.as_py()) for x in group[c]]).astype(np.int64) for c in ("a", "b"))
+        na, nb, c, slack = (np.concatenate([numbers(x.as_py()) for x in group[k]]).astype(np.int64) for k in ("na", "nb", "c", "slack"))
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        heads = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+        c = np.add.reduceat(c[order], heads)
+        a, b, na, nb, slack = a[heads], b[heads], na[order][heads], nb[order][heads], slack[order][heads]
+        # outside the prefix that ends first, a set has this many left
+        rest = np.maximum((3 * na + 3) // 4, (3 * nb + 3) // 4) - 1
+        fits = 7 * (c + slack + rest) >= 3 * (na + nb)
+        return pa.table({"a": a[fits], "b": b[fits], "c": c[fits]})
+
+    return met.where("kind = 0").select("part", "a", "b", "na", "nb", "c", "slack").groupBy("part").applyInArrow(add, "a long, b long, c long")
+
 
-    posted = sets.select("row", "set").mapInArrow(post, "bucket int, hashes binary, rows binary")
-    return posted.groupBy("bucket").applyInArrow(meet, "hash long, row long")
+def large_groups(met: DataFrame, parts: int) -> DataFrame:
+    """(row, n, hashes): for each text its prefix shingles that many texts share."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for h, row, n in zip(*(batch.column(i) for i in range(3)), strict=True):
+                h, row, n = expand(h.as_py()), expand(row.as_py()), numbers(n.as_py())
+                for p, own in pieces(mixed(row, parts), parts):
+                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([squeeze(h[own])]), pa.array([squeeze(row[own])]), pa.array([planes(n[own])])], ["part", "h", "row", "n"])
+
+    def gather(group: pa.Table) -> pa.Table:
+        h, row = (np.concatenate([expand(x.as_py()) for x in group[c]]) for c in ("h", "row"))
+        n = np.concatenate([numbers(x.as_py()) for x in group["n"]])
+        order = np.lexsort((h, row))
+        h, row, n = h[order], row[order].astype(np.int64), n[order]
+        heads = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+        return pa.table({"row": pa.array(row[heads]), "n": pa.array(n[heads], pa.int32()), "hashes": pa.array([x.tobytes() for x in np.split(h, heads[1:])], pa.binary())})
+
+    dealt = met.where("kind = 1").select("a", "b", "na").mapInArrow(deal, "part int, h binary, row binary, n binary")
+    return dealt.groupBy("part").applyInArrow(gather, "row long, n int, hashes binary")
 
 
-def segments(sets: DataFrame, wanted: DataFrame, *, fragments: int = FRAGMENTS, most_bits: int = 26) -> DataFrame:
-    """(row, n, fragment, segment) of the sets whose rows are in ``wanted``.
+def by_shingle(posts: DataFrame, labels: DataFrame, parts: int) -> DataFrame:
+    """The shingles of :func:`large_groups` with the classes of their texts, dealt to ``parts`` by shingle."""
 
-    A bounded bit table thins out the sets before they are joined; where it is
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(x.as_py(), np.uint64) for x in batch.column(2)]
+            if not sets:
+                continue
+            k = np.fromiter(map(len, sets), np.int64, len(sets))
+            h = np.concatenate(sets)
+            row, n, label = (np.repeat(batch.column(c).to_numpy(), k) for c in (0, 1, 3))
+            for p, own in pieces(mixed(h, parts), parts):
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), *(pa.array([squeeze(x[own])]) for x in (h, row, label)), pa.array([planes(n[own])])], ["part", "h", "row", "label", "n"])
+
+    return labelled(posts, labels, "row", "label").select("row", "n", "hashes", "label").mapInArrow(deal, "part int, h binary, row binary, label binary, n binary")
+
+
+def open_groups(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """(rows, set sizes, classes, hash) of the shingles whose texts are in several classes."""
+    h, row, label = (np.concatenate([expand(x.as_py()) for x in group[c]]) for c in ("h", "row", "label"))
+    n = np.concatenate([numbers(x.as_py()) for x in group["n"]]).astype(np.int64)
+    order = np.lexsort((row, h))
+    h, row, label, n = h[order], row[order].astype(np.int64), label[order].astype(np.int64), n[order]
+    heads = np.append(np.flatnonzero(np.append(True, h[1:] != h[:-1])), len(h))
+    for s, e in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
+        if (label[s:e] != label[s]).any():
+            yield row[s:e], n[s:e], label[s:e], int(h[s])
+
+
+def segments(chunks: DataFrame, wanted: DataFrame, *, fragments: int = FRAGMENTS, most_bits: int = 26) -> DataFrame:
+    """(row, n, fragment, segment) of the sets whose rows are in ``wanted``, and of few others.
+
+    A bounded bit table picks the texts before anything is joined; where it is
     full, it merely lets more of them through.
     """
-    count = wanted.count()
-    slots = 1 << min(most_bits, max(16, (16 * count).bit_length()))
+    slots = 1 << min(most_bits, max(16, (16 * wanted.count()).bit_length()))
+    block = 1 << 16
 
     def slot(rows: np.ndarray) -> np.ndarray:
         return ((rows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)).astype(np.int64) & (slots - 1)
 
-    def fill(own: np.ndarray, batch: pa.RecordBatch) -> None:
-        own[slot(batch.column(0).to_numpy())] = 1
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(slots, bool)
+        for batch in batches:
+            own[slot(batch.column(0).to_numpy())] = True
+        for k in range(0, slots, block):
+            if own[k : k + block].any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([np.packbits(own[k : k + block]).tobytes()])], ["block", "bits"])
+
+    def either(group: pa.Table) -> pa.Table:
+        whole = np.bitwise_or.reduce([np.frombuffer(x.as_py(), np.uint8) for x in group["bits"]])
+        return pa.table({"block": group["block"][:1], "bits": pa.array([whole.tobytes()])})
 
-    bits = np.packbits(merged(wanted.select("row"), fill, slots, "u1", np.maximum))
+    bits = np.zeros(slots // 8, np.uint8)
+    for r in wanted.select("row").mapInArrow(mark, "block long, bits binary").groupBy("block").applyInArrow(either, "block long, bits binary").collect():
+        bits[r["block"] // 8 : (r["block"] + block) // 8] = np.frombuffer(r["bits"], np.uint8)
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                rows = batch.column(0).to_numpy()
-                s = slot(rows)
-                pick = np.flatnonzero((bits[s >> 3] >> (7 - (s & 7)).astype(np.uint8)) & 1)
-                out = [[], [], [], []]
-                for i in pick.tolist():
-                    x = batch.column(2)[i]
-                    if not x.is_valid:
-                        continue
-                    h = np.frombuffer(x.as_py(), np.uint64)
-                    edges = np.searchsorted(h, (np.arange(1, fragments, dtype=np.uint64) * np.uint64((1 << 64) // fragments)))
-                    for f, part in enumerate(np.split(h, edges)):
-                        out[0].append(int(rows[i]))
-                        out[1].append(len(h))
-                        out[2].append(f)
-                        out[3].append(part.view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.list_(pa.int64()))], ["row", "n", "fragment", "segment"])
-
-    return sets.select("row", "n", "set").mapInArrow(cut_up, "row long, n int, fragment int, segment array<long>")
-
-
-def linked(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+        def pick(rows: np.ndarray) -> np.ndarray:
+            s = slot(rows)
+            return (bits[s >> 3] >> (7 - (s & 7)).astype(np.uint8)) & 1 > 0
+
+        edges = np.array([k * ((1 << 64) // fragments) for k in range(1, fragments)], np.uint64)
+        for rows, n, h in sets_of(batches, pick=pick):
+            ends = np.cumsum(n)
+            out = [np.split(own, np.searchsorted(own, edges)) for own in np.split(h, ends[:-1])]
+            sizes = np.array([len(x) for own in out for x in own])
+            offsets = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+            lists = pa.ListArray.from_arrays(offsets, pa.array(h.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(rows, fragments)), pa.array(np.repeat(n, fragments), pa.int32()), pa.array(np.tile(np.arange(fragments), len(rows)), pa.int32()), lists], ["row", "n", "fragment", "segment"])
+
+    return texts_of(chunks).mapInArrow(cut_up, "row long, n int, fragment int, segment array<long>")
+
+
+def spread_links(pairs: DataFrame, chunks: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) that link: partial overlaps by fragment, summed."""
+    parts = segments(chunks, ends_of(pairs))
     one = parts.select(F.col("row").alias("b"), F.col("n").alias("nb"), "fragment", F.col("segment").alias("sb"))
     two = parts.select(F.col("row").alias("a"), F.col("n").alias("na"), "fragment", F.col("segment").alias("sa"))
-    met = pairs.join(one, "b").join(two, ["a", "fragment"])
+    met = pairs.select("a", "b").join(one, "b").join(two, ["a", "fragment"])
     some = met.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("c"))
     whole = some.groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
     return whole.where("100 * c >= 75 * (na + nb - c)").select("a", "b")
 
 
-def long_enough(x: str, y: str) -> str:
-    return f"4 * least({x}, {y}) >= 3 * greatest({x}, {y})"
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
 
 
-def hub_pairs(posts: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """Pairs of a hub and the texts of other classes that share a prefix shingle with it.
+def block_links(pairs: DataFrame, rows: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Links that join all classes of the pairs (a, b, c, block); ``rows`` has the block of every row.
 
-    In turn 0 a text is as good a hub for every shingle, later each shingle draws anew.
+    Each text goes once to the task of its block. There the pairs that share
+    most come first, and a pair whose texts are in one class already isn't compared.
+    """
+    small = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+    sets = segments(chunks, rows, fragments=1).select("row", "segment").join(small, "row")
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        own = right["segment"].combine_chunks()
+        edges, flat = own.offsets.to_numpy(), own.values.to_numpy()
+        at = {r: k for k, r in enumerate(right["row"].to_pylist())}
+        top = list(range(len(at)))
+
+        def root(k: int) -> int:
+            while top[k] != k:
+                top[k] = top[top[k]]
+                k = top[k]
+            return k
+
+        left = left.sort_by([("c", "descending"), ("a", "ascending"), ("b", "ascending")])
+        out = [[], []]
+        for a, b in zip(left["a"].to_pylist(), left["b"].to_pylist(), strict=True):
+            i, j = at[a], at[b]
+            x, y = root(i), root(j)
+            if x == y:
+                continue
+            one, two = flat[edges[i] : edges[i + 1]], flat[edges[j] : edges[j + 1]]
+            both = np.concatenate([one, two])
+            both.sort()
+            c = int((both[1:] == both[:-1]).sum())
+            if 100 * c >= 75 * (len(one) + len(two) - c):
+                top[max(x, y)] = min(x, y)
+                out[0].append(a)
+                out[1].append(b)
+        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+
+    return pairs.select("block", "a", "b", "c").groupBy("block").cogroup(sets.select("block", "row", "segment").groupBy("block")).applyInArrow(compare, "a long, b long")
+
+
+def linked(pairs: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Links that join all classes of the pairs (a, b, c), a cut table.
+
+    Texts that pairs connect make a block; a block of more than ``BLOCK_TEXTS``
+    texts is compared pair by pair all over the cluster instead.
     """
-    posts = posts.join(labels, "row")
-    best = F.xxhash64("row") if turn == 0 else F.xxhash64("row", "hash", F.lit(turn))
-    hubs = posts.groupBy("hash").agg(F.min(F.struct(best.alias("o"), "row", "n", "label")).alias("hub"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    hubs = hubs.select("hash", F.col("hub.row").alias("h"), F.col("hub.n").alias("hn"), F.col("hub.label").alias("hl"))
-    met = posts.join(hubs, "hash").where("label <> hl").where(long_enough("n", "hn"))
-    return met.select(F.least("row", "h").alias("a"), F.greatest("row", "h").alias("b")).distinct()
-
-
-def open_pairs(posts: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs across classes whose prefixes share enough to link, by partial counts."""
-    posts = posts.join(labels, "row")
-    mixed = posts.groupBy("hash").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("hash")
-    some = posts.join(mixed, "hash").select("hash", "row", "n", "label")
-    left = some.select("hash", F.col("row").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    right = some.select("hash", F.col("row").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    met = left.join(right, "hash").where("a < b and la <> lb").where(long_enough("na", "nb"))
-    shared = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
-    # shingles outside the shorter-reaching prefix are at most what that set has left
-    rest = F.greatest(F.floor((3 * F.col("na") + 3) / 4), F.floor((3 * F.col("nb") + 3) / 4)) - 1
-    return shared.where(7 * (F.col("c") + rest) >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
-
-
-def relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels after joining the classes of linked rows."""
-    ends = links.join(labels.select(F.col("row").alias("a"), F.col("label").alias("x")), "a").join(labels.select(F.col("row").alias("b"), F.col("label").alias("y")), "b")
-    classes = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    out = cut(labels.join(classes, F.col("label") == F.col("node"), "left").select("row", F.coalesce("component", "label").alias("label")))
-    forget(classes)
+    near = components(pairs.select("a", "b"))
+    blocks = cut(labelled(ends_of(pairs), near.select(F.col("node").alias("row"), F.col("component").alias("label")), "row", "block"), few=True)
+    forget(near)
+    large = blocks.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_TEXTS).select("block")
+    placed = cut(pairs.join(blocks.withColumnRenamed("row", "a"), "a"), few=True)
+    out = block_links(placed.join(large, "block", "left_anti"), blocks.join(large, "block", "left_anti"), chunks)
+    if not large.isEmpty():
+        out = out.unionByName(spread_links(placed.join(large, "block", "left_semi"), chunks))
+    out = cut(out, few=True)
+    forget(blocks, placed)
     return out
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", hub_turns: int = 3) -> DataFrame:
+def labelled(rows: DataFrame, labels: DataFrame, col: str, name: str) -> DataFrame:
+    """With the class of the row in ``col``; a row that isn't in ``labels`` is a class by itself."""
+    own = labels.select(F.col("row").alias("_row"), F.col("label").alias("_label"))
+    return rows.join(own, F.col(col) == F.col("_row"), "left").withColumn(name, F.coalesce("_label", col)).drop("_row", "_label")
+
+
+def hub_pairs(posts: DataFrame, labels: DataFrame, parts: int, turn: int) -> DataFrame:
+    """Pairs (a, b, c) of a hub and the texts of other classes that share a shingle with it.
+
+    In turn 0 a text is as good a hub for every shingle, later each shingle draws anew.
+    """
+
+    def hubs(group: pa.Table) -> pa.Table:
+        out = []
+        for row, n, label, h in open_groups(group):
+            salt = np.uint64((h ^ turn * 0x9E3779B97F4A7C15) & (1 << 64) - 1) if turn else np.uint64(0)
+            k = int((((row.astype(np.uint64) ^ salt) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(20)).argmin())
+            some = (label != label[k]) & (4 * np.minimum(n, n[k]) >= 3 * np.maximum(n, n[k]))
+            out.append(np.stack([np.minimum(row[some], row[k]), np.maximum(row[some], row[k])]))
+        pairs, c = np.unique(np.concatenate(out, axis=1), axis=1, return_counts=True) if out else (np.zeros((2, 0), np.int64), np.zeros(0, np.int64))
+        return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1]), "c": pa.array(c.astype(np.int64))})
+
+    dealt = by_shingle(posts, labels, parts).groupBy("part").applyInArrow(hubs, "a long, b long, c long")
+    return dealt.groupBy("a", "b").agg(F.sum("c").alias("c"))
+
+
+def open_pairs(posts: DataFrame, labels: DataFrame, parts: int) -> DataFrame:
+    """Pairs (a, b, c) across classes that share enough of these shingles to link.
+
+    A pair that shares other prefix shingles too has been decided before.
+    """
+
+    def across(group: pa.Table) -> pa.Table:
+        tally, size = Tally(), {}
+        texts = np.unique(np.concatenate([expand(x.as_py()) for x in group["row"]])).astype(np.int64)
+        for row, n, label, _ in open_groups(group):
+            place = np.searchsorted(texts, row)
+            size.update(zip(place.tolist(), n.tolist(), strict=True))
+            for k in range(len(row) - 1):
+                some = (label[k + 1 :] != label[k]) & (4 * np.minimum(n[k + 1 :], n[k]) >= 3 * np.maximum(n[k + 1 :], n[k]))
+                if some.any():
+                    tally.add(place[k] * len(texts) + place[k + 1 :][some])
+        pairs, times = tally.whole()
+        x, y = pairs // max(1, len(texts)), pairs % max(1, len(texts))
+        na, nb = (np.fromiter((size[i] for i in z.tolist()), np.int64, len(z)) for z in (x, y))
+        cols = pair_pieces(texts[x], texts[y], na, nb, times, np.zeros(len(x), np.int64), parts)
+        return pa.table([pa.array([0] * len(cols[0]), pa.int32()), pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["kind", "part", "a", "b", "na", "nb", "c", "slack"])
+
+    return summed(by_shingle(posts, labels, parts).groupBy("part").applyInArrow(across, "kind int, part int, a binary, b binary, na binary, nb binary, c binary, slack binary"))
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", hub_turns: int = 2) -> DataFrame:
     """One row for each document: row, doc_id, text_hash, n_shingles, component_id.
 
-    ``component_id`` is the least id that links reach.
+    ``component_id`` is the least id that links reach, ``text_hash`` is xxhash64 of the text.
     """
-    sets = cut(text_sets(docs, id_col=id_col, text_col=text_col))
-    head = cut(sets.drop("set"))
+    chunks = cut(read_texts(docs, id_col=id_col, text_col=text_col), blobs=True)
+    head = chunks.select(F.explode("docs").alias("d")).select("d.*").drop("length")
     total = head.where("rep = row").agg(F.sum("n")).first()[0] or 0
-    classes = common_classes(sets)
-    found = cut(shared_prefixes(sets, classes, total))
-    rows = cut(found.select("row").distinct())
-    parts = cut(segments(sets, rows))
-    forget(sets)
-    posts = cut(found.join(head.select("row", "n"), "row"))
-    labels = cut(rows.select("row", F.col("row").alias("label")))
-    forget(found, rows)
-    for turn in range(hub_turns + 1):
-        pairs = cut(hub_pairs(posts, labels, turn) if turn < hub_turns else open_pairs(posts, labels))
-        if pairs.isEmpty():
-            forget(pairs)
-            continue
-        links = cut(linked(pairs, parts))
-        fresh = relabel(labels, links)
-        forget(pairs, links, labels)
-        labels = fresh
-    named = head.join(labels.select(F.col("row").alias("rep"), "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    slots, ranks = common_slots(chunks, total)
+    parts = max(12, total // 4 // RANGE_POSTINGS)
+    met = cut(meet(prefixes(chunks, slots, ranks, parts), parts), few=True, blobs=True)
+    close, large = cut(summed(met), few=True), cut(large_groups(met, parts), few=True)
+    forget(met)
+    # equal sets are one class before anything is compared; the first row stands for it
+    own = head.where("rep = row and n > 0").select("row", "mark")
+    same = own.groupBy("mark").agg(F.min("row").alias("label"), F.count("*").alias("k")).where("k > 1")
+    labels = cut(own.join(same, "mark").where("row <> label").select("row", "label"), few=True)
+    alone = labelled(labelled(close, labels, "a", "la"), labels, "b", "lb").where("la <> lb")
+    alone = alone.groupBy(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).agg(F.max("c").alias("c"))
+    posts = cut(large.join(labels.select("row"), "row", "left_anti"), few=True)
+    forget(large)
+
+    def settle(pairs: DataFrame) -> None:
+        """Compare pairs, and join the classes of those that link."""
+        nonlocal labels
+        pairs = cut(pairs, few=True)
+        if not pairs.isEmpty():
+            found = linked(pairs, chunks)
+            links = labelled(labelled(found, labels, "a", "la"), labels, "b", "lb")
+            classes = components(links.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+            moved = labelled(labels, classes.select(F.col("node").alias("row"), F.col("component").alias("label")), "label", "now").select("row", F.col("now").alias("label"))
+            fresh = classes.join(labels, F.col("node") == F.col("row"), "left_anti").select(F.col("node").alias("row"), F.col("component").alias("label"))
+            state = cut(moved.unionByName(fresh), few=True)
+            forget(labels, classes, found)
+            labels = state
+        forget(pairs)
+
+    # texts that share rare shingles and those that share common ones with hubs, then what is still apart
+    if posts.isEmpty():
+        settle(alone)
+    else:
+        settle(alone.unionByName(hub_pairs(posts, labels, parts, 0)).groupBy("a", "b").agg(F.max("c").alias("c")))
+        for turn in range(1, hub_turns):
+            settle(hub_pairs(posts, labels, parts, turn))
+        settle(open_pairs(posts, labels, parts))
+    forget(close, posts)
+    named = labelled(head, labels, "rep", "label")
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return named.join(least, "label").select("row", "doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"), "component_id")
 
