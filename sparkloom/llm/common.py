@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
+import shutil
 import tempfile
 import uuid
 
@@ -40,6 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
         place = spark.conf.get("spark.sparkloom.localdir", None)
         if not place:
             place = tempfile.mkdtemp(prefix="sparkloom-")
+            atexit.register(shutil.rmtree, place, ignore_errors=True)
             spark.conf.set("spark.sparkloom.localdir", place)
         return f"file://{place}"
     return spark.conf.get("spark.sql.warehouse.dir")
