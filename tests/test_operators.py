@@ -228,3 +228,20 @@ def test_streams(spark, tmp_path):
     q = events.lease_states(stream, "user_id").writeStream.outputMode("update").format("memory").queryName("leases").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c3")).start()
     q.awaitTermination()
     assert spark.table("leases").where("open").agg(F.sum("claims")).first()[0] == 2
+
+
+def test_versioned_write_and_audit(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    place = mutations.publish(df, str(tmp_path / "t"), "1")
+    with pytest.raises(Exception, match="exist"):
+        mutations.publish(df, str(tmp_path / "t"), "1")
+    assert spark.read.parquet(place).count() == 2
+    for _ in range(2):
+        sinks.append_audit(df, str(tmp_path / "audit"))
+    assert spark.read.parquet(str(tmp_path / "audit")).count() == 4
+    sinks.write_table(df, str(tmp_path / "p"), by=["v"])
+    sinks.write_table(df.limit(1), str(tmp_path / "p"), by=["v"])
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 1
+    (tmp_path / "x.xml").write_text("<d><e><n>1</n></e><e><n>2</n></e></d>")
+    assert rows(scans.xml_rows(spark, str(tmp_path / "x.xml"), "e", "n int")) == [(1,), (2,)]
+    assert scans.file_hashes(scans.binary_files(spark, str(tmp_path / "x.xml"))).count() == 1
