@@ -115,7 +115,7 @@ def diffuse(size: np.ndarray, rate: np.ndarray, cap: float) -> np.ndarray:
     return copies
 
 
-def mix(docs: DataFrame, *, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, block_rows: int = 20_000) -> DataFrame:
+def mix(docs: DataFrame, *, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, block_rows: int = 2_000) -> DataFrame:
     """Copies for every row: the id columns, size, source_size, target, copies, rate.
 
     ``cap`` is a whole number of copies. No text is shuffled.
