@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import scalars
 from sparkloom.operators import aggregates, joins, mutations, nested, packing, queue, rules, windows
+from sparkloom.registry import Tables
 from sparkloom.sources import scans, sinks
 from sparkloom.streaming import events
 
@@ -76,6 +77,17 @@ def test_packing_equals_the_plain_loop(spark):
     assert [r.batch for r in got] == naive_pack(items, 5, 4500, 18)
 
 
+def test_whole_chunking_equals_the_plain_loop(spark, tmp_path):
+    docs = [(i, "x" * (37 * i % 9100), ("en", "de", None)[i % 3]) for i in range(1200)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = {}
+    for lang in ("en", "de", None):
+        own = [(i, len(x)) for i, x, k in docs if k == lang]
+        want |= zip((i for i, _ in own), naive_pack([(n, 1) for _, n in own], 1 << 40, 8000, 1 << 40), strict=True)
+    got = packing.byte_chunking_whole(Tables(spark, str(tmp_path))).collect()
+    assert {r.doc_id: (r.lang, r.chunk) for r in got} == {i: (k, want[i]) for i, _, k in docs} and len(got) == len(docs)
+
+
 def test_segments_of_two_units(spark):
     df = spark.createDataFrame([(0, i, 1, 1) for i in range(5)], "g int, o int, bytes long, units long")
     got = packing.pack_groups(df, "g", "o", items=100, bytes_=1000, units=2).groupBy("batch").count().orderBy("batch").collect()
