@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -124,22 +125,33 @@ def tokens(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.size(protected_tokens(F.col("text"))).cast("long").alias("tokens"))
 
 
-BINOMIAL = re.compile(r"\b([A-Z][a-z]{2,})\s+([a-z]{3,})\b")
+#: Where a pair begins: at the start, or after an opening bracket, a semicolon or a comma.
+BINOMIAL = re.compile(r"(^|[;(,]\s*)([A-Z][a-z]{2,})\s+([a-z][a-z-]{2,})\b")
+
+
+def find_binomials(text: str, stop: frozenset[str]) -> list[str]:
+    """Pairs of a capitalised and a small word, each once and in order, unless a word is in ``stop``.
+
+    A pair counts after a bracket or comma, or if its genus begins more than one pair of the text.
+    """
+    met = [(m[1].strip(), m[2], m[3], m[0][len(m[1]) :]) for m in BINOMIAL.finditer(text)]
+    genera = Counter(genus for _, genus, _, _ in met)
+    return list(dict.fromkeys(whole for prefix, genus, epithet, whole in met if genus.lower() not in stop and epithet.lower() not in stop and (prefix in {"(", ","} or genera[genus] > 1)))
 
 
 def binomials(stop: frozenset[str]) -> Column:
-    """UDF: Latin-looking pairs of a capitalised and a small word, unless a word is in ``stop``; a repeated genus counts."""
+    """UDF: what ``find_binomials`` finds in a whole text; nothing in a null."""
 
     @F.pandas_udf("array<string>")
     def find(x: pd.Series) -> pd.Series:
-        return x.map(lambda s: [f"{a} {b}" for a, b in BINOMIAL.findall(s or "") if a.lower() not in stop and b not in stop])
+        return x.map(lambda s: find_binomials(s or "", stop))
 
     return find
 
 
 @query("x10_latin_binomials")
 def latin(t: Tables) -> DataFrame:
-    found = binomials(frozenset({"the", "and", "der", "les"}))(F.substring("text", 1, 300))
+    found = binomials(frozenset({"the", "and", "der", "les"}))("text")
     return t.documents.select("doc_id", F.size(found).alias("found"))
 
 

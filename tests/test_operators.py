@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,6 +133,51 @@ def test_unicode_strip_and_nfc(spark):
     assert df.select(scalars.nfc("x")).first()[0] == "が"
 
 
+def plain_binomials(text, stop):
+    """The rules of Latin pairs, character by character."""
+
+    def run(at, chars):
+        end = at
+        while end < len(text) and text[end] in chars:
+            end += 1
+        return end
+
+    small, pairs, at = "abcdefghijklmnopqrstuvwxyz", [], 0
+    while at < len(text):
+        for mark in ("", text[at]) if at == 0 else (text[at],):  # at the start no mark is needed
+            if mark not in ("", ";", "(", ","):
+                continue
+            i = at + len(mark)
+            while mark and i < len(text) and text[i].isspace():
+                i += 1
+            a = run(i + 1, small)
+            b = a
+            while b < len(text) and text[b].isspace():
+                b += 1
+            c = run(b, small + "-") if b < len(text) and text[b] in small else b
+            while c > b and (not text[c - 1].isalnum() if c == len(text) or not (text[c].isalnum() or text[c] == "_") else text[c - 1] != "-"):
+                c -= 1  # a word ends here
+            if i < len(text) and text[i] in small.upper() and a - i >= 3 and b > a and c - b >= 3:
+                pairs.append((mark, text[i:a], text[b:c], text[i:c]))
+                at = c - 1
+                break
+        at += 1
+    genera = [g for _, g, _, _ in pairs]
+    return list(dict.fromkeys(w for m, g, e, w in pairs if g.lower() not in stop and e.lower() not in stop and (m in ("(", ",") or genera.count(g) > 1)))
+
+
+def test_binomials_equal_the_plain_scan(spark, tmp_path):
+    rng, stop = random.Random(3), frozenset({"the", "and", "der", "les"})
+    bits = ["Rosa canina", "Rosa  rugosa", "Quercus robur", "The cat", "Rosa and", "(", ", ", "; ", ") ", " x ", "Felis silvestris-catus", "Ab cde", "Abies al", "Pinus nigra_", "\n", "word "]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 12))) for _ in range(400)]
+    texts += [None, "x " * 400 + "(Rosa canina), Rosa rugosa", "Rosa canina; Rosa rugosa; Rosa canina", "Rosa canina; Felis catus", "(Abies alba-, x"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.found for r in scalars.latin(Tables(spark, str(tmp_path))).collect()}
+    assert got == {i: len(plain_binomials(x or "", stop)) for i, x in enumerate(texts)}
+    assert [scalars.find_binomials(x or "", stop) for x in texts] == [plain_binomials(x or "", stop) for x in texts]
+    assert got[401] == 2 and got[402] == 2 and got[403] == 0
+
+
 def test_exact_cost(spark):
     df = spark.createDataFrame([(1_000_000, 400_000, 10)], "i long, c long, o long")
     assert float(df.select(scalars.token_cost(F.col("i"), F.col("c"), F.col("o"), "0.25", "0.025", "2.0", "1")).first()[0]) == pytest.approx(0.16002)
