@@ -31,6 +31,12 @@ def nfc_strip(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.md5(nfc(F.substring("text", 1, 60))).alias("h"))
 
 
+@query("x01_nfc_strip_whole", "SELECT doc_id, MD5(REGEXP_REPLACE(nfc_normalize(text), '^\\s+|\\s+$', '', 'g')) AS h FROM documents")
+def nfc_strip_whole(t: Tables) -> DataFrame:
+    """Whole texts; ``x01_nfc_strip`` has the first 60 characters of its SQL."""
+    return t.documents.select("doc_id", F.md5(nfc("text")).alias("h"))
+
+
 #: The kana blocks, small a to small ke, as code points.
 KATAKANA = "".join(map(chr, range(0x30A1, 0x30F7)))
 HIRAGANA = "".join(map(chr, range(0x3041, 0x3097)))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import random
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -178,6 +180,14 @@ def test_binomials_equal_the_plain_scan(spark, tmp_path):
     assert got[401] == 2 and got[402] == 2 and got[403] == 0
 
 
+def test_whole_texts_are_normalised(spark, tmp_path):
+    texts = [None, "", " \u3000", "x" * 90 + "e\u0301", "x" * 90 + "\u00e9 \u3000\n", "x" * 90 + "e"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.h for r in scalars.nfc_strip_whole(Tables(spark, str(tmp_path))).collect()}
+    assert got == {i: None if x is None else hashlib.md5(unicodedata.normalize("NFC", x).strip().encode()).hexdigest() for i, x in enumerate(texts)}
+    assert got[3] == got[4] != got[5]
+
+
 def test_exact_cost(spark):
     df = spark.createDataFrame([(1_000_000, 400_000, 10)], "i long, c long, o long")
     assert float(df.select(scalars.token_cost(F.col("i"), F.col("c"), F.col("o"), "0.25", "0.025", "2.0", "1")).first()[0]) == pytest.approx(0.16002)
