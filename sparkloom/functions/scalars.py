@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from sparkloom.operators.windows import places
 from sparkloom.registry import Tables, query
 
 
@@ -118,6 +120,29 @@ def locale_free(t: Tables) -> DataFrame:
     return top.select("k", F.row_number().over(Window.orderBy(*ascii_order(F.col("k")))).cast("long").alias("place"))
 
 
+def key_blocks(rows: DataFrame, col: str, id_col: str, *, blocks: int = 64, chars: int = 1000, sample: int = 2000) -> Column:
+    """The number of the block of ``col`` in ASCII order; bounds are heads of keys drawn by hash, the same for the same rows."""
+    head = F.translate(F.substring(col, 1, chars), UPPER, UPPER.lower())
+    drawn = rows.where(F.col(col).isNotNull()).select(head.alias("k"), F.xxhash64(id_col, col).alias("h")).orderBy("h", "k").limit(sample).collect()
+    keys = sorted((r["k"] for r in drawn), key=str.encode)
+    bounds = sorted({keys[len(keys) * i // blocks] for i in range(1, blocks)} if keys else (), key=str.encode)
+    bounds = [b.encode() for b in bounds]
+
+    @F.pandas_udf("int")
+    def find(x: pd.Series) -> pd.Series:
+        return x.map(lambda s: 0 if s is None else bisect_right(bounds, s.encode()))
+
+    return find(head)
+
+
+@query("x08_locale_free_sort_whole", f"SELECT doc_id, ROW_NUMBER() OVER (ORDER BY TRANSLATE(text, '{UPPER}', '{UPPER.lower()}') NULLS FIRST, text, doc_id) AS place FROM documents")
+def locale_free_whole(t: Tables) -> DataFrame:
+    """The place of every document by its whole text; ``x08_locale_free_sort`` has the first short keys of its SQL."""
+    docs = t.documents.select("doc_id", "text")
+    docs = docs.withColumn("block", key_blocks(docs, "text", "doc_id"))
+    return places(docs, {"block": F.col("block")}, *ascii_order(F.col("text")), F.col("doc_id")).select("doc_id", "place")
+
+
 TOKEN_FAMILIES = (r"[0-9]+(?:[.,][0-9]+)*", r"[A-Z]{2,}[0-9]*", r"https?://[^ ]+")
 
 

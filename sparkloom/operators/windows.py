@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +46,29 @@ def multi_key_sort(t: Tables) -> DataFrame:
     return top.select("o_orderkey", F.row_number().over(Window.orderBy(F.desc("o_orderpriority"), "o_orderstatus", "h")).cast("long").alias("place"))
 
 
+def places(rows: DataFrame, blocks: dict[str, Column], *order: Column | str) -> DataFrame:
+    """``place`` (from 1) of every row in order without one task holding all rows.
+
+    ``blocks`` names columns whose values, few and in the order given for each, follow the order of the rows;
+    rows fall into blocks of equal values, and the sizes of the blocks before one are summed up first.
+    """
+    sizes = rows.groupBy(*blocks).agg(F.count("*").alias("_n")).withColumn("_base", running_offset("_n", *blocks.values()))
+    sizes = sizes.drop("_n").withColumnsRenamed({b: f"_of_{b}" for b in blocks})
+    same = reduce(and_, (F.col(b).eqNullSafe(F.col(f"_of_{b}")) for b in blocks))
+    within = F.row_number().over(Window.partitionBy(*blocks).orderBy(*order))
+    # dealt out first, so that an order by expressions doesn't send their values as well
+    met = rows.repartition(*blocks).withColumn("_within", within).join(sizes, same)
+    return met.withColumn("place", (F.col("_base") + F.col("_within")).cast("long")).drop("_base", "_within", *(f"_of_{b}" for b in blocks))
+
+
+@query("w04_multi_key_sort_whole", "SELECT o_orderkey, ROW_NUMBER() OVER (ORDER BY o_orderpriority DESC, o_orderstatus, SHA256('b:' || o_orderkey)) AS place FROM orders")
+def multi_key_sort_whole(t: Tables) -> DataFrame:
+    """The place of every row; ``w04_multi_key_sort`` has the first rows of its SQL."""
+    o = t.orders.select("o_orderkey", "o_orderpriority", "o_orderstatus", hash_order("b:", "o_orderkey").alias("h")).withColumn("head", F.substring("h", 1, 2))
+    blocks = {"o_orderpriority": F.desc("o_orderpriority"), "o_orderstatus": F.col("o_orderstatus"), "head": F.col("head")}
+    return places(o, blocks, "h", "o_orderkey").select("o_orderkey", "place")
+
+
 def hardest_and_sample(rows: DataFrame, key: str, size: str, *, hardest: float, sample: int, prefix: str) -> DataFrame:
     """The largest share of the rows, and of the others so many by hash order; ``pick`` says which."""
     n = int(rows.count() * hardest)
@@ -104,6 +130,13 @@ def by_hash(t: Tables) -> DataFrame:
     return t.customer.orderBy(hash_order("pilot-v1:", "c_custkey")).limit(40).select("c_custkey")
 
 
+@query("w10_hash_order_whole", "SELECT c_custkey, ROW_NUMBER() OVER (ORDER BY SHA256('pilot-v1:' || c_custkey)) AS place FROM customer")
+def by_hash_whole(t: Tables) -> DataFrame:
+    """The place of every row; ``w10_hash_order`` has the first rows of its SQL."""
+    c = t.customer.select("c_custkey", hash_order("pilot-v1:", "c_custkey").alias("h")).withColumn("head", F.substring("h", 1, 2))
+    return places(c, {"head": F.col("head")}, "h", "c_custkey").select("c_custkey", "place")
+
+
 @query("w11_interval_rate", "WITH s AS (SELECT user_id, event_id, epoch_us(ts) / 1000000.0 AS sec, LAG(event_id) OVER w AS prev, LAG(epoch_us(ts) / 1000000.0) OVER w AS prev_sec FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) SELECT event_id, ROUND((event_id - prev) * 60.0 / GREATEST(ABS(sec - prev_sec), 1), 6) AS per_minute FROM s WHERE prev IS NOT NULL")
 def interval_rate(t: Tables) -> DataFrame:
     w = Window.partitionBy("user_id").orderBy("event_id")

@@ -188,6 +188,26 @@ def test_whole_texts_are_normalised(spark, tmp_path):
     assert got[3] == got[4] != got[5]
 
 
+def test_whole_keys_of_all_rows_are_ordered(spark, tmp_path):
+    texts = [None, "", None, *("same head " * 200 + tail for tail in ("b", "B", "a", "é", "b")), *(f"{'aBcé'[i % 4]}{i * 7919 % 1000}" for i in range(1500))]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    folded = str.maketrans(scalars.UPPER, scalars.UPPER.lower())
+    want = sorted(range(len(texts)), key=lambda i: (texts[i] is not None, (texts[i] or "").translate(folded).encode(), (texts[i] or "").encode(), i))
+    got = scalars.locale_free_whole(Tables(spark, str(tmp_path)))
+    assert [r.doc_id for r in got.orderBy("place").collect()] == want and sorted(r.place for r in got.collect()) == list(range(1, len(texts) + 1))
+
+
+def test_all_rows_have_a_place(spark, tmp_path):
+    data = [(i, ("1-URGENT", "5-LOW", None)[i % 3], "FOP"[i % 2]) for i in range(2500)]
+    spark.createDataFrame(data, "o_orderkey long, o_orderpriority string, o_orderstatus string").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(500).withColumnRenamed("id", "c_custkey").write.parquet(str(tmp_path / "customer.parquet"))
+    t, digest = Tables(spark, str(tmp_path)), lambda x: hashlib.sha256(x.encode()).hexdigest()
+    want = sorted(data, key=lambda r: (["5-LOW", "1-URGENT", None].index(r[1]), r[2], digest(f"b:{r[0]}")))
+    assert rows(windows.multi_key_sort_whole(t)) == sorted((r[0], n + 1) for n, r in enumerate(want))
+    want = sorted(range(500), key=lambda i: digest(f"pilot-v1:{i}"))
+    assert rows(windows.by_hash_whole(t)) == sorted((i, n + 1) for n, i in enumerate(want))
+
+
 def test_exact_cost(spark):
     df = spark.createDataFrame([(1_000_000, 400_000, 10)], "i long, c long, o long")
     assert float(df.select(scalars.token_cost(F.col("i"), F.col("c"), F.col("o"), "0.25", "0.025", "2.0", "1")).first()[0]) == pytest.approx(0.16002)
