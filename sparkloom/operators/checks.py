@@ -255,6 +255,12 @@ def marker_equality(t: Tables) -> DataFrame:
     return t.events.where("event_id % 1000 < 2").groupBy("event_type").agg(F.count("*").alias("n")).withColumn("exactly_one", F.expr("n = 1"))
 
 
+@query("c33_marker_equality_whole", "SELECT event_type, COUNT(*) AS n, COUNT(*) = 1 AS exactly_one FROM events GROUP BY 1")
+def marker_equality_whole(t: Tables) -> DataFrame:
+    """All events; ``c33_marker_equality`` has those of its SQL."""
+    return t.events.groupBy("event_type").agg(F.count("*").alias("n")).withColumn("exactly_one", F.expr("n = 1"))
+
+
 @query("c34_sequence_safety", "SELECT MAX(o_orderkey) AS high, COUNT(*) AS n, MAX(o_orderkey) + 1 > MAX(o_orderkey) AS next_is_free FROM orders")
 def sequence_safety(t: Tables) -> DataFrame:
     return t.orders.agg(F.max("o_orderkey").alias("high"), F.count("*").alias("n")).withColumn("next_is_free", F.expr("high + 1 > high"))

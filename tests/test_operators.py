@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkloom.functions import scalars
-from sparkloom.operators import aggregates, joins, mutations, nested, packing, queue, rules, windows
+from sparkloom.operators import aggregates, checks, joins, mutations, nested, packing, queue, rules, windows
 from sparkloom.registry import Tables
 from sparkloom.sources import scans, sinks
 from sparkloom.streaming import events
@@ -208,6 +208,16 @@ def test_all_rows_have_a_place(spark, tmp_path):
     assert rows(windows.by_hash_whole(t)) == sorted((i, n + 1) for n, i in enumerate(want))
 
 
+def test_every_note_and_event_counts(spark, tmp_path):
+    names = {i: " ".join(("red", "tin", "old", "box")[(i * k) % 4] for k in (1, 3, 2)) for i in range(1, 40)}
+    spark.createDataFrame(list(names.items()), "p_partkey long, p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(7, "a"), (500, "b"), (777, "b")], "event_id long, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    words = {i: x.split(" ") for i, x in names.items()}
+    want = [(i, j, "expression" if v[0] == w[0] else "reading") for i, v in words.items() for j, w in words.items() if v[0] == w[0] or w[-1] in v]
+    assert rows(joins.variant_fallback_whole(Tables(spark, str(tmp_path)))) == sorted(want)
+    assert rows(checks.marker_equality_whole(Tables(spark, str(tmp_path)))) == [("a", 1, True), ("b", 2, False)]
+
+
 def test_exact_cost(spark):
     df = spark.createDataFrame([(1_000_000, 400_000, 10)], "i long, c long, o long")
     assert float(df.select(scalars.token_cost(F.col("i"), F.col("c"), F.col("o"), "0.25", "0.025", "2.0", "1")).first()[0]) == pytest.approx(0.16002)
