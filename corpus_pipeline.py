@@ -46,7 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     docs = as_documents(docs)
     found = cut(jaccard.near_duplicates(docs))
     alone = found.where("n_shingles = 0").select("doc_id", "text_hash")
-    first = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("x")).select("x.*")
+    first = found.where("n_shingles > 0").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("x")).select("x.doc_id", "x.text_hash")
     return with_rows(docs, first.unionByName(alone).distinct()).select(*COLUMNS)
 
 

@@ -582,9 +582,10 @@ def open_pairs(posts: DataFrame, labels: DataFrame, parts: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", hub_turns: int = 2) -> DataFrame:
-    """One row for each document: row, doc_id, text_hash, n_shingles, component_id.
+    """One row for each document: row, doc_id, text_hash, n_shingles, component_id, label.
 
     ``component_id`` is the least id that links reach, ``text_hash`` is xxhash64 of the text.
+    ``label`` is a row number and tells classes apart, as ids may be null or repeated.
     """
     chunks = cut(read_texts(docs, id_col=id_col, text_col=text_col), blobs=True)
     head = chunks.select(F.explode("docs").alias("d")).select("d.*").drop("length")
@@ -629,7 +630,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     forget(close, posts)
     named = labelled(head, labels, "rep", "label")
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return named.join(least, "label").select("row", "doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"), "component_id")
+    return named.join(least, "label").select("row", "doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"), "component_id", "label")
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,3 +83,11 @@ def test_odd_input(spark, sf_dir):
             if name == "ngram_jaccard" and docs.count():
                 assert sorted(r["doc_id"] for r in docs.select("doc_id").collect()) == [5, 7, 8, 9]
     assert docs.where(F.lit(True)).count() == 0
+
+
+def test_classes_without_ids_of_their_own_stay_apart(spark, sf_dir):
+    words = [" ".join(f"w{n}x{k}" for k in range(9)) for n in range(6)]
+    data = [(None, words[0]), (None, words[1]), (None, words[1]), (7, words[2]), (7, words[3]), (7, words[3]), (8, words[3]), (None, words[4]), (9, words[4]), (7, words[5])]
+    docs = spark.createDataFrame([(i, x, "en", "a", len(x)) for i, x in data], "doc_id long, text string, lang string, source string, n_chars long")
+    got = pipeline.near_duplicates(spark, docs, sf_dir).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(zip((None, None, 7, 7, 9, 7), words, strict=True), key=str)
