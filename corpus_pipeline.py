@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,10 +36,17 @@ def with_rows(docs: DataFrame, found: DataFrame, how: str = "inner") -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts in no language (null, or without a letter) go; a missing lang is filled in."""
+    """Texts in no language (null, or without a letter) go; a missing lang is filled in, with und if none was learned."""
     docs = as_documents(docs)
     got = language.identify(docs, crc_mod(docs["doc_id"], 4) != 2, keep=COLUMNS)
-    return got.where(F.col("lang_pred") != language.UNKNOWN).select("doc_id", "text", F.coalesce("lang", "lang_pred").alias("lang"), "source", "n_chars")
+
+    @F.pandas_udf("boolean")
+    def speaks(x: pd.Series) -> pd.Series:
+        return x.map(lambda s: bool(language.spoken(s))).astype(bool)
+
+    # without a labelled text nothing is learned, and all predictions are unknown
+    unknown = F.col("lang_pred") == language.UNKNOWN
+    return got.where(~unknown | speaks(F.when(unknown, F.col("text")))).select("doc_id", "text", F.coalesce("lang", "lang_pred").alias("lang"), "source", "n_chars")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -127,6 +127,12 @@ def fit(samples: Iterable[tuple[str, str]], *, length: int = 32, sequences: int
     return model
 
 
+def spoken(text: str | None) -> list[str]:
+    """The words of a text; none if it is in no language."""
+    found = LETTERS.findall(text.lower()) if text else []
+    return [] if len(found) < 4 and not any(c.isalpha() for w in found for c in w) else found
+
+
 def label_shares(model: Model, texts: Iterable[str | None]) -> Iterator[tuple[int, np.ndarray | None]]:
     """(row, share of each label among the text's words; None without letters), by chains of like length."""
     vocab: dict[str, int] = {}
@@ -134,8 +140,8 @@ def label_shares(model: Model, texts: Iterable[str | None]) -> Iterator[tuple[in
     move, start = np.exp(model.move), np.exp(model.start)
     rows, chains = [], []
     for row, text in enumerate(texts):
-        found = LETTERS.findall(text.lower()) if text else []
-        if not found or len(found) < 4 and not any(c.isalpha() for w in found for c in w):
+        found = spoken(text)
+        if not found:
             yield row, None
             continue
         rows.append(row)

@@ -91,3 +91,12 @@ def test_classes_without_ids_of_their_own_stay_apart(spark, sf_dir):
     docs = spark.createDataFrame([(i, x, "en", "a", len(x)) for i, x in data], "doc_id long, text string, lang string, source string, n_chars long")
     got = pipeline.near_duplicates(spark, docs, sf_dir).select("doc_id", "text").collect()
     assert sorted(map(tuple, got), key=str) == sorted(zip((None, None, 7, 7, 9, 7), words, strict=True), key=str)
+
+
+def test_texts_stay_where_no_language_was_learned(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*pipeline.COLUMNS).withColumn("lang", F.lit(None).cast("string"))
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "12 34 !!"), (-4, "é")], "doc_id long, text string").select("doc_id", "text", F.lit(None).cast("string").alias("lang"), F.lit("a").alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    docs = docs.unionByName(odd)
+    want = sorted(r["doc_id"] for r in docs.collect() if r["text"] and re.search(r"[^\W\d_]", r["text"]))
+    got = pipeline.language_id(spark, docs, sf_dir).collect()
+    assert sorted(r["doc_id"] for r in got) == want and {r["lang"] for r in got} == {"und"} and -4 in want
