@@ -8,14 +8,15 @@ from texts in several languages, by gradient steps on the exact likelihood. A
 whole text is labelled by forward-backward, so code-switched texts get shares of
 languages; the one with the largest share is the text's.
 
-The model is fitted on the driver on a bounded sample: at most about
-``sample_docs`` documents of each language, a passage of ``sample_chars``
-characters of each. Prediction reads whole texts.
+The model is fitted on the driver on a bounded sample of labelled rows: about
+``sample_docs`` documents of each language, with their whole texts. Prediction
+reads whole texts.
 
 Null, empty and odd input: a text that is null or has no letter is ``und`` with
-score 0; unlabelled rows teach nothing; without any labelled row all is ``und``;
-repeated rows get the same answer; an empty table gives an empty result; other
-columns are ignored.
+score 0, however long it is; unlabelled rows teach nothing; without any labelled
+row all is ``und``; equal shares go to the language that sorts first; repeated
+rows get the same answer; very long texts are one chain, read whole; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -128,9 +129,10 @@ def fit(samples: Iterable[tuple[str, str]], *, length: int = 32, sequences: int
 
 
 def spoken(text: str | None) -> list[str]:
-    """The words of a text; none if it is in no language."""
+    """The words of a text; none if it has no letter."""
     found = LETTERS.findall(text.lower()) if text else []
-    return [] if len(found) < 4 and not any(c.isalpha() for w in found for c in w) else found
+    # a run may be of signs like fractions alone, which are numeric but neither digits nor letters
+    return found if any(c.isalpha() for w in found for c in w) else []
 
 
 def label_shares(model: Model, texts: Iterable[str | None]) -> Iterator[tuple[int, np.ndarray | None]]:
@@ -165,8 +167,8 @@ def label_shares(model: Model, texts: Iterable[str | None]) -> Iterator[tuple[in
         at = stop
 
 
-def sample(docs: DataFrame, labelled: Column, *, text_col: str, lang_col: str, id_col: str, sample_docs: int, sample_chars: int) -> list[tuple[str, str]]:
-    """About ``sample_docs`` passages for each language, chosen by a hash of the text."""
+def sample(docs: DataFrame, labelled: Column, *, text_col: str, lang_col: str, sample_docs: int) -> list[tuple[str, str]]:
+    """About ``sample_docs`` documents of each language, chosen by a hash of the text; whole texts."""
     known = docs.where(labelled & docs[lang_col].isNotNull() & docs[text_col].isNotNull() & (F.length(docs[text_col]) > 0)).select(docs[lang_col].alias("lang"), docs[text_col].alias("text"))
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row for each language
     if not sizes:
@@ -174,19 +176,18 @@ def sample(docs: DataFrame, labelled: Column, *, text_col: str, lang_col: str, i
     scale = 1 << 30
     share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, sample_docs / n) * scale))))
     known = known.withColumn("h", F.xxhash64("text")).where(F.pmod("h", F.lit(scale)) < F.element_at(share, F.col("lang")))
-    known = known.dropDuplicates(["lang", "h"])
-    begin = F.pmod(F.shiftright("h", 30), F.greatest(F.lit(1), F.length("text") - sample_chars)) + 1
-    got = known.select("lang", "h", F.substring("text", begin.cast("int"), F.lit(sample_chars)).alias("passage")).orderBy("h").limit(2 * sample_docs * len(sizes)).collect()
-    return [(r["lang"], r["passage"]) for r in got]
+    # the share keeps this near sample_docs rows a language; the limit is the documented bound
+    got = known.dropDuplicates(["lang", "h"]).orderBy("h").limit(2 * sample_docs * len(sizes)).collect()
+    return [(r["lang"], r["text"]) for r in got]
 
 
-def identify(docs: DataFrame, labelled: Column, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = 250, sample_chars: int = 3000, keep: tuple[str, ...] | None = None) -> DataFrame:
+def identify(docs: DataFrame, labelled: Column, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = 250, keep: tuple[str, ...] | None = None) -> DataFrame:
     """The columns ``keep`` (the id column by default), lang_pred, score and shares (language to share of words).
 
     The rows for which ``labelled`` holds may be learned from.
     """
     keep = keep or (id_col,)
-    model = fit(sample(docs, labelled, text_col=text_col, lang_col=lang_col, id_col=id_col, sample_docs=sample_docs, sample_chars=sample_chars))
+    model = fit(sample(docs, labelled, text_col=text_col, lang_col=lang_col, sample_docs=sample_docs))
     schema = docs.select(*(docs[c] for c in keep)).schema.add("lang_pred", "string").add("score", "double").add("shares", MapType(StringType(), DoubleType()))
     names = [f.name for f in schema.fields]
     at_text = keep.index(text_col) if text_col in keep else len(keep)

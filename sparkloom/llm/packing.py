@@ -12,7 +12,9 @@ ranks to sequences, so placing the pieces needs no sort and no group.
 Null, empty and odd input: a null text is an empty one, which has the end token
 alone; repeated rows are packed one by one; an empty table gives an empty
 result; very long texts are cut into pieces, the first of which may be shorter;
-other columns are ignored.
+pieces of equal length are alike, and the order of rows decides between them;
+the string of one of the tokenizer's added tokens in a text is that token, as in
+the tokenizer itself; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,10 +49,10 @@ def encoder(path: str) -> tiktoken.Encoding:
     """A fast encoder with the vocabulary, and so the ids, of a byte-level tokenizer file."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    special = {x["content"] for x in spec["added_tokens"]}
+    special = {x["content"]: x["id"] for x in spec["added_tokens"]}
     to = byte_level()
     ranks = {bytes(to[c] for c in word): n for word, n in spec["model"]["vocab"].items() if word not in special}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -69,7 +71,7 @@ def tokenize_pieces(docs: DataFrame, *, tokenizer: str, capacity: int = 1024, en
         for batch in batches:
             at, piece, start, length, crc, rank, data = [], [], [], [], [], [], []
             for row, text in enumerate(batch.column(1)):
-                ids = enc.encode_to_numpy(text.as_py() or "", disallowed_special=())
+                ids = enc.encode_to_numpy(text.as_py() or "", allowed_special="all")
                 raw = np.concatenate([ids.astype("<u4", copy=False), tail]).tobytes()
                 for k, (s, n) in enumerate(cuts(len(raw) // 4, capacity)):
                     own = raw[4 * s : 4 * (s + n)]
@@ -183,7 +185,8 @@ def pack(pieces: DataFrame, *, capacity: int = 1024) -> DataFrame:
     table_ = {x: tuple(np.array(c, np.int64) for c in zip(*rows, strict=True)) for x, rows in ranges.items()}
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     first = hist.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    ranked = pieces.join(first, ["part", "length"]).withColumn("rank", F.col("rank") + F.col("first")).drop("first", "part")
+    # a row for each partition and length: it grows with the input, so it is never broadcast
+    ranked = pieces.join(first.hint("shuffle_hash"), ["part", "length"]).withColumn("rank", F.col("rank") + F.col("first")).drop("first", "part")
     out = ranked.drop("rank").schema.add("sequence_id", "long").add("offset", "long")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -62,7 +62,6 @@ def token_ids(tok, text):
 
 def check_packing(got, docs, capacity=1024):
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     left = Counter()
     for d in docs:
         ids = np.array(token_ids(tok, d["text"]), "<u4")
@@ -95,6 +94,15 @@ def test_packing_odd_input(odd, none):
     assert packing.pack_documents(none).count() == 0
 
 
+def test_packing_keeps_the_ids_of_the_tokenizer(spark):
+    texts = ["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|> <|endoftext", "x" * 300_000, " " * 5000 + "y", "7" * 9000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = packing.pack_documents(df, with_ids=True).collect()
+    check_packing(got, [{"doc_id": k, "text": t} for k, t in enumerate(texts)])
+    (one,) = (r["ids"] for r in got if r["doc_id"] == 1)
+    assert np.frombuffer(one, "<u4").tolist() == [50256, 2]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 40), st.integers(1, 30), min_size=1))
 def test_plan_places_every_piece_once(counts):
@@ -334,6 +342,15 @@ def test_language_odd_input(odd, none):
     assert language.identify(none, F.lit(True)).count() == 0
 
 
+def test_texts_without_a_letter(spark):
+    rows = [(k, "some words of one language", "en") for k in range(3)] + [(k + 3, "worte einer anderen sprache", "de") for k in range(3)]
+    odd = ["½ ½", "½ ½ ½ ½", "² ² ² ² ²", "Ⅷ Ⅷ Ⅷ Ⅷ", "½ " * 5000, "1 2 3", "_ _ _ _ _"]
+    df = spark.createDataFrame(rows + [(100 + k, t, None) for k, t in enumerate(odd)] + [(200, "½ ½ ½ ½ words", None)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(df, F.lit(True)).collect()}
+    assert [got[100 + k] for k in range(len(odd))] == [("und", 0.0)] * len(odd)
+    assert got[200][0] == "en"
+
+
 def test_code_switched_text():
     rng = np.random.default_rng(0)
     words = {"xx": ["kala", "maki", "toko"], "yy": ["streng", "schlag", "pfund"]}
