@@ -8,12 +8,13 @@ its tables, one for each byte; the best of the scan are reranked by exact inner
 products in double precision.
 
 The codebooks are fitted on the driver on a bounded sample (``sample_rows``);
-every row is coded and scanned. Blocks of queries meet blocks of codes, and only
-ids, codes and the short lists are shuffled; vectors join for reranking alone.
+every row is coded and scanned. A task has one block of queries and a group of
+blocks of codes, and keeps one short list for each query over all of them; only
+ids, codes, queries and short lists are shuffled; vectors join for reranking alone.
 
 Null, empty and odd input: a vector that is null, empty, zero or holds a null or
-non-finite component, or whose id is null, takes no part; only vectors of the
-most frequent length do; equal scores go to smaller ids; repeated rows are
+non-finite component, or whose id is null, takes no part; vectors of each length
+are searched by themselves; equal scores go to smaller ids; repeated rows are
 candidates each, though never of a query with their id; with fewer candidates
 than wanted all are returned; an empty table gives an empty result; other
 columns are ignored.
@@ -34,8 +35,9 @@ from .cover_tree import usable
 CODEWORDS = 16
 THRESHOLD = 0.2
 SAMPLE_ROWS = 10_000
-CODE_BLOCK = 65_536
-QUERY_BLOCK = 256
+CODE_BLOCK = 8_192  # rows that one task codes
+GROUP_BLOCKS = 64  # blocks of codes that a task scans
+QUERY_BLOCK = 2_048
 
 
 class Codebook:
@@ -130,6 +132,39 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda s, v: s + v)
 
 
+class Lists:
+    """The candidates of some queries, and how near the codes say they are, over block after block of codes."""
+
+    def __init__(self, qids: np.ndarray, queries: np.ndarray, book: Codebook, k: int, least: int, most: int):
+        self.qids, self.tables, self.k, self.least, self.most = qids, book.tables(queries), k, least, most
+        self.margins = 2 * book.error * np.sqrt((queries**2).sum(1))
+        self.held = [(np.zeros(0, np.int64), np.zeros(0, np.float32)) for _ in qids]
+
+    def short(self, ids: np.ndarray, near: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:
+        """The best ``least``, and up to ``most`` that the margin can't tell from the ``k`` best; ties go to smaller ids."""
+        if len(ids) <= self.least:
+            return ids, near
+        top = min(self.most, len(ids))
+        best = np.sort(np.partition(near, len(ids) - top)[len(ids) - top :])[::-1]
+        bar = best[max(self.least, int((best >= best[min(self.k, top) - 1] - margin).sum())) - 1]
+        above, even = np.flatnonzero(near > bar), np.flatnonzero(near == bar)
+        room = max(self.least, min(self.most, int((best >= bar).sum()))) - len(above)
+        if len(even) > room:
+            even = even[np.argsort(ids[even], kind="stable")[:room]]
+        own = np.append(above, even)
+        return ids[own], near[own]
+
+    def scan(self, ids: np.ndarray, codes: np.ndarray) -> None:
+        for i, (qid, tab, margin) in enumerate(zip(self.qids.tolist(), self.tables, self.margins.tolist(), strict=True)):
+            near = tab[0][codes[0]]
+            for b in range(1, len(codes)):
+                near += tab[b][codes[b]]
+            some, score = self.short(ids, near, margin)
+            other = some != qid
+            a, b = self.held[i]
+            self.held[i] = self.short(np.append(a, some[other]), np.append(b, score[other]), margin)
+
+
 def search(vectors: DataFrame, is_query: Column, *, k: int = 20, short_list: tuple[int, int] = (160, 1024), id_col: str = "vec_id", vec_col: str = "embedding", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The ``k`` best candidates found for each query: query_id, rank, vec_id, score.
 
@@ -138,81 +173,66 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, short_list: tup
     ``is_query`` is a condition on ``vectors``; all rows are candidates, but not for their own id.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vec_col].alias("vec"), is_query.alias("is_query"))
-    rows = rows.where(usable(F.col("vec")) & F.col("vec_id").isNotNull()).withColumn("dim", F.size("vec"))
-    usual = rows.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("dim")).first()
-    empty = "query_id long, rank int, vec_id long, score double"
-    if usual is None:
-        return spark.createDataFrame([], empty)
-    rows = cut(rows.where(F.col("dim") == usual["dim"]).drop("dim"))
-    share = min(1.0, 1.2 * sample_rows / usual["n"])
-    drawn = rows.where(F.pmod(F.xxhash64("vec"), F.lit(1 << 30)) <= int(share * (1 << 30))).orderBy(F.xxhash64("vec"), "vec_id").limit(sample_rows).select("vec").collect()
-    book = fit(np.array([r["vec"] for r in drawn], np.float64))
-    dim = usual["dim"]
-
-    def matrix(column: pa.Array) -> np.ndarray:
+    rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vec_col].alias("vec"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    rows = cut(rows.where(usable(F.col("vec")) & F.col("vec_id").isNotNull()).withColumn("dim", F.size("vec")))
+    sizes = rows.groupBy("dim").agg(F.count("*").alias("n"), F.sum(F.col("is_query").cast("long")).alias("asked")).collect()  # a row for each length
+    if not sizes:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    books, layout, cores = {}, [], spark.sparkContext.defaultParallelism
+    for r in sizes:
+        dim, n = r["dim"], r["n"]
+        share = min(1.0, 1.2 * sample_rows / n)
+        drawn = rows.where((F.col("dim") == dim) & (F.pmod(F.xxhash64("vec"), F.lit(1 << 30)) <= int(share * (1 << 30)))).orderBy(F.xxhash64("vec"), "vec_id").limit(sample_rows).select("vec").collect()
+        books[dim] = fit(np.array([x["vec"] for x in drawn], np.float64)) if drawn else Codebook(dim, np.zeros(((dim + 1) // 2, CODEWORDS, 2)), 1.0)
+        blocks = -(-n // CODE_BLOCK)
+        # queries in as few blocks as fit, but enough for all cores: each block of them reads all codes
+        asked = max(-(-r["asked"] // QUERY_BLOCK), min(2 * cores, -(-r["asked"] // 64)), 1)
+        layout.append((dim, blocks, asked, -(-blocks // GROUP_BLOCKS)))
+    sheet = F.broadcast(spark.createDataFrame(layout, "dim int, blocks long, asked long, groups long"))  # a row for each length
+    rows = rows.join(sheet, "dim")
+
+    def matrix(column: pa.Array, dim: int) -> np.ndarray:
         return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
-    code_blocks, query_blocks = max(1, -(-usual["n"] // CODE_BLOCK)), max(1, -(-rows.where("is_query").count() // QUERY_BLOCK))
-
     def code(key: tuple, group: pa.Table) -> pa.Table:
+        dim = key[0].as_py()
         group = group.sort_by("vec_id")
         column = group["vec"].combine_chunks()
         # of equal vectors, more than k besides the query can't be among the k nearest
-        alike = np.unique(matrix(column), axis=0, return_inverse=True)[1].ravel()
+        alike = np.unique(matrix(column, dim), axis=0, return_inverse=True)[1].ravel()
         order = np.argsort(alike, kind="stable")
         heads = np.flatnonzero(np.append(True, np.diff(alike[order]) > 0))
         place = np.arange(len(order)) - np.repeat(heads, np.diff(np.append(heads, len(order))))
         kept = pa.array(np.sort(order[place <= k]))
         column, group = column.take(kept), group.take(kept)
-        codes = np.hstack([packed(book.encode(matrix(column[at : at + 8192]))) for at in range(0, len(column), 8192)])
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "ids": pa.array([group["vec_id"].to_numpy().astype("<i8").tobytes()]), "codes": pa.array([codes.tobytes()])})
-
-    def gather(key: tuple, group: pa.Table) -> pa.Table:
-        column = group["vec"].combine_chunks()
-        return pa.table({"q": pa.array([key[0].as_py()], pa.int64()), "qids": pa.array([group["vec_id"].to_numpy().astype("<i8").tobytes()]), "queries": pa.array([matrix(column).tobytes()])})
-
-    blocks = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(code_blocks))).select("block", "vec_id", "vec").groupBy("block").applyInArrow(code, "block long, ids binary, codes binary")
-    asked = rows.where("is_query").withColumn("q", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(query_blocks))).select("q", "vec_id", "vec").groupBy("q").applyInArrow(gather, "q long, qids binary, queries binary")
-    # each block of codes goes once to each block of queries
-    met = cut(blocks).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<long>"))).join(cut(asked).hint("shuffle_hash"), "q").select("ids", "codes", "qids", "queries")
-    least, most = short_list[0] + 1, short_list[1] + 1  # one of them may be the query itself
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                ids, codes, qids, queries = (batch.column(c)[i].as_py() for c in range(4))
-                ids, qids = np.frombuffer(ids, "<i8"), np.frombuffer(qids, "<i8")
-                codes = np.frombuffer(codes, np.uint8).reshape(-1, len(ids))
-                queries = np.frombuffer(queries, "<f8").reshape(len(qids), dim)
-                out = [[], [], []]
-                for at in range(0, len(qids), 32):
-                    some = queries[at : at + 32]
-                    margins = 2 * book.error * np.sqrt((some**2).sum(1))
-                    for qid, tab, margin in zip(qids[at : at + 32].tolist(), book.tables(some), margins.tolist(), strict=True):
-                        score = tab[0][codes[0]]
-                        for b in range(1, len(codes)):
-                            score += tab[b][codes[b]]
-                        own = np.arange(len(ids))
-                        if len(ids) > least:
-                            top = min(most, len(ids))
-                            best = np.sort(np.partition(score, len(ids) - top)[len(ids) - top :])[::-1]
-                            want = max(least, int((best >= best[min(k, top - 1)] - margin).sum()))
-                            bar = best[want - 1]
-                            above = np.flatnonzero(score > bar)  # ids are sorted, so ties go to the smaller ones
-                            own = np.append(above, np.flatnonzero(score == bar)[: want - len(above)])
-                        own = own[ids[own] != qid]
-                        out[0].append(np.full(len(own), qid))
-                        out[1].append(ids[own])
-                        out[2].append(score[own])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["query_id", "vec_id", "near"])
-
-    found = met.mapInArrow(scan, "query_id long, vec_id long, near float")
-    if code_blocks > 1:
+        codes = np.hstack([packed(books[dim].encode(matrix(column.slice(at, 4096), dim))) for at in range(0, len(column), 4096)])
+        return pa.table({"dim": pa.array([dim], pa.int32()), "block": pa.array([key[1].as_py()], pa.int64()), "ids": pa.array([group["vec_id"].to_numpy().astype("<i8").tobytes()]), "codes": pa.array([codes.tobytes()])})
+
+    def scan(key: tuple, codes: pa.Table, asked: pa.Table) -> pa.Table:
+        dim = key[0].as_py()
+        queries, out = asked["vec"].combine_chunks(), [[], [], []]
+        for at in range(0, len(queries), 64):  # tables of a few queries at a time
+            lists = Lists(asked["vec_id"].to_numpy()[at : at + 64], matrix(queries.slice(at, 64), dim), books[dim], k, short_list[0], short_list[1])
+            for ids, blob in zip(codes["ids"], codes["codes"], strict=True):
+                ids = np.frombuffer(ids.as_py(), "<i8")
+                lists.scan(ids, np.frombuffer(blob.as_py(), np.uint8).reshape(-1, len(ids)))
+            for qid, (ids, near) in zip(lists.qids.tolist(), lists.held, strict=True):
+                out[0].append(np.full(len(ids), qid))
+                out[1].append(ids)
+                out[2].append(near)
+        return pa.table([np.concatenate([*x, np.zeros(0, t)]) for x, t in zip(out, (np.int64, np.int64, np.float32), strict=True)], names=["query_id", "vec_id", "near"])
+
+    coded = cut(rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks"))).select("dim", "block", "vec_id", "vec").groupBy("dim", "block").applyInArrow(code, "dim int, block long, ids binary, codes binary"), blobs=True)
+    numbers = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    # a task has one block of queries and a group of blocks of codes, and keeps one short list a query for them all
+    codes = coded.join(sheet, "dim").withColumn("grp", F.floor(F.col("block") / GROUP_BLOCKS).cast("long")).withColumn("q", numbers("asked")).select("dim", "q", "grp", "ids", "codes")
+    asked = rows.where("is_query").withColumn("q", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("asked"))).withColumn("grp", numbers("groups")).select("dim", "q", "grp", "vec_id", "vec")
+    found = codes.groupBy("dim", "q", "grp").cogroup(asked.groupBy("dim", "q", "grp")).applyInArrow(scan, "query_id long, vec_id long, near float")
+    if any(r[3] > 1 for r in layout):
         found = found.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("near"), "vec_id"))).where(F.col("place") <= short_list[1]).drop("place")
     found = found.select("query_id", "vec_id").distinct()
-    ask = rows.where("is_query").groupBy(F.col("vec_id").alias("query_id")).agg(F.first("vec").alias("qv"))
-    exact = found.join(rows.select("vec_id", "vec"), "vec_id").join(ask, "query_id").select("query_id", "vec_id", dot(F.col("qv"), F.col("vec")).alias("score"))
+    ask = rows.where("is_query").groupBy(F.col("vec_id").alias("query_id"), F.col("dim").alias("qdim")).agg(F.min("vec").alias("qv"))
+    exact = found.join(rows.select("vec_id", "vec", "dim"), "vec_id").join(ask, "query_id").where(F.col("dim") == F.col("qdim")).select("query_id", "vec_id", dot(F.col("qv"), F.col("vec")).alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return exact.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

@@ -331,6 +331,23 @@ def test_recall(spark, sf_dir):
     assert hit / total >= 0.9
 
 
+def test_every_length_and_group_of_codes(spark, monkeypatch):
+    monkeypatch.setattr(anisotropic, "CODE_BLOCK", 16)
+    monkeypatch.setattr(anisotropic, "GROUP_BLOCKS", 2)
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=8 if i < 300 else 7 if i < 380 else 2).tolist(), "a", i, 0.5, 1) for i in range(400)]
+    # names of the operator's own columns, and a row without an id
+    df = spark.createDataFrame([*rows, (None, [1.0] * 8, "a", 1, 0.5, 1)], "vec_id long, embedding array<double>, vec string, dim int, near double, block int")
+    got = defaultdict(list)
+    for r in anisotropic.search(df, F.col("vec_id") % 20 == 0, k=5).collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], round(r["score"], 9)))
+    assert set(got) == set(range(0, 400, 20))
+    for q, own in got.items():
+        x = rows[q][1]
+        best = sorted((-sum(a * b for a, b in zip(x, v, strict=True)), i) for i, v, *_ in rows if i != q and len(v) == len(x))[:5]
+        assert sorted(own) == [(k + 1, i, round(-s, 9)) for k, (s, i) in enumerate(best)]
+
+
 def test_quantiser_prefers_the_parallel_part():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 64))
