@@ -21,11 +21,12 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, forget, table
@@ -35,6 +36,7 @@ BLOCK_ROWS = 4096
 MOST_CELLS = 1024
 SAMPLE_ROWS = 4096
 TILE = 512
+MOST_SIDE = 16  # blocks along a side of the tiles of block pairs: two sides of some megabytes a block in a task
 MARGIN = 1e-5  # of single-precision bounds
 
 
@@ -55,12 +57,30 @@ def distance(cosine: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * cosine))
 
 
+def alone(x: np.ndarray, radius: float) -> np.ndarray:
+    """Is a point further than ``radius`` from every other one? In doubt, no."""
+    low = x.astype(np.float32)
+    bar = 1 - radius * radius / 2 - MARGIN
+    out = np.zeros(len(x), bool)
+    for at in range(0, len(x), TILE):
+        out[at : at + TILE] = ((low[at : at + TILE] @ low.T) >= bar).sum(1) <= 1
+    return out
+
+
 def net(x: np.ndarray, center: int, radius: float) -> tuple[list[int], np.ndarray]:
     """Points, the first of which is ``center``, within ``radius`` of one of which lie all;
-    and for each point the number of the one it belongs to. Farthest points come first."""
+    and for each point the number of the one it belongs to. Points that are near no other one
+    stand for themselves; of the rest the farthest come first."""
     owner = np.zeros(len(x), np.int64)
     gap = distance(x @ x[center])
-    chosen, open_ = [center], np.flatnonzero(gap > radius)
+    chosen = [center]
+    far = gap > radius
+    if far.sum() > 2 * TILE:
+        single = np.flatnonzero(far & alone(x, radius))
+        owner[single] = np.arange(1, len(single) + 1)
+        chosen += single.tolist()
+        far[single] = False
+    open_ = np.flatnonzero(far)
     gap = gap[open_]
     rows = x[open_]
     while len(open_):
@@ -128,6 +148,30 @@ class CoverTree:
         return np.arange(self.first[node], self.last[node]) if self.last[node] else np.array([node])
 
 
+def near_tiles(one: CoverTree, two: CoverTree, left: np.ndarray, right: np.ndarray, low: dict, reach: float, half: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of nodes (from ``left`` and ``right``) that the covering radii don't rule out.
+
+    With ``half`` both are the same list, and each pair comes once: the product has only the upper triangle.
+    """
+    ra, rb = one.radius[left].astype(np.float32), two.radius[right].astype(np.float32)
+    xb = low[id(two)][two.center[right]].T
+    widest = float(rb.max(initial=0.0))
+    for at in range(0, len(left), TILE):
+        rows, r = left[at : at + TILE], ra[at : at + TILE]
+        first = at if half else 0
+        near = low[id(one)][one.center[rows]] @ xb[:, first:]
+        bound = float(r.max(initial=0.0)) + widest + reach
+        i, j = np.nonzero(near >= np.float32(1 - bound * bound / 2 - MARGIN))
+        if bound > reach:
+            each = r[i] + rb[first + j] + np.float32(reach)
+            some = near[i, j] >= 1 - each * each / 2 - np.float32(MARGIN)
+            i, j = i[some], j[some]
+        if half:
+            some = i <= j
+            i, j = i[some], j[some]
+        yield rows[i], right[first + j]
+
+
 def dual(one: CoverTree, two: CoverTree, cosine: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of points (indices into both trees) whose cosine is ``cosine`` or more.
 
@@ -140,38 +184,27 @@ def dual(one: CoverTree, two: CoverTree, cosine: float, same: bool) -> Iterator[
         a, b = work.pop()
         itself = same and a == b
         left, right = one.below(a), two.below(b)
-        if len(left) == 1 and len(right) == 1 and itself and not one.last[a]:
+        if len(left) == 1 and itself and not one.last[a]:
             continue
-        ra, rb = one.radius[left], two.radius[right]
-        xb = low[id(two)][two.center[right]].T
-        leaf_b = two.last[right] == 0
-        for at in range(0, len(left), TILE):
-            rows = left[at : at + TILE]
-            near = low[id(one)][one.center[rows]] @ xb
-            r = ra[at : at + TILE]
-            if r.any() or rb.any():
-                bound = r[:, None] + rb[None, :] + reach
-                keep = near >= 1 - bound * bound / 2 - MARGIN
-            else:
-                keep = near >= cosine - MARGIN
-            if itself:
-                keep &= np.arange(at, at + len(rows))[:, None] <= np.arange(len(right))[None, :]
-            i, j = np.nonzero(keep)
-            if not len(i):
-                continue
-            p, q = rows[i], right[j]
-            flat = (one.last[p] == 0) & leaf_b[j]
-            for u, v in zip(p[~flat].tolist(), q[~flat].tolist(), strict=True):
-                work.append((u, v))
-            u, v = one.center[p[flat]], two.center[q[flat]]
-            if same:
-                apart = u != v
-                u, v = u[apart], v[apart]
-            for s in range(0, len(u), 100_000):
-                us, vs = u[s : s + 100_000], v[s : s + 100_000]
-                hit = np.einsum("ij,ij->i", one.x[us], two.x[vs]) >= cosine
-                if hit.any():
-                    yield us[hit], vs[hit]
+        # leaves have no radius: pairs of them need one comparison, and the bounds of the others are tighter by themselves
+        sides = [(x[t.last[x] == 0], x[t.last[x] > 0]) for t, x in ((one, left), (two, right))]
+        for m in (0, 1):
+            for n in (0, 1):
+                if itself and m > n or not len(sides[0][m]) or not len(sides[1][n]):
+                    continue
+                for p, q in near_tiles(one, two, sides[0][m], sides[1][n], low, reach, itself and m == n):
+                    if m or n:
+                        work.extend(zip(p.tolist(), q.tolist(), strict=True))
+                        continue
+                    u, v = one.center[p], two.center[q]
+                    if same:
+                        apart = u != v
+                        u, v = u[apart], v[apart]
+                    for s in range(0, len(u), 100_000):
+                        us, vs = u[s : s + 100_000], v[s : s + 100_000]
+                        hit = np.einsum("ij,ij->i", one.x[us], two.x[vs]) >= cosine
+                        if hit.any():
+                            yield us[hit], vs[hit]
 
 
 def classes_of(nodes: int, edges: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -245,41 +278,47 @@ def near_pairs(vectors: DataFrame, *, cosine: float = 0.95, id_col: str = "vec_i
     blocks = cut(placed.select("dim", "cell", "block", "id", "times", "vec").groupBy("dim", "cell", "block").applyInArrow(grow, "dim int, cell int, block long, parts array<binary>"), blobs=True)
     forget(dealt)
     pairs = spark.createDataFrame(reachable, "dim int, ca int, cb int")
-    name = lambda s: blocks.select("dim", F.col("cell").alias(f"c{s}"), F.col("block").alias(f"k{s}"))
-    pairs = pairs.join(name("a"), ["dim", "ca"]).join(name("b"), ["dim", "cb"]).where("ca < cb or ka <= kb")
-    whole = lambda s: blocks.select("dim", F.col("cell").alias(f"c{s}"), F.col("block").alias(f"k{s}"), F.col("parts").alias(f"p{s}"))
-    met = pairs.join(whole("a"), ["dim", "ca", "ka"]).join(whole("b"), ["dim", "cb", "kb"]).select("dim", (F.col("ca").eqNullSafe(F.col("cb")) & (F.col("ka") == F.col("kb"))).alias("same"), "pa", "pb")
-
-    def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                dim, same = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                sides = []
-                for col in (2, 3)[: 2 - same]:
-                    parts = batch.column(col)[k].as_py()
-                    x = unit(np.frombuffer(parts[2], wide).reshape(-1, dim))
-                    sides.append((np.frombuffer(parts[0], "<i8"), np.frombuffer(parts[1], "<i8"), CoverTree.load(x, parts[3:])))
-                (ids, times, tree), (jds, jtimes, other) = sides[0], sides[-1]
-                shift = 0 if same else len(ids)
-                all_ids = ids if same else np.concatenate([ids, jds])
-                all_times = times if same else np.concatenate([times, jtimes])
-                links, edges = np.zeros(len(all_ids), np.int64), []
-                label = np.arange(len(all_ids))
-                for u, v in dual(tree, other, cosine, same):
-                    v = v + shift
-                    links += np.bincount(u, all_times[v], len(all_ids)).astype(np.int64) + np.bincount(v, all_times[u], len(all_ids)).astype(np.int64)
-                    pu, pv = label[u], label[v]
-                    fresh = pu != pv
-                    if fresh.any():
-                        edges = [(pu[fresh], pv[fresh])]
-                        label = classes_of(len(label), edges)[label]
-                some = np.flatnonzero(links)
-                # the least id of a class stands for it
-                low = np.full(len(all_ids), np.iinfo(np.int64).max)
-                np.minimum.at(low, label, all_ids)
-                yield pa.RecordBatch.from_arrays([pa.array(all_ids[some]), pa.array(links[some]), pa.array(low[label[some]])], ["id", "links", "hub"])
-
-    found = cut(met.mapInArrow(traverse, "id long, links long, hub long"))
+    # blocks are numbered along their cells; a task has the pairs of one tile of the grid of all blocks, so
+    # a block travels once for each row or column of tiles, not for each pair
+    order = Window.partitionBy("dim").orderBy("cell", "block")
+    index = cut(blocks.select("dim", "cell", "block").withColumn("at", F.row_number().over(order) - 1))  # a row for each block
+    total = index.count()
+    side = max(1, min(MOST_SIDE, int(total / math.sqrt(8 * spark.sparkContext.defaultParallelism))))
+    name = lambda s: index.select("dim", F.col("cell").alias(f"c{s}"), F.col("at").alias(f"at_{s}"))
+    pairs = cut(pairs.join(name("a"), ["dim", "ca"]).join(name("b"), ["dim", "cb"]).select("dim", F.least("at_a", "at_b").alias("at_a"), F.greatest("at_a", "at_b").alias("at_b")).distinct().withColumn("ga", F.floor(F.col("at_a") / side)).withColumn("gb", F.floor(F.col("at_b") / side)))
+    tiles = pairs.select(F.col("dim").alias("td"), F.col("ga").alias("ta"), F.col("gb").alias("tb")).distinct()
+    wanted = tiles.select("td", "ta", "tb", F.explode(F.array_distinct(F.array("ta", "tb"))).alias("g"))
+    placed = blocks.join(index, ["dim", "cell", "block"]).select(F.col("dim").alias("td"), "at", F.floor(F.col("at") / side).alias("g"), "parts").join(wanted, ["td", "g"]).select("td", "ta", "tb", "at", "parts")
+
+    def traverse(key: tuple, todo: pa.Table, held: pa.Table) -> pa.Table:
+        dim, sides = key[0].as_py(), {}
+        for at, parts in zip(held["at"].to_pylist(), held["parts"], strict=True):
+            parts = parts.as_py()
+            x = unit(np.frombuffer(parts[2], wide).reshape(-1, dim))
+            sides[at] = (np.frombuffer(parts[0], "<i8"), np.frombuffer(parts[1], "<i8"), CoverTree.load(x, parts[3:]))
+        first, size = {}, 0
+        for at in sorted(sides):
+            first[at] = size
+            size += len(sides[at][0])
+        all_ids = np.concatenate([sides[at][0] for at in sorted(sides)])
+        links, label = np.zeros(size, np.int64), np.arange(size)
+        for a, b in sorted(zip(todo["at_a"].to_pylist(), todo["at_b"].to_pylist(), strict=True)):
+            times, others = sides[a][1], sides[b][1]
+            for u, v in dual(sides[a][2], sides[b][2], cosine, a == b):
+                own, far = u + first[a], v + first[b]
+                links += np.bincount(own, others[v], size).astype(np.int64) + np.bincount(far, times[u], size).astype(np.int64)
+                fresh = label[own] != label[far]
+                if fresh.any():
+                    label = classes_of(size, [(label[own][fresh], label[far][fresh])])[label]
+        some = np.flatnonzero(links)
+        # the least id of a class stands for it
+        low = np.full(size, np.iinfo(np.int64).max)
+        np.minimum.at(low, label, all_ids)
+        return pa.table({"id": pa.array(all_ids[some]), "links": pa.array(links[some]), "hub": pa.array(low[label[some]])})
+
+    met = pairs.groupBy("dim", "ga", "gb").cogroup(placed.groupBy("td", "ta", "tb")).applyInArrow(traverse, "id long, links long, hub long")
+    found = cut(met)
+    forget(blocks, index, pairs)
     classes = components(found.select(F.col("id").alias("a"), F.col("hub").alias("b")))
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     known = one.select("vec", "id", "times").join(counts, "id", "left").join(classes, F.col("id") == F.col("node"), "left")
