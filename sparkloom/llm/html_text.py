@@ -1,23 +1,26 @@
 """Main text of web pages by scoring the tree.
 
 A page becomes a tree of its block elements in one pass over its markup. Each
-paragraph passes points for its length and commas to its ancestors, less the
-further up they are; a container's points are discounted by the share of its
-text inside links. The best container and those siblings that score like it are
-kept, without elements whose tag, role or class says that they are something
-else. No network of rules about one site is used, and every block that is left
-is given whole.
+paragraph passes points for its length and commas to its ancestors, half as many
+to each next one; a container's points are discounted by the share of its text
+inside links. The best container and those siblings that score like it are kept,
+or all of the article element that it stands in, without elements whose tag,
+role or class says that they are something else. No network of rules about one
+site is used, and every block that is left is given whole.
 
 Null, empty and odd input: a null page is an empty one and gives an empty text;
 unclosed and misnested tags are closed as browsers do; very long pages are read
-whole; a page without any paragraph gives an empty text; repeated rows give the
-same text; an empty table gives an empty result; other columns are ignored.
+whole, in time linear in their length, however deep, broken or unclosed their
+markup is; of containers that score alike the first one is best; a page without
+any paragraph gives an empty text; repeated rows give the same text; an empty
+table gives an empty result; other columns stay as they are.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,14 +29,18 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
+#: What follows the name of a tag: quotes may hold a >, unless they never close.
+QUOTED = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
+NAME = re.compile(r"[A-Za-z][^\s/>]*")
+MOST_OPEN_QUOTES = 8  # tags whose quotes never close; after so many, quotes no longer hide a >
 ATTR = re.compile(r"""([A-Za-z_:][-A-Za-z0-9_:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 #: Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title xmp iframe noembed noframes svg math object select".split())
+RAW = frozenset("script style noscript template textarea title xmp iframe noembed noframes svg select annotation annotation-xml".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 INLINE = frozenset("span b i em strong small label ins font u mark q cite sup sub".split())
 CELLS = frozenset("td th caption table".split())
+WHOLE = frozenset("table tr tbody thead tfoot html body td th caption".split())
 SCOPE = CELLS | frozenset("html body button".split())
 CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "tbody": ("tbody thead tfoot tr td th", ("table",)), "thead": ("tbody thead tfoot tr td th", ("table",)), "tfoot": ("tbody thead tfoot tr td th", ("table",))}
 #: What is not the article, by tag, role or a word of class and id.
@@ -46,9 +53,49 @@ MAIN_WORDS = frozenset("article body content entry main page post story text col
 PARAGRAPH = frozenset("p pre td blockquote div section article main body dd li center figcaption".split())
 BONUS = {"article": 25.0, "main": 15.0, "div": 5.0, "section": 3.0, "pre": 3.0, "td": 3.0, "blockquote": 3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0, "form": -3.0, "address": -3.0, "header": -5.0, "th": -5.0}
 LEAST = 25
+HIDDEN, ASIDE = 1, 2
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
+class Open:
+    """The open elements, with the places of each tag among them, so that none is searched for."""
+
+    def __init__(self):
+        self.items: list[tuple[str, int, bool, int]] = []  # tag, node around it, is it a link, is it hidden or an aside
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def __len__(self) -> int:
+        return len(self.items)
+
+    def push(self, tag: str, *rest) -> None:
+        self.places.setdefault(tag, []).append(len(self.items))
+        if tag in BLOCK:
+            self.blocks.append(len(self.items))
+        self.items.append((tag, *rest))
+
+    def pop(self) -> tuple[str, int, bool, int]:
+        item = self.items.pop()
+        self.places[item[0]].pop()
+        if item[0] in BLOCK:
+            self.blocks.pop()
+        return item
+
+    def top(self) -> str:
+        return self.items[-1][0]
+
+    def last(self, tags) -> int:
+        """The innermost place of any of some tags, or -1."""
+        if tags is BLOCK:
+            return self.blocks[-1] if self.blocks else -1
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def first(self, tags, after: int) -> int:
+        """The outermost place of any of some tags that is inside place ``after``, or -1."""
+        found = [own[k] for t in tags if (own := self.places.get(t)) and (k := bisect_right(own, after)) < len(own)]
+        return min(found, default=-1)
+
+
 class Page:
     """The block tree of a page: parallel lists by node, and its text blocks in page order."""
 
@@ -57,88 +104,123 @@ class Page:
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters inside links
         self.read(source)
 
-    def node(self, tag: str, parent: int, attrs: str) -> int:
+    def says(self, tag: str, attrs: str) -> tuple[bool, bool]:
+        """Does an element say that it is something other than the article; or that it is the article?"""
         other, main = tag in OTHER_TAGS, tag in ("article", "main")
         if attrs and tag not in ("html", "body"):
-            named = {}
-            for k, v in ATTR.findall(attrs):
-                named[k.lower()] = v.strip("\"'").lower()
-            if "class" in named or "id" in named:
-                for one in f"{named.get('class', '')} {named.get('id', '')}".split():
-                    said = re.split(r"[^a-z0-9]+", one)
-                    if said[0] not in MODIFIERS and not OTHER_WORDS.isdisjoint(said) and not main and (MAIN_WORDS.isdisjoint(said) or not NEVER.isdisjoint(said)):
-                        other = True
+            named = {k.lower(): v.strip("\"'").lower() for k, v in ATTR.findall(attrs)}
+            for one in f"{named.get('class', '')} {named.get('id', '')}".split():
+                said = re.split(r"[^a-z0-9]+", one)
+                if said[0] not in MODIFIERS and not OTHER_WORDS.isdisjoint(said) and not main and (MAIN_WORDS.isdisjoint(said) or not NEVER.isdisjoint(said)):
+                    other = True
             role = named.get("role", "")
             other |= role in OTHER_ROLES or "hidden" in named or named.get("aria-hidden") == "true" or "display:none" in named.get("style", "").replace(" ", "")
             main |= role in ("main", "article")
+        return other, main
+
+    def node(self, tag: str, parent: int, attrs: str) -> int:
+        other, main = self.says(tag, attrs)
         self.tag.append(tag)
         self.parent.append(parent)
         self.other.append(other)
         self.main.append(main)
         return len(self.tag) - 1
 
+    def hidden(self, attrs: str) -> bool:
+        named = {k.lower(): v.strip("\"'").lower() for k, v in ATTR.findall(attrs)}
+        return "hidden" in named or "display:none" in named.get("style", "").replace(" ", "")
+
     def read(self, source: str) -> None:
-        open_: list[tuple[str, int, bool, int]] = []  # tag, node around it, is it a link, where text that is to go begins
+        stack = Open()
         at, node, links = 0, 0, 0
         text: list[str] = []
-        linked = 0
+        linked = hidden = inside = begun = 0  # open elements that are hidden, or asides; where the outermost aside begins in ``text``
+        asides: list[tuple[int, int]] = []
 
         def flush() -> None:
-            nonlocal linked
+            nonlocal linked, begun
             if text:
-                words = " ".join("".join(text).split())
-                if words:
+                words, rest, k = " ".join("".join(text).split()), [], 0
+                for a, b in [*asides, (begun, len(text))] if inside else asides:
+                    rest += text[k:a]
+                    k = b
+                # an aside within a sentence belongs to it; a block of nothing else goes
+                if words and "".join(rest + text[k:]).strip():
                     self.blocks.append((node, words, min(linked, len(words))))
                 text.clear()
-            linked = 0
+            asides.clear()
+            linked = begun = 0
 
         def pop_to(k: int) -> None:
-            nonlocal node, links
-            if any(x[0] in BLOCK for x in open_[k:]):
+            nonlocal node, links, hidden, inside
+            if stack.last(BLOCK) >= k:
                 flush()
-            for x in open_[k:]:
-                links -= x[2]
-                if x[3] >= 0:
-                    del text[x[3] :]
-            node = open_[k][1]
-            del open_[k:]
-
-        end, find = len(source), TOKEN.search
-        while at < end:
-            m = find(source, at)
-            stop = m.start() if m else end
-            if stop > at:
-                run = source[at:stop]
+            while len(stack) > k:
+                _, node, link, role = stack.pop()
+                links -= link
+                hidden -= role == HIDDEN
+                if role == ASIDE:
+                    inside -= 1
+                    if not inside and len(text) > begun:
+                        asides.append((begun, len(text)))
+
+        def say(run: str) -> None:
+            nonlocal linked
+            if run and not hidden:
                 if "&" in run:
                     run = html.unescape(run)
                 text.append(run)
                 if links:
                     linked += len(run.strip())
-            if not m:
+
+        end, last = len(source), source.rfind(">")
+        raw_ends: dict[str, re.Pattern] = {}
+        begin, open_quotes = 0, 0  # where text that isn't read yet begins
+        while True:
+            at = source.find("<", at)
+            if at < 0:
+                break
+            kind = source[at + 1 : at + 2]
+            if source.startswith("<!--", at):
+                say(source[begin:at])
+                at = source.find("-->", at + 4)
+                at = begin = at + 3 if at >= 0 else end
+                continue
+            if at > last:
                 break
-            at = m.end()
-            close, name, attrs = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-            if not name:
+            close = kind == "/"
+            m = NAME.match(source, at + 1 + close)
+            if not m:
+                if kind and kind in "!?/":
+                    say(source[begin:at])
+                    at = begin = source.index(">", at) + 1
+                else:
+                    at += 1
                 continue
-            name = name.lower()
+            say(source[begin:at])
+            stop = QUOTED.match(source, m.end()) if open_quotes < MOST_OPEN_QUOTES else None
+            if not stop:
+                open_quotes += 1
+            name, at = m[0].lower(), stop.end() if stop else source.find(">", m.end()) + 1
+            attrs = source[m.end() : at - 1]
+            begin = at
             if close:
                 if name in VOID:
                     if name == "br":
                         text.append(" ")
                     continue
-                block = name in BLOCK
-                for k in range(len(open_) - 1, -1, -1):
-                    t = open_[k][0]
-                    if t == name:
-                        pop_to(k)
-                        break
-                    if not block and t in BLOCK or block and t in CELLS and name not in ("table", "tr", "tbody", "thead", "tfoot", "html", "body", "td", "th", "caption"):
-                        break
+                k = stack.last((name,))
+                # an end tag of an inline element stays in its block, one of a block in its cell
+                walls = BLOCK if name not in BLOCK else () if name in WHOLE else CELLS
+                if k >= 0 and k >= stack.last(walls):
+                    pop_to(k)
                 continue
             if name in RAW:
                 if name in ("textarea", "select", "title") or not attrs.endswith("/"):
-                    m = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(source, at)
-                    at = m.end() if m else end
+                    if name not in raw_ends:
+                        raw_ends[name] = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I)
+                    m = raw_ends[name].search(source, at)
+                    at = begin = m.end() if m else end
                 continue
             if name in VOID:
                 if name == "hr":
@@ -148,53 +230,35 @@ class Page:
                 continue
             if name not in BLOCK:
                 link = name == "a"
-                if link:  # a link never holds another one
-                    for k in range(len(open_) - 1, -1, -1):
-                        if open_[k][0] == "a":
-                            pop_to(k)
-                            break
-                        if open_[k][0] in BLOCK:
-                            break
-                mark = -1
-                if attrs and name in INLINE and ("class" in attrs or "hidden" in attrs or "none" in attrs):
-                    inner = self.node(name, node, attrs)
-                    if self.other[inner]:  # its text goes, what is around it stays one block
-                        mark = len(text)
-                    else:
-                        inner = None
-                        for column in (self.tag, self.parent, self.other, self.main):
-                            column.pop()
-                    open_.append((name, node, link, mark))
-                    node = node if inner is None else inner
-                else:
-                    open_.append((name, node, link, mark))
+                if link and stack.last(("a",)) > stack.last(BLOCK):  # a link never holds another one
+                    pop_to(stack.last(("a",)))
+                role = 0
+                if attrs and ("hidden" in attrs or "none" in attrs) and self.hidden(attrs):
+                    role = HIDDEN
+                    hidden += 1
+                elif attrs and name in INLINE and ("class" in attrs or "role" in attrs) and self.says(name, attrs)[0]:
+                    role = ASIDE
+                    begun = begun if inside else len(text)
+                    inside += 1
+                stack.push(name, node, link, role)
                 links += link
                 continue
-            if name in ("html", "body") and any(x[0] == name for x in open_):
+            if name in ("html", "body") and stack.last((name,)) >= 0:
                 continue
-            for k in range(len(open_) - 1, -1, -1):  # a new block ends an open paragraph
-                t = open_[k][0]
-                if t == "p":
-                    pop_to(k)
-                    break
-                if t in SCOPE:
-                    break
-            if name in HEADING and open_ and open_[-1][0] in HEADING:
-                pop_to(len(open_) - 1)
+            if stack.last(("p",)) > stack.last(SCOPE):  # a new block ends an open paragraph
+                pop_to(stack.last(("p",)))
+            if name in HEADING and len(stack) and stack.top() in HEADING:
+                pop_to(len(stack) - 1)
             if name in CLOSES:
                 ends, stops = CLOSES[name]
-                low = None
-                for k in range(len(open_) - 1, -1, -1):
-                    t = open_[k][0]
-                    if t in stops:
-                        break
-                    if t in ends.split():
-                        low = k
-                if low is not None:
+                low = stack.first(ends.split(), stack.last(stops))
+                if low >= 0:
                     pop_to(low)
             flush()
-            open_.append((name, node, False, -1))
+            stack.push(name, node, False, 0)
             node = self.node(name, node, attrs)
+        say(source[begin:])
+        pop_to(0)
         flush()
 
     def main_text(self, trust_names: bool = True) -> str:
@@ -217,26 +281,27 @@ class Page:
             other = self.other[k] and (trust_names or tag[k] in OTHER_TAGS) or tag[k] == "header" and not (inside[k] and headed[k])
             dropped[k] = dropped[p] or other and not holds[k]
         kept = [b for b in self.blocks if not dropped[b[0]]]
-        chars, linked, points = [0] * n, [0] * n, [0.0] * n
+        chars, linked = [0] * n, [0] * n
         for node, text, inlinks in kept:
-            while node >= 0:
-                chars[node] += len(text)
-                linked[node] += inlinks
-                node = parent[node]
+            chars[node] += len(text)
+            linked[node] += inlinks
+        for k in range(n - 1, 0, -1):  # nodes come after the ones around them
+            chars[parent[k]] += chars[k]
+            linked[parent[k]] += linked[k]
         best = -1
         for least in (LEAST, 1):
-            seen = [False] * n
+            seen, points = [False] * n, [0.0] * n
             for node, text, inlinks in kept:
                 if tag[node] not in PARAGRAPH or len(text) < least or 2 * inlinks > len(text):
                     continue
                 score = 1.0 + sum(map(text.count, ",，、،")) + min(3, len(text) // 100)
                 up = node if tag[node] in ("div", "section", "article", "main", "body", "td", "blockquote") else parent[node]
-                share = 1
-                while up >= 0:
-                    points[up] += score / share
-                    seen[up] = True
-                    share += 1
-                    up = parent[up]
+                points[up] += score
+                seen[up] = True
+            for k in range(n - 1, 0, -1):  # half of an element's points go to the one around it
+                if seen[k]:
+                    points[parent[k]] += points[k] / 2
+                    seen[parent[k]] = True
             final = [0.0] * n
             for k in range(n):
                 if seen[k] and not dropped[k]:

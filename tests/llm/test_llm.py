@@ -545,6 +545,11 @@ CASES = {
     f"<main><h1>T</h1><section>{P}</section><section>{P}</section><aside>{P}</aside></main>": f"T\n{T}\n{T}",
     f"<article><header><h1>T &eacute;&nbsp;x</h1></header>{P}<footer>by me</footer></article>": f"T é x\n{T}",
     "<article><p>a<!-- <p>hidden</p> -->b</p><script>var x='</p><p>';</script><p>c &lt; d</p></article>": "ab\nc < d",
+    f"<article><p>Euler said, <math>e</math> is a number, <span class=share>shared</span> by all</p><p><span class=advert>Buy now</span></p><p>x <span hidden>y</span> z <object data=1>w</object></p></article>": "Euler said, e is a number, shared by all\nx z w",
+    f"<div class=nav><a href=1>x</a></div><div><h1>T</h1>{P}{P}<p>See <span class='tags'>this<div>Block, in a span, of a class</div></span>, and more.</p></div><div class=footer>{P}</div>": f"T\n{T}\n{T}\nSee this\nBlock, in a span, of a class\n, and more.",
+    f"<div id=a>{P}<div>{P}<div>{P}</div></div></div><ul><li><a href=1>one</a><li><a href=2>two</a></ul>": f"{T}\n{T}\n{T}",
+    f"<body><a href='x>{P}": "",
+    f"<p>1 < 2, and 3 <4, so it goes on and on, at length.<p hidden>{T}<div><span style='display: none'>a<div>b</div></span>{T}": f"1 < 2, and 3 <4, so it goes on and on, at length.\n{T}",
     "": "",
     "just text, without any tag at all, which is long enough.": "just text, without any tag at all, which is long enough.",
 }
@@ -566,6 +571,22 @@ def test_pages_query(spark, sf_dir):
         assert got[r["page_id"]]["text"] == want and got[r["page_id"]]["n_chars"] == len(want)
 
 
+N = 40_000
+MARKUP = ["<div>" * N + T + "</div>" * N, f"<div>{P}" * (N // 4), "<p>x" + "<b>" * N + "</i>" * N, "<a " * N, '<a href="x> ' * N + ">", "<a '\">" * N, "<" * N + ">", "<b>" * N + "<a>x</a>" * N, "<ul><li>" * N, "<!-- " * N, "<script>" * N, "<p>" + "&" * N, "<table><tr><td>" * (N // 2), "<p>" + "<span class=ad>x</span>" * N, "<p " + "a = " * N + ">x", P * (N // 4)]
+
+
+@pytest.mark.parametrize("source", MARKUP, ids=range(len(MARKUP)))
+def test_broken_and_deep_markup_takes_linear_time(source):
+    began = time.perf_counter()
+    html_text.main_text(source)
+    assert time.perf_counter() - began < 4
+
+
+def test_article_without_its_tag(spark, sf_dir):
+    for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        assert html_text.main_text(r["html"].replace("<article>", "<div>").replace("</article>", "</div>")) == html_text.main_text(r["html"])
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div class='ad'>", "</div>", "<b>", "</b>", "<a href=x>", "</a>", "text, more ", "<li>", "<table><tr><td>", "</table>", "<!--", "-->", "<", ">", "&amp;", "<script>", "</script>", "<article>", "</article>"]), max_size=30))
 def test_any_markup_is_read(parts):
