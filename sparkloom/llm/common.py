@@ -48,16 +48,13 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir")
 
 
-def cut(df: DataFrame, *, few: bool = False, blobs: bool = False) -> DataFrame:
+def cut(df: DataFrame, *, blobs: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: its lineage ends there.
 
     A lost executor then costs a read of the table, not a new run of what made it.
-    ``few`` is for tables of short rows: no more files than two for each core.
     ``blobs`` is for rows of megabytes: row groups stay small, as a reader holds one whole.
     """
     spark = df.sparkSession
-    if few:
-        df = df.coalesce(2 * spark.sparkContext.defaultParallelism)
     bounded_batches(spark)
     path = f"{shared_dir(spark)}/sparkloom-{uuid.uuid4().hex}"
     write = df.write
@@ -69,12 +66,6 @@ def cut(df: DataFrame, *, few: bool = False, blobs: bool = False) -> DataFrame:
     return out
 
 
-def fewer(scan: DataFrame, by: int = 4) -> DataFrame:
-    """A scan in tasks of up to ``by`` splits each, but at least two for each core, so that chunks of it fill up."""
-    splits = scan.rdd.getNumPartitions()
-    return scan.coalesce(max(2 * scan.sparkSession.sparkContext.defaultParallelism, -(-splits // by)))
-
-
 def forget(*frames: DataFrame | None) -> None:
     """Delete tables made by :func:`cut` that nothing will read again, and let go of their shuffles."""
     frames = tuple(df for df in frames if df is not None)

@@ -66,7 +66,7 @@ def _one_task(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, *, steps: int = 60, one_task: int = ONE_TASK) -> DataFrame:
     """(node, component): the least node that each node of the edges (a, b) reaches, for nodes that aren't
     themselves the least; a cut table."""
-    state = cut(edges.where("a <> b").select(F.greatest("a", "b").cast("long").alias("u"), F.least("a", "b").cast("long").alias("v")).distinct(), few=True)
+    state = cut(edges.where("a <> b").select(F.greatest("a", "b").cast("long").alias("u"), F.least("a", "b").cast("long").alias("v")).distinct())
     if state.count() <= one_task:
         fresh = cut(_one_task(state))
         forget(state)
@@ -80,7 +80,7 @@ def components(edges: DataFrame, *, steps: int = 60, one_task: int = ONE_TASK) -
 def _settled(state: DataFrame, steps: int) -> DataFrame:
     mark = None
     for _ in range(steps):
-        fresh = cut(_star(_star(state, True), False), few=True)
+        fresh = cut(_star(_star(state, True), False))
         forget(state)
         state = fresh
         # all are stars when a step changes nothing

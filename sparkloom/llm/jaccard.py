@@ -5,29 +5,30 @@ global order: common shingles last, by hash otherwise. Two sets with a Jaccard
 similarity of 3/4 or more share a shingle in their prefixes, the first quarter
 of that order. Prefixes are dealt out by hash range; each range counts what
 pairs of texts share in it by itself, and the partial counts are summed per
-pair, which rules out most of them. The others are compared exactly: texts that
-pairs connect go to one task, each once; where that would be too many, the order
-is cut into fragments once more, every set into segments, and the overlap of a
-pair is counted in each fragment and summed.
+pair, which rules out most of them. For all pairs that are left the order is cut
+into fragments and every set into segments: the overlap of a pair is counted in
+each fragment by itself, and the partial overlaps are summed, exactly.
 
 Only classes are asked for, so a pair inside a class that is already known isn't
-compared; those that share most come first. Where more than ``GROUP`` texts share
-a common shingle, they don't meet in pairs at all but one hub drawn for each
-shingle, in some turns; only texts that are still in different classes then meet
-each other. No group of copies is expanded into its pairs.
+compared. Where more than ``GROUP`` texts share a common shingle, they don't meet
+in pairs at all but hubs drawn for each shingle, in some turns; only texts that
+are still in different classes then meet each other, in the cells of a grid. No
+group of copies is expanded into its pairs, and none is gathered in one task:
+postings of very common shingles are dealt by text, and salted where they meet.
 
 The texts are read once, into chunks of word numbers with a vocabulary of 64-bit
 word hashes; shingles are made from these when needed.
 
 Null, empty and odd input: a null or empty text, or one without words, has an
 empty set and links with nothing; a text of fewer than five words has its whole
-sequence as its one shingle; very long texts are read whole; repeated rows link
-as equal texts do; an empty table gives an empty result; other columns are
-ignored.
+sequence as its one shingle; very long texts are read whole; ties in the order
+are settled by hash; repeated rows link as equal texts do; an empty table gives
+an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, fewer, forget, table
+from .common import cut, forget, table
 from .components import components
 from .hmm import Numbers, numbers, planes
 
@@ -50,8 +51,11 @@ GROUP = 256
 PAIRS_AT_ONCE = 300_000
 CHUNK_WORDS = 500_000
 RANGE_POSTINGS = 300_000
-BROADCAST_ROWS = 500_000  # 8 MB
-BLOCK_TEXTS = 4_000  # texts whose pairs one task compares
+BIN_TEXTS = 1_000  # texts whose pairs a task compares in one fragment
+HOT = 1 << 14  # shingles of slots as common as this go to hubs without being gathered
+SALT_TEXTS = 1 << 16  # texts of a common shingle among which a task picks a hub
+SALTS = 16
+CELL_TEXTS = 2_048  # texts of a common shingle that meet as pairs in a task, twice
 
 
 def shingles(words: np.ndarray, size: int = WORDS) -> np.ndarray:
@@ -123,7 +127,7 @@ def read_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         if own:
             yield close()
 
-    return fewer(docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("binary").alias("text"), F.xxhash64(docs[text_col]).alias("text_hash"))).mapInArrow(run, schema)
+    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("binary").alias("text"), F.xxhash64(docs[text_col]).alias("text_hash")).mapInArrow(run, schema)
 
 
 def sets_of(batches: Iterator[pa.RecordBatch], size: int = WORDS, pick=None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -156,7 +160,8 @@ def common_slots(chunks: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]
     """The slots (first ``SLOT_BITS`` bits of a hash) of common shingles, sorted, and how common they are (1 to 63).
 
     Every partition sends its slots, sorted, as steps of a byte each; ranges of
-    slots are summed by a task each. At most ``MOST_COMMON`` slots come back.
+    slots are summed by a task each. At most ``MOST_COMMON`` slots come back: the
+    least common ranks, if they hold too many, count as not common.
     """
     ranges = 1 << max(8, int(total // (8 * RANGE_POSTINGS)).bit_length())
     wide = (1 << SLOT_BITS) // ranges
@@ -193,11 +198,29 @@ def common_slots(chunks: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]
             steps[steps == 255] = np.frombuffer(far.as_py(), "<u4")
             counts += np.bincount(np.cumsum(steps), minlength=wide)
         some = np.flatnonzero(counts > COMMON)
-        return pa.table({"slot": pa.array(some + key[0].as_py() * wide, pa.int64()), "n": pa.array(counts[some])})
+        rank = np.minimum(63, 1 + np.floor(2 * np.log2(counts[some] / COMMON))).astype(np.uint8)
+        return pa.table({"range": pa.array([key[0].as_py()], pa.int32()), "slots": pa.array([(some + key[0].as_py() * wide).astype("<u4").tobytes()]), "ranks": pa.array([rank.tobytes()]), "kinds": pa.array([np.bincount(rank, minlength=64).tolist()], pa.list_(pa.int64()))})
+
+    found = cut(texts_of(chunks).mapInArrow(send, "range int, steps binary, far binary").groupBy("range").applyInArrow(add, "range int, slots binary, ranks binary, kinds array<long>"))
+    # 64 numbers say which ranks are few enough to be told apart everywhere
+    kinds = {r["rank"]: r["n"] for r in found.select(F.posexplode("kinds").alias("rank", "n")).groupBy("rank").agg(F.sum("n").alias("n")).collect()}
+    least, told = 64, 0
+    while least > 1 and told + kinds.get(least - 1, 0) <= MOST_COMMON:
+        least -= 1
+        told += kinds.get(least, 0)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r, slots, ranks in zip(*(batch.column(i) for i in range(3)), strict=True):
+                rank = np.frombuffer(ranks.as_py(), np.uint8)
+                own = rank >= least
+                if own.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([r.as_py()], pa.int32()), pa.array([np.frombuffer(slots.as_py(), "<u4")[own].tobytes()]), pa.array([rank[own].tobytes()])], ["range", "slots", "ranks"])
 
-    found = texts_of(chunks).mapInArrow(send, "range int, steps binary, far binary").groupBy("range").applyInArrow(add, "slot long, n long")
-    best = found.orderBy(F.desc("n"), "slot").limit(MOST_COMMON).toPandas().sort_values("slot")
-    return best["slot"].to_numpy(np.int64), np.minimum(63, 1 + np.floor(2 * np.log2(np.maximum(1.0, best["n"].to_numpy(np.float64) / COMMON)))).astype(np.int64)
+    # five bytes a slot
+    best = sorted(found.select("range", "slots", "ranks").mapInArrow(choose, "range int, slots binary, ranks binary").collect(), key=lambda r: r["range"])
+    forget(found)
+    return np.frombuffer(b"".join(bytes(r["slots"]) for r in best), "<u4"), np.frombuffer(b"".join(bytes(r["ranks"]) for r in best), np.uint8)
 
 
 def prefix_size(n: np.ndarray) -> np.ndarray:
@@ -228,15 +251,18 @@ def pieces(part: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
 
 def prefixes(chunks: DataFrame, slots: np.ndarray, ranks: np.ndarray, parts: int) -> DataFrame:
     """The prefixes of all sets, dealt to ``parts`` by shingle: hashes, rows, set sizes, and how many of a prefix are common."""
+    very_common = 1 + math.floor(2 * math.log2(HOT / COMMON))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            h, row, n, common = (np.concatenate(x) for x in zip(*held, strict=True))
+            h, row, n, common, very = (np.concatenate(x) for x in zip(*held, strict=True))
             out = [[], [], [], [], []]
-            for p, own in pieces(mixed(h, parts), parts):
+            # a shingle that very many texts have isn't gathered: its postings are dealt by text
+            part = np.where(very, parts + mixed(row.astype(np.uint64), parts), mixed(h, parts))
+            for p, own in pieces(part, 2 * parts):
                 own = own[np.argsort(h[own])]
                 for col, x in zip(out, (p, squeeze(h[own]), squeeze(row[own]), planes(n[own]), planes(common[own])), strict=True):
                     col.append(x)
@@ -245,9 +271,9 @@ def prefixes(chunks: DataFrame, slots: np.ndarray, ranks: np.ndarray, parts: int
         for rows, n, h in sets_of(batches):
             rank = np.zeros(len(h), np.int64)
             if len(slots):
-                s = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+                s = (h >> np.uint64(64 - SLOT_BITS)).astype(np.uint32)
                 k = np.minimum(np.searchsorted(slots, s), len(slots) - 1)
-                rank = np.where(slots[k] == s, ranks[k], 0)
+                rank = np.where(slots[k] == s, ranks[k], 0).astype(np.int64)
             order = np.argsort((np.repeat(np.arange(len(n)) << 6, n)) + rank, kind="stable")
             place = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
             front = place < np.repeat(prefix_size(n), n)
@@ -255,7 +281,7 @@ def prefixes(chunks: DataFrame, slots: np.ndarray, ranks: np.ndarray, parts: int
             common = np.add.reduceat(hot.astype(np.int64), np.cumsum(n) - n)
             # the top bit of a size tells if the shingle itself is common
             marked = (np.repeat(n, n) | (hot.astype(np.int64) << 31))[front].astype(np.uint32)
-            held.append((h[order][front], np.repeat(rows, n)[front], marked, np.repeat(common, n)[front]))
+            held.append((h[order][front], np.repeat(rows, n)[front], marked, np.repeat(common, n)[front], (rank[order] >= very_common)[front]))
             size += int(front.sum())
             if size >= 800_000:
                 yield flush()
@@ -305,7 +331,11 @@ def meet(posted: DataFrame, parts: int) -> DataFrame:
     they share there, dealt to ``parts`` by pair; rows of kind 1 have common shingles that more than ``GROUP`` texts share.
     """
 
-    def join(group: pa.Table) -> pa.Table:
+    def join(key: tuple, group: pa.Table) -> pa.Table:
+        names = ["kind", "part", "a", "b", "na", "nb", "c", "slack"]
+        if key[0].as_py() >= parts:  # postings of very common shingles
+            k, none = group.num_rows, pa.nulls(group.num_rows, pa.binary())
+            return pa.table([pa.array([1] * k, pa.int32()), pa.array([0] * k, pa.int32()), group["h"], group["row"], group["n"], none, none, none], names=names)
         h, row = (np.concatenate([expand(x.as_py()) for x in group[c]]) for c in ("h", "row"))
         n, common = (np.concatenate([numbers(x.as_py()) for x in group[c]]) for c in ("n", "common"))
         order = np.argsort(h, kind="stable")
@@ -335,7 +365,7 @@ def meet(posted: DataFrame, parts: int) -> DataFrame:
             kinds.append(1)
             for col, v in zip(cols, (0, squeeze(h[many]), squeeze(row[many]), planes(n[many]), None, None, None), strict=True):
                 col.append(v)
-        return pa.table([pa.array(kinds, pa.int32()), pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["kind", "part", "a", "b", "na", "nb", "c", "slack"])
+        return pa.table([pa.array(kinds, pa.int32()), pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=names)
 
     return posted.groupBy("part").applyInArrow(join, "kind int, part int, a binary, b binary, na binary, nb binary, c binary, slack binary")
 
@@ -371,7 +401,7 @@ def large_groups(met: DataFrame, parts: int) -> DataFrame:
 
     def gather(group: pa.Table) -> pa.Table:
         h, row = (np.concatenate([expand(x.as_py()) for x in group[c]]) for c in ("h", "row"))
-        n = np.concatenate([numbers(x.as_py()) for x in group["n"]])
+        n = np.concatenate([numbers(x.as_py()) for x in group["n"]]) & np.uint32(0x7FFFFFFF)
         order = np.lexsort((h, row))
         h, row, n = h[order], row[order].astype(np.int64), n[order]
         heads = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
@@ -381,40 +411,41 @@ def large_groups(met: DataFrame, parts: int) -> DataFrame:
     return dealt.groupBy("part").applyInArrow(gather, "row long, n int, hashes binary")
 
 
-def by_shingle(posts: DataFrame, labels: DataFrame, parts: int) -> DataFrame:
-    """The shingles of :func:`large_groups` with the classes of their texts, dealt to ``parts`` by shingle."""
+def postings(posts: DataFrame, labels: DataFrame) -> DataFrame:
+    """(h, row, n, label) of the shingles of :func:`large_groups`."""
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.frombuffer(x.as_py(), np.uint64) for x in batch.column(2)]
-            if not sets:
-                continue
-            k = np.fromiter(map(len, sets), np.int64, len(sets))
-            h = np.concatenate(sets)
-            row, n, label = (np.repeat(batch.column(c).to_numpy(), k) for c in (0, 1, 3))
-            for p, own in pieces(mixed(h, parts), parts):
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), *(pa.array([squeeze(x[own])]) for x in (h, row, label)), pa.array([planes(n[own])])], ["part", "h", "row", "label", "n"])
+            sets = [np.frombuffer(x.as_py(), np.int64) for x in batch.column(2)]
+            if sets:
+                k = np.fromiter(map(len, sets), np.int64, len(sets))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets)), *(pa.array(np.repeat(batch.column(c).to_numpy(), k)) for c in (0, 1, 3))], ["h", "row", "n", "label"])
+
+    return labelled(posts, labels, "row", "label").select("row", "n", "hashes", "label").mapInArrow(spread, "h long, row long, n int, label long")
 
-    return labelled(posts, labels, "row", "label").select("row", "n", "hashes", "label").mapInArrow(deal, "part int, h binary, row binary, label binary, n binary")
 
+def columns(group: pa.Table, *names: str) -> list[np.ndarray]:
+    return [group[c].to_numpy().astype(np.int64) for c in names]
 
-def open_groups(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
-    """(rows, set sizes, classes, hash) of the shingles whose texts are in several classes."""
-    h, row, label = (np.concatenate([expand(x.as_py()) for x in group[c]]) for c in ("h", "row", "label"))
-    n = np.concatenate([numbers(x.as_py()) for x in group["n"]]).astype(np.int64)
-    order = np.lexsort((row, h))
-    h, row, label, n = h[order], row[order].astype(np.int64), label[order].astype(np.int64), n[order]
-    heads = np.append(np.flatnonzero(np.append(True, h[1:] != h[:-1])), len(h))
-    for s, e in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
-        if (label[s:e] != label[s]).any():
-            yield row[s:e], n[s:e], label[s:e], int(h[s])
+
+def runs(*keys: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of equal keys."""
+    if not len(keys[0]):
+        return []
+    fresh = np.zeros(len(keys[0]), bool)
+    fresh[0] = True
+    for x in keys:
+        fresh[1:] |= x[1:] != x[:-1]
+    heads = np.append(np.flatnonzero(fresh), len(fresh))
+    return list(zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True))
 
 
 def segments(chunks: DataFrame, wanted: DataFrame, *, fragments: int = FRAGMENTS, most_bits: int = 26) -> DataFrame:
     """(row, n, fragment, segment) of the sets whose rows are in ``wanted``, and of few others.
 
-    A bounded bit table picks the texts before anything is joined; where it is
-    full, it merely lets more of them through.
+    A fragment is a range of the order of hashes; a segment is the part of a set
+    in it. A bounded bit table picks the texts before anything is joined; where it
+    is full, it merely lets more of them through.
     """
     slots = 1 << min(most_bits, max(16, (16 * wanted.count()).bit_length()))
     block = 1 << 16
@@ -445,88 +476,66 @@ def segments(chunks: DataFrame, wanted: DataFrame, *, fragments: int = FRAGMENTS
 
         edges = np.array([k * ((1 << 64) // fragments) for k in range(1, fragments)], np.uint64)
         for rows, n, h in sets_of(batches, pick=pick):
-            ends = np.cumsum(n)
-            out = [np.split(own, np.searchsorted(own, edges)) for own in np.split(h, ends[:-1])]
-            sizes = np.array([len(x) for own in out for x in own])
-            offsets = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
-            lists = pa.ListArray.from_arrays(offsets, pa.array(h.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(rows, fragments)), pa.array(np.repeat(n, fragments), pa.int32()), pa.array(np.tile(np.arange(fragments), len(rows)), pa.int32()), lists], ["row", "n", "fragment", "segment"])
-
-    return texts_of(chunks).mapInArrow(cut_up, "row long, n int, fragment int, segment array<long>")
+            out = [x.tobytes() for own in np.split(h, np.cumsum(n)[:-1]) for x in np.split(own, np.searchsorted(own, edges))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(rows, fragments)), pa.array(np.repeat(n, fragments), pa.int32()), pa.array(np.tile(np.arange(fragments), len(rows)), pa.int32()), pa.array(out, pa.binary())], ["row", "n", "fragment", "segment"])
 
-
-def spread_links(pairs: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) that link: partial overlaps by fragment, summed."""
-    parts = segments(chunks, ends_of(pairs))
-    one = parts.select(F.col("row").alias("b"), F.col("n").alias("nb"), "fragment", F.col("segment").alias("sb"))
-    two = parts.select(F.col("row").alias("a"), F.col("n").alias("na"), "fragment", F.col("segment").alias("sa"))
-    met = pairs.select("a", "b").join(one, "b").join(two, ["a", "fragment"])
-    some = met.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("c"))
-    whole = some.groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
-    return whole.where("100 * c >= 75 * (na + nb - c)").select("a", "b")
+    return texts_of(chunks).mapInArrow(cut_up, "row long, n int, fragment int, segment binary")
 
 
 def ends_of(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
 
 
-def block_links(pairs: DataFrame, rows: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Links that join all classes of the pairs (a, b, c, block); ``rows`` has the block of every row.
-
-    Each text goes once to the task of its block. There the pairs that share
-    most come first, and a pair whose texts are in one class already isn't compared.
-    """
-    small = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-    sets = segments(chunks, rows, fragments=1).select("row", "segment").join(small, "row")
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        own = right["segment"].combine_chunks()
-        edges, flat = own.offsets.to_numpy(), own.values.to_numpy()
-        at = {r: k for k, r in enumerate(right["row"].to_pylist())}
-        top = list(range(len(at)))
-
-        def root(k: int) -> int:
-            while top[k] != k:
-                top[k] = top[top[k]]
-                k = top[k]
-            return k
-
-        left = left.sort_by([("c", "descending"), ("a", "ascending"), ("b", "ascending")])
-        out = [[], []]
-        for a, b in zip(left["a"].to_pylist(), left["b"].to_pylist(), strict=True):
-            i, j = at[a], at[b]
-            x, y = root(i), root(j)
-            if x == y:
-                continue
-            one, two = flat[edges[i] : edges[i + 1]], flat[edges[j] : edges[j + 1]]
-            both = np.concatenate([one, two])
-            both.sort()
-            c = int((both[1:] == both[:-1]).sum())
-            if 100 * c >= 75 * (len(one) + len(two) - c):
-                top[max(x, y)] = min(x, y)
-                out[0].append(a)
-                out[1].append(b)
-        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
-
-    return pairs.select("block", "a", "b", "c").groupBy("block").cogroup(sets.select("block", "row", "segment").groupBy("block")).applyInArrow(compare, "a long, b long")
-
-
 def linked(pairs: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Links that join all classes of the pairs (a, b, c), a cut table.
+    """Those of the pairs (a, b), a cut table, that link, by vertical partitioning.
 
-    Texts that pairs connect make a block; a block of more than ``BLOCK_TEXTS``
-    texts is compared pair by pair all over the cluster instead.
+    Every set is cut into segments, one for each fragment of the order; a task
+    counts what the pairs of a bin share in one fragment, and these partial
+    overlaps are summed for each pair. A pair goes to a bin of its end in fewer
+    pairs, so that a text in very many of them comes once to each bin, and no bin
+    has all of its pairs.
     """
-    near = components(pairs.select("a", "b"))
-    blocks = cut(labelled(ends_of(pairs), near.select(F.col("node").alias("row"), F.col("component").alias("label")), "row", "block"), few=True)
-    forget(near)
-    large = blocks.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_TEXTS).select("block")
-    placed = cut(pairs.join(blocks.withColumnRenamed("row", "a"), "a"), few=True)
-    out = block_links(placed.join(large, "block", "left_anti"), blocks.join(large, "block", "left_anti"), chunks)
-    if not large.isEmpty():
-        out = out.unionByName(spread_links(placed.join(large, "block", "left_semi"), chunks))
-    out = cut(out, few=True)
-    forget(blocks, placed)
+    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("row"))
+    degree = cut(ends.groupBy("row").agg(F.count("*").alias("k")))
+    bins = max(1, -(-degree.count() // BIN_TEXTS))
+    da, db = (degree.select(F.col("row").alias(c), F.col("k").alias(f"k{c}")) for c in ("a", "b"))
+    known = pairs.select("a", "b").join(da, "a").join(db, "b")
+    known = known.select(F.when(F.col("ka") <= F.col("kb"), F.col("a")).otherwise(F.col("b")).alias("own"), F.when(F.col("ka") <= F.col("kb"), F.col("b")).otherwise(F.col("a")).alias("hub"))
+    placed = cut(known.withColumn("bin", F.pmod(F.xxhash64("own"), F.lit(bins))))
+    need = placed.select(F.col("bin").alias("to"), F.explode(F.array("own", "hub")).alias("row")).distinct()
+    sets = segments(chunks, degree).join(need, "row").select("to", "fragment", "row", "n", "segment")
+    todo = placed.select("bin", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("part"), "own", "hub")
+
+    def overlap(left: pa.Table, right: pa.Table) -> pa.Table:
+        own, hub = columns(left, "own", "hub")
+        row, n = columns(right, "row", "n")
+        order = np.argsort(row)
+        sets = right["segment"].combine_chunks()
+        edges = sets.buffers()[1]
+        edges = np.frombuffer(edges, np.int32)[sets.offset : sets.offset + len(sets) + 1] // 8
+        flat = np.frombuffer(sets.buffers()[2] or b"", np.uint64)
+        # places of the hashes among the distinct ones, set after set
+        place, first = np.unique(flat[edges[0] : edges[-1]], return_inverse=True)[1], edges - edges[0]
+        x, y = (order[np.searchsorted(row[order], v)] for v in (own, hub))
+        by = np.argsort(y, kind="stable")
+        x, y, c = x[by], y[by], np.zeros(len(by), np.int64)
+        marked = np.zeros(int(place.max(initial=-1)) + 1, bool)
+        for s, e in runs(y):
+            mine = place[first[y[s]] : first[y[s] + 1]]
+            marked[mine] = True
+            size = first[x[s:e] + 1] - first[x[s:e]]
+            begin = np.cumsum(size) - size
+            hit = marked[place[np.arange(size.sum()) + np.repeat(first[x[s:e]] - begin, size)]]
+            total = np.append(0, np.cumsum(hit))
+            c[s:e] = total[begin + size] - total[begin]
+            marked[mine] = False
+        some = c > 0
+        return pa.table([pa.array(v) for v in (row[x[some]], row[y[some]], n[x[some]], n[y[some]], c[some])], names=["a", "b", "na", "nb", "c"])
+
+    counted = todo.groupBy("bin", "part").cogroup(sets.groupBy("to", "fragment")).applyInArrow(overlap, "a long, b long, na long, nb long, c long")
+    whole = counted.groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
+    out = cut(whole.where("100 * c >= 75 * (na + nb - c)").select("a", "b"))
+    forget(degree, placed)
     return out
 
 
@@ -536,49 +545,76 @@ def labelled(rows: DataFrame, labels: DataFrame, col: str, name: str) -> DataFra
     return rows.join(own, F.col(col) == F.col("_row"), "left").withColumn(name, F.coalesce("_label", col)).drop("_row", "_label")
 
 
-def hub_pairs(posts: DataFrame, labels: DataFrame, parts: int, turn: int) -> DataFrame:
+def hub_pairs(posts: DataFrame, labels: DataFrame, parts: int, salts: int, turn: int) -> DataFrame:
     """Pairs (a, b, c) of a hub and the texts of other classes that share a shingle with it.
 
-    In turn 0 a text is as good a hub for every shingle, later each shingle draws anew.
+    In turn 0 a text is as good a hub for every shingle, later each shingle draws
+    anew. The texts of a shingle are dealt to ``salts`` tasks, each of which picks
+    a hub; these hubs meet the hub of all.
     """
 
-    def hubs(group: pa.Table) -> pa.Table:
-        out = []
-        for row, n, label, h in open_groups(group):
-            salt = np.uint64((h ^ turn * 0x9E3779B97F4A7C15) & (1 << 64) - 1) if turn else np.uint64(0)
-            k = int((((row.astype(np.uint64) ^ salt) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(20)).argmin())
-            some = (label != label[k]) & (4 * np.minimum(n, n[k]) >= 3 * np.maximum(n, n[k]))
+    def pick(group: pa.Table, key: str, send: bool) -> pa.Table:
+        h, row, n, label = columns(group, "h", "row", "n", "label")
+        order = np.lexsort((row, group[key].to_numpy(), h))
+        h, row, n, label, salt = h[order], row[order], n[order], label[order], group[key].to_numpy()[order]
+        out, heads = [], []
+        for s, e in runs(h, salt):
+            draw = np.uint64((int(h[s]) ^ turn * 0x9E3779B97F4A7C15) & (1 << 64) - 1) if turn else np.uint64(0)
+            k = s + int((((row[s:e].astype(np.uint64) ^ draw) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(20)).argmin())
+            heads.append(k)
+            some = s + np.flatnonzero((label[s:e] != label[k]) & (4 * np.minimum(n[s:e], n[k]) >= 3 * np.maximum(n[s:e], n[k])))
             out.append(np.stack([np.minimum(row[some], row[k]), np.maximum(row[some], row[k])]))
         pairs, c = np.unique(np.concatenate(out, axis=1), axis=1, return_counts=True) if out else (np.zeros((2, 0), np.int64), np.zeros(0, np.int64))
-        return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1]), "c": pa.array(c.astype(np.int64))})
+        k = np.array(heads if send else [], np.int64)
+        none = np.zeros(len(c), np.int64)
+        cols = [np.append(none, h[k]), np.append(pairs[0], row[k]), np.append(pairs[1], n[k]), np.append(c, label[k])]
+        return pa.table([pa.array([0] * len(c) + [1] * len(k), pa.int32()), *map(pa.array, cols)], names=["kind", "h", "a", "b", "c"])
 
-    dealt = by_shingle(posts, labels, parts).groupBy("part").applyInArrow(hubs, "a long, b long, c long")
-    return dealt.groupBy("a", "b").agg(F.sum("c").alias("c"))
+    schema = "kind int, h long, a long, b long, c long"
+    dealt = postings(posts, labels).withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts))).withColumn("part", F.pmod(F.xxhash64("h", "salt"), F.lit(parts)))
+    found = dealt.groupBy("part").applyInArrow(lambda g: pick(g, "salt", salts > 1), schema)
+    if salts > 1:
+        found = cut(found)
+        heads = found.where("kind = 1").select("h", F.col("a").alias("row"), F.col("b").alias("n"), F.col("c").alias("label"), F.pmod(F.xxhash64("h"), F.lit(parts)).alias("part"))
+        found = found.unionByName(heads.withColumn("all", F.lit(0)).groupBy("part").applyInArrow(lambda g: pick(g, "all", False), schema))
+    return found.where("kind = 0").groupBy("a", "b").agg(F.sum("c").alias("c"))
 
 
 def open_pairs(posts: DataFrame, labels: DataFrame, parts: int) -> DataFrame:
     """Pairs (a, b, c) across classes that share enough of these shingles to link.
 
-    A pair that shares other prefix shingles too has been decided before.
+    A pair that shares other prefix shingles too has been decided before. The
+    texts of a shingle with several classes are dealt to a grid of cells, two of
+    whose sides meet in each, so that none gathers them all.
     """
+    all_ = cut(postings(posts, labels))
+    opened = all_.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("k")).where("low <> high")
+    opened = opened.select(F.col("h").alias("oh"), F.ceil(F.col("k") / CELL_TEXTS).alias("sides"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s"))
+    mine = all_.withColumn("s2", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(opened, (F.col("h") == F.col("oh")) & (F.col("s2") == F.col("s")))
+    mine = mine.withColumn("side", F.pmod(F.xxhash64("row", F.lit(1)), F.col("sides"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("sides") - 1)))
+    mine = mine.withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other")).withColumn("part", F.pmod(F.xxhash64("h", "i", "j"), F.lit(parts)))
 
     def across(group: pa.Table) -> pa.Table:
-        tally, size = Tally(), {}
-        texts = np.unique(np.concatenate([expand(x.as_py()) for x in group["row"]])).astype(np.int64)
-        for row, n, label, _ in open_groups(group):
-            place = np.searchsorted(texts, row)
-            size.update(zip(place.tolist(), n.tolist(), strict=True))
-            for k in range(len(row) - 1):
-                some = (label[k + 1 :] != label[k]) & (4 * np.minimum(n[k + 1 :], n[k]) >= 3 * np.maximum(n[k + 1 :], n[k]))
+        h, row, n, label, side, i, j = columns(group, "h", "row", "n", "label", "side", "i", "j")
+        order = np.lexsort((row, j, i, h))
+        h, row, n, label, side, i, j = (x[order] for x in (h, row, n, label, side, i, j))
+        texts, first, place = np.unique(row, return_index=True, return_inverse=True)
+        tally = Tally()
+        for s, e in runs(h, i, j):
+            for k in range(s, e - 1):
+                rest = slice(k + 1, e)
+                some = (label[rest] != label[k]) & (4 * np.minimum(n[rest], n[k]) >= 3 * np.maximum(n[rest], n[k]))
+                if i[k] != j[k]:  # texts of one side meet in a cell of their own
+                    some &= side[rest] != side[k]
                 if some.any():
-                    tally.add(place[k] * len(texts) + place[k + 1 :][some])
+                    tally.add(place[k] * len(texts) + place[rest][some])
         pairs, times = tally.whole()
         x, y = pairs // max(1, len(texts)), pairs % max(1, len(texts))
-        na, nb = (np.fromiter((size[i] for i in z.tolist()), np.int64, len(z)) for z in (x, y))
-        cols = pair_pieces(texts[x], texts[y], na, nb, times, np.zeros(len(x), np.int64), parts)
+        cols = pair_pieces(texts[x], texts[y], n[first[x]], n[first[y]], times, np.zeros(len(x), np.int64), parts)
         return pa.table([pa.array([0] * len(cols[0]), pa.int32()), pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["kind", "part", "a", "b", "na", "nb", "c", "slack"])
 
-    return summed(by_shingle(posts, labels, parts).groupBy("part").applyInArrow(across, "kind int, part int, a binary, b binary, na binary, nb binary, c binary, slack binary"))
+    met = mine.select("part", "h", "row", "n", "label", "side", "i", "j").groupBy("part").applyInArrow(across, "kind int, part int, a binary, b binary, na binary, nb binary, c binary, slack binary")
+    return summed(met)
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", hub_turns: int = 2) -> DataFrame:
@@ -592,40 +628,42 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     total = head.where("rep = row").agg(F.sum("n")).first()[0] or 0
     slots, ranks = common_slots(chunks, total)
     parts = max(12, total // 4 // RANGE_POSTINGS)
-    met = cut(meet(prefixes(chunks, slots, ranks, parts), parts), few=True, blobs=True)
-    close, large = cut(summed(met), few=True), cut(large_groups(met, parts), few=True)
+    met = cut(meet(prefixes(chunks, slots, ranks, parts), parts), blobs=True)
+    close, large = cut(summed(met)), cut(large_groups(met, parts))
     forget(met)
     # equal sets are one class before anything is compared; the first row stands for it
     own = head.where("rep = row and n > 0").select("row", "mark")
     same = own.groupBy("mark").agg(F.min("row").alias("label"), F.count("*").alias("k")).where("k > 1")
-    labels = cut(own.join(same, "mark").where("row <> label").select("row", "label"), few=True)
+    labels = cut(own.join(same, "mark").where("row <> label").select("row", "label"))
     alone = labelled(labelled(close, labels, "a", "la"), labels, "b", "lb").where("la <> lb")
     alone = alone.groupBy(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).agg(F.max("c").alias("c"))
-    posts = cut(large.join(labels.select("row"), "row", "left_anti"), few=True)
+    posts = cut(large.join(labels.select("row"), "row", "left_anti"))
     forget(large)
 
     def settle(pairs: DataFrame) -> None:
         """Compare pairs, and join the classes of those that link."""
         nonlocal labels
-        pairs = cut(pairs, few=True)
+        pairs = cut(pairs)
         if not pairs.isEmpty():
             found = linked(pairs, chunks)
             links = labelled(labelled(found, labels, "a", "la"), labels, "b", "lb")
             classes = components(links.select(F.col("la").alias("a"), F.col("lb").alias("b")))
             moved = labelled(labels, classes.select(F.col("node").alias("row"), F.col("component").alias("label")), "label", "now").select("row", F.col("now").alias("label"))
             fresh = classes.join(labels, F.col("node") == F.col("row"), "left_anti").select(F.col("node").alias("row"), F.col("component").alias("label"))
-            state = cut(moved.unionByName(fresh), few=True)
+            state = cut(moved.unionByName(fresh))
             forget(labels, classes, found)
             labels = state
         forget(pairs)
 
     # texts that share rare shingles and those that share common ones with hubs, then what is still apart
-    if posts.isEmpty():
+    texts = posts.count()
+    if not texts:
         settle(alone)
     else:
-        settle(alone.unionByName(hub_pairs(posts, labels, parts, 0)).groupBy("a", "b").agg(F.max("c").alias("c")))
+        salts = -(-texts // SALT_TEXTS)
+        settle(alone.unionByName(hub_pairs(posts, labels, parts, salts, 0)).groupBy("a", "b").agg(F.max("c").alias("c")))
         for turn in range(1, hub_turns):
-            settle(hub_pairs(posts, labels, parts, turn))
+            settle(hub_pairs(posts, labels, parts, salts, turn))
         settle(open_pairs(posts, labels, parts))
     forget(close, posts)
     named = labelled(head, labels, "rep", "label")

@@ -479,11 +479,11 @@ def copies(n, seed):
     return out
 
 
-@pytest.mark.parametrize(("group", "block"), [(256, 2000), (8, 2000), (8, 20)])
-def test_large_groups_equal_brute_force(spark, monkeypatch, group, block):
-    monkeypatch.setattr(jaccard, "GROUP", group)
-    monkeypatch.setattr(jaccard, "BLOCK_TEXTS", block)
-    docs = copies(60, group + block)
+@pytest.mark.parametrize(("group", "bins", "hot", "salt", "cell"), [(256, 1000, 1 << 14, 1 << 16, 2048), (8, 1000, 1 << 14, 1 << 16, 2048), (8, 20, 1 << 14, 16, 8), (8, 7, 16, 16, 5), (2, 20, 32, 7, 3)])
+def test_large_groups_equal_brute_force(spark, monkeypatch, group, bins, hot, salt, cell):
+    for name, value in zip(("GROUP", "BIN_TEXTS", "HOT", "SALT_TEXTS", "CELL_TEXTS"), (group, bins, hot, salt, cell), strict=True):
+        monkeypatch.setattr(jaccard, name, value)
+    docs = copies(60, group + bins)
     df = spark.createDataFrame([(d["doc_id"], d["text"]) for d in docs], "doc_id long, text string").repartition(3)
     got = jaccard.near_duplicates(df).collect()
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_components(docs)
