@@ -1,10 +1,10 @@
 """Language-model scoring with a hidden Markov model.
 
-States emit word classes and classes emit words. The ``top`` most frequent words
-are classes of their own, all others fall into ``buckets`` by a hash, and a
-word's share of its bucket comes from its count; so the trained tables stay
-small while every count covers all training texts. Baum-Welch runs as Spark
-jobs: each partition sums its expected counts, an aggregation adds them up, and
+States emit word classes and classes emit words. The most frequent words, ``top``
+at most, are classes of their own (of words that are about as frequent, all or
+none), all others fall into ``buckets`` by a hash, and a word's share of its
+bucket comes from its count; so the trained tables stay small while every count
+covers all training texts. Baum-Welch runs as Spark jobs: each partition sums its expected counts, an aggregation adds them up, and
 the driver only sees classes times states numbers. A text's score is the exact
 likelihood from the scaled forward recursion.
 
@@ -261,8 +261,15 @@ def score_documents(docs: DataFrame, held: Column, *, id_col: str = "doc_id", te
     data = cut(chunks(docs, held, id_col=id_col, text_col=text_col), blobs=True)
     counted = cut(count_words(data, top=top, buckets=buckets), blobs=True)
     whole = counted.where("chunk < 0")
-    # the driver sees `top` words and `buckets` sums
-    best = whole.select(F.explode("words").alias("w")).orderBy(F.desc("w.n"), "w.h").limit(top).select("w.*").collect()
+    # the driver sees `top` words at most, and `buckets` sums: the least count that makes a word one of them comes first
+    frequent = whole.select(F.explode("words").alias("w")).select("w.*")
+    step = F.floor(F.log2("n") * 32).cast("int")
+    counts, least = {r["step"]: r["k"] for r in frequent.groupBy(step.alias("step")).agg(F.count("*").alias("k")).collect()}, 1 << 20
+    for one in sorted(counts, reverse=True):
+        if sum(k for s, k in counts.items() if s >= one) > top:
+            break
+        least = one
+    best = frequent.where(step >= least).collect()
     classes = Classes(np.array([r["h"] for r in best], np.int64).view(np.uint64), buckets)
     own = len(best)
     size, kinds = np.zeros(classes.size), np.zeros(classes.size)

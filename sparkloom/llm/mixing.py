@@ -12,8 +12,9 @@ short documents, so a block misses its share by half of a short document.
 
 Null, empty and odd input: a null text has no words and is taken no times; the
 null source is a source of its own, sorted last; a source without words has
-target 0; repeated rows count one by one; an empty table gives an empty result;
-other columns are ignored.
+target 0; very long texts count like any other, and come first in their block;
+documents of one size are placed by id; repeated rows count one by one; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, forget, table, words
@@ -51,6 +52,11 @@ def targets(sizes: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share: fl
     return free.withColumn("target", F.when(final.isNull(), top).otherwise(F.least(top, final * F.col("w"))).cast("double")).select("sid", "source", F.col("source_size").cast("long").alias("source_size"), "n", "least", "target")
 
 
+def exact_sum(col: Column) -> Column:
+    """A sum that doesn't depend on the order of its terms, so that reruns agree to the last bit."""
+    return F.sum(col.cast("decimal(30,9)")).cast("double")
+
+
 def tilt(sizes: DataFrame, goal: DataFrame, *, cap: float = 2.0, steps: int = 40, tolerance: float = 1e-9) -> DataFrame:
     """One row for each source: sid and its tilt ``lam`` (null: all at the cap, or none).
 
@@ -72,8 +78,8 @@ def tilt(sizes: DataFrame, goal: DataFrame, *, cap: float = 2.0, steps: int = 40
         x = F.col("size") / F.col("mean")
         e = F.exp(F.least(F.col("lam") * x, F.lit(math.log(cap))))
         got = hist.join(state.where("not done and not full and target > 0"), "sid").groupBy("sid").agg(
-            F.sum(F.col("k") * F.col("size") * e).alias("f"),
-            F.sum(F.when(F.col("lam") * x < math.log(cap), F.col("k") * F.col("size") * x * e).otherwise(0.0)).alias("g"),
+            exact_sum(F.col("k") * F.col("size") * e).alias("f"),
+            exact_sum(F.when(F.col("lam") * x < math.log(cap), F.col("k") * F.col("size") * x * e).otherwise(0.0)).alias("g"),
         )
         over = F.col("f") > F.col("target")
         low, high = F.when(over, F.col("low")).otherwise(F.col("lam")), F.when(over, F.col("lam")).otherwise(F.col("high"))

@@ -1,15 +1,17 @@
 """Resharding by minimum-cost flow.
 
-The rows of each old shard fall into a fixed number of blocks by a hash of their
-id. Only the block sizes reach the driver (``n_old * blocks`` numbers). A
+The rows of each old shard fall into blocks, whose number follows the rows', by a
+hash of their id. Only the block sizes reach the driver (``n_old * blocks`` numbers). A
 minimum-cost flow from old shards to new ones, whose costs are bytes moved, says
 how many bytes go from each shard to each other; whole blocks then realise the
 flow. Slots come from row counts of the blocks and a window inside each block,
 so no task ever holds a shard.
 
 Null, empty and odd input: a null text has no bytes (size 1); a null id hashes
-like any other value; an empty table gives an empty result; repeated rows each
-get a place of their own; other columns are ignored.
+like any other value; very long texts count in bytes like any other; ties in the
+order of a block are between equal rows; an empty table gives an empty result;
+repeated rows each get a place of their own; other columns are ignored, or kept
+as they are by a rewrite.
 """
 
 from __future__ import annotations
@@ -21,6 +23,10 @@ from pyspark.sql import functions as F
 
 from .common import cut, table
 
+BLOCK_ROWS = 50_000
+LEAST_BLOCKS = 256
+MOST_SIZES = 1_000_000
+
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost: list[list[int]]) -> list[list[int]]:
     """Units sent from each supplier to each receiver at the least total cost.
@@ -113,27 +119,35 @@ def reshard(
     n_old: int,
     id_col: str = "doc_id",
     text_col: str = "text",
-    blocks: int = 256,
+    blocks: int | None = None,
     capacities: list[int] | None = None,
     cost: list[list[int]] | None = None,
+    whole: bool = False,
 ) -> tuple[DataFrame, list[list[int]]]:
     """Place every row in a new shard; also returns the bytes sent between shards.
 
     ``old_shard`` (0 to ``n_old - 1``) is where a row lies now. ``capacities``
     are the new shards' bytes (even ones by default) and ``cost`` the price of a
-    byte from an old shard to a new one (0 to stay, 1 to move). The driver holds
-    ``n_old * blocks`` sizes. Columns: id, size, text_crc32, old_shard, shard, slot.
+    byte from an old shard to a new one (0 to stay, 1 to move). An old shard has
+    ``blocks`` blocks, by default as many as keep them at ``BLOCK_ROWS`` rows each
+    if all lie in one shard; the driver holds ``n_old * blocks`` sizes, a million
+    at most. Columns: id, size, text_crc32, old_shard, shard, slot; with ``whole``
+    also ``row``, a struct of the columns of ``docs``.
     """
     spark = docs.sparkSession
     bytes_ = F.encode(F.coalesce(docs[text_col], F.lit("")), "utf-8")
+    row = [F.struct(*(docs[c] for c in docs.columns)).alias("row")] if whole else []
     rows = cut(
         docs.select(
             docs[id_col].alias("doc_id"),
             (F.octet_length(bytes_) + 1).cast("long").alias("size"),
             F.crc32(bytes_).alias("text_crc32"),
             old_shard.cast("int").alias("old_shard"),
-        ).withColumn("block", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(blocks)).cast("int"))
+            *row,
+        )
     )
+    blocks = blocks or min(max(LEAST_BLOCKS, rows.count() // BLOCK_ROWS), MOST_SIZES // n_old)
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(blocks)).cast("int"))
     found = rows.groupBy("old_shard", "block").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
     sizes = {(r.old_shard, r.block): r.bytes for r in found}
     supply = [sum(v for k, v in sizes.items() if k[0] == i) for i in range(n_old)]
@@ -147,23 +161,29 @@ def reshard(
         plan.append((r.old_shard, r.block, j, first[j]))
         first[j] += r.n
     layout = spark.createDataFrame(plan, "old_shard int, block int, shard int, first long")
-    inside = Window.partitionBy("old_shard", "block").orderBy("doc_id", "size", "text_crc32")
-    # at most n_old * blocks short rows: small enough to send to every executor
+    # the shard follows from the other two; with it, a choice of shards is made before the sort
+    inside = Window.partitionBy("old_shard", "block", "shard").orderBy("doc_id", "size", "text_crc32")
+    # at most a million short rows: small enough to send to every executor
     placed = rows.join(F.broadcast(layout), ["old_shard", "block"]).withColumn("slot", F.col("first") + F.row_number().over(inside) - 1)
-    return placed.select("doc_id", "size", "text_crc32", "old_shard", "shard", F.col("slot").cast("long").alias("slot")), flow
+    return placed.select("doc_id", "size", "text_crc32", "old_shard", "shard", F.col("slot").cast("long").alias("slot"), *(["row"] if whole else [])), flow
 
 
-def rewrite_affected(docs: DataFrame, placed: DataFrame, path: str, *, id_col: str = "doc_id") -> list[int]:
+def rewrite_affected(placed: DataFrame, flow: list[list[int]], path: str) -> list[int]:
     """Write anew the shards that lose or gain rows, one folder each; returns them.
 
-    ``docs`` must have one row for each id. Shards that keep exactly their rows
-    aren't touched.
+    ``placed`` comes from :func:`reshard` with ``whole``. Shards that keep exactly
+    their rows aren't touched. Rows lie in the order of their slots; repeated rows
+    are written as often as they come. The folders' name is ``shard``, with
+    underscores before it if the documents have such a column.
     """
-    moved = placed.where("old_shard <> shard")
-    hit = sorted(r[0] for r in moved.select("old_shard").union(moved.select("shard")).distinct().collect())
-    where = placed.where(F.col("shard").isin(hit)).select(F.col("doc_id").alias("_id"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    out = docs.join(where, docs[id_col].eqNullSafe(where["_id"])).drop("_id")
-    out.repartition("_shard", F.floor(F.col("_slot") / 1_000_000)).sortWithinPartitions("_shard", "_slot").withColumnRenamed("_shard", "shard").drop("_slot").write.partitionBy("shard").mode("overwrite").parquet(path)
+    sent = [(i, j) for i, own in enumerate(flow) for j, x in enumerate(own) if x and i != j]
+    hit = sorted({s for pair in sent for s in pair})
+    name = "shard"
+    while name in placed.schema["row"].dataType.names:
+        name = "_" + name
+    out = placed.where(F.col("shard").isin(hit)).select("row.*", F.col("shard").alias(name), F.col("slot").alias("__slot"))
+    part = F.floor(F.col("__slot") / 1_000_000).alias("__part")
+    out.withColumn("__part", part).repartition(name, "__part").sortWithinPartitions(name, "__slot").drop("__slot", "__part").write.partitionBy(name).mode("overwrite").parquet(path)
     return hit
 
 

@@ -528,10 +528,32 @@ def test_resharding_odd_input(spark, odd, none, tmp_path):
     placed, flow = resharding.reshard(odd, F.lit(0), 3, n_old=1)
     assert placed.count() == len(ODD) and sum(map(sum, flow)) == sum(len((r[1] or "").encode()) + 1 for r in ODD)
     assert resharding.reshard(none, F.lit(0), 3, n_old=1)[0].count() == 0
-    unique = odd.dropDuplicates(["doc_id"])
-    placed, _ = resharding.reshard(unique, F.pmod("doc_id", F.lit(2)), 3, n_old=2)
-    hit = resharding.rewrite_affected(unique, placed, str(tmp_path / "out"))
-    assert spark.read.parquet(str(tmp_path / "out")).count() == placed.where(F.col("shard").isin(hit)).count()
+    clash = odd.withColumn("shard", F.lit("x")).withColumn("slot", F.lit(1))
+    placed, flow = resharding.reshard(clash, F.pmod("doc_id", F.lit(2)), 3, n_old=2, whole=True)
+    hit = resharding.rewrite_affected(placed, flow, str(tmp_path / "out"))
+    out = spark.read.parquet(str(tmp_path / "out"))
+    own = placed.where(F.col("shard").isin(hit))
+    assert sorted(map(str, out.select(*clash.columns).collect())) == sorted(map(str, own.select("row.*").collect()))
+    assert Counter(r["_shard"] for r in out.collect()) == Counter(r["shard"] for r in own.collect())
+
+
+@pytest.mark.parametrize("blocks", [3, 40])
+def test_resharding_moves_what_the_flow_says(spark, blocks):
+    rng = np.random.default_rng(blocks)
+    rows = [(i, "x" * int(rng.integers(1, 60)), int(i % 7 > 1)) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, old int")
+    placed, flow = resharding.reshard(df, F.col("old"), 4, n_old=2, blocks=blocks)
+    got = placed.collect()
+    moved, slots = Counter(), defaultdict(list)
+    for r in got:
+        moved[r["old_shard"], r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    # whole blocks realise the flow, to within one of them for each way
+    block = 4 * sum(r["size"] for r in got) / (2 * blocks)
+    assert all(abs(moved[i, j] - flow[i][j]) <= block for i in range(2) for j in range(4))
+    least = sum(flow[i][j] for i in range(2) for j in range(4) if i != j)
+    assert abs(sum(x for (i, j), x in moved.items() if i != j) - least) <= 2 * block
 
 
 # 8: HTML
