@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import atexit
-import gc
+import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,14 @@ WORD = rf"[^{SPACE}]+"
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Rows may be long, so less goes to Python at once than Spark's default."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    """Rows may be long, so less goes to Python at once than Spark's default; what a session sets itself stays.
+
+    Plans take these settings when they run, often after the call that made them, so they remain set.
+    """
+    own = spark.conf.getAll
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "2000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")):
+        if key not in own:
+            spark.conf.set(key, value)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,28 +37,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see.
 
-    ``spark.checkpoint.dir`` names it; where that is unset, a local session
-    takes a temporary folder and any other one the warehouse.
+    ``spark.checkpoint.dir`` names it. Where that is unset, a local session, whose
+    driver is its only executor, takes a temporary folder; any other one must set it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     master = spark.sparkContext.master
-    if master.startswith("local") and not master.startswith("local-cluster"):
-        place = spark.conf.get("spark.sparkloom.localdir", None)
-        if not place:
-            place = tempfile.mkdtemp(prefix="sparkloom-")
-            atexit.register(shutil.rmtree, place, ignore_errors=True)
-            spark.conf.set("spark.sparkloom.localdir", place)
-        return f"file://{place}"
-    return spark.conf.get("spark.sql.warehouse.dir")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    place = spark.conf.get("spark.sparkloom.localdir", None)
+    if not place:
+        place = tempfile.mkdtemp(prefix="sparkloom-")
+        atexit.register(shutil.rmtree, place, ignore_errors=True)
+        spark.conf.set("spark.sparkloom.localdir", place)
+    return f"file://{place}"
+
+
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session, for a while."""
+    before = spark.conf.getAll.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def cut(df: DataFrame, *, blobs: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: its lineage ends there.
 
     A lost executor then costs a read of the table, not a new run of what made it.
-    ``blobs`` is for rows of megabytes: row groups stay small, as a reader holds one whole.
+    The shuffles of the write go with its end. ``blobs`` is for rows of megabytes:
+    row groups stay small, as a reader holds one whole. The table goes by
+    :func:`forget`, or else when the application ends.
     """
     spark = df.sparkSession
     bounded_batches(spark)
@@ -60,25 +82,29 @@ def cut(df: DataFrame, *, blobs: bool = False) -> DataFrame:
     write = df.write
     if blobs:
         write = write.option("parquet.block.size", str(4 << 20)).option("parquet.page.size.row.check.min", "1").option("parquet.page.size.row.check.max", "4")
-    write.parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        write.parquet(path)
+    files, place = hadoop(spark, path)
+    files.deleteOnExit(place)
     out = spark.read.schema(df.schema).parquet(path)
     out._sparkloom_path = path
     return out
 
 
+def hadoop(spark: SparkSession, path: str) -> tuple:
+    """A file system and a path in it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def forget(*frames: DataFrame | None) -> None:
-    """Delete tables made by :func:`cut` that nothing will read again, and let go of their shuffles."""
-    frames = tuple(df for df in frames if df is not None)
+    """Delete tables made by :func:`cut` that nothing will read again."""
     for df in frames:
         path = getattr(df, "_sparkloom_path", None)
         if path:
-            jvm = df.sparkSession._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
-    if frames:
-        # shuffle files go once the driver's garbage is collected, else they pile up over the steps of a query
-        gc.collect()
-        frames[0].sparkSession._jvm.System.gc()
+            files, place = hadoop(df.sparkSession, path)
+            files.delete(place, True)
+            files.cancelDeleteOnExit(place)
 
 
 def crc_mod(col: Column, n: int) -> Column:
