@@ -2,7 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 return the columns of documents. Columns beyond these are dropped, nulls in any
-of them are kept, and an empty table passes through as one.
+of them are kept, and an empty table passes through as one. Very long texts are
+read, redacted and packed whole. Repeated rows stay as often as they come but in
+the near-duplicate stage, where one of them is the document that stays, and of
+rows alike in id and text the first by source, language and length; the mix
+takes copies of that one. Ties are settled as the operators' modules say.
 """
 
 from __future__ import annotations
