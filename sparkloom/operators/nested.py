@@ -22,31 +22,42 @@ from pyspark.sql.functions import udtf
 from sparkloom.operators.windows import pages
 from sparkloom.registry import Tables, query
 
-NODE = "pointer string, depth int, kind string, tag string, cls string, code string, lang string, selector string, path array<string>, field string, text string"
+NODE = "ordinal int, pointer string, depth int, kind string, tag string, cls string, code string, lang string, selector string, path array<string>, anchors array<string>, field string, hidden boolean, text string"
+#: Fields whose strings are no text.
+NO_TEXT = frozenset("data href path src lang style tag imageRendering appearance verticalAlign border borderRadius sizeUnits".split())
 
 
 def escape_token(x: str) -> str:
     return x.replace("~", "~0").replace("/", "~1")
 
 
-def walk(node, pointer: str = "", depth: int = 0, path: tuple[str, ...] = (), tag: str | None = None, lang: str | None = None, field: str = "") -> Iterator[tuple]:
-    """Rows of :data:`NODE` for a parsed tree, parents before children, object keys in order."""
-    if isinstance(node, list):
-        for k, x in enumerate(node):
-            yield from walk(x, f"{pointer}/{k}", depth + 1, path, tag, lang, field)
-    elif isinstance(node, dict):
-        data = node.get("data") if isinstance(node.get("data"), dict) else {}
-        selector = data.get("content") or data.get("class")
-        inner = (*path, selector) if selector else path
-        lang, tag = node.get("lang", lang), node.get("tag")
-        yield pointer, depth, "object", tag, data.get("class"), data.get("code"), lang, selector, list(inner), field, None
-        for key in sorted(node):
-            if key in ("data", "tag", "lang", "style"):
-                continue
-            yield from walk(node[key], f"{pointer}/{escape_token(key)}", depth + 1, inner, tag, lang, key)
-    else:
-        kind = "string" if isinstance(node, str) else "null" if node is None else type(node).__name__
-        yield pointer, depth, kind, tag, None, None, lang, path[-1] if path else None, list(path), field, node if isinstance(node, str) else json.dumps(node)
+def walk(tree) -> Iterator[tuple]:
+    """Rows of :data:`NODE` for a parsed tree, parents before children, in the order of the document.
+
+    ``path`` has the selectors of the objects around a node and its own, ``anchors``
+    where these objects are; ``hidden`` nodes are inside a field that holds no text.
+    """
+    # a stack of its own: trees may be deeper than Python's
+    todo = [(tree, "", 0, (), (), None, None, "", False)]
+    ordinal = 0
+    while todo:
+        node, pointer, depth, path, anchors, tag, lang, field, hidden = todo.pop()
+        if isinstance(node, list):
+            todo += [(x, f"{pointer}/{k}", depth + 1, path, anchors, tag, lang, field, hidden) for k, x in reversed(list(enumerate(node)))]
+            continue
+        if isinstance(node, dict):
+            data = node.get("data") if isinstance(node.get("data"), dict) else {}
+            selector = data.get("content") or data.get("class")
+            selector = selector if isinstance(selector, str) else None
+            if selector:
+                path, anchors = (*path, selector), (*anchors, pointer)
+            lang, tag = node.get("lang", lang), node.get("tag")
+            yield ordinal, pointer, depth, "object", tag, data.get("class"), data.get("code"), lang, selector, list(path), list(anchors), field, hidden, None
+            todo += [(node[key], f"{pointer}/{escape_token(key)}", depth + 1, path, anchors, tag, lang, key, hidden or key in NO_TEXT) for key in reversed(node) if key not in ("data", "tag", "lang", "style")]
+        else:
+            kind = "string" if isinstance(node, str) else "null" if node is None else type(node).__name__
+            yield ordinal, pointer, depth, kind, tag, None, None, lang, path[-1] if path else None, list(path), list(anchors), field, hidden, node if isinstance(node, str) else json.dumps(node)
+        ordinal += 1
 
 
 @udtf(returnType=NODE)
@@ -56,7 +67,7 @@ class NodeTable:
     def eval(self, raw: str):
         try:
             tree = json.loads(raw) if raw is not None else None
-        except ValueError:
+        except (ValueError, RecursionError):
             return
         if tree is not None:
             yield from walk(tree)
@@ -97,40 +108,11 @@ def leaves(table: DataFrame, *, excluded: tuple[str, ...] = (), fields: tuple[st
     return kept.withColumn("role", F.coalesce(F.element_at(F.col("path"), F.when(F.size("path") > 0, F.lit(-1))), F.lit("text")))
 
 
-@query("n02_leaf_extraction", "SELECT p_partkey, '/content/0/content' AS pointer, 'tag' AS role, p_brand AS text FROM part UNION ALL SELECT p_partkey, '/content/0/title', 'tag', 'size ' || p_size FROM part UNION ALL SELECT p_partkey, '/content/1/content/0/content', 'glossary', p_name FROM part UNION ALL SELECT p_partkey, '/content/1/content/1/content', 'glossary', p_type FROM part")
-def leaf_extraction(t: Tables) -> DataFrame:
-    return leaves(nodes(t)).select("p_partkey", "pointer", "role", "text")
-
-
-@query("n03_glossary_sets", "SELECT p_partkey, p_name || ' | ' || p_type AS glossary FROM part")
-def glossary_sets(t: Tables) -> DataFrame:
-    """A glossary subtree is one unit: its leaves in order."""
-    g = leaves(nodes(t)).where("role = 'glossary'")
-    return g.groupBy("p_partkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pointer", "text"))), lambda x: x["text"]), " | ").alias("glossary"))
-
-
-@query("n04_visible_text", "SELECT p_partkey, p_brand || ' ' || p_name || ' ' || p_type AS visible FROM part")
-def visible_text(t: Tables) -> DataFrame:
-    v = nodes(t).where("kind = 'string' AND field = 'content'")
-    return v.groupBy("p_partkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pointer", F.trim("text").alias("text")))), lambda x: x["text"]), " ").alias("visible"))
-
-
 @query("n05_select_by_selector", "SELECT p_partkey, '/content/1' AS pointer FROM part")
 def by_selector(t: Tables) -> DataFrame:
     return nodes(t).where("kind = 'object' AND selector = 'glossary'").select("p_partkey", "pointer")
 
 
-@query("n06_sense_context", "SELECT p_partkey, p_name AS first_gloss, p_type AS first_example, p_brand AS label FROM part")
-def sense_context(t: Tables) -> DataFrame:
-    """Glosses zipped with examples; the shorter list is padded with empty texts."""
-    g = leaves(nodes(t)).groupBy("p_partkey").agg(
-        F.transform(F.array_sort(F.collect_list(F.when(F.col("role") == "glossary", F.struct("pointer", "text")))), lambda x: x["text"]).alias("g"),
-        F.max(F.when(F.col("field") == "content", F.when(F.col("role") == "tag", F.col("text")))).alias("label"),
-    )
-    zipped = F.zip_with(F.slice("g", 1, 1), F.slice("g", 2, 1), lambda a, b: F.struct(F.coalesce(a, F.lit("")).alias("a"), F.coalesce(b, F.lit("")).alias("b")))
-    return g.withColumn("z", zipped).select("p_partkey", F.col("z")[0]["a"].alias("first_gloss"), F.col("z")[0]["b"].alias("first_example"), "label")
-
-
 def pair_with_last(items: Column, opens: Column | None = None) -> Column:
     """A fold over struct<kind, text>: an answer goes to the last question that has none."""
     zero = F.array().cast("array<struct<asked:string,answered:string>>")
