@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import json
-import re
 import unicodedata
 from bisect import bisect_right
-from collections import Counter
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from sparkloom.functions import patterns
 from sparkloom.operators.windows import places
 from sparkloom.registry import Tables, query
 
@@ -28,14 +27,8 @@ def nfkc(x: pd.Series) -> pd.Series:
     return x.map(lambda s: None if s is None else unicodedata.normalize("NFKC", s))
 
 
-@query("x01_nfc_strip", "SELECT doc_id, MD5(REGEXP_REPLACE(nfc_normalize(SUBSTRING(text, 1, 60)), '^\\s+|\\s+$', '', 'g')) AS h FROM documents")
+@query("x01_nfc_strip", "SELECT doc_id, MD5(REGEXP_REPLACE(nfc_normalize(text), '^\\s+|\\s+$', '', 'g')) AS h FROM documents")
 def nfc_strip(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.md5(nfc(F.substring("text", 1, 60))).alias("h"))
-
-
-@query("x01_nfc_strip_whole", "SELECT doc_id, MD5(REGEXP_REPLACE(nfc_normalize(text), '^\\s+|\\s+$', '', 'g')) AS h FROM documents")
-def nfc_strip_whole(t: Tables) -> DataFrame:
-    """Whole texts; ``x01_nfc_strip`` has the first 60 characters of its SQL."""
     return t.documents.select("doc_id", F.md5(nfc("text")).alias("h"))
 
 
@@ -114,16 +107,11 @@ def ascii_order(col: Column) -> list[Column]:
     return [F.translate(col, UPPER, UPPER.lower()), col]
 
 
-@query("x08_locale_free_sort", f"WITH d AS (SELECT DISTINCT LEFT(text, 8) AS k FROM documents) SELECT k, ROW_NUMBER() OVER (ORDER BY TRANSLATE(k, '{UPPER}', '{UPPER.lower()}'), k) AS place FROM d ORDER BY place LIMIT 300")
-def locale_free(t: Tables) -> DataFrame:
-    top = t.documents.select(F.substring("text", 1, 8).alias("k")).distinct().orderBy(*ascii_order(F.col("k"))).limit(300)
-    return top.select("k", F.row_number().over(Window.orderBy(*ascii_order(F.col("k")))).cast("long").alias("place"))
-
-
 def key_blocks(rows: DataFrame, col: str, id_col: str, *, blocks: int = 64, chars: int = 1000, sample: int = 2000) -> Column:
     """The number of the block of ``col`` in ASCII order; bounds are heads of keys drawn by hash, the same for the same rows."""
     head = F.translate(F.substring(col, 1, chars), UPPER, UPPER.lower())
-    drawn = rows.where(F.col(col).isNotNull()).select(head.alias("k"), F.xxhash64(id_col, col).alias("h")).orderBy("h", "k").limit(sample).collect()
+    share = int(min(1.0, sample / max(1, rows.count())) * (1 << 30))  # so no task sends more than its part of about ``sample`` heads
+    drawn = rows.where(F.col(col).isNotNull() & (F.pmod(F.xxhash64(id_col, col), F.lit(1 << 30)) <= share)).select(head.alias("k")).collect()
     keys = sorted((r["k"] for r in drawn), key=str.encode)
     bounds = sorted({keys[len(keys) * i // blocks] for i in range(1, blocks)} if keys else (), key=str.encode)
     bounds = [b.encode() for b in bounds]
@@ -135,9 +123,9 @@ def key_blocks(rows: DataFrame, col: str, id_col: str, *, blocks: int = 64, char
     return find(head)
 
 
-@query("x08_locale_free_sort_whole", f"SELECT doc_id, ROW_NUMBER() OVER (ORDER BY TRANSLATE(text, '{UPPER}', '{UPPER.lower()}') NULLS FIRST, text, doc_id) AS place FROM documents")
-def locale_free_whole(t: Tables) -> DataFrame:
-    """The place of every document by its whole text; ``x08_locale_free_sort`` has the first short keys of its SQL."""
+@query("x08_locale_free_sort", f"SELECT doc_id, ROW_NUMBER() OVER (ORDER BY TRANSLATE(text, '{UPPER}', '{UPPER.lower()}') NULLS FIRST, text, doc_id) AS place FROM documents")
+def locale_free(t: Tables) -> DataFrame:
+    """The place of every document by its whole text."""
     docs = t.documents.select("doc_id", "text")
     docs = docs.withColumn("block", key_blocks(docs, "text", "doc_id"))
     return places(docs, {"block": F.col("block")}, *ascii_order(F.col("text")), F.col("doc_id")).select("doc_id", "place")
@@ -156,34 +144,20 @@ def tokens(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.size(protected_tokens(F.col("text"))).cast("long").alias("tokens"))
 
 
-#: Where a pair begins: at the start, or after an opening bracket, a semicolon or a comma.
-BINOMIAL = re.compile(r"(^|[;(,]\s*)([A-Z][a-z]{2,})\s+([a-z][a-z-]{2,})\b")
-
-
-def find_binomials(text: str, stop: frozenset[str]) -> list[str]:
-    """Pairs of a capitalised and a small word, each once and in order, unless a word is in ``stop``.
-
-    A pair counts after a bracket or comma, or if its genus begins more than one pair of the text.
-    """
-    met = [(m[1].strip(), m[2], m[3], m[0][len(m[1]) :]) for m in BINOMIAL.finditer(text)]
-    genera = Counter(genus for _, genus, _, _ in met)
-    return list(dict.fromkeys(whole for prefix, genus, epithet, whole in met if genus.lower() not in stop and epithet.lower() not in stop and (prefix in {"(", ","} or genera[genus] > 1)))
-
-
-def binomials(stop: frozenset[str]) -> Column:
-    """UDF: what ``find_binomials`` finds in a whole text; nothing in a null."""
-
-    @F.pandas_udf("array<string>")
-    def find(x: pd.Series) -> pd.Series:
-        return x.map(lambda s: find_binomials(s or "", stop))
-
-    return find
+STOP = ("the", "and", "der", "les")
+#: DuckDB's boundary of words knows ASCII alone: other letters stand as digits.
+NOT_ASCII = r"[\x{aa}\x{b5}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{2af}\x{370}-\x{1fff}\x{2c00}-\x{d7ff}]"
 
 
-@query("x10_latin_binomials")
+@query(
+    "x10_latin_binomials",
+    f"WITH d AS (SELECT doc_id, REGEXP_REPLACE(COALESCE(text, ''), '{NOT_ASCII}', '0', 'g') AS x FROM documents), "
+    f"p AS (SELECT doc_id, {', '.join(f'REGEXP_EXTRACT_ALL(x, \'{patterns.BINOMIAL}\', {k}) AS {c}' for k, c in ((1, 'b'), (2, 'w'), (3, 'g'), (4, 'e')))} FROM d) "
+    f"SELECT doc_id, CAST(LEN(LIST_DISTINCT(LIST_TRANSFORM(LIST_FILTER(LIST_ZIP(b, w, g, e), lambda z: LOWER(z[3]) NOT IN {STOP} AND LOWER(z[4]) NOT IN {STOP} AND (LEFT(z[1], 1) IN ('(', ',') OR LEN(LIST_FILTER(g, lambda y: y = z[3])) > 1)), lambda z: z[2]))) AS BIGINT) AS found FROM p",
+)
 def latin(t: Tables) -> DataFrame:
-    found = binomials(frozenset({"the", "and", "der", "les"}))("text")
-    return t.documents.select("doc_id", F.size(found).alias("found"))
+    """Names of species, by the words of these texts' languages that can't be one."""
+    return t.documents.select("doc_id", F.size(patterns.binomials(F.col("text"), STOP, STOP)).cast("long").alias("found"))
 
 
 @query("x11_script_predicates", "SELECT doc_id, REGEXP_MATCHES(text, '[Ѐ-ӿ]') AS cyrillic, REGEXP_MATCHES(text, '[A-Za-z]') AS latin, REGEXP_MATCHES(text, '[À-ÿ][A-Za-z]') AS mixed, REGEXP_MATCHES(text, '[\\x00-\\x08]') AS control, REGEXP_MATCHES(text, '<[a-z]+>') AS markup FROM documents")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,22 +100,52 @@ def three_way_status(t: Tables) -> DataFrame:
     return t.orders.join(done, F.col("l_orderkey") == F.col("o_orderkey"), "left").groupBy(status.alias("status")).agg(F.count("*").alias("n"))
 
 
-def nearest_rank(col: str, fraction: float) -> Column:
-    """The value at 1-based place ceil(fraction * n)."""
-    return F.expr(f"percentile_disc({fraction}) WITHIN GROUP (ORDER BY {col})")
+ACCURACY = 10_000
+
+
+def exact_ranks(rows: DataFrame, key: str, col: str, picks: dict[str, tuple[float, Callable[[Column], Column]]]) -> DataFrame:
+    """The values at given 0-based places of each key's non-null values in order.
+
+    ``picks`` has for each name a fraction near the place and the place as a
+    function of the number of values. Sketches bound each value closely from both
+    sides, the rows below are counted, and only those between are put in order:
+    few, however many rows a key has.
+    """
+    some = rows.where(F.col(col).isNotNull()).select(F.col(key).alias("_key"), F.col(col).alias("_v"))
+    slack = 3 / ACCURACY
+    ends = {name: [max(0.0, f - slack), min(1.0, f + slack)] for name, (f, _) in picks.items()}
+    sketch = some.groupBy("_key").agg(F.count("*").alias("_n"), *(F.percentile_approx("_v", e, ACCURACY).alias(f"_{name}") for name, e in ends.items()))
+    found = rows.select(F.col(key).alias("_key")).distinct()
+    met = some.join(sketch.withColumnRenamed("_key", "_k"), F.col("_key").eqNullSafe(F.col("_k"))).drop("_k")
+    # one pass counts what lies below the bounds, another one keeps what lies between; few values are kept all
+    few = F.col("_n") <= ACCURACY
+    bounds = {name: (F.col(f"_{name}")[0], F.col(f"_{name}")[1]) for name in picks}
+    below = met.groupBy("_key").agg(*(F.count_if(~few & (F.col("_v") < low)).alias(f"_b_{name}") for name, (low, _) in bounds.items()))
+    near = met.withColumn("_pick", F.explode(F.filter(F.array(*(F.when(few | F.col("_v").between(low, high), F.lit(name)) for name, (low, high) in bounds.items())), lambda x: x.isNotNull())))
+    counted = near.groupBy("_key", "_n", "_pick", "_v").agg(F.count("*").alias("_c"))
+    start = F.sum("_c").over(Window.partitionBy("_key", "_pick").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1))
+    placed = counted.withColumn("_from", F.coalesce(start, F.lit(0))).join(below.withColumnRenamed("_key", "_k"), F.col("_key").eqNullSafe(F.col("_k"))).drop("_k")
+    chosen = []
+    for name, (_, place) in picks.items():
+        at = place(F.col("_n")) - F.col(f"_b_{name}")
+        chosen.append(F.max(F.when((F.col("_pick") == name) & (F.col("_from") <= at) & (at < F.col("_from") + F.col("_c")), F.col("_v"))).alias(name))
+    got = placed.groupBy("_key").agg(*chosen).withColumnRenamed("_key", "_k")
+    return found.join(got, F.col("_key").eqNullSafe(F.col("_k")), "left").drop("_k").withColumnRenamed("_key", key)
+
+
+def nearest_rank(fraction: float) -> tuple[float, Callable[[Column], Column]]:
+    """The place ceil(fraction * n), from 1."""
+    return fraction, lambda n: F.least(n - 1, F.ceil(n * F.lit(fraction)) - 1)
 
 
 @query("g15_nearest_rank_percentile", "WITH r AS (SELECT event_type, value, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY value) - 1 AS i, COUNT(*) OVER (PARTITION BY event_type) AS n FROM events) SELECT event_type, MAX(value) FILTER (i = LEAST(n - 1, CEIL(0.5 * n) - 1)) AS p50, MAX(value) FILTER (i = LEAST(n - 1, CEIL(0.95 * n) - 1)) AS p95 FROM r GROUP BY 1")
 def nearest_rank_percentile(t: Tables) -> DataFrame:
-    return t.events.groupBy("event_type").agg(nearest_rank("value", 0.5).alias("p50"), nearest_rank("value", 0.95).alias("p95"))
+    return exact_ranks(t.events, "event_type", "value", {"p50": nearest_rank(0.5), "p95": nearest_rank(0.95)})
 
 
 def rounded_rank(rows: DataFrame, key: str, col: str, fractions: dict[str, float]) -> DataFrame:
     """Percentiles at 0-based place round((n - 1) * fraction), halves to even; null for no values."""
-    w = Window.partitionBy(key)
-    ranked = rows.withColumn("_i", F.row_number().over(w.orderBy(col)) - 1).withColumn("_n", F.count("*").over(w))
-    pick = [F.max(F.when(F.col("_i") == F.bround((F.col("_n") - 1) * F.lit(f), 0).cast("long"), F.col(col))).alias(name) for name, f in fractions.items()]
-    return ranked.groupBy(key).agg(*pick)
+    return exact_ranks(rows, key, col, {name: (f, lambda n, f=f: F.bround((n - 1) * F.lit(f), 0).cast("long")) for name, f in fractions.items()})
 
 
 @query("g16_rounded_rank_percentile", "WITH r AS (SELECT event_type, value, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY value) - 1 AS i, COUNT(*) OVER (PARTITION BY event_type) AS n FROM events) SELECT event_type, MAX(value) FILTER (i = ROUND_EVEN((n - 1) * 0.5, 0)) AS p50, MAX(value) FILTER (i = ROUND_EVEN((n - 1) * 0.95, 0)) AS p95, MAX(value) FILTER (i = ROUND_EVEN((n - 1) * 0.99, 0)) AS p99 FROM r GROUP BY 1")
@@ -158,21 +190,21 @@ def monitor_summary(t: Tables) -> DataFrame:
     return t.events.groupBy("user_id").agg(F.max("value").alias("most"), F.count_if(F.col("event_type") == "click").alias("waiting"), F.round(F.max_by("value", "event_id") - F.min_by("value", "event_id"), 6).alias("change"))
 
 
-LIMBS = 8
+LIMBS = 16
 
 
 def multiset_digest(rows: DataFrame, canonical: Column) -> DataFrame:
-    """One row that depends on the rows but not on their order: n, the sums and the xors of 32-bit limbs of their SHA-256.
+    """One row that depends on the rows but not on their order: n, the sums and the xors of 16-bit limbs of their SHA-256.
 
-    Sums of limbs stay exact in 64 bits for two thousand million rows; a total
-    modulo 2**256 follows from them by carrying.
+    Sums of limbs stay exact in 64 bits for 10**14 rows; a total modulo 2**256
+    follows from them by carrying.
     """
     h = rows.select(F.sha2(canonical, 256).alias("h"))
-    limb = [F.conv(F.substring("h", 8 * k + 1, 8), 16, 10).cast("long") for k in range(LIMBS)]
+    limb = [F.conv(F.substring("h", 4 * k + 1, 4), 16, 10).cast("long") for k in range(LIMBS)]
     return h.agg(F.count("*").alias("n"), *(F.sum(x).alias(f"sum{k}") for k, x in enumerate(limb)), *(F.bit_xor(x).alias(f"xor{k}") for k, x in enumerate(limb)))
 
 
-LIMB_SQL = [f"('0x' || SUBSTRING(h, {8 * k + 1}, 8))::BIGINT" for k in range(LIMBS)]
+LIMB_SQL = [f"('0x' || SUBSTRING(h, {4 * k + 1}, 4))::BIGINT" for k in range(LIMBS)]
 
 
 @query("g22_multiset_digest", f"WITH r AS (SELECT SHA256(l_orderkey::VARCHAR || ',' || l_partkey::VARCHAR || ',' || l_returnflag) AS h FROM lineitem) SELECT COUNT(*) AS n, {', '.join(f'CAST(SUM({x}) AS BIGINT) AS sum{k}, BIT_XOR({x}) AS xor{k}' for k, x in enumerate(LIMB_SQL))} FROM r")
@@ -180,25 +212,44 @@ def digest(t: Tables) -> DataFrame:
     return multiset_digest(t.lineitem, F.concat_ws(",", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"), "l_returnflag"))
 
 
-def ordered_fingerprint(rows: DataFrame, key: str, line: Column, *, by: str | None = None) -> DataFrame:
-    """SHA-256 of the lines in key order, one for each value of ``by``: a group must fit one task, so digest groups and then their digests."""
-    grouped = rows.groupBy(by) if by else rows.groupBy()
-    lines = F.transform(F.array_sort(F.collect_list(F.struct(F.col(key), line.alias("line")))), lambda x: x["line"])
-    return grouped.agg(F.sha2(F.array_join(lines, "\n"), 256).alias("digest"))
+RANGE_KEYS = 10_000
+
+
+def joined_hash(order: str, line: str, separator: str = "\n") -> Column:
+    """Aggregate: SHA-256 of the lines in order."""
+    lines = F.transform(F.array_sort(F.collect_list(F.struct(order, line))), lambda x: x[line])
+    return F.sha2(F.array_join(lines, separator), 256)
+
+
+def ordered_fingerprint(rows: DataFrame, key: str, line: Column, *, by: str | None = None, keys: int = RANGE_KEYS, separator: str = "\n") -> DataFrame:
+    """A digest of the lines in the order of an integer key, one for each value of ``by``.
+
+    The lines of ``keys`` consecutive keys have a SHA-256, and these, in order,
+    the digest: no task gathers more than one range, or one hash for each range.
+    """
+    own = [by] if by else []
+    parts = rows.select(*own, F.col(key).alias("_key"), line.alias("_line"), F.floor(F.col(key) / keys).alias("_range"))
+    parts = parts.groupBy(*own, "_range").agg(joined_hash("_key", "_line", separator).alias("_digest"))
+    return parts.groupBy(*own).agg(joined_hash("_range", "_digest").alias("digest"))
+
+
+def fingerprint_sql(table: str, key: str, line: str, by: str | None = None, separator: str = "chr(10)") -> str:
+    """The same digest, for DuckDB."""
+    own, group = (f"{by}, ", f"GROUP BY {by}") if by else ("", "")
+    return f"SELECT {own}SHA256(STRING_AGG(d, chr(10) ORDER BY r)) AS digest FROM (SELECT {own}{key} // {RANGE_KEYS} AS r, SHA256(STRING_AGG({line}, {separator} ORDER BY {key})) AS d FROM {table} GROUP BY {own}r) {group}"
 
 
-@query("g23_ordered_fingerprint", "WITH d AS (SELECT n_regionkey, SHA256(STRING_AGG(n_nationkey::VARCHAR || ':' || n_name, chr(10) ORDER BY n_nationkey)) AS digest FROM nation GROUP BY 1) SELECT n_regionkey, digest, (SELECT SHA256(STRING_AGG(digest, chr(10) ORDER BY n_regionkey)) FROM d) AS whole FROM d")
+@query("g23_ordered_fingerprint", f"WITH d AS ({fingerprint_sql('nation', 'n_nationkey', chr(39).join(('n_nationkey::VARCHAR || ', ':', ' || n_name')), 'n_regionkey')}) SELECT n_regionkey, digest, (SELECT digest FROM ({fingerprint_sql('d', 'n_regionkey', 'digest')})) AS whole FROM d")
 def fingerprints(t: Tables) -> DataFrame:
     d = ordered_fingerprint(t.nation, "n_nationkey", F.concat_ws(":", F.col("n_nationkey").cast("string"), "n_name"), by="n_regionkey")
     whole = ordered_fingerprint(d, "n_regionkey", F.col("digest")).withColumnRenamed("digest", "whole")
     return d.crossJoin(F.broadcast(whole))
 
 
-@query("g24_length_prefixed_digest", "SELECT SHA256(STRING_AGG(LENGTH(s_name)::VARCHAR || ':' || s_name, '' ORDER BY s_suppkey)) AS digest FROM supplier")
+@query("g24_length_prefixed_digest", fingerprint_sql("orders", "o_orderkey", "LENGTH(o_orderpriority)::VARCHAR || ':' || o_orderpriority", separator="''"))
 def length_prefixed(t: Tables) -> DataFrame:
-    one = F.concat(F.length("s_name").cast("string"), F.lit(":"), F.col("s_name"))
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", one.alias("x")))), lambda x: x["x"])
-    return t.supplier.agg(F.sha2(F.array_join(lines, ""), 256).alias("digest"))
+    one = F.concat(F.length("o_orderpriority").cast("string"), F.lit(":"), F.col("o_orderpriority"))
+    return ordered_fingerprint(t.orders, "o_orderkey", one, separator="")
 
 
 @query("g25_weighted_histogram", "WITH picks AS (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45) SELECT o_orderpriority, COUNT(*) AS weight FROM picks JOIN orders ON l_orderkey = o_orderkey GROUP BY 1")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.operators.aggregates import LIMB_SQL, TOKENS, frequency_lists, multiset_digest, ordered_fingerprint
+from sparkloom.operators.aggregates import LIMB_SQL, TOKENS, fingerprint_sql, frequency_lists, multiset_digest, ordered_fingerprint
 from sparkloom.operators.joins import reconcile
 from sparkloom.registry import Tables, query
 
@@ -93,11 +93,14 @@ def source_identity(t: Tables) -> DataFrame:
     return one_row(a.agg(F.count("*").alias("baseline")), b.agg(F.count("*").alias("candidate")), reconcile(a, b, ["l_partkey", "l_suppkey"]).drop("passed"))
 
 
-@query("c10_history_fingerprint", "SELECT 'nation' AS table_name, SHA256(STRING_AGG(n_nationkey || ':' || n_name, chr(10) ORDER BY n_nationkey)) AS digest FROM nation UNION ALL SELECT 'region', SHA256(STRING_AGG(r_regionkey || ':' || r_name, chr(10) ORDER BY r_regionkey)) FROM region UNION ALL SELECT 'supplier', SHA256(STRING_AGG(s_suppkey || ':' || s_name, chr(10) ORDER BY s_suppkey)) FROM supplier")
+HISTORY = (("nation", "n_nationkey", "n_name"), ("region", "r_regionkey", "r_name"), ("supplier", "s_suppkey", "s_name"), ("customer", "c_custkey", "c_name"), ("part", "p_partkey", "p_name"), ("orders", "o_orderkey", "o_orderstatus"), ("events", "event_id", "event_type"), ("documents", "doc_id", "source"), ("pages", "page_id", "url"))
+
+
+@query("c10_history_fingerprint", " UNION ALL ".join(f"SELECT '{name}' AS table_name, digest FROM ({fingerprint_sql(name, key, f'{key} || chr(58) || {label}')})" for name, key, label in HISTORY))
 def history_fingerprint(t: Tables) -> DataFrame:
     out = None
-    for name, key, label in (("nation", "n_nationkey", "n_name"), ("region", "r_regionkey", "r_name"), ("supplier", "s_suppkey", "s_name")):
-        one = ordered_fingerprint(getattr(t, name), key, F.concat_ws(":", F.col(key).cast("string"), label)).select(F.lit(name).alias("table_name"), "digest")
+    for name, key, label in HISTORY:
+        one = ordered_fingerprint(getattr(t, name), key, F.concat(F.col(key).cast("string"), F.lit(":"), label)).select(F.lit(name).alias("table_name"), "digest")
         out = one if out is None else out.unionByName(one)
     return out
 

@@ -48,18 +48,9 @@ def candidates(t: Tables) -> DataFrame:
     return notes.join(w, F.col("word") == F.col("expression")).where((F.size("variants") == 0) | F.arrays_overlap("variants", F.array("reading"))).select("note", "entry")
 
 
-@query("j03_variant_fallback", f"WITH {WORDS}, notes AS (SELECT p_partkey AS note, STRING_SPLIT(p_name, ' ') AS variants FROM part WHERE p_partkey % 50 = 0), hits AS (SELECT note, entry, 'expression' AS kind FROM notes JOIN entries ON expression = variants[1] UNION ALL SELECT note, entry, 'reading' FROM (SELECT note, UNNEST(variants) AS v FROM notes) JOIN entries ON reading = v) SELECT note, entry, MIN(kind) AS kind FROM hits GROUP BY note, entry")
+@query("j03_variant_fallback", f"WITH {WORDS}, notes AS (SELECT p_partkey AS note, STRING_SPLIT(p_name, ' ') AS variants FROM part), hits AS (SELECT note, entry, 'expression' AS kind FROM notes JOIN entries ON expression = variants[1] UNION ALL SELECT note, entry, 'reading' FROM (SELECT note, UNNEST(variants) AS v FROM notes) JOIN entries ON reading = v) SELECT note, entry, MIN(kind) AS kind FROM hits GROUP BY note, entry")
 def variant_fallback(t: Tables) -> DataFrame:
-    w = words_of(t)
-    notes = t.part.where("p_partkey % 50 = 0").select(F.col("p_partkey").alias("note"), F.split("p_name", " ").alias("variants"))
-    first = notes.join(w, F.col("variants")[0] == F.col("expression")).select("note", "entry", F.lit("expression").alias("kind"))
-    other = notes.select("note", F.explode("variants").alias("v")).join(w, F.col("v") == F.col("reading")).select("note", "entry", F.lit("reading").alias("kind"))
-    return first.unionByName(other).groupBy("note", "entry").agg(F.min("kind").alias("kind"))
-
-
-@query("j03_variant_fallback_whole", f"WITH {WORDS}, notes AS (SELECT p_partkey AS note, STRING_SPLIT(p_name, ' ') AS variants FROM part), hits AS (SELECT note, entry, 'expression' AS kind FROM notes JOIN entries ON expression = variants[1] UNION ALL SELECT note, entry, 'reading' FROM (SELECT note, UNNEST(variants) AS v FROM notes) JOIN entries ON reading = v) SELECT note, entry, MIN(kind) AS kind FROM hits GROUP BY note, entry")
-def variant_fallback_whole(t: Tables) -> DataFrame:
-    """All parts are notes; ``j03_variant_fallback`` has those of its SQL.
+    """All parts are notes, and entries.
 
     A pair's kind shows in the pair itself, so the many pairs (keys are unique) aren't grouped.
     """

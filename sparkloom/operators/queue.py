@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from sparkloom.operators.aggregates import rounded_rank
 from sparkloom.operators.packing import halves
 from sparkloom.operators.projections import ELAPSED, seconds_since_first
+from sparkloom.operators.windows import places
 from sparkloom.registry import Tables, query
 
 
-def claim_plan(batches: DataFrame, workers: int, *order: str, by: str) -> DataFrame:
-    """``worker`` and ``turn`` of each ready batch: the queue dealt out in order. Spark has no row locks."""
-    place = F.row_number().over(Window.partitionBy(by).orderBy(*order)) - 1
-    return batches.withColumn("worker", (place % workers).cast("long")).withColumn("turn", F.floor(place / workers).cast("long"))
+def claim_plan(batches: DataFrame, workers: int, day: str, *order: str, by: str) -> DataFrame:
+    """``worker`` and ``turn`` of each ready batch: the queue dealt out in order, by day first. Spark has no row locks."""
+    placed = places(batches, {day: F.col(day)}, *order, by=by)
+    place = F.col("place") - 1
+    return placed.withColumn("worker", (place % workers).cast("long")).withColumn("turn", F.floor(place / workers).cast("long")).drop("place")
 
 
 @query("q01_claim_plan", "SELECT o_orderkey, (rn - 1) % 4 AS worker, (rn - 1) // 4 AS turn FROM (SELECT o_orderkey, ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS rn FROM orders WHERE o_orderstatus = 'O')")

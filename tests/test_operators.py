@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import random
 import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.functions import scalars
+from sparkloom.functions import patterns, scalars
 from sparkloom.operators import aggregates, checks, joins, mutations, nested, packing, queue, rules, windows
 from sparkloom.registry import Tables
 from sparkloom.sources import scans, sinks
@@ -44,7 +45,19 @@ def test_reconcile(spark):
 def test_percentiles_round_half_to_even(spark):
     df = spark.createDataFrame([("a", 100.0), ("a", 300.0)], "k string, v double")
     assert rows(aggregates.rounded_rank(df, "k", "v", {"p50": 0.5, "p95": 0.95})) == [("a", 100.0, 300.0)]
-    assert df.agg(aggregates.nearest_rank("v", 0.5)).first()[0] == 100.0
+    assert rows(aggregates.exact_ranks(df, "k", "v", {"p50": aggregates.nearest_rank(0.5)})) == [("a", 100.0)]
+
+
+def test_exact_ranks_equal_a_sort(spark):
+    rng = random.Random(5)
+    data = [(k, float(rng.choice([rng.random(), 1, 2, 3]))) for k, n in (("a", 20_000), ("b", 1), ("c", 7), (None, 50)) for _ in range(n)] + [("d", None), ("c", None)]
+    df = spark.createDataFrame(data, "k string, v double")
+    got = {r.k: (r.p50, r.p95, r.p100, r.disc) for r in aggregates.exact_ranks(df, "k", "v", {"p50": (0.5, lambda n: F.bround((n - 1) * F.lit(0.5), 0).cast("long")), "p95": (0.95, lambda n: F.floor((n - 1) * 0.95)), "p100": (1.0, lambda n: n - 1), "disc": aggregates.nearest_rank(0.25)}).collect()}
+    for key in ("a", "b", "c", None):
+        own = sorted(v for k, v in data if k == key and v is not None)
+        n = len(own)
+        assert got[key] == (own[round((n - 1) * 0.5)], own[int((n - 1) * 0.95)], own[-1], own[min(n - 1, math.ceil(n * 0.25) - 1)])
+    assert got["d"] == (None, None, None, None)
 
 
 def test_digest_ignores_order_and_keeps_duplicates(spark):
@@ -87,7 +100,7 @@ def test_whole_chunking_equals_the_plain_loop(spark, tmp_path):
     for lang in ("en", "de", None):
         own = [(i, len(x)) for i, x, k in docs if k == lang]
         want |= zip((i for i, _ in own), naive_pack([(n, 1) for _, n in own], 1 << 40, 8000, 1 << 40), strict=True)
-    got = packing.byte_chunking_whole(Tables(spark, str(tmp_path))).collect()
+    got = packing.byte_chunking(Tables(spark, str(tmp_path))).collect()
     assert {r.doc_id: (r.lang, r.chunk) for r in got} == {i: (k, want[i]) for i, _, k in docs} and len(got) == len(docs)
 
 
@@ -97,10 +110,42 @@ def test_segments_of_two_units(spark):
     assert [r["count"] for r in got] == [2, 2, 1]
 
 
+def test_hard_ceilings_and_singletons(spark):
+    df = spark.createDataFrame([(0, i, b, 1) for i, b in enumerate([10, 10, 50, 10, 10])], "g int, o int, bytes long, units long")
+    got = packing.pack_groups(df, "g", "o", items=9, bytes_=90, units=9, singleton=40).orderBy("o").collect()
+    assert [r.batch for r in got] == [0, 0, 1, 2, 2]
+    for caps in ({"hard_bytes": 51}, {"hard_units": 0}):
+        with pytest.raises(Exception, match="hard ceiling"):
+            packing.pack_groups(df, "g", "o", items=9, bytes_=90, units=9, **caps).collect()
+
+
+def test_ranges_of_large_groups(spark):
+    df = spark.createDataFrame([("g", i, 10, 1) for i in range(25)], "g string, o int, bytes long, units long")
+    got = packing.pack_ranges(df, "g", "o", keys=10, items=4, bytes_=1000, units=99).orderBy("o").collect()
+    assert [(r["range"], r.batch) for r in got] == [(i // 10, i % 10 // 4) for i in range(25)]
+
+
+def quota_rows(n):
+    return [{"id": i, "bytes": 100 + 7 * i % 90, "units": 3 + i % 5, "roles": {"a": i % 4, "b": int(i % 10 == 0)}, "features": {"odd"} if i % 2 else {"big"} if i == 8 else set()} for i in range(n)]
+
+
 def test_quota_fill():
-    metrics = [{"id": i, "units": 10, "roles": {"a": 5, "b": 5 if i % 2 else 0}} for i in range(1, 6)]
-    ids = packing.fill_quotas(metrics, mandatory={1}, targets={"a": 15, "b": 15}, least_units=40)
-    assert 1 in ids and sum(5 for i in ids) >= 15 and sum(5 for i in ids if i % 2) >= 15
+    metrics = quota_rows(40)
+    order = lambda k: f"{k * 17 % 41:03d}"
+    ids = packing.fill_quotas(metrics, targets={"a": 30, "b": 3}, least_units=120, required=("odd",), oversize="big", order=order)
+    by = {r["id"]: r for r in metrics}
+    size = sorted(metrics, key=lambda r: (r["bytes"], r["id"]))
+    must = {8, size[0]["id"], size[20]["id"], size[int(39 * 0.95)]["id"], size[39]["id"], 4, min((r["id"] for r in metrics if r["id"] % 2), key=order)}
+    assert must <= set(ids) and ids == sorted(ids)
+    assert sum(by[i]["roles"]["a"] for i in ids) >= 30 and sum(by[i]["roles"]["b"] for i in ids) >= 3 and sum(by[i]["units"] for i in ids) >= 120
+    # the last ones, added for their units alone, come in order
+    rest = [i for i in sorted(by, key=order) if i not in ids]
+    assert not rest or sum(by[i]["units"] for i in ids) - min(by[i]["units"] for i in ids) < 120 + 7
+    for kw, said in (({"targets": {"b": 5}, "least_units": 1}, "target for b"), ({"targets": {}, "least_units": 999}, "999 units")):
+        with pytest.raises(ValueError, match=said):
+            packing.fill_quotas(metrics, **kw)
+    with pytest.raises(ValueError, match="nothing"):
+        packing.fill_quotas([], targets={}, least_units=0)
 
 
 def test_upserts(spark):
@@ -176,14 +221,16 @@ def test_binomials_equal_the_plain_scan(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r.found for r in scalars.latin(Tables(spark, str(tmp_path))).collect()}
     assert got == {i: len(plain_binomials(x or "", stop)) for i, x in enumerate(texts)}
-    assert [scalars.find_binomials(x or "", stop) for x in texts] == [plain_binomials(x or "", stop) for x in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    names = {r.i: r.n for r in df.select("i", patterns.binomials(F.col("text"), tuple(stop), tuple(stop)).alias("n")).collect()}
+    assert [names[i] for i in range(len(texts))] == [plain_binomials(x or "", stop) for x in texts]
     assert got[401] == 2 and got[402] == 2 and got[403] == 0
 
 
 def test_whole_texts_are_normalised(spark, tmp_path):
     texts = [None, "", " \u3000", "x" * 90 + "e\u0301", "x" * 90 + "\u00e9 \u3000\n", "x" * 90 + "e"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r.doc_id: r.h for r in scalars.nfc_strip_whole(Tables(spark, str(tmp_path))).collect()}
+    got = {r.doc_id: r.h for r in scalars.nfc_strip(Tables(spark, str(tmp_path))).collect()}
     assert got == {i: None if x is None else hashlib.md5(unicodedata.normalize("NFC", x).strip().encode()).hexdigest() for i, x in enumerate(texts)}
     assert got[3] == got[4] != got[5]
 
@@ -193,7 +240,7 @@ def test_whole_keys_of_all_rows_are_ordered(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     folded = str.maketrans(scalars.UPPER, scalars.UPPER.lower())
     want = sorted(range(len(texts)), key=lambda i: (texts[i] is not None, (texts[i] or "").translate(folded).encode(), (texts[i] or "").encode(), i))
-    got = scalars.locale_free_whole(Tables(spark, str(tmp_path)))
+    got = scalars.locale_free(Tables(spark, str(tmp_path)))
     assert [r.doc_id for r in got.orderBy("place").collect()] == want and sorted(r.place for r in got.collect()) == list(range(1, len(texts) + 1))
 
 
@@ -203,9 +250,9 @@ def test_all_rows_have_a_place(spark, tmp_path):
     spark.range(500).withColumnRenamed("id", "c_custkey").write.parquet(str(tmp_path / "customer.parquet"))
     t, digest = Tables(spark, str(tmp_path)), lambda x: hashlib.sha256(x.encode()).hexdigest()
     want = sorted(data, key=lambda r: (["5-LOW", "1-URGENT", None].index(r[1]), r[2], digest(f"b:{r[0]}")))
-    assert rows(windows.multi_key_sort_whole(t)) == sorted((r[0], n + 1) for n, r in enumerate(want))
+    assert rows(windows.multi_key_sort(t)) == sorted((r[0], n + 1) for n, r in enumerate(want))
     want = sorted(range(500), key=lambda i: digest(f"pilot-v1:{i}"))
-    assert rows(windows.by_hash_whole(t)) == sorted((i, n + 1) for n, i in enumerate(want))
+    assert rows(windows.by_hash(t)) == sorted((i, n + 1) for n, i in enumerate(want))
 
 
 def test_every_note_and_event_counts(spark, tmp_path):
@@ -214,8 +261,8 @@ def test_every_note_and_event_counts(spark, tmp_path):
     spark.createDataFrame([(7, "a"), (500, "b"), (777, "b")], "event_id long, event_type string").write.parquet(str(tmp_path / "events.parquet"))
     words = {i: x.split(" ") for i, x in names.items()}
     want = [(i, j, "expression" if v[0] == w[0] else "reading") for i, v in words.items() for j, w in words.items() if v[0] == w[0] or w[-1] in v]
-    assert rows(joins.variant_fallback_whole(Tables(spark, str(tmp_path)))) == sorted(want)
-    assert rows(checks.marker_equality_whole(Tables(spark, str(tmp_path)))) == [("a", 1, True), ("b", 2, False)]
+    assert rows(joins.variant_fallback(Tables(spark, str(tmp_path)))) == sorted(want)
+    assert rows(checks.marker_equality(Tables(spark, str(tmp_path)))) == [("a", 1, True), ("b", 2, False)]
 
 
 def test_exact_cost(spark):
