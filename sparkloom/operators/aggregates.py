@@ -178,11 +178,68 @@ def counter_deltas(t: Tables) -> DataFrame:
     return t.events.withColumn("running", running).groupBy("user_id").agg(counter_delta("running", "event_id").alias("delta"))
 
 
-@query("g20_event_window_summary", f"{ELAPSED}, w AS (SELECT *, CAST(FLOOR(elapsed / 432000) AS BIGINT) AS window_id FROM e), r AS (SELECT window_id, value, ROW_NUMBER() OVER (PARTITION BY window_id ORDER BY value) - 1 AS i, COUNT(*) OVER (PARTITION BY window_id) AS n FROM w) SELECT a.window_id, completed, submitted, users, ROUND(total, 4) AS total, p50, p95 FROM (SELECT window_id, CAST(COUNT(*) FILTER (event_type = 'purchase') AS BIGINT) AS completed, COUNT(*) AS submitted, COUNT(DISTINCT user_id) AS users, SUM(value) AS total FROM w GROUP BY 1) a JOIN (SELECT window_id, MAX(value) FILTER (i = ROUND_EVEN((n - 1) * 0.5, 0)) AS p50, MAX(value) FILTER (i = ROUND_EVEN((n - 1) * 0.95, 0)) AS p95 FROM r GROUP BY 1) b ON a.window_id = b.window_id")
+#: A window's events: what each of them says, in words that Spark and DuckDB share.
+WINDOW_SECONDS = 432_000
+SAID = {
+    "completed": "event_type = 'purchase'", "submitted": "event_type = 'signup'", "failed": "event_type = 'error'",
+    "rate_limit": "event_type = 'error' AND k % 5 = 0", "timeout": "event_type = 'error' AND k % 5 = 1", "transport": "event_type = 'error' AND k % 5 = 2", "rejected": "event_type = 'error' AND k % 5 = 3", "stale": "event_type = 'error' AND k % 5 = 4",
+    "retry": "event_type = 'click' AND k = 0", "split": "event_type = 'click' AND k = 1", "drained": "event_type = 'view' AND k = 0",
+}
+ERRORS = ("failed", "rate_limit", "timeout", "transport", "rejected", "stale")
+TOKENS_OF = {"input_tokens": "100 + k", "cached_tokens": "k", "output_tokens": "10 * k"}
+DONE = "event_type = 'purchase'"
+
+
+def window_events(t: Tables) -> DataFrame:
+    e = seconds_since_first(t.events)
+    return e.withColumn("window_id", F.floor(F.col("elapsed") / WINDOW_SECONDS).cast("long")).withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+
+
+def window_summary(e: DataFrame) -> DataFrame:
+    """Some thirty measures of each window in one aggregation, and latencies by exact ranks.
+
+    Counters that only grow (``elapsed`` stands for one) are taken as last less
+    first, and a fall is an error; rates are by the minute; shares have at least one below the line.
+    """
+    done = F.expr(DONE)
+    minutes = F.greatest(F.max("elapsed") - F.min("elapsed"), F.lit(1e-9)) / 60
+    measured = F.max("elapsed") - F.min("elapsed")
+    busy = F.sum(F.when(done, F.col("value")))
+    n = F.greatest(F.count_if(done), F.lit(1))
+    g = e.groupBy("window_id").agg(
+        F.round(measured, 3).alias("measured_seconds"),
+        *(F.count_if(F.expr(v)).alias(k) for k, v in SAID.items()),
+        *(F.coalesce(F.sum(F.when(done, F.expr(v))), F.lit(0)).alias(k) for k, v in TOKENS_OF.items()),
+        F.countDistinct("user_id").alias("workers"),
+        F.round(F.max(F.when(done | (F.col("event_type") == "view"), F.col("value"))), 2).alias("peak"),
+        F.round(counter_delta("elapsed", "elapsed"), 3).alias("counter_delta"),
+        F.round(F.coalesce(busy, F.lit(0.0)) / (measured * 1000), 9).alias("duty_cycle"),
+        F.round(F.coalesce(busy, F.lit(0.0)) / n, 6).alias("average_milliseconds"),
+        F.round(F.count_if(done) / minutes, 6).alias("completed_per_minute"),
+        F.round(F.count("*") / minutes, 6).alias("events_per_minute"),
+        F.min_by("event_id", F.when(done, F.struct("elapsed", "event_id"))).alias("first_batch"),
+        F.max_by("event_id", F.when(done, F.struct("elapsed", "event_id"))).alias("last_batch"),
+        *(F.round(F.count_if(F.expr(SAID[k])) / n, 6).alias(f"{k}_rate") for k in ERRORS),
+    )
+    return g.join(rounded_rank(e.where(done), "window_id", "value", {"p50": 0.5, "p95": 0.95, "p99": 0.99}), "window_id", "left")
+
+
+def _summary_sql() -> str:
+    n, minutes = f"GREATEST(COUNT(*) FILTER ({DONE}), 1)", "(GREATEST(MAX(elapsed) - MIN(elapsed), 1e-9) / 60)"
+    busy = f"COALESCE(SUM(value) FILTER ({DONE}), 0)"
+    cols = [
+        "ROUND(MAX(elapsed) - MIN(elapsed), 3) AS measured_seconds", *(f"CAST(COUNT(*) FILTER ({v}) AS BIGINT) AS {k}" for k, v in SAID.items()), *(f"CAST(COALESCE(SUM({v}) FILTER ({DONE}), 0) AS BIGINT) AS {k}" for k, v in TOKENS_OF.items()),
+        "COUNT(DISTINCT user_id) AS workers", f"ROUND(MAX(value) FILTER ({DONE} OR event_type = 'view'), 2) AS peak", "ROUND(MAX(elapsed) - MIN(elapsed), 3) AS counter_delta", f"ROUND({busy} / ((MAX(elapsed) - MIN(elapsed)) * 1000), 9) AS duty_cycle", f"ROUND({busy} / {n}, 6) AS average_milliseconds",
+        f"ROUND(COUNT(*) FILTER ({DONE}) / {minutes}, 6) AS completed_per_minute", f"ROUND(COUNT(*) / {minutes}, 6) AS events_per_minute", f"ARG_MIN(event_id, elapsed) FILTER ({DONE}) AS first_batch", f"ARG_MAX(event_id, elapsed) FILTER ({DONE}) AS last_batch",
+        *(f"ROUND(COUNT(*) FILTER ({SAID[k]}) / {n}::DOUBLE, 6) AS {k}_rate" for k in ERRORS),
+    ]
+    picks = ", ".join(f"MAX(value) FILTER (i = ROUND_EVEN((n - 1) * {f}, 0)) AS p{round(f * 100)}" for f in (0.5, 0.95, 0.99))
+    return f"{ELAPSED}, w AS (SELECT *, CAST(FLOOR(elapsed / {WINDOW_SECONDS}) AS BIGINT) AS window_id, CAST(props->>'k' AS BIGINT) AS k FROM e), a AS (SELECT window_id, {', '.join(cols)} FROM w GROUP BY 1), r AS (SELECT window_id, value, ROW_NUMBER() OVER (PARTITION BY window_id ORDER BY value) - 1 AS i, COUNT(*) OVER (PARTITION BY window_id) AS n FROM w WHERE {DONE}), b AS (SELECT window_id, {picks} FROM r GROUP BY 1) SELECT * FROM a LEFT JOIN b USING (window_id)"
+
+
+@query("g20_event_window_summary", _summary_sql())
 def event_window_summary(t: Tables) -> DataFrame:
-    w = seconds_since_first(t.events).withColumn("window_id", F.floor(F.col("elapsed") / 432_000).cast("long"))
-    a = w.groupBy("window_id").agg(F.count_if(F.col("event_type") == "purchase").alias("completed"), F.count("*").alias("submitted"), F.countDistinct("user_id").alias("users"), F.round(F.sum("value"), 4).alias("total"))
-    return a.join(rounded_rank(w, "window_id", "value", {"p50": 0.5, "p95": 0.95}), "window_id")
+    return window_summary(window_events(t))
 
 
 @query("g21_monitor_summary", "SELECT user_id, MAX(value) AS most, CAST(COUNT(*) FILTER (event_type = 'click') AS BIGINT) AS waiting, ROUND(ARG_MAX(value, event_id) - ARG_MIN(value, event_id), 6) AS change FROM events GROUP BY 1")
@@ -344,9 +401,23 @@ def smoke_cases(t: Tables) -> DataFrame:
     return t.documents.agg(*firsts, longest).selectExpr(f"stack({len(names)}, {', '.join(f'\'{n}\', {n}' for n in names)}) as (case_name, doc_id)")
 
 
-@query("g37_feature_vector", "SELECT l_orderkey, COUNT(*) AS units, STRING_AGG(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS roles, MAX(l_quantity) >= 45 AS has_large, BOOL_OR(l_linestatus = 'O') AS has_open, COUNT(DISTINCT l_suppkey) > 2 AS many_sources FROM lineitem GROUP BY 1")
+#: Features of an article, over its lines: thirteen conditions on what an aggregation of them has.
+FEATURES = {
+    "oversize": "bytes > 150", "single_unit": "units = 1", "multi_unit": "units > 1", "has_returns": "returned > 0", "open_lines": "open > 0", "all_open": "open = units", "large_line": "largest >= 45", "small_line": "smallest <= 5",
+    "many_sources": "sources > 2", "one_source": "sources = 1", "discounted": "discount >= 0.1", "untaxed": "tax = 0", "late": "late > 0",
+}
+LINE_AGGREGATES = {
+    "units": "COUNT(*)", "bytes": "CAST(SUM(l_quantity) AS BIGINT)", "returned": "SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END)", "open": "SUM(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END)", "largest": "MAX(l_quantity)", "smallest": "MIN(l_quantity)",
+    "sources": "COUNT(DISTINCT l_suppkey)", "discount": "MAX(l_discount)", "tax": "MIN(l_tax)", "late": "SUM(CASE WHEN l_linenumber > 5 THEN 1 ELSE 0 END)",
+}
+
+
+@query("g37_feature_vector", f"WITH a AS (SELECT l_orderkey, {', '.join(f'{v} AS {k}' for k, v in LINE_AGGREGATES.items())} FROM lineitem GROUP BY 1), r AS (SELECT l_orderkey, STRING_AGG(l_returnflag || ':' || n, ',' ORDER BY l_returnflag) AS roles FROM (SELECT l_orderkey, l_returnflag, COUNT(*) AS n FROM lineitem GROUP BY 1, 2) GROUP BY 1) SELECT a.l_orderkey, units, bytes, roles, CONCAT_WS(',', {', '.join(f'CASE WHEN {v} THEN {chr(39)}{k}{chr(39)} END' for k, v in sorted(FEATURES.items()))}) AS features FROM a JOIN r ON r.l_orderkey = a.l_orderkey")
 def feature_vector(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy("l_orderkey").agg(F.count("*").alias("units"), F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("roles"), (F.max("l_quantity") >= 45).alias("has_large"), F.bool_or(F.col("l_linestatus") == "O").alias("has_open"), (F.countDistinct("l_suppkey") > 2).alias("many_sources"))
+    """Size, counts by role, and the names of the features that an article has."""
+    a = t.lineitem.groupBy("l_orderkey").agg(*(F.expr(v).alias(k) for k, v in LINE_AGGREGATES.items()), F.array_sort(F.collect_list("l_returnflag")).alias("flags"))
+    roles = F.transform(F.array_distinct("flags"), lambda f: F.concat(f, F.lit(":"), F.size(F.filter("flags", lambda x: x == f)).cast("string")))
+    return a.select("l_orderkey", "units", "bytes", F.array_join(roles, ",").alias("roles"), F.concat_ws(",", *(F.when(F.expr(v), F.lit(k)) for k, v in sorted(FEATURES.items()))).alias("features"))
 
 
 def self_hashed(payload: Column, name: str = "sha256") -> Column:

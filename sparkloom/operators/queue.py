@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from sparkloom.operators.aggregates import rounded_rank
@@ -35,10 +35,7 @@ def lease_expiry(t: Tables) -> DataFrame:
 LEGAL = {"ready": ("leased",), "leased": ("validated", "retryable"), "retryable": ("ready", "blocked"), "validated": ("complete",)}
 
 
-@query("q03_state_machine", "WITH s AS (SELECT user_id, event_id, event_type, LAG(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events) SELECT user_id, ARG_MAX(event_type, event_id) AS state, CAST(COUNT(*) FILTER (before = event_type) AS BIGINT) AS repeated FROM s GROUP BY 1")
-def state_machine(t: Tables) -> DataFrame:
-    s = t.events.withColumn("before", F.lag("event_type").over(Window.partitionBy("user_id").orderBy("event_id")))
-    return s.groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("state"), F.count_if(F.col("before") == F.col("event_type")).alias("repeated"))
+STATES = {"view": "ready", "click": "leased", "signup": "validated", "purchase": "complete", "error": "retryable"}
 
 
 def illegal_moves(events: DataFrame, key: str, order: str, state: str, legal: dict[str, tuple[str, ...]] = LEGAL) -> DataFrame:
@@ -48,6 +45,20 @@ def illegal_moves(events: DataFrame, key: str, order: str, state: str, legal: di
     return s.where(F.col("before").isNotNull() & ~F.coalesce(F.array_contains(F.try_element_at(allowed, F.col("before")), F.col(state)), F.lit(False)))
 
 
+@query(
+    "q03_state_machine",
+    f"WITH s AS (SELECT user_id, event_id, CASE event_type {' '.join(f'WHEN {chr(39)}{k}{chr(39)} THEN {chr(39)}{v}{chr(39)}' for k, v in STATES.items())} END AS state FROM events), b AS (SELECT *, LAG(state) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM s) "
+    f"SELECT user_id, ARG_MAX(state, event_id) AS state, CAST(COUNT(*) FILTER (before IS NOT NULL AND NOT ({' OR '.join(f'(before = {chr(39)}{a}{chr(39)} AND state = {chr(39)}{b}{chr(39)})' for a, bs in LEGAL.items() for b in bs)})) AS BIGINT) AS illegal, CAST(COUNT(*) FILTER (before = state) AS BIGINT) AS repeated FROM b GROUP BY 1",
+)
+def state_machine(t: Tables) -> DataFrame:
+    """The state of each batch after all its events, and how many of these the machine doesn't allow."""
+    states = F.create_map(*(F.lit(x) for pair in STATES.items() for x in pair))
+    s = t.events.select("user_id", "event_id", states[F.col("event_type")].alias("state"))
+    last = s.withColumn("before", F.lag("state").over(Window.partitionBy("user_id").orderBy("event_id"))).groupBy("user_id").agg(F.max_by("state", "event_id").alias("state"), F.count_if(F.col("before") == F.col("state")).alias("repeated"))
+    bad = illegal_moves(s, "user_id", "event_id", "state").groupBy("user_id").agg(F.count("*").alias("illegal"))
+    return last.join(bad, "user_id", "left").na.fill(0, ["illegal"]).select("user_id", "state", "illegal", "repeated")
+
+
 @query("q04_retry_then_split", "WITH r AS (SELECT l_orderkey, COUNT(*) AS tries, LIST(l_partkey ORDER BY l_linenumber, l_partkey) AS x FROM lineitem GROUP BY 1) SELECT l_orderkey, CASE WHEN tries <= 3 THEN 'retry' WHEN LEN(x) > 1 THEN 'split' ELSE 'blocked' END AS outcome, CASE WHEN tries > 3 THEN CAST(LEN(x) // 2 AS BIGINT) END AS first_half FROM r")
 def retry_then_split(t: Tables) -> DataFrame:
     r = t.lineitem.groupBy("l_orderkey").agg(F.count("*").alias("tries"), F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda s: s["l_partkey"]).alias("x"))
@@ -68,12 +79,18 @@ def exactly_one(t: Tables) -> DataFrame:
     return t.events.groupBy("event_type").agg((F.count("*") == 1).alias("exactly_one"))
 
 
-@query("q08_in_flight_maximum", "WITH m AS (SELECT user_id, event_id AS t0, 1 AS d FROM events WHERE event_id % 3 <> 2 UNION ALL SELECT user_id, event_id + 500, -1 FROM events WHERE event_id % 3 <> 2), r AS (SELECT user_id, SUM(d) OVER (PARTITION BY user_id ORDER BY t0, d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n FROM m) SELECT user_id, CAST(MAX(n) AS BIGINT) AS most FROM r GROUP BY 1")
-def in_flight(t: Tables) -> DataFrame:
-    e = t.events.where("event_id % 3 <> 2")
-    m = e.select("user_id", F.col("event_id").alias("at"), F.lit(1).alias("d")).unionByName(e.select("user_id", (F.col("event_id") + 500).alias("at"), F.lit(-1).alias("d")))
-    running = F.sum("d").over(Window.partitionBy("user_id").orderBy("at", "d").rowsBetween(Window.unboundedPreceding, 0))
-    return m.withColumn("n", running).groupBy("user_id").agg(F.max("n").alias("most"))
+def in_flight(spans: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """(key, most): how many spans are open at once, at most; one that ends when another begins is closed before."""
+    moves = spans.select(key, F.col(start).alias("at"), F.lit(1).alias("d")).unionByName(spans.select(key, F.col(end).alias("at"), F.lit(-1).alias("d")))
+    running = F.sum("d").over(Window.partitionBy(key).orderBy("at", "d").rowsBetween(Window.unboundedPreceding, 0))
+    return moves.withColumn("n", running).groupBy(key).agg(F.max("n").alias("most"))
+
+
+@query("q08_in_flight_maximum", "WITH m AS (SELECT user_id, event_id AS t0, 1 AS d FROM events UNION ALL SELECT user_id, event_id + 300 + CAST(FLOOR(value) AS BIGINT) % 400, -1 FROM events), r AS (SELECT user_id, SUM(d) OVER (PARTITION BY user_id ORDER BY t0, d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n FROM m) SELECT user_id, CAST(MAX(n) AS BIGINT) AS most FROM r GROUP BY 1")
+def most_in_flight(t: Tables) -> DataFrame:
+    """Every event is a span that begins at its id and lasts as long as its value says."""
+    spans = t.events.select("user_id", F.col("event_id").alias("a"), (F.col("event_id") + 300 + F.floor("value").cast("long") % 400).alias("b"))
+    return in_flight(spans, "user_id", "a", "b")
 
 
 @query("q09_idempotent_replay", "WITH r AS (SELECT user_id, event_type, props, MIN(event_id) AS event_id, COUNT(*) AS n FROM events GROUP BY 1, 2, 3) SELECT event_id, n - 1 AS replays, COUNT(*) OVER (PARTITION BY user_id, event_type) > 1 AS conflict FROM r")
@@ -100,6 +117,16 @@ def deadline(t: Tables) -> DataFrame:
     return seconds_since_first(t.events).select("event_id", F.when(F.col("elapsed") > 1_728_000, "interrupt").when(F.col("elapsed") > 864_000, "drain").otherwise("none").alias("decision"))
 
 
-@query("q14_phase_metrics", "WITH r AS (SELECT event_type, value, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY value) - 1 AS i, COUNT(*) OVER (PARTITION BY event_type) AS n FROM events) SELECT event_type, MAX(value) FILTER (i = ROUND_EVEN((n - 1) * 0.5, 0)) AS p50, COUNT(*) AS n, MAX(value) AS peak FROM r GROUP BY 1")
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """A frame that counts its rows and their bytes on the way, in the job that writes it; the observation has them then."""
+    seen = Observation(name)
+    size = F.sum(F.length(F.to_json(F.struct(*df.columns))))
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), size.alias("bytes")), seen
+
+
+@query("q14_phase_metrics", "WITH r AS (SELECT event_type, value, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY value) - 1 AS i, COUNT(*) OVER (PARTITION BY event_type) AS n FROM events), a AS (SELECT event_type, COUNT(*) AS n, MAX(value) AS peak, ROUND((MAX(epoch_us(ts)) - MIN(epoch_us(ts))) / 1000000.0, 3) AS wall_seconds, ROUND(SUM(value) / 1000, 6) AS busy_seconds FROM events GROUP BY 1) SELECT a.*, p50, p95 FROM a JOIN (SELECT event_type, MAX(value) FILTER (i = ROUND_EVEN((n - 1) * 0.5, 0)) AS p50, MAX(value) FILTER (i = ROUND_EVEN((n - 1) * 0.95, 0)) AS p95 FROM r GROUP BY 1) USING (event_type)")
 def phase_metrics(t: Tables) -> DataFrame:
-    return t.events.groupBy("event_type").agg(F.count("*").alias("n"), F.max("value").alias("peak")).join(rounded_rank(t.events, "event_type", "value", {"p50": 0.5}), "event_type")
+    """Rows, wall and busy time, peak and percentiles of each phase."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    a = t.events.groupBy("event_type").agg(F.count("*").alias("n"), F.max("value").alias("peak"), F.round((F.max(at) - F.min(at)) / 1_000_000.0, 3).alias("wall_seconds"), F.round(F.sum("value") / 1000, 6).alias("busy_seconds"))
+    return a.join(rounded_rank(t.events, "event_type", "value", {"p50": 0.5, "p95": 0.95}), "event_type")
