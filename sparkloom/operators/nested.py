@@ -60,7 +60,7 @@ def walk(tree) -> Iterator[tuple]:
         ordinal += 1
 
 
-@udtf(returnType=NODE)
+@udtf(returnType=NODE, useArrow=True)
 class NodeTable:
     """Nodes of one JSON text; text that doesn't parse has none."""
 
@@ -113,24 +113,23 @@ def by_selector(t: Tables) -> DataFrame:
     return nodes(t).where("kind = 'object' AND selector = 'glossary'").select("p_partkey", "pointer")
 
 
-def pair_with_last(items: Column, opens: Column | None = None) -> Column:
-    """A fold over struct<kind, text>: an answer goes to the last question that has none."""
-    zero = F.array().cast("array<struct<asked:string,answered:string>>")
+def pair_with_last(rows: DataFrame, key: str, order: str, kind: str, text: str, asks: str) -> DataFrame:
+    """(key, order, asked, answered): each question with what comes right behind it, if that isn't a question too.
 
-    def step(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, F.when(F.size(acc) > 0, F.lit(-1)))
-        put = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(last["asked"].alias("asked"), x["text"].alias("answered"))))
-        fresh = F.concat(acc, F.array(F.struct(x["text"].alias("asked"), F.lit(None).cast("string").alias("answered"))))
-        return F.when(x["kind"] == "user", fresh).when((F.size(acc) > 0) & last["answered"].isNull(), put).otherwise(acc)
-
-    return F.aggregate(items, zero, step)
+    An answer goes to the last question, and only if that has none yet, so it is
+    the one that follows; no array of the pairs so far is carried along.
+    """
+    w = Window.partitionBy(key).orderBy(order)
+    n = rows.select(key, order, kind, text, F.lead(kind).over(w).alias("_next"), F.lead(text).over(w).alias("_said"))
+    return n.where(F.col(kind) == asks).select(key, order, F.col(text).alias("asked"), F.when(F.col("_next") != asks, F.col("_said")).alias("answered"))
 
 
 @query("n07_stateful_pairing", "WITH u AS (SELECT conv_id, turn, role, LEAD(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next FROM conversations WHERE role IN ('user', 'assistant')) SELECT conv_id, CAST(COUNT(*) FILTER (role = 'user') AS BIGINT) AS asked, CAST(COUNT(*) FILTER (role = 'user' AND next = 'assistant') AS BIGINT) AS answered FROM u GROUP BY 1")
 def stateful_pairing(t: Tables) -> DataFrame:
-    c = t.conversations.where("role IN ('user', 'assistant')").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", F.col("role").alias("kind"), F.coalesce("text", F.lit("")).alias("text")))), lambda x: F.struct(x["kind"].alias("kind"), x["text"].alias("text"))).alias("x"))
-    p = c.withColumn("p", pair_with_last(F.col("x")))
-    return p.select("conv_id", F.size("p").cast("long").alias("asked"), F.size(F.filter("p", lambda x: x["answered"].isNotNull())).cast("long").alias("answered"))
+    c = t.conversations.where("role IN ('user', 'assistant')").withColumn("text", F.coalesce("text", F.lit("")))
+    ids = c.select("conv_id").distinct()
+    p = pair_with_last(c, "conv_id", "turn", "role", "text", "user").groupBy("conv_id").agg(F.count("*").alias("asked"), F.count("answered").alias("answered"))
+    return ids.join(p, "conv_id", "left").na.fill(0)
 
 
 def pointer_tokens(pointer: str) -> list[str]:
@@ -447,7 +446,7 @@ def output_schema(t: Tables) -> DataFrame:
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)")
 
 
-@udtf(returnType="tag string, depth int, ordinal int")
+@udtf(returnType="tag string, depth int, ordinal int", useArrow=True)
 class HtmlTags:
     """Start tags of a page in order, with the number of open ones."""
 

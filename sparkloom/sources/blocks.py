@@ -172,7 +172,7 @@ def dictionary_file(titles: pd.Series, keys: pd.Series, bodies: pd.Series) -> pd
     return pd.Series([write_dictionary(list(zip(k, b, strict=True)), t) for t, k, b in zip(titles, keys, bodies, strict=True)])
 
 
-@udtf(returnType="title string, place int, key string, body string, error string")
+@udtf(returnType="title string, place int, key string, body string, error string", useArrow=True)
 class DictionaryRecords:
     """The records of a file, or one row that says what is wrong with it."""
 

@@ -29,7 +29,7 @@ from sparkloom.operators.windows import pages
 from sparkloom.registry import Tables, query
 
 
-@udtf(returnType="member string, bank_number int, entry_ordinal int, raw string")
+@udtf(returnType="member string, bank_number int, entry_ordinal int, raw string", useArrow=True)
 class BankRows:
     """Rows of the members ``<prefix>_<number>.json`` of a ZIP, numbered banks in numeric order."""
 
@@ -313,7 +313,7 @@ def checksum_list(t: Tables) -> DataFrame:
     return checksum_lines(t.nation.select(F.concat(F.upper(F.sha2("n_name", 256)), F.lit("  "), "n_name", F.lit(".zip")).alias("value")))
 
 
-@udtf(returnType="word string, position long, size long, error string")
+@udtf(returnType="word string, position long, size long, error string", useArrow=True)
 class IndexRecords:
     """Records of a binary index: a word, a zero byte, and two big-endian 32-bit numbers; the last row says what is wrong, if anything."""
 
@@ -434,7 +434,7 @@ class BadgeParser(HTMLParser):
         self.found.append((o["kind"], o["category"], o["code"], o["title"], "".join(o["text"]), truncated))
 
 
-@udtf(returnType="kind string, category string, code string, title string, label string, truncated boolean")
+@udtf(returnType="kind string, category string, code string, title string, label string, truncated boolean", useArrow=True)
 class Badges:
     def eval(self, source: str):
         parser = BadgeParser()
