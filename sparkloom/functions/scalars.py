@@ -231,9 +231,12 @@ def safe_path(col: Column) -> Column:
     return ~(col.rlike(r"^/|\\|^$") | F.exists(F.split(col, "/"), lambda p: p.isin("", ".", "..")))
 
 
-@query("x20_safe_path", "SELECT page_id, page_id % 3 = 0 AS safe FROM pages")
+PATHS = (("media/x.png", True), ("a/../b", False), ("/etc", False), ("..", False), ("a/..b/c", True), ("", False), ("a//b", False), ("./a", False), ("a\\b", False), ("é/ü.mp3", True))
+
+
+@query("x20_safe_path", f"SELECT page_id, CASE page_id % {len(PATHS)} " + " ".join(f"WHEN {k} THEN {str(v).upper()}" for k, (_, v) in enumerate(PATHS)) + " END AS safe FROM pages")
 def safe(t: Tables) -> DataFrame:
-    p = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("media/"), F.col("page_id").cast("string"))).when(F.col("page_id") % 3 == 1, "a/../b").otherwise("/etc")
+    p = F.element_at(F.array(*(F.lit(x) for x, _ in PATHS)), (F.col("page_id") % len(PATHS) + 1).cast("int"))
     return t.pages.select("page_id", safe_path(p).alias("safe"))
 
 
@@ -277,12 +280,18 @@ def normalised(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("dated"), F.hex("o_orderstatus").alias("status_hex"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
 
 
-@query("x27_integer_strictness", "SELECT event_id, TRUE AS strict, CAST(props->>'k' AS BIGINT) AS k FROM events WHERE CAST(props->>'k' AS BIGINT) >= 0")
+#: JSON values, and whether each is a non-negative integer.
+VALUES = (("3", True), ("0", True), ("-1", False), ("true", False), ("false", False), ("1.5", False), ("1.0", False), ('"1"', False), ("null", False), ("[1]", False), ("12345678901", True))
+
+
+@query("x27_integer_strictness", f"SELECT event_id, CASE event_id % {len(VALUES)} " + " ".join(f"WHEN {k} THEN {str(v).upper()}" for k, (_, v) in enumerate(VALUES)) + " END AS strict FROM events")
 def strictness(t: Tables) -> DataFrame:
-    """A JSON number without a fraction; true and false are none."""
-    v = F.try_parse_json("props")
+    """A JSON number without a fraction that isn't below zero; true and false are none."""
+    raw = F.concat(F.lit('{"k":'), F.element_at(F.array(*(F.lit(x) for x, _ in VALUES)), (F.col("event_id") % len(VALUES) + 1).cast("int")), F.lit("}"))
+    v = F.try_parse_json(raw)
     kind = F.schema_of_variant(F.try_variant_get(v, "$.k", "variant"))
-    return t.events.select("event_id", kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT").alias("strict"), F.try_variant_get(v, "$.k", "bigint").alias("k")).where("k >= 0")
+    fine = kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT") & (F.try_variant_get(v, "$.k", "bigint") >= 0)
+    return t.events.select("event_id", F.coalesce(fine, F.lit(False)).alias("strict"))
 
 
 @query("x28_suffix_swap", "SELECT page_id, REGEXP_REPLACE('media/' || page_id || '.avif', '\\.avif$', '.png') AS path FROM pages")

@@ -108,11 +108,6 @@ def leaves(table: DataFrame, *, excluded: tuple[str, ...] = (), fields: tuple[st
     return kept.withColumn("role", F.coalesce(F.element_at(F.col("path"), F.when(F.size("path") > 0, F.lit(-1))), F.lit("text")))
 
 
-@query("n05_select_by_selector", "SELECT p_partkey, '/content/1' AS pointer FROM part")
-def by_selector(t: Tables) -> DataFrame:
-    return nodes(t).where("kind = 'object' AND selector = 'glossary'").select("p_partkey", "pointer")
-
-
 def pair_with_last(rows: DataFrame, key: str, order: str, kind: str, text: str, asks: str) -> DataFrame:
     """(key, order, asked, answered): each question with what comes right behind it, if that isn't a question too.
 
@@ -425,11 +420,6 @@ def target_normalisation(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", stored.alias("stored"))
 
 
-@query("n28_visible_strings", "SELECT p_partkey, 4 AS strings FROM part")
-def visible_strings(t: Tables) -> DataFrame:
-    return nodes(t).where("kind = 'string' AND field IN ('content', 'title')").groupBy("p_partkey").agg(F.count("*").cast("int").alias("strings"))
-
-
 @query("n29_grouped_assembly", "WITH w AS (SELECT STRING_SPLIT(p_name, ' ')[1] AS head, p_partkey, p_type FROM part) SELECT head, SHA256('<h1>' || head || '</h1>' || STRING_AGG('<p>' || p_type || '</p>', '' ORDER BY p_partkey)) AS sha256 FROM w GROUP BY 1")
 def grouped_assembly(t: Tables) -> DataFrame:
     g = t.part.groupBy(F.split("p_name", " ")[0].alias("head")).agg(F.array_sort(F.collect_list(F.struct("p_partkey", "p_type"))).alias("x"))

@@ -151,3 +151,15 @@ def inventory(t: Tables) -> DataFrame:
     """How often an article has each element that must be preserved."""
     kept = article_nodes(t).where("kind = 'object'").where(F.col("selector").isin(*INVENTORY))
     return kept.groupBy("p_partkey", F.col("selector").alias("element")).agg(F.count("*").alias("n"))
+
+
+@query("n05_select_by_selector", f"WITH g AS ({GLOSS}) SELECT p_partkey, 'glossary' AS selector, '/content/1/content/0' AS pointer FROM part UNION ALL SELECT p_partkey, 'glossary', '/content/2/content/0' FROM part UNION ALL SELECT p_partkey, 'highlight', '/content/1/content/0/content/' || k FROM g WHERE k % 2 = 1")
+def by_selector(t: Tables) -> DataFrame:
+    """Elements by selector, those inside others too."""
+    return article_nodes(t).where("kind = 'object'").where(F.col("selector").isin("glossary", "highlight")).select("p_partkey", "selector", "pointer")
+
+
+@query("n28_visible_strings", f"WITH g AS ({GLOSS}) SELECT p_partkey, CAST(SUM(CASE WHEN k % 2 = 0 THEN 1 ELSE 2 END) + 10 + CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS strings FROM g GROUP BY 1")
+def visible_strings(t: Tables) -> DataFrame:
+    """Strings that are content or titles, without those of metadata."""
+    return article_nodes(t).where("kind = 'string' AND field IN ('content', 'title') AND NOT hidden").groupBy("p_partkey").agg(F.count("*").alias("strings"))
