@@ -161,7 +161,7 @@ def read_dictionary(data: bytes) -> tuple[dict[str, str], list[tuple[str, str]]]
         raise ValueError("data after the end")
     if keys != sorted(keys, key=sort_key):
         raise ValueError("keys out of order")
-    ends = [*starts[1:], len(records)]
+    ends = [*starts[1:], len(records)][: len(starts)]
     if starts and (starts[0] or any(a >= b for a, b in zip(starts, ends, strict=True))):
         raise ValueError("records aren't contiguous")
     return head, [(k, records[a : b - 1].decode()) for k, a, b in zip(keys, starts, ends, strict=True)]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sparkloom.functions import patterns, scalars
 from sparkloom.operators import aggregates, checks, joins, mutations, nested, packing, queue, rules, windows
 from sparkloom.registry import Tables
-from sparkloom.sources import scans, sinks
+from sparkloom.sources import blocks, scans, sinks
 from sparkloom.streaming import events
 
 
@@ -390,3 +390,66 @@ def test_versioned_write_and_audit(spark, tmp_path):
     (tmp_path / "x.xml").write_text("<d><e><n>1</n></e><e><n>2</n></e></d>")
     assert rows(scans.xml_rows(spark, str(tmp_path / "x.xml"), "e", "n int")) == [(1,), (2,)]
     assert scans.file_hashes(scans.binary_files(spark, str(tmp_path / "x.xml"))).count() == 1
+
+
+@pytest.mark.parametrize("n", [0, 1, 5000])
+def test_dictionary_files_are_read_back(n):
+    entries = [(f"Key {i * 7919 % 5003:05d}" if i % 2 else f"key {i:05d}", "record é " * (i % 40)) for i in range(n)]
+    data = blocks.write_dictionary(entries, 'A "title" & more')
+    head, found = blocks.read_dictionary(data)
+    assert head["Title"] == 'A "title" & more' and found == sorted(entries, key=lambda e: (e[0].lower().encode(), e[0].encode()))
+    for spoilt in (data[:-1], data + b"x", data[:3], data[:60] + bytes([data[60] ^ 1]) + data[61:]):
+        with pytest.raises(ValueError):
+            blocks.read_dictionary(spoilt)
+    for bad in (("", "x"), ("a\nb", "x"), ("a", "x\0")):
+        with pytest.raises(ValueError):
+            blocks.write_dictionary([bad], "t")
+
+
+def test_rows_are_observed_on_the_way(spark, tmp_path):
+    df, seen = queue.observed(spark.range(10), "ten")
+    df.write.parquet(str(tmp_path / "t"))
+    assert seen.get["rows"] == 10 and seen.get["bytes"] > 0
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.replace_table(spark.range(3), path)
+    with pytest.raises(Exception, match="no"):
+        sinks.replace_table(spark.range(9).select(F.when(F.col("id") > 5, F.raise_error(F.lit("no")).cast("long")).otherwise(F.col("id")).alias("id")), path)
+    assert spark.read.parquet(path).count() == 3 and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_a_swap_needs_exactly_one_owner(spark):
+    batches = spark.createDataFrame([(1, "leased", "t"), (2, "leased", "t"), (3, "ready", "t"), (4, "leased", None)], "batch int, state string, token string")
+    claims = spark.createDataFrame([(10, 1, "t", "claimed"), (11, 1, "old", "claimed"), (20, 2, "t", "claimed"), (21, 2, "t", "claimed"), (30, 3, "t", "claimed"), (40, 4, None, "claimed"), (50, 9, "t", "claimed")], "attempt int, batch int, token string, attempt_state string")
+    got = {r.attempt: (r.swapped, r.attempt_state, r.batch_state) for r in mutations.compare_and_swap(batches, claims).collect()}
+    assert got == {10: (True, "accepted", "validated"), 11: (False, "claimed", "leased"), 20: (False, "claimed", "leased"), 21: (False, "claimed", "leased"), 30: (False, "claimed", "ready"), 40: (False, "claimed", "leased"), 50: (False, "claimed", None)}
+
+
+def test_deep_trees_are_walked(spark):
+    raw = '{"content":[' * 3000 + '"x"' + "]}" * 3000
+    tree = "x"
+    for _ in range(3000):
+        tree = {"content": [tree]}
+    rows_ = list(nested.walk(tree))
+    assert rows_[-1][1] == "/content/0" * 3000 and rows_[-1][-1] == "x"
+    assert nested.node_table(spark.createDataFrame([(1, raw)], "k int, raw string"), "k", "raw").count() in (0, len(rows_))
+
+
+def test_nodes_come_in_the_order_of_the_document(spark):
+    raw = '{"content":[' + ",".join(f'"w{i}"' for i in range(12)) + '],"a":"last"}'
+    got = nested.node_table(spark.createDataFrame([(1, raw)], "k int, raw string"), "k", "raw").where("kind = 'string'").orderBy("ordinal").collect()
+    assert [r.text for r in got] == [*(f"w{i}" for i in range(12)), "last"]
+
+
+def test_issues_of_texts(spark):
+    say = lambda text, tokens=(), **kw: spark.range(1).select(rules.text_issues(F.lit(text).cast("string"), F.array(*map(F.lit, tokens)).cast("array<string>"), **kw).alias("x")).first().x
+    assert say(None) == say("  ") == say("　") == ["empty_or_non_string"]
+    assert say("слово") == [] and say("word") == ["no_cyrillic"] and say("word", any_script=True) == []
+    assert say("слово ```") == say("слово [a](b)") == ["markup_detected"]
+    assert say("слово\x0b") == ["control_character"]
+    assert say("слово NASA", ("NASA", "ESA")) == ["protected_token_missing"]
+    assert say("словo") == ["mixed_alphabet_token"] and say("словоNASA", ("NASA",)) == []
+    assert say("слово one two three") == ["too_much_english"] and say("слово one two") == []
+    assert say("слово (Felis catus), one two") == [] and say("слово éone twoé three four") == []
