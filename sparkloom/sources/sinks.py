@@ -12,13 +12,13 @@ import uuid
 import zipfile
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkloom.functions.scalars import html_escape
 from sparkloom.operators.aggregates import ordered_distinct
-from sparkloom.operators.packing import BIG, pack_groups, recursive_pack
+from sparkloom.operators.packing import BIG, pack_ranges, recursive_pack
 from sparkloom.operators.windows import key_ranges, pages, places, running_offset
 from sparkloom.registry import Tables, query
 from sparkloom.sources.scans import pack_index, part_archives, zip_members
@@ -85,14 +85,25 @@ def loaded(t: Tables) -> DataFrame:
 
 
 def json_chunks(rows: DataFrame, group: str, order: str, line: Column, limit: int) -> DataFrame:
-    """(group, chunk, text): JSON arrays of consecutive lines of at most ``limit`` bytes, brackets and commas included."""
+    """(group, chunk, text): JSON arrays of consecutive lines of at most ``limit`` bytes, brackets and commas included.
+
+    ``order`` is an integer key; a chunk never spans two of its ranges (:func:`pack_ranges`).
+    """
     sized = rows.select(group, order, line.alias("line")).withColumn("bytes", F.octet_length("line").cast("long")).withColumn("units", F.lit(1).cast("long"))
-    placed = pack_groups(sized, group, order, items=BIG, bytes_=limit, units=BIG)
-    g = sized.join(placed, [group, order]).groupBy(group, F.col("batch").alias("chunk")).agg(F.array_sort(F.collect_list(F.struct(order, "line"))).alias("x"))
-    return g.select(group, "chunk", F.concat(F.lit("["), F.array_join(F.transform("x", lambda v: v["line"]), ","), F.lit("]")).alias("text"))
+    placed = pack_ranges(sized, group, order, items=BIG, bytes_=limit, units=BIG)
+    g = sized.join(placed, [group, order]).groupBy(group, "range", "batch").agg(F.array_sort(F.collect_list(F.struct(order, "line"))).alias("x"))
+    # a short row for each chunk
+    numbers = placed.select(F.col(group).alias("_group"), F.col("range").alias("_range"), F.col("batch").alias("_batch")).distinct().withColumn("chunk", F.row_number().over(Window.partitionBy("_group").orderBy("_range", "_batch")).cast("long") - 1)
+    met = g.join(numbers, F.col(group).eqNullSafe(F.col("_group")) & (F.col("range") == F.col("_range")) & (F.col("batch") == F.col("_batch")))
+    return met.select(group, "chunk", F.concat(F.lit("["), F.array_join(F.transform("x", lambda v: v["line"]), ","), F.lit("]")).alias("text"))
+
+
+def chunk_sql(limit: int) -> str:
+    """Chunks b(g, o, line, chunk) of l(g, o, line) for DuckDB: folded in the same ranges of keys, numbered across them."""
+    return f"""s AS (SELECT g || '/' || (o // 100000) AS g, o, CAST(STRLEN(line) AS BIGINT) AS bytes, 1::BIGINT AS units FROM l), {recursive_pack(BIG, limit, BIG)}, b AS (SELECT l.g, l.o, l.line, DENSE_RANK() OVER (PARTITION BY l.g ORDER BY l.o // 100000, batch) - 1 AS chunk FROM f JOIN l ON f.g = l.g || '/' || (l.o // 100000) AND f.o = l.o)"""
 
 
-@query("k03_bounded_json_chunks", f"""WITH RECURSIVE l AS (SELECT p_type AS g, p_partkey AS o, '{{"n":"' || p_name || '"}}' AS line FROM part), s AS (SELECT g, o, CAST(STRLEN(line) AS BIGINT) AS bytes, 1::BIGINT AS units FROM l), {recursive_pack(BIG, 2000, BIG)} SELECT f.g AS p_type, batch AS chunk, SHA256('[' || STRING_AGG(line, ',' ORDER BY f.o) || ']') AS sha256, CAST(SUM(STRLEN(line)) + COUNT(*) + 1 AS BIGINT) AS bytes FROM f JOIN l ON l.g = f.g AND l.o = f.o GROUP BY 1, 2""")
+@query("k03_bounded_json_chunks", f"""WITH RECURSIVE l AS (SELECT p_type AS g, p_partkey AS o, '{{"n":"' || p_name || '"}}' AS line FROM part), {chunk_sql(2000)} SELECT g AS p_type, chunk, SHA256('[' || STRING_AGG(line, ',' ORDER BY o) || ']') AS sha256, CAST(SUM(STRLEN(line)) + COUNT(*) + 1 AS BIGINT) AS bytes FROM b GROUP BY 1, 2""")
 def bounded_chunks(t: Tables) -> DataFrame:
     line = F.to_json(F.struct(F.col("p_name").alias("n")))
     c = json_chunks(t.part, "p_type", "p_partkey", line, 2000)
@@ -147,8 +158,8 @@ ROW_LINE = "'[' || p_partkey || ',\"' || p_name || '\"]'"
 
 @query(
     "k06_archive_build",
-    f"""WITH RECURSIVE l AS (SELECT p_type AS g, p_partkey AS o, {ROW_LINE} AS line FROM part), s AS (SELECT g, o, CAST(STRLEN(line) AS BIGINT) AS bytes, 1::BIGINT AS units FROM l), {recursive_pack(BIG, 1500, BIG)}, b AS (SELECT f.g, batch, '[' || STRING_AGG(line, ',' ORDER BY f.o) || ']' AS text FROM f JOIN l ON l.g = f.g AND l.o = f.o GROUP BY 1, 2),
- m AS (SELECT g, 0 AS place, 0 AS nth, 'index.json' AS name, '{{"title":"' || g || '","revision":"v1"}}' AS text FROM (SELECT DISTINCT g FROM l) UNION ALL SELECT p_type, 1, 0, 'tag_bank_1.json', '[' || STRING_AGG(DISTINCT '"' || p_brand || '"', ',' ORDER BY '"' || p_brand || '"') || ']' FROM part GROUP BY 1 UNION ALL SELECT g, 2, batch + 1, 'term_bank_' || (batch + 1) || '.json', text FROM b)
+    f"""WITH RECURSIVE l AS (SELECT p_type AS g, p_partkey AS o, {ROW_LINE} AS line FROM part), {chunk_sql(1500)}, t AS (SELECT g, chunk AS batch, '[' || STRING_AGG(line, ',' ORDER BY o) || ']' AS text FROM b GROUP BY 1, 2),
+ m AS (SELECT g, 0 AS place, 0 AS nth, 'index.json' AS name, '{{"title":"' || g || '","revision":"v1"}}' AS text FROM (SELECT DISTINCT g FROM l) UNION ALL SELECT p_type, 1, 0, 'tag_bank_1.json', '[' || STRING_AGG(DISTINCT '"' || p_brand || '"', ',' ORDER BY '"' || p_brand || '"') || ']' FROM part GROUP BY 1 UNION ALL SELECT g, 2, batch + 1, 'term_bank_' || (batch + 1) || '.json', text FROM t)
  SELECT g AS p_type, CAST(ROW_NUMBER() OVER (PARTITION BY g ORDER BY place, nth) AS BIGINT) AS place, name, SHA256(text) AS sha256, CAST(STRLEN(text) AS BIGINT) AS bytes FROM m""",
 )
 def archives(t: Tables) -> DataFrame:
