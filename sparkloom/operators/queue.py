@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+import heapq
+from collections.abc import Iterable
+from functools import reduce
+from operator import or_
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from sparkloom.operators.aggregates import rounded_rank
@@ -66,6 +72,75 @@ def retry_then_split(t: Tables) -> DataFrame:
     return r.select("l_orderkey", F.when(F.col("tries") <= 3, "retry").when(F.size("x") > 1, "split").otherwise("blocked").alias("outcome"), F.when(F.col("tries") > 3, F.size(h[0]).cast("long")).alias("first_half"))
 
 
+def dispatch(durations: Iterable[tuple[float, float]], *, workers: int, ramp: float, drain: float, stop: float) -> list[tuple[float | None, float | None, str]]:
+    """(launch, end, outcome) of calls (ready, seconds) in order, ``workers`` at once.
+
+    The first calls start ``ramp`` seconds apart; none starts from ``drain`` on,
+    and what still runs at ``stop`` is interrupted, after which none starts either.
+    """
+    drain = min(drain, stop)
+    free: list[float] = []  # when busy workers are free again
+    out, opened, now = [], 0, 0.0
+    for ready, seconds in durations:
+        if opened < workers and (not free or free[0] > max(now, ready, opened * ramp)):
+            at = max(now, ready, opened * ramp)
+            opened += 1
+        elif free:
+            at = max(now, ready, heapq.heappop(free))
+        else:
+            at = max(now, ready)
+        now = at
+        if at >= drain:
+            out.append((None, None, "not_launched"))
+            heapq.heappush(free, at)
+            continue
+        end = min(at + seconds, stop)
+        heapq.heappush(free, end)
+        out.append((at, end, "interrupted" if at + seconds > stop else "completed"))
+    return out
+
+
+@query("q05_dispatch_plan")
+def dispatch_plan(t: Tables) -> DataFrame:
+    """Calls of each user, three at once: no SQL, as each launch depends on all before it; a plain simulation says the same (in the tests)."""
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("event_id")
+        got = dispatch([(0.0, v) for v in group["value"].to_pylist()], workers=3, ramp=2.0, drain=60.0, stop=75.0)
+        return pa.table({"event_id": group["event_id"], "launch": pa.array([x[0] for x in got], pa.float64()), "ended": pa.array([x[1] for x in got], pa.float64()), "outcome": pa.array([x[2] for x in got])})
+
+    return t.events.where("value IS NOT NULL").select("user_id", "event_id", "value").groupBy("user_id").applyInArrow(run, "event_id long, launch double, ended double, outcome string")
+
+
+def error_category(message: Column) -> Column:
+    """What kind of error a message is: only a transient one is worth another try."""
+    m = F.lower(message)
+    has = lambda *xs: reduce(or_, (F.contains(m, F.lit(x)) for x in xs))
+    return F.when(has("constraint"), "constraint").when(has("locked", "busy"), "transient").when(has("closed", "unable to open"), "connection_loss").otherwise("permanent")
+
+
+def retry_delay(attempt: Column, jitter: Column, *, base: int = 200, most: int = 2000) -> Column:
+    """Milliseconds before the next try: doubled each time up to ``most``, and up to a quarter more; ``jitter`` is 0 to 1."""
+    delay = F.least(F.lit(base) * F.pow(F.lit(2.0), attempt), F.lit(float(most)))
+    return delay + jitter * delay / 4
+
+
+ERRORS_SAID = ("database is locked", "UNIQUE constraint failed", "Busy, try again", "connection closed", "syntax error", "unable to open file")
+
+
+@query(
+    "q12_retry_schedule",
+    f"WITH e AS (SELECT event_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS attempt, CASE CAST(event_id % 6 AS INT) WHEN 0 THEN 'transient' WHEN 1 THEN 'constraint' WHEN 2 THEN 'transient' WHEN 3 THEN 'connection_loss' WHEN 4 THEN 'permanent' ELSE 'connection_loss' END AS category FROM events WHERE event_type = 'error') "
+    "SELECT event_id, attempt, category, CASE WHEN category = 'transient' AND attempt + 1 < 6 THEN ROUND(LEAST(200 * POW(2, attempt), 2000) * (1 + (event_id * 7919 % 1000) / 4000.0), 6) END AS delay FROM e",
+)
+def retry_schedule(t: Tables) -> DataFrame:
+    """The errors of each user as tries of one operation, six at most; jitter comes from the id, so that a rerun gives the same schedule."""
+    message = F.element_at(F.array(*map(F.lit, ERRORS_SAID)), (F.col("event_id") % 6 + 1).cast("int"))
+    e = t.events.where("event_type = 'error'").withColumn("attempt", F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")).cast("long") - 1).withColumn("category", error_category(message))
+    delay = retry_delay(F.col("attempt"), (F.col("event_id") * 7919 % 1000) / 1000.0)
+    return e.select("event_id", "attempt", "category", F.when((F.col("category") == "transient") & (F.col("attempt") + 1 < 6), F.round(delay, 6)).alias("delay"))
+
+
 @query("q06_phase_windows", f"{ELAPSED}, p AS (SELECT 'measurement' AS phase, 0 AS a, 864000 AS b UNION ALL SELECT 'drain', 864000, 1728000 UNION ALL SELECT 'shutdown', 1728000, 999999999) SELECT phase, COUNT(*) AS n, COUNT(DISTINCT user_id) AS users FROM e JOIN p ON elapsed > a AND elapsed <= b GROUP BY 1")
 def phase_windows(t: Tables) -> DataFrame:
     """A range join with three phases, small enough to send to every task."""

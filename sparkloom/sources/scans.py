@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import json
 import re
 import sqlite3
 import struct
 import tempfile
+import time
 import zipfile
 from collections.abc import Callable
 from functools import reduce
@@ -291,6 +293,35 @@ def table_scan(t: Tables) -> DataFrame:
     return t.supplier
 
 
+def fetch_pinned(read: Callable[[], bytes], sha256: str, *, tries: int = 3, wait: Callable[[float], None] = time.sleep) -> bytes:
+    """What ``read`` gives once it has the pinned hash: up to ``tries`` times, with 1, 2, 4 ... seconds between."""
+    for k in range(tries):
+        if k:
+            wait(2.0 ** (k - 1))
+        try:
+            data = read()
+        except OSError:
+            continue
+        if hashlib.sha256(data).hexdigest() == sha256:
+            return data
+    raise ValueError(f"not the pinned content after {tries} tries")
+
+
+def fetch_outcomes(attempts: DataFrame, by: str, nth: str, good: Column, *, tries: int = 3) -> DataFrame:
+    """(by, outcome, tries, waited): what recorded tries (from 1) at a file came to; tries beyond the limit don't count."""
+    first = F.min(F.when(good & (F.col(nth) <= tries), F.col(nth)))
+    g = attempts.groupBy(by).agg(first.alias("first"), F.least(F.max(nth), F.lit(tries)).alias("made"))
+    made = F.coalesce("first", "made").cast("long")
+    return g.select(by, F.when(F.col("first").isNotNull(), "fetched").otherwise("failed").alias("outcome"), made.alias("tries"), (F.pow(F.lit(2.0), made - 1) - 1).cast("long").alias("waited"))
+
+
+@query("s17_pinned_fetch", "WITH a AS (SELECT l_orderkey, MIN(l_linenumber) FILTER (l_returnflag = 'A' AND l_linenumber <= 3) AS first, LEAST(MAX(l_linenumber), 3) AS made FROM lineitem GROUP BY 1) SELECT l_orderkey, CASE WHEN first IS NOT NULL THEN 'fetched' ELSE 'failed' END AS outcome, CAST(COALESCE(first, made) AS BIGINT) AS tries, CAST(CASE COALESCE(first, made) WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE 3 END AS BIGINT) AS waited FROM a")
+def pinned_fetch(t: Tables) -> DataFrame:
+    """Lines as tries at the file of their order, good if the hash of what came is the pinned one."""
+    came = F.sha2(F.col("l_returnflag"), 256)
+    return fetch_outcomes(t.lineitem, "l_orderkey", "l_linenumber", came == F.sha2(F.lit("A"), 256))
+
+
 def file_hashes(files: DataFrame) -> DataFrame:
     """(path, sha256, bytes) of binary files."""
     return files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))

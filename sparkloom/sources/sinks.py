@@ -7,9 +7,11 @@ import contextlib
 import hashlib
 import io
 import shutil
+import subprocess
 import tempfile
 import uuid
 import zipfile
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -234,6 +236,47 @@ def key_list(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", F.explode(F.concat(F.array("p_name"), F.array("p_brand"))).alias("key")).distinct()
 
 
+def run_pinned(tool: str, sha256: str, *args: str, timeout: float = 600) -> str:
+    """Output of an external tool, run only if its file has the pinned hash."""
+    found = hashlib.sha256(Path(tool).read_bytes()).hexdigest()
+    if found != sha256:
+        raise ValueError(f"{tool} has the hash {found}")
+    return subprocess.run([tool, *args], check=True, capture_output=True, text=True, timeout=timeout).stdout
+
+
+@query("k12_pinned_tools", "SELECT n_name AS tool, CASE WHEN n_nationkey % 4 = 1 THEN 'hash_mismatch' WHEN n_nationkey % 4 = 2 THEN 'not_pinned' ELSE 'ok' END AS outcome FROM nation UNION ALL SELECT 'gone ' || r_name, 'missing' FROM region")
+def pinned_tools(t: Tables) -> DataFrame:
+    """Tools by the hash of their file against the pins of a release, before any of them runs."""
+    files = t.nation.select(F.col("n_name").alias("tool"), F.sha2(F.when(F.col("n_nationkey") % 4 == 1, F.concat("n_name", F.lit("!"))).otherwise(F.col("n_name")), 256).alias("found"))
+    pins = t.nation.where("n_nationkey % 4 <> 2").select(F.col("n_name").alias("_tool"), F.sha2("n_name", 256).alias("pin")).unionByName(t.region.select(F.concat(F.lit("gone "), "r_name").alias("_tool"), F.lit("x").alias("pin")))
+    met = files.join(pins, F.col("tool") == F.col("_tool"), "full_outer")
+    outcome = F.when(F.col("tool").isNull(), "missing").when(F.col("pin").isNull(), "not_pinned").when(F.col("pin") != F.col("found"), "hash_mismatch").otherwise("ok")
+    return met.select(F.coalesce("tool", "_tool").alias("tool"), outcome.alias("outcome"))
+
+
+def media_plan(media: DataFrame, path: str) -> DataFrame:
+    """(source, target, action, collides): what becomes of each medium of an export; ``.avif`` is converted and renamed, the rest copied.
+
+    Two sources may not have one target, folded, as file systems fold names.
+    """
+    source = F.col(path)
+    target = F.regexp_replace(source, r"(?i)\.avif$", ".png")
+    m = media.select(source.alias("source"), target.alias("target"), F.when(F.lower(source).endswith(".avif"), "convert").otherwise("copy").alias("action")).distinct()
+    shared = m.groupBy(F.lower("target").alias("_folded")).agg((F.count("*") > 1).alias("collides"))
+    return m.join(shared, F.lower("target") == F.col("_folded")).select("source", "target", "action", "collides")
+
+
+@query(
+    "k13_media_plan",
+    "WITH s AS (SELECT DISTINCT CASE p_partkey % 4 WHEN 0 THEN 'media/' || p_size || '.avif' WHEN 1 THEN 'media/' || p_size || '.png' WHEN 2 THEN 'Media/' || p_size || '.AVIF' ELSE 'sound/' || p_size || '.mp3' END AS source FROM part), m AS (SELECT source, REGEXP_REPLACE(source, '(?i)\\.avif$', '.png') AS target, CASE WHEN LOWER(source) LIKE '%.avif' THEN 'convert' ELSE 'copy' END AS action FROM s) "
+    "SELECT *, COUNT(*) OVER (PARTITION BY LOWER(target)) > 1 AS collides FROM m",
+)
+def media(t: Tables) -> DataFrame:
+    k, size = F.col("p_partkey") % 4, F.col("p_size").cast("string")
+    path = F.when(k == 0, F.concat(F.lit("media/"), size, F.lit(".avif"))).when(k == 1, F.concat(F.lit("media/"), size, F.lit(".png"))).when(k == 2, F.concat(F.lit("Media/"), size, F.lit(".AVIF"))).otherwise(F.concat(F.lit("sound/"), size, F.lit(".mp3")))
+    return media_plan(t.part.select(path.alias("path")), "path")
+
+
 @query("k14_pages", "SELECT c_nationkey, page, COUNT(*) AS n, MIN(c_custkey) AS first, MAX(c_custkey) AS last FROM (SELECT c_nationkey, c_custkey, (ROW_NUMBER() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 25 + 1 AS page FROM customer) GROUP BY 1, 2")
 def paginated(t: Tables) -> DataFrame:
     p = pages(t.customer, 25, "c_custkey", by="c_nationkey").withColumn("page", F.col("page") + 1)

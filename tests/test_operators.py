@@ -453,3 +453,55 @@ def test_issues_of_texts(spark):
     assert say("словo") == ["mixed_alphabet_token"] and say("словоNASA", ("NASA",)) == []
     assert say("слово one two three") == ["too_much_english"] and say("слово one two") == []
     assert say("слово (Felis catus), one two") == [] and say("слово éone twoé three four") == []
+
+
+def plain_dispatch(seconds, workers, ramp, drain, stop):
+    """The same in small steps of time."""
+    drain = min(drain, stop)
+    out, running, opened, todo, now = {}, [], 0, list(enumerate(seconds)), 0.0
+    while todo:
+        running = [e for e in running if e > now + 1e-9]
+        while todo and now < drain:
+            if len(running) < opened:
+                pass
+            elif opened < workers and now >= opened * ramp - 1e-9:
+                opened += 1
+            else:
+                break
+            k, s = todo.pop(0)
+            running.append(min(now + s, stop))
+            out[k] = (round(now, 6), round(min(now + s, stop), 6), "interrupted" if now + s > stop + 1e-9 else "completed")
+        if now >= drain:
+            break
+        now = round(now + 0.25, 6)
+    return [out.get(k, (None, None, "not_launched")) for k in range(len(seconds))]
+
+
+def test_dispatch_equals_a_simulation():
+    rng = random.Random(4)
+    for _ in range(60):
+        seconds = [rng.randint(1, 80) / 4 for _ in range(rng.randint(0, 30))]
+        own = {"workers": rng.randint(1, 4), "ramp": rng.choice([0.0, 0.5, 2.0, 7.5]), "drain": rng.choice([5.0, 20.0, 100.0]), "stop": 110.0 if rng.random() < 0.5 else 22.0}
+        got = queue.dispatch([(0.0, s) for s in seconds], **own)
+        assert [(None if a is None else round(a, 6), None if b is None else round(b, 6), c) for a, b, c in got] == plain_dispatch(seconds, **own)
+
+
+def test_pinned_content_and_tools(tmp_path):
+    good, waits, given = hashlib.sha256(b"x").hexdigest(), [], iter([b"bad", OSError(), b"x"])
+
+    def read():
+        x = next(given)
+        if isinstance(x, Exception):
+            raise x
+        return x
+
+    assert scans.fetch_pinned(read, good, wait=waits.append) == b"x" and waits == [1.0, 2.0]
+    with pytest.raises(ValueError, match="pinned"):
+        scans.fetch_pinned(lambda: b"y", good, wait=waits.append)
+    tool = tmp_path / "tool"
+    tool.write_text("#!/bin/sh\necho said $1\n")
+    tool.chmod(0o755)
+    pin = hashlib.sha256(tool.read_bytes()).hexdigest()
+    assert sinks.run_pinned(str(tool), pin, "so") == "said so\n"
+    with pytest.raises(ValueError, match="hash"):
+        sinks.run_pinned(str(tool), good)
