@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, lean_group, table
 from .cover_tree import usable
 
 CODEWORDS = 16
@@ -194,6 +194,7 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, short_list: tup
     def matrix(column: pa.Array, dim: int) -> np.ndarray:
         return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
+    @lean_group
     def code(key: tuple, group: pa.Table) -> pa.Table:
         dim = key[0].as_py()
         group = group.sort_by("vec_id")
@@ -208,6 +209,7 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, short_list: tup
         codes = np.hstack([packed(books[dim].encode(matrix(column.slice(at, 4096), dim))) for at in range(0, len(column), 4096)])
         return pa.table({"dim": pa.array([dim], pa.int32()), "block": pa.array([key[1].as_py()], pa.int64()), "ids": pa.array([group["vec_id"].to_numpy().astype("<i8").tobytes()]), "codes": pa.array([codes.tobytes()])})
 
+    @lean_group
     def scan(key: tuple, codes: pa.Table, asked: pa.Table) -> pa.Table:
         dim = key[0].as_py()
         queries, out = asked["vec"].combine_chunks(), [[], [], []]

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,6 +109,39 @@ def forget(*frames: DataFrame | None) -> None:
             files.cancelDeleteOnExit(place)
 
 
+def release() -> None:
+    """Give freed memory back: a worker that waits for its next task keeps what its allocators hold."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # no glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function of a mapInArrow, after which its worker holds no memory that it doesn't use."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return wrapped
+
+
+def lean_group(run: Callable) -> Callable:
+    """The function of an applyInArrow, alike: of a group, a key and a group, or a key and two of them."""
+
+    def done(out: pa.Table, *groups: pa.Table) -> pa.Table:
+        if sum(g.nbytes for g in groups) > 1 << 20:
+            release()
+        return out
+
+    # Spark counts the arguments
+    if run.__code__.co_argcount == 1:
+        return lambda group: done(run(group), group)
+    if run.__code__.co_argcount == 2:
+        return lambda a, b: done(run(a, b), *(x for x in (a, b) if isinstance(x, pa.Table)))
+    return lambda key, a, b: done(run(key, a, b), a, b)
+
+
 def crc_mod(col: Column, n: int) -> Column:
     """crc32 of a value's text, modulo ``n``; null counts as empty."""
     return F.pmod(F.crc32(F.encode(F.coalesce(col.cast("string"), F.lit("")), "utf-8")), F.lit(n))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chains import forward, forward_backward, time_major
-from .common import crc_mod, cut, forget, table
+from .common import crc_mod, cut, forget, lean, lean_group, table
 
 SMOOTH = 0.1
 CHUNK_TOKENS = 1_500_000
@@ -66,6 +66,7 @@ def chunks(docs: DataFrame, held: Column, *, id_col: str = "doc_id", text_col: s
     arrow = {"long": pa.int64(), "integer": pa.int32(), "string": pa.string()}.get(kind.typeName(), pa.int64())
     schema = f"chunk long, doc_ids array<{kind.simpleString()}>, held array<boolean>, lengths array<int>, tokens binary, vocab binary, trained binary, ends long"
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
         ids = Numbers()
@@ -118,6 +119,7 @@ def count_words(data: DataFrame, *, top: int, buckets: int) -> DataFrame:
     total = data.agg(F.sum(F.octet_length("vocab") / 8)).first()[0] or 0
     bits = max(1, int(total // RANGE_WORDS).bit_length())
 
+    @lean
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, vocab, trained in zip(*(batch.column(i) for i in range(3)), strict=True):
@@ -127,6 +129,7 @@ def count_words(data: DataFrame, *, top: int, buckets: int) -> DataFrame:
                 if some:
                     yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([chunk.as_py()] * len(some)), pa.array([h[edges[r] : edges[r + 1]].tobytes() for r in some]), pa.array([planes(n[edges[r] : edges[r + 1]]) for r in some])], ["range", "chunk", "hashes", "own"])
 
+    @lean_group
     def add(key: tuple, group: pa.Table) -> pa.Table:
         hs = [np.frombuffer(x.as_py(), np.uint64) for x in group["hashes"]]
         h, back = np.unique(np.concatenate(hs), return_inverse=True)
@@ -215,6 +218,7 @@ def train(data: DataFrame, classes: Classes, prior: np.ndarray, *, states: int,
     for _ in range(rounds):
         out = np.ascontiguousarray(emit.T, np.float32)  # a copy goes with each job: classes times states numbers
 
+        @lean
         def expect(batches: Iterator[pa.RecordBatch], start=start.astype(np.float32), move=move.astype(np.float32), out=out) -> Iterator[pa.RecordBatch]:
             total = np.zeros((c + k + 2, k))
 
@@ -293,6 +297,7 @@ def score_documents(docs: DataFrame, held: Column, *, id_col: str = "doc_id", te
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
+    @lean
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def read() -> Iterator[tuple]:
             for batch in batches:

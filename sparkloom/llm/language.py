@@ -27,18 +27,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, MapType, StringType
 
 from .chains import forward_backward, time_major
-from .common import crc_mod, table
+from .common import crc_mod, lean, table
 
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 BITS = 17
 LONGEST = 4
-GROUP_WORDS = 400_000
+GROUP_WORDS = 200_000
+SOME_WORDS = 8_192
+GROUP_CHARS = 3_000_000  # of texts that are labelled at once
 
 
 def word_features(vocab: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -77,12 +80,13 @@ class Model:
     start: np.ndarray
 
     def emissions(self, vocab: list[str]) -> np.ndarray:
-        if not vocab:
-            return np.zeros((0, len(self.labels)), np.float32)
-        ids, begins = word_features(vocab)
-        score = np.add.reduceat(self.weights[ids], begins, axis=0)
-        score -= score.max(1, keepdims=True)
-        return np.exp(np.maximum(score, -30.0)).astype(np.float32)
+        out = np.zeros((len(vocab), len(self.labels)), np.float32)
+        for at in range(0, len(vocab), SOME_WORDS):  # a word has some forty features
+            ids, begins = word_features(vocab[at : at + SOME_WORDS])
+            score = np.add.reduceat(self.weights[ids], begins, axis=0)
+            score -= score.max(1, keepdims=True)
+            out[at : at + SOME_WORDS] = np.exp(np.maximum(score, -30.0))
+        return out
 
 
 def fit(samples: Iterable[tuple[str, str]], *, length: int = 32, sequences: int = 4000, epochs: int = 4, batch: int = 64, rate: float = 0.15, seed: int = 17) -> Model:
@@ -146,6 +150,9 @@ def label_shares(model: Model, texts: Iterable[str | None]) -> Iterator[tuple[in
         if not found:
             yield row, None
             continue
+        if not model.labels:
+            yield row, np.zeros(0)
+            continue
         rows.append(row)
         chains.append(np.fromiter((vocab.setdefault(w, len(vocab)) for w in found), np.int32, len(found)))
     table_ = model.emissions(list(vocab))
@@ -167,6 +174,16 @@ def label_shares(model: Model, texts: Iterable[str | None]) -> Iterator[tuple[in
         at = stop
 
 
+def some_rows(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose texts have up to ``most`` characters together, or one row each."""
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+        yield at, stop
+        at = stop
+
+
 def sample(docs: DataFrame, labelled: Column, *, text_col: str, lang_col: str, sample_docs: int) -> list[tuple[str, str]]:
     """About ``sample_docs`` documents of each language, chosen by a hash of the text; whole texts."""
     known = docs.where(labelled & docs[lang_col].isNotNull() & docs[text_col].isNotNull() & (F.length(docs[text_col]) > 0)).select(docs[lang_col].alias("lang"), docs[text_col].alias("text"))
@@ -182,27 +199,29 @@ def sample(docs: DataFrame, labelled: Column, *, text_col: str, lang_col: str, s
 
 
 def identify(docs: DataFrame, labelled: Column, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = 250, keep: tuple[str, ...] | None = None) -> DataFrame:
-    """The columns ``keep`` (the id column by default), lang_pred, score and shares (language to share of words).
+    """The columns ``keep`` (the id column by default), lang_pred, score, shares (language to share of words) and spoken (has the text a letter?).
 
     The rows for which ``labelled`` holds may be learned from.
     """
     keep = keep or (id_col,)
     model = fit(sample(docs, labelled, text_col=text_col, lang_col=lang_col, sample_docs=sample_docs))
-    schema = docs.select(*(docs[c] for c in keep)).schema.add("lang_pred", "string").add("score", "double").add("shares", MapType(StringType(), DoubleType()))
+    schema = docs.select(*(docs[c] for c in keep)).schema.add("lang_pred", "string").add("score", "double").add("shares", MapType(StringType(), DoubleType())).add("spoken", "boolean")
     names = [f.name for f in schema.fields]
     at_text = keep.index(text_col) if text_col in keep else len(keep)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 2500):
-                batch = whole.slice(at, 2500)
-                pred, score, shares = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows, [[] for _ in range(batch.num_rows)]
-                if model.labels:
-                    for row, share in label_shares(model, (x.as_py() for x in batch.column(at_text))):
-                        if share is not None:
+            for at, stop in some_rows(whole.column(at_text), GROUP_CHARS):
+                batch = whole.slice(at, stop - at)
+                pred, score, shares, speaks = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows, [[] for _ in range(batch.num_rows)], [False] * batch.num_rows
+                for row, share in label_shares(model, (x.as_py() for x in batch.column(at_text))):
+                    if share is not None:
+                        speaks[row] = True
+                        if model.labels:
                             pred[row], score[row] = model.labels[int(share.argmax())], float(min(1.0, share.max()))
                             shares[row] = list(zip(model.labels, share.tolist(), strict=True))
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(shares, pa.map_(pa.string(), pa.float64()))], names)
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(shares, pa.map_(pa.string(), pa.float64())), pa.array(speaks, pa.bool_())], names)
 
     more = () if text_col in keep else (docs[text_col].alias("__text"),)
     return docs.select(*(docs[c] for c in keep), *more).mapInArrow(run, schema)

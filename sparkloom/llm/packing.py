@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, lean, table
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 2
@@ -65,6 +65,7 @@ def tokenize_pieces(docs: DataFrame, *, tokenizer: str, capacity: int = 1024, en
     """The pieces of every document; ``rank`` counts those of a length in each partition ``part``."""
     schema = PIECES.format(id=docs.schema[id_col].dataType.simpleString()) + (", ids binary" if with_ids else "")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, seen = encoder(tokenizer), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         tail = np.array([end], "<u4")
@@ -189,6 +190,7 @@ def pack(pieces: DataFrame, *, capacity: int = 1024) -> DataFrame:
     ranked = pieces.join(first.hint("shuffle_hash"), ["part", "length"]).withColumn("rank", F.col("rank") + F.col("first")).drop("first", "part")
     out = ranked.drop("rank").schema.add("sequence_id", "long").add("offset", "long")
 
+    @lean
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, forget, table
+from .common import cut, forget, lean, table
 
 KINDS = ("email", "ip", "card", "phone")
 #: Fixed values of the contract. Runs are taken whole and never from their middle, which finds the
@@ -161,11 +161,14 @@ def scan(docs: DataFrame, *, keep: tuple[str, ...] = ("doc_id",), text_col: str
     found = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32())]))
     cand = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32()), ("seed", pa.bool_()), ("value", pa.string()), ("patterns", pa.list_(pa.string()))]))
 
+    at_text = keep.index(text_col) if text_col in keep else len(keep)
+
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rid = TaskContext.get().partitionId() << 40
         for batch in batches:
             base, other = [], []
-            for cell in batch.column(len(keep)):
+            for cell in batch.column(at_text):
                 text = cell.as_py() or ""
                 b = base_spans(text)
                 base.append([{"start": s, "kind": k, "stop": e} for s, k, e in b])
@@ -176,11 +179,12 @@ def scan(docs: DataFrame, *, keep: tuple[str, ...] = ("doc_id",), text_col: str
                 ])
             rids = pa.array(range(rid, rid + len(base)), pa.int64())
             rid += len(base)
-            yield pa.RecordBatch.from_arrays([rids, *batch.columns[:-1], pa.array(base, found), pa.array(other, cand)], ["rid", *keep, "base", "candidates"])
+            yield pa.RecordBatch.from_arrays([rids, *batch.columns[: len(keep)], pa.array(base, found), pa.array(other, cand)], ["rid", *keep, "base", "candidates"])
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     schema = f"rid long, {kept}, base array<struct<start:int,kind:int,stop:int>>, candidates array<struct<start:int,kind:int,stop:int,seed:boolean,value:string,patterns:array<string>>>"
-    return docs.select(*(docs[c] for c in keep), docs[text_col].alias("__text")).mapInArrow(run, schema)
+    more = () if text_col in keep else (docs[text_col].alias("__text"),)
+    return docs.select(*(docs[c] for c in keep), *more).mapInArrow(run, schema)
 
 
 def bootstrap(candidates: DataFrame, *, rounds: int = 3, least_seeds: int = 8, confident: float = 0.9) -> DataFrame:

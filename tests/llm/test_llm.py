@@ -172,7 +172,9 @@ def test_dual_traversal_is_exact(seed):
     assert pairs == {(i, j) for i, j in zip(*np.nonzero(want), strict=True) if i < 50 <= j}
 
 
-def test_near_pairs_equal_brute_force(spark):
+@pytest.mark.parametrize("hot", [1 << 16, 2])
+def test_near_pairs_equal_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(cover_tree, "HOT_ROWS", hot)
     rng = np.random.default_rng(4)
     base = rng.normal(size=(60, 8))
     x = np.vstack([base, base * 3, base[:20] + rng.normal(scale=0.08, size=(20, 8)), base[:5], base[:5]]).astype(np.float32)
@@ -288,6 +290,56 @@ def test_patterns_find_unseen_shapes(spark):
     assert [(s["start"], s["kind"], s["stop"]) for s in got[100]] == [(17, 3, 26)] and got[101] == []
 
 
+def brute_bootstrap(texts, rounds=3, least=8, confident=0.9):
+    """The spans of each text, by the same rounds in plain Python."""
+    base = [pii.base_spans(t) for t in texts]
+    loose = [pii.loose_spans(t, b) for t, b in zip(texts, base, strict=True)]
+    edges = {}
+    for t, b, o in zip(texts, base, loose, strict=True):
+        for seed, spans in ((True, b), (False, o)):
+            for s, k, e in spans:
+                for p in pii.contexts(t, s, e):
+                    edges[p, k, t[s:e]] = edges.get((p, k, t[s:e]), False) or seed
+    scored = {e: (e[1], 1.0 if seed else 0.0) for e, seed in edges.items()}
+    good = {}
+    for _ in range(rounds):
+        values, mass = Counter(p for p, _, _ in edges), Counter()
+        for (p, _, _), (k, x) in scored.items():
+            if k >= 0:
+                mass[p, k] += x
+        good = {(p, k): m / values[p] for (p, k), m in mass.items() if m >= least and m / values[p] >= confident}
+        best = {}
+        for (p, k, v) in edges:
+            found = [(c, kind) for (q, kind), c in good.items() if q == p and k in (kind, pii.ANY)]
+            best[k, v] = max([*found, best.get((k, v), (0.0, -9))])
+        scored = {(p, k, v): (best[k, v][1] if best[k, v][0] else k, 1.0 if seed else best[k, v][0]) for (p, k, v), seed in edges.items()}
+    out = []
+    for t, b, o in zip(texts, base, loose, strict=True):
+        more = set()
+        for s, k, e in o:
+            found = [(c, kind) for p in pii.contexts(t, s, e) for (q, kind), c in good.items() if q == p and k in (kind, pii.ANY)]
+            if found:
+                more.add((s, max(found)[1], e))
+        out.append(sorted(b + list(more)))
+    return out
+
+
+def test_added_spans_equal_the_plain_rounds(spark):
+    rng = np.random.default_rng(9)
+    shapes = ["+1 (555) 0{a}-{b}", "555 0100 {b}", "user{a}@mail.example", "user{a} (at) mail (dot) example", "10.0.{a}.1", "lot-{b}x", "ID{b}/{a}"]
+    heads = ["please call number", "my phone is", "write to", "the server at", "sold as", "in room"]
+    texts = []
+    for i in range(400):
+        k = int(rng.integers(len(heads)))
+        shape = shapes[[0, 0, 2, 4, 5, 6][k]] if rng.random() < 0.96 else shapes[int(rng.integers(len(shapes)))]
+        texts.append(f"words {i % 7} {heads[k]} {shape.format(a=10 + i % 80, b=1000 + i)} {'today' if i % 2 else 'or not'}")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: [tuple(x) for x in r["spans"]] for r in pii.find_personal_data(df).collect()}
+    want = brute_bootstrap(texts)
+    assert [got[i] for i in range(len(texts))] == want
+    assert sum(map(len, want)) > sum(len(pii.base_spans(t)) for t in texts)
+
+
 def test_personal_data_query(spark, sf_dir, documents):
     got = {r["doc_id"]: r for r in registry.QUERIES["op3_personal_data"](spark, sf_dir).collect()}
     import hashlib
@@ -403,6 +455,26 @@ def test_chains_equal_enumeration():
     assert moves == pytest.approx(total_moves)
 
 
+def test_shares_equal_plain_forward_backward(spark):
+    rng = np.random.default_rng(6)
+    words = {"xx": ["kala", "maki", "toko"], "yy": ["streng", "schlag", "pfund"], "zz": ["one", "two", "three"]}
+    model = language.fit([(y, " ".join(rng.choice(ws, 60))) for y, ws in words.items() for _ in range(5)], sequences=200, epochs=1)
+    every = [w for ws in words.values() for w in ws] + ["kalaschlag", "é"]
+    texts = [" ".join(rng.choice(every, n)) for n in (1, 2, 7, 40, 300)]
+    got = dict(language.label_shares(model, texts))
+    start, move = np.exp(model.start.astype(float)), np.exp(model.move.astype(float))
+    for i, text in enumerate(texts):
+        out = model.emissions(text.split()).astype(float)
+        a, b = [start * out[0]], [np.ones(3)]
+        for x in out[1:]:
+            a.append((a[-1] / a[-1].sum()) @ move * x)
+        for x in out[:0:-1]:
+            y = move @ (x * b[0])
+            b.insert(0, y / y.sum())
+        share = sum(p * q / (p * q).sum() for p, q in zip(a, b, strict=True)) / len(out)
+        assert got[i] == pytest.approx(share, abs=1e-4)
+
+
 def test_language_odd_input(odd, none):
     got = {r["doc_id"]: r for r in language.identify(odd, F.lit(True)).collect()}
     assert [got[k]["lang_pred"] for k in (1, 2, 3, 4)] == ["und"] * 4 and got[1]["score"] == 0
@@ -721,6 +793,44 @@ def test_baum_welch_raises_the_likelihood(spark):
     assert emit.sum(1) == pytest.approx([1, 1]) and move.sum(1) == pytest.approx([1, 1]) and start.sum() == pytest.approx(1)
 
 
+def test_scores_equal_a_plain_forward(spark, monkeypatch):
+    import xxhash
+
+    rng, model = np.random.default_rng(2), {}
+
+    def fixed(data, classes, prior, *, states, rounds):
+        start, move, emit = rng.random(states), rng.random((states, states)), rng.random((states, classes.size))
+        model.update(classes=classes, start=start / start.sum(), move=move / move.sum(1, keepdims=True), emit=emit / emit.sum(1, keepdims=True))
+        return model["start"], model["move"], model["emit"], []
+
+    monkeypatch.setattr(hmm, "train", fixed)
+    pool = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.choice(pool[: 5 + i], rng.integers(0, 30))) for i in range(30)] + ["Never SEEN words", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in hmm.score_documents(df, F.col("doc_id") >= 28, top=12, buckets=5, states=3).collect()}
+    classes_, own = model["classes"], len(model["classes"].top)
+    assert 0 < own <= 12
+
+    def cls(word):
+        return int(classes_.of(np.array([xxhash.xxh3_64_intdigest(word)], np.uint64))[1])
+
+    words = [t.lower().encode().split() for t in texts]
+    c = Counter(w for ws in words[:28] for w in ws)
+    size, kinds = Counter(), Counter()
+    for w, n in c.items():
+        size[cls(w)] += n
+        kinds[cls(w)] += 1
+    for i, ws in enumerate(words):
+        alpha, total = None, 0.0
+        for w in [*ws, None]:
+            k = 0 if w is None else cls(w)
+            share = 1.0 if k <= own else (c[w] + 0.1) / (size[k] + 0.1 * (kinds[k] + 1))
+            alpha = (model["start"] if alpha is None else alpha @ model["move"]) * model["emit"][:, k] * share
+            total += math.log10(alpha.sum())
+            alpha = alpha / alpha.sum()
+        assert got[i] == pytest.approx(total, rel=1e-5)
+
+
 def test_scores_odd_input(odd, none):
     rows = [dict(zip(("doc_id", "text"), r[:2], strict=True)) for r in ODD]
     flag = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(10)) == 0
