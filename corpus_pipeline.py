@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,13 +43,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = as_documents(docs)
     got = language.identify(docs, crc_mod(docs["doc_id"], 4) != 2, keep=COLUMNS)
 
-    @F.pandas_udf("boolean")
-    def speaks(x: pd.Series) -> pd.Series:
-        return x.map(lambda s: bool(language.spoken(s))).astype(bool)
-
     # without a labelled text nothing is learned, and all predictions are unknown
     unknown = F.col("lang_pred") == language.UNKNOWN
-    return got.where(~unknown | speaks(F.when(unknown, F.col("text")))).select("doc_id", "text", F.coalesce("lang", "lang_pred").alias("lang"), "source", "n_chars")
+    return got.where(~unknown | F.col("spoken")).select("doc_id", "text", F.coalesce("lang", "lang_pred").alias("lang"), "source", "n_chars")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,17 +59,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span found is replaced by its kind; all documents stay."""
-    docs = as_documents(docs).withColumn("text_hash", F.xxhash64("text"))
-    found = cut(pii.find_personal_data(docs, keep=("doc_id", "text_hash")).where(F.size("spans") > 0).groupBy("doc_id", "text_hash").agg(F.first("spans").alias("spans")))
-    found = found.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    met = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left").select(*COLUMNS, "spans")
+    found = pii.find_personal_data(as_documents(docs), keep=COLUMNS).select(*COLUMNS, "spans")
 
     def redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [x.as_py() if not s.is_valid else pii.redact(x.as_py(), [(v["start"], v["kind"], v["stop"]) for v in s.as_py()]) for x, s in zip(batch.column(1), batch.column(5), strict=True)]
+            texts = [pii.redact(x.as_py(), [(v["start"], v["kind"], v["stop"]) for v in s.as_py()]) for x, s in zip(batch.column(1), batch.column(5), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), *batch.columns[2:5]], list(COLUMNS))
 
-    return met.mapInArrow(redact, "doc_id long, text string, lang string, source string, n_chars long").withColumn("n_chars", F.length("text").cast("long"))
+    return found.mapInArrow(redact, "doc_id long, text string, lang string, source string, n_chars long").withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
