@@ -4,18 +4,19 @@ A product quantiser with 16 codewords for each pair of dimensions is fitted to
 the anisotropic loss, which weighs the part of a residual parallel to its vector
 ``eta`` times as much as the rest: that part is what falsifies large scores. A
 code is four bits; two share a byte. A query scans codes by adding up entries of
-its tables, one for each byte; the best of the scan are reranked by exact inner
-products in double precision.
+its tables, one for each byte; the best of the scan, and all that the codes can't
+tell from them, are reranked by exact inner products in double precision.
 
 The codebooks are fitted on the driver on a bounded sample (``sample_rows``);
 every row is coded and scanned. A task has one block of queries and a group of
-blocks of codes, and keeps one short list for each query over all of them; only
-ids, codes, queries and short lists are shuffled; vectors join for reranking alone.
+blocks of codes with their vectors, and keeps the best for each query over all of
+them, so no candidate is shuffled but these.
 
 Null, empty and odd input: a vector that is null, empty, zero or holds a null or
 non-finite component, or whose id is null, takes no part; vectors of each length
 are searched by themselves; equal scores go to smaller ids; repeated rows are
-candidates each, though never of a query with their id; with fewer candidates
+candidates each, though never of a query with their id, and a query that repeats
+is answered once, for its least vector of a length; with fewer candidates
 than wanted all are returned; an empty table gives an empty result; other
 columns are ignored.
 """
@@ -36,7 +37,7 @@ CODEWORDS = 16
 THRESHOLD = 0.2
 SAMPLE_ROWS = 10_000
 CODE_BLOCK = 8_192  # rows that one task codes
-GROUP_BLOCKS = 64  # blocks of codes that a task scans
+GROUP_BLOCKS = 16  # blocks of codes that a task scans, with their vectors
 QUERY_BLOCK = 2_048
 
 
@@ -126,50 +127,42 @@ def fit(x: np.ndarray, *, rounds: int = 6, threshold: float = THRESHOLD, seed: i
     return book
 
 
-def dot(a: Column, b: Column) -> Column:
-    """Inner product in double precision."""
-    terms = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(terms, F.lit(0.0), lambda s, v: s + v)
-
-
 class Lists:
-    """The candidates of some queries, and how near the codes say they are, over block after block of codes."""
+    """The ``k`` best candidates of some queries so far, by exact inner products, over block after block of codes."""
 
-    def __init__(self, qids: np.ndarray, queries: np.ndarray, book: Codebook, k: int, least: int, most: int):
-        self.qids, self.tables, self.k, self.least, self.most = qids, book.tables(queries), k, least, most
+    def __init__(self, qids: np.ndarray, queries: np.ndarray, book: Codebook, k: int, least: int):
+        self.qids, self.queries, self.tables, self.k, self.least = qids, queries, book.tables(queries), k, least
+        # what a score by codes may be off by
         self.margins = 2 * book.error * np.sqrt((queries**2).sum(1))
-        self.held = [(np.zeros(0, np.int64), np.zeros(0, np.float32)) for _ in qids]
-
-    def short(self, ids: np.ndarray, near: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:
-        """The best ``least``, and up to ``most`` that the margin can't tell from the ``k`` best; ties go to smaller ids."""
-        if len(ids) <= self.least:
-            return ids, near
-        top = min(self.most, len(ids))
-        best = np.sort(np.partition(near, len(ids) - top)[len(ids) - top :])[::-1]
-        bar = best[max(self.least, int((best >= best[min(self.k, top) - 1] - margin).sum())) - 1]
-        above, even = np.flatnonzero(near > bar), np.flatnonzero(near == bar)
-        room = max(self.least, min(self.most, int((best >= bar).sum()))) - len(above)
-        if len(even) > room:
-            even = even[np.argsort(ids[even], kind="stable")[:room]]
-        own = np.append(above, even)
-        return ids[own], near[own]
-
-    def scan(self, ids: np.ndarray, codes: np.ndarray) -> None:
-        for i, (qid, tab, margin) in enumerate(zip(self.qids.tolist(), self.tables, self.margins.tolist(), strict=True)):
+        self.held = [(np.zeros(0, np.int64), np.zeros(0)) for _ in qids]
+
+    def scan(self, ids: np.ndarray, codes: np.ndarray, vectors: np.ndarray) -> None:
+        """Rerank the block's best ``least`` by codes, and all that the codes can't tell from the ``k`` best so far."""
+        for i, (qid, query, tab, margin) in enumerate(zip(self.qids.tolist(), self.queries, self.tables, self.margins.tolist(), strict=True)):
             near = tab[0][codes[0]]
             for b in range(1, len(codes)):
                 near += tab[b][codes[b]]
-            some, score = self.short(ids, near, margin)
-            other = some != qid
-            a, b = self.held[i]
-            self.held[i] = self.short(np.append(a, some[other]), np.append(b, score[other]), margin)
-
-
-def search(vectors: DataFrame, is_query: Column, *, k: int = 20, short_list: tuple[int, int] = (160, 1024), id_col: str = "vec_id", vec_col: str = "embedding", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+            bar = -np.inf
+            if len(near) > self.least:
+                bar = np.partition(near, len(near) - self.least)[len(near) - self.least]
+                best = self.held[i][1]
+                if len(best) == self.k:
+                    bar = min(bar, best.min() - margin)
+                else:  # nothing to compare with yet: the block's own best
+                    bar = min(bar, np.partition(near, len(near) - self.k)[len(near) - self.k] - margin)
+            own = np.flatnonzero((near >= bar) & (ids != qid))
+            # sums by row: equal vectors have equal scores
+            score = (vectors[own].astype(np.float64) * query).sum(1)
+            all_ids, all_scores = np.append(self.held[i][0], ids[own]), np.append(self.held[i][1], score)
+            top = np.lexsort((all_ids, -all_scores))[: self.k]
+            self.held[i] = all_ids[top], all_scores[top]
+
+
+def search(vectors: DataFrame, is_query: Column, *, k: int = 20, least: int = 160, id_col: str = "vec_id", vec_col: str = "embedding", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The ``k`` best candidates found for each query: query_id, rank, vec_id, score.
 
-    The short list of a query, for reranking, has ``short_list[0]`` candidates or more, up to
-    ``short_list[1]``: those that the quantisation error can't tell from its ``k`` best.
+    Of each block of codes the ``least`` best are reranked, and all that the quantisation
+    error can't tell from the ``k`` best, however many they are.
     ``is_query`` is a condition on ``vectors``; all rows are candidates, but not for their own id.
     """
     spark = vectors.sparkSession
@@ -179,6 +172,7 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, short_list: tup
     if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     books, layout, cores = {}, [], spark.sparkContext.defaultParallelism
+    wide = {"float": "<f4"}.get(rows.schema["vec"].dataType.elementType.typeName(), "<f8")
     for r in sizes:
         dim, n = r["dim"], r["n"]
         share = min(1.0, 1.2 * sample_rows / n)
@@ -207,36 +201,34 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, short_list: tup
         kept = pa.array(np.sort(order[place <= k]))
         column, group = column.take(kept), group.take(kept)
         codes = np.hstack([packed(books[dim].encode(matrix(column.slice(at, 4096), dim))) for at in range(0, len(column), 4096)])
-        return pa.table({"dim": pa.array([dim], pa.int32()), "block": pa.array([key[1].as_py()], pa.int64()), "ids": pa.array([group["vec_id"].to_numpy().astype("<i8").tobytes()]), "codes": pa.array([codes.tobytes()])})
+        raw = column.flatten().to_numpy(zero_copy_only=False).astype(wide)
+        blobs = [pa.array([x.tobytes()]) for x in (group["vec_id"].to_numpy().astype("<i8"), codes, raw)]
+        return pa.table([pa.array([dim], pa.int32()), pa.array([key[1].as_py()], pa.int64()), *blobs], names=["dim", "block", "ids", "codes", "vectors"])
 
     @lean_group
     def scan(key: tuple, codes: pa.Table, asked: pa.Table) -> pa.Table:
         dim = key[0].as_py()
         queries, out = asked["vec"].combine_chunks(), [[], [], []]
         for at in range(0, len(queries), 64):  # tables of a few queries at a time
-            lists = Lists(asked["vec_id"].to_numpy()[at : at + 64], matrix(queries.slice(at, 64), dim), books[dim], k, short_list[0], short_list[1])
-            for ids, blob in zip(codes["ids"], codes["codes"], strict=True):
-                ids = np.frombuffer(ids.as_py(), "<i8")
-                lists.scan(ids, np.frombuffer(blob.as_py(), np.uint8).reshape(-1, len(ids)))
-            for qid, (ids, near) in zip(lists.qids.tolist(), lists.held, strict=True):
+            lists = Lists(asked["vec_id"].to_numpy()[at : at + 64], matrix(queries.slice(at, 64), dim), books[dim], k, least)
+            for ids, blob, raw in zip(codes["ids"], codes["codes"], codes["vectors"], strict=True):
+                ids = np.frombuffer(ids.as_buffer(), "<i8")
+                lists.scan(ids, np.frombuffer(blob.as_buffer(), np.uint8).reshape(-1, len(ids)), np.frombuffer(raw.as_buffer(), wide).reshape(-1, dim))
+            for qid, (ids, score) in zip(lists.qids.tolist(), lists.held, strict=True):
                 out[0].append(np.full(len(ids), qid))
                 out[1].append(ids)
-                out[2].append(near)
-        return pa.table([np.concatenate([*x, np.zeros(0, t)]) for x, t in zip(out, (np.int64, np.int64, np.float32), strict=True)], names=["query_id", "vec_id", "near"])
+                out[2].append(score)
+        return pa.table([np.concatenate([*x, np.zeros(0, t)]) for x, t in zip(out, (np.int64, np.int64, np.float64), strict=True)], names=["query_id", "vec_id", "score"])
 
-    coded = cut(rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks"))).select("dim", "block", "vec_id", "vec").groupBy("dim", "block").applyInArrow(code, "dim int, block long, ids binary, codes binary"), blobs=True)
+    coded = cut(rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks"))).select("dim", "block", "vec_id", "vec").groupBy("dim", "block").applyInArrow(code, "dim int, block long, ids binary, codes binary, vectors binary"), blobs=True)
     numbers = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
-    # a task has one block of queries and a group of blocks of codes, and keeps one short list a query for them all
-    codes = coded.join(sheet, "dim").withColumn("grp", F.floor(F.col("block") / GROUP_BLOCKS).cast("long")).withColumn("q", numbers("asked")).select("dim", "q", "grp", "ids", "codes")
-    asked = rows.where("is_query").withColumn("q", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("asked"))).withColumn("grp", numbers("groups")).select("dim", "q", "grp", "vec_id", "vec")
-    found = codes.groupBy("dim", "q", "grp").cogroup(asked.groupBy("dim", "q", "grp")).applyInArrow(scan, "query_id long, vec_id long, near float")
-    if any(r[3] > 1 for r in layout):
-        found = found.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("near"), "vec_id"))).where(F.col("place") <= short_list[1]).drop("place")
-    found = found.select("query_id", "vec_id").distinct()
-    ask = rows.where("is_query").groupBy(F.col("vec_id").alias("query_id"), F.col("dim").alias("qdim")).agg(F.min("vec").alias("qv"))
-    exact = found.join(rows.select("vec_id", "vec", "dim"), "vec_id").join(ask, "query_id").where(F.col("dim") == F.col("qdim")).select("query_id", "vec_id", dot(F.col("qv"), F.col("vec")).alias("score"))
+    # a task has one block of queries and a group of blocks of codes, and keeps one list a query for them all
+    codes = coded.join(sheet, "dim").withColumn("grp", F.floor(F.col("block") / GROUP_BLOCKS).cast("long")).withColumn("q", numbers("asked")).select("dim", "q", "grp", "ids", "codes", "vectors")
+    once = rows.where("is_query").groupBy("dim", "vec_id", "asked", "groups").agg(F.min("vec").alias("vec"))
+    asked = once.withColumn("q", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("asked"))).withColumn("grp", numbers("groups")).select("dim", "q", "grp", "vec_id", "vec")
+    found = codes.groupBy("dim", "q", "grp").cogroup(asked.groupBy("dim", "q", "grp")).applyInArrow(scan, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return exact.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
