@@ -35,10 +35,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, forget, table
+from .common import cut, forget, lean, lean_group, table
 from .components import components
 from .hmm import Numbers, numbers, planes
 
@@ -51,10 +51,12 @@ GROUP = 256
 PAIRS_AT_ONCE = 300_000
 CHUNK_WORDS = 500_000
 RANGE_POSTINGS = 300_000
+BROADCAST_ROWS = 500_000  # 8 MB
 BIN_TEXTS = 1_000  # texts whose pairs a task compares in one fragment
 HOT = 1 << 14  # shingles of slots as common as this go to hubs without being gathered
 SALT_TEXTS = 1 << 16  # texts of a common shingle among which a task picks a hub
 SALTS = 16
+BEST = 3  # earlier texts that each one is compared with in a round
 CELL_TEXTS = 2_048  # texts of a common shingle that meet as pairs in a task, twice
 
 
@@ -87,6 +89,7 @@ def read_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     schema = f"docs array<struct<row:long,doc_id:{kind.simpleString()},text_hash:long,n:int,rep:long,length:int,mark:binary>>, tokens binary, vocab binary"
     item = pa.struct([("row", pa.int64()), ("doc_id", arrow), ("text_hash", pa.int64()), ("n", pa.int32()), ("rep", pa.int64()), ("length", pa.int32()), ("mark", pa.binary())])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 36
         ids, first, own, tokens, total = Numbers(), {}, [], [], 0
@@ -166,6 +169,7 @@ def common_slots(chunks: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]
     ranges = 1 << max(8, int(total // (8 * RANGE_POSTINGS)).bit_length())
     wide = (1 << SLOT_BITS) // ranges
 
+    @lean
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
@@ -191,6 +195,7 @@ def common_slots(chunks: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]
         if held:
             yield flush()
 
+    @lean_group
     def add(key: tuple, group: pa.Table) -> pa.Table:
         counts = np.zeros(wide, np.int64)
         for raw, far in zip(group["steps"], group["far"], strict=True):
@@ -209,6 +214,7 @@ def common_slots(chunks: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]
         least -= 1
         told += kinds.get(least, 0)
 
+    @lean
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r, slots, ranks in zip(*(batch.column(i) for i in range(3)), strict=True):
@@ -253,6 +259,7 @@ def prefixes(chunks: DataFrame, slots: np.ndarray, ranks: np.ndarray, parts: int
     """The prefixes of all sets, dealt to ``parts`` by shingle: hashes, rows, set sizes, and how many of a prefix are common."""
     very_common = 1 + math.floor(2 * math.log2(HOT / COMMON))
 
+    @lean
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
@@ -331,6 +338,7 @@ def meet(posted: DataFrame, parts: int) -> DataFrame:
     they share there, dealt to ``parts`` by pair; rows of kind 1 have common shingles that more than ``GROUP`` texts share.
     """
 
+    @lean_group
     def join(key: tuple, group: pa.Table) -> pa.Table:
         names = ["kind", "part", "a", "b", "na", "nb", "c", "slack"]
         if key[0].as_py() >= parts:  # postings of very common shingles
@@ -373,6 +381,7 @@ def meet(posted: DataFrame, parts: int) -> DataFrame:
 def summed(met: DataFrame) -> DataFrame:
     """Pairs (a, b) with the shingles c that their prefixes share, where these can suffice for a link."""
 
+    @lean_group
     def add(group: pa.Table) -> pa.Table:
         a, b = (np.concatenate([expand(x.as_py()) for x in group[c]]).astype(np.int64) for c in ("a", "b"))
         na, nb, c, slack = (np.concatenate([numbers(x.as_py()) for x in group[k]]).astype(np.int64) for k in ("na", "nb", "c", "slack"))
@@ -392,6 +401,7 @@ def summed(met: DataFrame) -> DataFrame:
 def large_groups(met: DataFrame, parts: int) -> DataFrame:
     """(row, n, hashes): for each text its prefix shingles that many texts share."""
 
+    @lean
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for h, row, n in zip(*(batch.column(i) for i in range(3)), strict=True):
@@ -399,6 +409,7 @@ def large_groups(met: DataFrame, parts: int) -> DataFrame:
                 for p, own in pieces(mixed(row, parts), parts):
                     yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([squeeze(h[own])]), pa.array([squeeze(row[own])]), pa.array([planes(n[own])])], ["part", "h", "row", "n"])
 
+    @lean_group
     def gather(group: pa.Table) -> pa.Table:
         h, row = (np.concatenate([expand(x.as_py()) for x in group[c]]) for c in ("h", "row"))
         n = np.concatenate([numbers(x.as_py()) for x in group["n"]]) & np.uint32(0x7FFFFFFF)
@@ -414,6 +425,7 @@ def large_groups(met: DataFrame, parts: int) -> DataFrame:
 def postings(posts: DataFrame, labels: DataFrame) -> DataFrame:
     """(h, row, n, label) of the shingles of :func:`large_groups`."""
 
+    @lean
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.frombuffer(x.as_py(), np.int64) for x in batch.column(2)]
@@ -453,6 +465,7 @@ def segments(chunks: DataFrame, wanted: DataFrame, *, fragments: int = FRAGMENTS
     def slot(rows: np.ndarray) -> np.ndarray:
         return ((rows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)).astype(np.int64) & (slots - 1)
 
+    @lean
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(slots, bool)
         for batch in batches:
@@ -461,6 +474,7 @@ def segments(chunks: DataFrame, wanted: DataFrame, *, fragments: int = FRAGMENTS
             if own[k : k + block].any():
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([np.packbits(own[k : k + block]).tobytes()])], ["block", "bits"])
 
+    @lean_group
     def either(group: pa.Table) -> pa.Table:
         whole = np.bitwise_or.reduce([np.frombuffer(x.as_py(), np.uint8) for x in group["bits"]])
         return pa.table({"block": group["block"][:1], "bits": pa.array([whole.tobytes()])})
@@ -469,6 +483,7 @@ def segments(chunks: DataFrame, wanted: DataFrame, *, fragments: int = FRAGMENTS
     for r in wanted.select("row").mapInArrow(mark, "block long, bits binary").groupBy("block").applyInArrow(either, "block long, bits binary").collect():
         bits[r["block"] // 8 : (r["block"] + block) // 8] = np.frombuffer(r["bits"], np.uint8)
 
+    @lean
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pick(rows: np.ndarray) -> np.ndarray:
             s = slot(rows)
@@ -491,21 +506,28 @@ def linked(pairs: DataFrame, chunks: DataFrame) -> DataFrame:
 
     Every set is cut into segments, one for each fragment of the order; a task
     counts what the pairs of a bin share in one fragment, and these partial
-    overlaps are summed for each pair. A pair goes to a bin of its end in fewer
-    pairs, so that a text in very many of them comes once to each bin, and no bin
-    has all of its pairs.
+    overlaps are summed for each pair. Texts that pairs connect share a bin, so
+    that each goes there once; where they are too many, their pairs are dealt to
+    several bins by the end that is in fewer pairs, so that a text in very many
+    pairs comes once to each of these, and no bin has them all.
     """
-    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("row"))
-    degree = cut(ends.groupBy("row").agg(F.count("*").alias("k")))
+    near = components(pairs.select("a", "b"))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).groupBy("row").agg(F.count("*").alias("k"))
+    degree = cut(labelled(ends, near.select(F.col("node").alias("row"), F.col("component").alias("label")), "row", "block"))
+    forget(near)
     bins = max(1, -(-degree.count() // BIN_TEXTS))
-    da, db = (degree.select(F.col("row").alias(c), F.col("k").alias(f"k{c}")) for c in ("a", "b"))
-    known = pairs.select("a", "b").join(da, "a").join(db, "b")
-    known = known.select(F.when(F.col("ka") <= F.col("kb"), F.col("a")).otherwise(F.col("b")).alias("own"), F.when(F.col("ka") <= F.col("kb"), F.col("b")).otherwise(F.col("a")).alias("hub"))
-    placed = cut(known.withColumn("bin", F.pmod(F.xxhash64("own"), F.lit(bins))))
-    need = placed.select(F.col("bin").alias("to"), F.explode(F.array("own", "hub")).alias("row")).distinct()
-    sets = segments(chunks, degree).join(need, "row").select("to", "fragment", "row", "n", "segment")
+    splits = degree.groupBy(F.col("block").alias("_of")).agg(F.ceil(F.count("*") / BIN_TEXTS).alias("splits"))
+    da, db = (degree.select(F.col("row").alias(c), F.col("k").alias(f"k{c}"), *(["block"] if c == "a" else [])) for c in ("a", "b"))
+    known = pairs.select("a", "b").join(da, "a").join(db, "b").join(splits, F.col("block") == F.col("_of"))
+    fewer = F.col("ka") <= F.col("kb")
+    known = known.select("block", "splits", F.when(fewer, F.col("a")).otherwise(F.col("b")).alias("own"), F.when(fewer, F.col("b")).otherwise(F.col("a")).alias("hub"))
+    placed = cut(known.select("own", "hub", F.pmod(F.xxhash64("block", F.pmod(F.xxhash64("own"), F.col("splits"))), F.lit(bins)).alias("bin")))
+    need = cut(placed.select(F.col("bin").alias("to"), F.explode(F.array("own", "hub")).alias("row")).distinct())
+    few = F.broadcast(need) if need.count() <= BROADCAST_ROWS else need
+    sets = segments(chunks, degree).join(few, "row").select("to", "fragment", "row", "n", "segment")
     todo = placed.select("bin", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("part"), "own", "hub")
 
+    @lean_group
     def overlap(left: pa.Table, right: pa.Table) -> pa.Table:
         own, hub = columns(left, "own", "hub")
         row, n = columns(right, "row", "n")
@@ -535,7 +557,7 @@ def linked(pairs: DataFrame, chunks: DataFrame) -> DataFrame:
     counted = todo.groupBy("bin", "part").cogroup(sets.groupBy("to", "fragment")).applyInArrow(overlap, "a long, b long, na long, nb long, c long")
     whole = counted.groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
     out = cut(whole.where("100 * c >= 75 * (na + nb - c)").select("a", "b"))
-    forget(degree, placed)
+    forget(degree, placed, need)
     return out
 
 
@@ -546,7 +568,7 @@ def labelled(rows: DataFrame, labels: DataFrame, col: str, name: str) -> DataFra
 
 
 def hub_pairs(posts: DataFrame, labels: DataFrame, parts: int, salts: int, turn: int) -> DataFrame:
-    """Pairs (a, b, c) of a hub and the texts of other classes that share a shingle with it.
+    """Pairs (a, b, c) of texts and hubs of other classes that share c shingles of which these are hubs.
 
     In turn 0 a text is as good a hub for every shingle, later each shingle draws
     anew. The texts of a shingle are dealt to ``salts`` tasks, each of which picks
@@ -563,7 +585,7 @@ def hub_pairs(posts: DataFrame, labels: DataFrame, parts: int, salts: int, turn:
             k = s + int((((row[s:e].astype(np.uint64) ^ draw) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(20)).argmin())
             heads.append(k)
             some = s + np.flatnonzero((label[s:e] != label[k]) & (4 * np.minimum(n[s:e], n[k]) >= 3 * np.maximum(n[s:e], n[k])))
-            out.append(np.stack([np.minimum(row[some], row[k]), np.maximum(row[some], row[k])]))
+            out.append(np.stack([row[some], np.full(len(some), row[k])]))
         pairs, c = np.unique(np.concatenate(out, axis=1), axis=1, return_counts=True) if out else (np.zeros((2, 0), np.int64), np.zeros(0, np.int64))
         k = np.array(heads if send else [], np.int64)
         none = np.zeros(len(c), np.int64)
@@ -577,7 +599,7 @@ def hub_pairs(posts: DataFrame, labels: DataFrame, parts: int, salts: int, turn:
         found = cut(found)
         heads = found.where("kind = 1").select("h", F.col("a").alias("row"), F.col("b").alias("n"), F.col("c").alias("label"), F.pmod(F.xxhash64("h"), F.lit(parts)).alias("part"))
         found = found.unionByName(heads.withColumn("all", F.lit(0)).groupBy("part").applyInArrow(lambda g: pick(g, "all", False), schema))
-    return found.where("kind = 0").groupBy("a", "b").agg(F.sum("c").alias("c"))
+    return found.where("kind = 0").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("c").alias("c"))
 
 
 def open_pairs(posts: DataFrame, labels: DataFrame, parts: int) -> DataFrame:
@@ -594,6 +616,7 @@ def open_pairs(posts: DataFrame, labels: DataFrame, parts: int) -> DataFrame:
     mine = mine.withColumn("side", F.pmod(F.xxhash64("row", F.lit(1)), F.col("sides"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("sides") - 1)))
     mine = mine.withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other")).withColumn("part", F.pmod(F.xxhash64("h", "i", "j"), F.lit(parts)))
 
+    @lean_group
     def across(group: pa.Table) -> pa.Table:
         h, row, n, label, side, i, j = columns(group, "h", "row", "n", "label", "side", "i", "j")
         order = np.lexsort((row, j, i, h))
@@ -617,7 +640,7 @@ def open_pairs(posts: DataFrame, labels: DataFrame, parts: int) -> DataFrame:
     return summed(met)
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", hub_turns: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", hub_turns: int = 2, rounds: int = 2) -> DataFrame:
     """One row for each document: row, doc_id, text_hash, n_shingles, component_id, label.
 
     ``component_id`` is the least id that links reach, ``text_hash`` is xxhash64 of the text.
@@ -636,16 +659,18 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     same = own.groupBy("mark").agg(F.min("row").alias("label"), F.count("*").alias("k")).where("k > 1")
     labels = cut(own.join(same, "mark").where("row <> label").select("row", "label"))
     alone = labelled(labelled(close, labels, "a", "la"), labels, "b", "lb").where("la <> lb")
-    alone = alone.groupBy(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).agg(F.max("c").alias("c"))
+    alone = cut(alone.groupBy(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).agg(F.max("c").alias("c")))
     posts = cut(large.join(labels.select("row"), "row", "left_anti"))
     forget(large)
 
-    def settle(pairs: DataFrame) -> None:
-        """Compare pairs, and join the classes of those that link."""
+    def apart(pairs: DataFrame) -> DataFrame:
+        return labelled(labelled(pairs, labels, "a", "la"), labels, "b", "lb").where("la <> lb").select("a", "b", "c")
+
+    def join_classes(todo: DataFrame) -> None:
+        """Compare pairs, a cut table, and join the classes of those that link."""
         nonlocal labels
-        pairs = cut(pairs)
-        if not pairs.isEmpty():
-            found = linked(pairs, chunks)
+        if not todo.isEmpty():
+            found = linked(todo, chunks)
             links = labelled(labelled(found, labels, "a", "la"), labels, "b", "lb")
             classes = components(links.select(F.col("la").alias("a"), F.col("lb").alias("b")))
             moved = labelled(labels, classes.select(F.col("node").alias("row"), F.col("component").alias("label")), "label", "now").select("row", F.col("now").alias("label"))
@@ -653,19 +678,37 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             state = cut(moved.unionByName(fresh))
             forget(labels, classes, found)
             labels = state
+        forget(todo)
+
+    def settle(pairs: DataFrame) -> None:
+        """Compare all pairs (a, b, c) that don't come to be inside a class: in some rounds each text with the few
+        earlier ones that it shares most with, of those in other classes; then all that are left."""
+        pairs = cut(pairs)
+        left = cut(apart(pairs))
         forget(pairs)
+        for _ in range(rounds):
+            if left.isEmpty():
+                break
+            nth = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("c"), "a"))
+            best = cut(left.withColumn("nth", nth).where(F.col("nth") <= BEST).select("a", "b"))
+            rest = cut(left.join(best, ["a", "b"], "left_anti"))
+            forget(left)
+            join_classes(best)
+            left = cut(apart(rest))
+            forget(rest)
+        join_classes(left)
 
     # texts that share rare shingles and those that share common ones with hubs, then what is still apart
     texts = posts.count()
+    salts = max(1, -(-texts // SALT_TEXTS))
     if not texts:
         settle(alone)
-    else:
-        salts = -(-texts // SALT_TEXTS)
-        settle(alone.unionByName(hub_pairs(posts, labels, parts, salts, 0)).groupBy("a", "b").agg(F.max("c").alias("c")))
-        for turn in range(1, hub_turns):
-            settle(hub_pairs(posts, labels, parts, salts, turn))
+    for turn in range(hub_turns if texts else 0):
+        found = hub_pairs(posts, labels, parts, salts, turn)
+        settle(found if turn else found.unionByName(alone).groupBy("a", "b").agg(F.max("c").alias("c")))
+    if texts:
         settle(open_pairs(posts, labels, parts))
-    forget(close, posts)
+    forget(close, posts, alone)
     named = labelled(head, labels, "rep", "label")
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return named.join(least, "label").select("row", "doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"), "component_id", "label")
