@@ -29,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, forget, table
+from .common import cut, forget, lean, lean_group, table
 from .components import components
 
 BLOCK_ROWS = 4096
 MOST_CELLS = 1024
 SAMPLE_ROWS = 4096
 TILE = 512
+HOT_ROWS = 1 << 16
+MOST_HOT = 10_000
 MOST_SIDE = 16  # blocks along a side of the tiles of block pairs: two sides of some megabytes a block in a task
 MARGIN = 1e-5  # of single-precision bounds
 
@@ -229,7 +231,8 @@ def near_pairs(vectors: DataFrame, *, cosine: float = 0.95, id_col: str = "vec_i
     reach = float(np.sqrt(2 - 2 * cosine))
     rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vec_col].alias("vec")).withColumn("ok", usable(F.col("vec")) & F.col("vec_id").isNotNull())
     one = cut(rows.where("ok").groupBy("vec").agg(F.min("vec_id").alias("id"), F.count("*").alias("times")).withColumn("dim", F.size("vec")))
-    dims = {r["dim"]: r["n"] for r in one.groupBy("dim").agg(F.count("*").alias("n")).collect()}
+    found = one.groupBy("dim").agg(F.count("*").alias("n"), F.sum("times").alias("rows")).collect()  # a row for each length
+    dims, total = {r["dim"]: r["n"] for r in found}, sum(r["rows"] for r in found)
     wide = {"float": "<f4"}.get(one.schema["vec"].dataType.elementType.typeName(), "<f8")
     centers: dict[int, np.ndarray] = {}
     for dim, n in dims.items():
@@ -243,6 +246,7 @@ def near_pairs(vectors: DataFrame, *, cosine: float = 0.95, id_col: str = "vec_i
         chosen, _ = net(x[: max(cells * 4, 64)], 0, 0.0)
         centers[dim] = x[chosen[:cells]]
 
+    @lean
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vec, dim = batch.column(0), batch.column(3).to_numpy()
@@ -266,6 +270,7 @@ def near_pairs(vectors: DataFrame, *, cosine: float = 0.95, id_col: str = "vec_i
         reachable += [(d, a["cell"], b["cell"]) for a in own for b in own if a["cell"] <= b["cell"] and apart[a["cell"], b["cell"]] <= a["radius"] + b["radius"] + reach + MARGIN]
     placed = dealt.join(F.broadcast(cells), ["dim", "cell"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
 
+    @lean_group
     def grow(key: tuple, group: pa.Table) -> pa.Table:
         group = group.sort_by("id")
         dim = key[0].as_py()
@@ -282,14 +287,14 @@ def near_pairs(vectors: DataFrame, *, cosine: float = 0.95, id_col: str = "vec_i
     # a block travels once for each row or column of tiles, not for each pair
     order = Window.partitionBy("dim").orderBy("cell", "block")
     index = cut(blocks.select("dim", "cell", "block").withColumn("at", F.row_number().over(order) - 1))  # a row for each block
-    total = index.count()
-    side = max(1, min(MOST_SIDE, int(total / math.sqrt(8 * spark.sparkContext.defaultParallelism))))
+    side = max(1, min(MOST_SIDE, int(index.count() / math.sqrt(8 * spark.sparkContext.defaultParallelism))))
     name = lambda s: index.select("dim", F.col("cell").alias(f"c{s}"), F.col("at").alias(f"at_{s}"))
     pairs = cut(pairs.join(name("a"), ["dim", "ca"]).join(name("b"), ["dim", "cb"]).select("dim", F.least("at_a", "at_b").alias("at_a"), F.greatest("at_a", "at_b").alias("at_b")).distinct().withColumn("ga", F.floor(F.col("at_a") / side)).withColumn("gb", F.floor(F.col("at_b") / side)))
     tiles = pairs.select(F.col("dim").alias("td"), F.col("ga").alias("ta"), F.col("gb").alias("tb")).distinct()
     wanted = tiles.select("td", "ta", "tb", F.explode(F.array_distinct(F.array("ta", "tb"))).alias("g"))
     placed = blocks.join(index, ["dim", "cell", "block"]).select(F.col("dim").alias("td"), "at", F.floor(F.col("at") / side).alias("g"), "parts").join(wanted, ["td", "g"]).select("td", "ta", "tb", "at", "parts")
 
+    @lean_group
     def traverse(key: tuple, todo: pa.Table, held: pa.Table) -> pa.Table:
         dim, sides = key[0].as_py(), {}
         for at, parts in zip(held["at"].to_pylist(), held["parts"], strict=True):
@@ -322,8 +327,12 @@ def near_pairs(vectors: DataFrame, *, cosine: float = 0.95, id_col: str = "vec_i
     classes = components(found.select(F.col("id").alias("a"), F.col("hub").alias("b")))
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     known = one.select("vec", "id", "times").join(counts, "id", "left").join(classes, F.col("id") == F.col("node"), "left")
-    known = known.select(F.col("vec").alias("v"), (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    good = rows.where("ok").join(known, F.col("vec") == F.col("v")).select("vec_id", "n_links", "component_id")
+    known = cut(known.select(F.col("vec").alias("v"), "times", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")))
+    # a vector that very many rows have isn't joined by its hash: there are at most MOST_HOT of these
+    hot = known.where(F.col("times") > max(HOT_ROWS, total // MOST_HOT)).select(F.col("v").alias("hv"), F.col("n_links").alias("hn"), F.col("component_id").alias("hc"))
+    told = rows.where("ok").join(F.broadcast(hot), F.col("vec") == F.col("hv"), "left")
+    good = told.where("hv IS NOT NULL").select("vec_id", F.col("hn").alias("n_links"), F.col("hc").alias("component_id"))
+    good = good.unionByName(told.where("hv IS NULL").join(known, F.col("vec") == F.col("v")).select("vec_id", "n_links", "component_id"))
     bad = rows.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return good.unionByName(bad).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
