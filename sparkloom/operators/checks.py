@@ -18,11 +18,9 @@ from sparkloom.registry import Tables, query
 
 
 def one_row(*frames: DataFrame) -> DataFrame:
-    """Frames of one row each, side by side."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.crossJoin(F.broadcast(f))
-    return out
+    """Frames of one row each, side by side: they are laid below one another, and each column has one value."""
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return out.agg(*(F.max(c).alias(c) for c in out.columns))
 
 
 @query("c01_selection_gate", "WITH p AS (SELECT c_custkey, COUNT(DISTINCT CASE WHEN o_orderstatus = 'F' THEN o_orderkey END) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1) SELECT COUNT(*) AS notes, CAST(COUNT(*) FILTER (n = 1) AS BIGINT) AS resolved, CAST(COUNT(*) FILTER (n = 0) AS BIGINT) AS unresolved, CAST(COUNT(*) FILTER (n > 1) AS BIGINT) AS ambiguous FROM p")
