@@ -204,34 +204,34 @@ def window_summary(e: DataFrame) -> DataFrame:
     done = F.expr(DONE)
     minutes = F.greatest(F.max("elapsed") - F.min("elapsed"), F.lit(1e-9)) / 60
     measured = F.max("elapsed") - F.min("elapsed")
-    busy = F.sum(F.when(done, F.col("value")))
+    busy = F.round(F.coalesce(F.sum(F.when(done, F.col("value"))), F.lit(0.0)), 4)  # the same in any order
     n = F.greatest(F.count_if(done), F.lit(1))
     g = e.groupBy("window_id").agg(
-        F.round(measured, 3).alias("measured_seconds"),
+        measured.alias("measured_seconds"),
         *(F.count_if(F.expr(v)).alias(k) for k, v in SAID.items()),
         *(F.coalesce(F.sum(F.when(done, F.expr(v))), F.lit(0)).alias(k) for k, v in TOKENS_OF.items()),
         F.countDistinct("user_id").alias("workers"),
-        F.round(F.max(F.when(done | (F.col("event_type") == "view"), F.col("value"))), 2).alias("peak"),
-        F.round(counter_delta("elapsed", "elapsed"), 3).alias("counter_delta"),
-        F.round(F.coalesce(busy, F.lit(0.0)) / (measured * 1000), 9).alias("duty_cycle"),
-        F.round(F.coalesce(busy, F.lit(0.0)) / n, 6).alias("average_milliseconds"),
-        F.round(F.count_if(done) / minutes, 6).alias("completed_per_minute"),
-        F.round(F.count("*") / minutes, 6).alias("events_per_minute"),
+        F.max(F.when(done | (F.col("event_type") == "view"), F.col("value"))).alias("peak"),
+        counter_delta("elapsed", "elapsed").alias("counter_delta"),
+        (busy / (measured * 1000)).alias("duty_cycle"),
+        (busy / n).alias("average_milliseconds"),
+        (F.count_if(done) / minutes).alias("completed_per_minute"),
+        (F.count("*") / minutes).alias("events_per_minute"),
         F.min_by("event_id", F.when(done, F.struct("elapsed", "event_id"))).alias("first_batch"),
         F.max_by("event_id", F.when(done, F.struct("elapsed", "event_id"))).alias("last_batch"),
-        *(F.round(F.count_if(F.expr(SAID[k])) / n, 6).alias(f"{k}_rate") for k in ERRORS),
+        *((F.count_if(F.expr(SAID[k])) / n).alias(f"{k}_rate") for k in ERRORS),
     )
     return g.join(rounded_rank(e.where(done), "window_id", "value", {"p50": 0.5, "p95": 0.95, "p99": 0.99}), "window_id", "left")
 
 
 def _summary_sql() -> str:
     n, minutes = f"GREATEST(COUNT(*) FILTER ({DONE}), 1)", "(GREATEST(MAX(elapsed) - MIN(elapsed), 1e-9) / 60)"
-    busy = f"COALESCE(SUM(value) FILTER ({DONE}), 0)"
+    busy = f"ROUND(COALESCE(SUM(value) FILTER ({DONE}), 0), 4)"
     cols = [
-        "ROUND(MAX(elapsed) - MIN(elapsed), 3) AS measured_seconds", *(f"CAST(COUNT(*) FILTER ({v}) AS BIGINT) AS {k}" for k, v in SAID.items()), *(f"CAST(COALESCE(SUM({v}) FILTER ({DONE}), 0) AS BIGINT) AS {k}" for k, v in TOKENS_OF.items()),
-        "COUNT(DISTINCT user_id) AS workers", f"ROUND(MAX(value) FILTER ({DONE} OR event_type = 'view'), 2) AS peak", "ROUND(MAX(elapsed) - MIN(elapsed), 3) AS counter_delta", f"ROUND({busy} / ((MAX(elapsed) - MIN(elapsed)) * 1000), 9) AS duty_cycle", f"ROUND({busy} / {n}, 6) AS average_milliseconds",
-        f"ROUND(COUNT(*) FILTER ({DONE}) / {minutes}, 6) AS completed_per_minute", f"ROUND(COUNT(*) / {minutes}, 6) AS events_per_minute", f"ARG_MIN(event_id, elapsed) FILTER ({DONE}) AS first_batch", f"ARG_MAX(event_id, elapsed) FILTER ({DONE}) AS last_batch",
-        *(f"ROUND(COUNT(*) FILTER ({SAID[k]}) / {n}::DOUBLE, 6) AS {k}_rate" for k in ERRORS),
+        "MAX(elapsed) - MIN(elapsed) AS measured_seconds", *(f"CAST(COUNT(*) FILTER ({v}) AS BIGINT) AS {k}" for k, v in SAID.items()), *(f"CAST(COALESCE(SUM({v}) FILTER ({DONE}), 0) AS BIGINT) AS {k}" for k, v in TOKENS_OF.items()),
+        "COUNT(DISTINCT user_id) AS workers", f"MAX(value) FILTER ({DONE} OR event_type = 'view') AS peak", "MAX(elapsed) - MIN(elapsed) AS counter_delta", f"{busy} / ((MAX(elapsed) - MIN(elapsed)) * 1000) AS duty_cycle", f"{busy} / {n} AS average_milliseconds",
+        f"COUNT(*) FILTER ({DONE}) / {minutes} AS completed_per_minute", f"COUNT(*) / {minutes} AS events_per_minute", f"ARG_MIN(event_id, elapsed) FILTER ({DONE}) AS first_batch", f"ARG_MAX(event_id, elapsed) FILTER ({DONE}) AS last_batch",
+        *(f"COUNT(*) FILTER ({SAID[k]}) / {n}::DOUBLE AS {k}_rate" for k in ERRORS),
     ]
     picks = ", ".join(f"MAX(value) FILTER (i = ROUND_EVEN((n - 1) * {f}, 0)) AS p{round(f * 100)}" for f in (0.5, 0.95, 0.99))
     return f"{ELAPSED}, w AS (SELECT *, CAST(FLOOR(elapsed / {WINDOW_SECONDS}) AS BIGINT) AS window_id, CAST(props->>'k' AS BIGINT) AS k FROM e), a AS (SELECT window_id, {', '.join(cols)} FROM w GROUP BY 1), r AS (SELECT window_id, value, ROW_NUMBER() OVER (PARTITION BY window_id ORDER BY value) - 1 AS i, COUNT(*) OVER (PARTITION BY window_id) AS n FROM w WHERE {DONE}), b AS (SELECT window_id, {picks} FROM r GROUP BY 1) SELECT * FROM a LEFT JOIN b USING (window_id)"

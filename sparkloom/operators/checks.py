@@ -498,14 +498,14 @@ def marker_equality(t: Tables) -> DataFrame:
 @query(
     "c33_phase_pairs",
     "SELECT user_id, CAST(COUNT(*) FILTER (event_type = 'signup') AS BIGINT) AS begins, CAST(COUNT(*) FILTER (event_type = 'purchase') AS BIGINT) AS ends, COUNT(DISTINCT props) FILTER (event_type IN ('signup', 'purchase')) = 1 AS same_identity, "
-    "CASE WHEN COUNT(*) FILTER (event_type = 'signup') = 1 AND COUNT(*) FILTER (event_type = 'purchase') = 1 AND MAX(epoch_us(ts)) FILTER (event_type = 'purchase') >= MAX(epoch_us(ts)) FILTER (event_type = 'signup') THEN ROUND((MAX(epoch_us(ts)) FILTER (event_type = 'purchase') - MAX(epoch_us(ts)) FILTER (event_type = 'signup')) / 1000000.0, 3) END AS measured FROM events GROUP BY 1",
+    "CASE WHEN COUNT(*) FILTER (event_type = 'signup') = 1 AND COUNT(*) FILTER (event_type = 'purchase') = 1 AND MAX(epoch_us(ts)) FILTER (event_type = 'purchase') >= MAX(epoch_us(ts)) FILTER (event_type = 'signup') THEN (MAX(epoch_us(ts)) FILTER (event_type = 'purchase') - MAX(epoch_us(ts)) FILTER (event_type = 'signup')) / 1000000.0 END AS measured FROM events GROUP BY 1",
 )
 def phase_pairs(t: Tables) -> DataFrame:
     """A stage is measured if it has exactly one begin and one end, in this order; its markers must say the same identity."""
     begin, end = F.col("event_type") == "signup", F.col("event_type") == "purchase"
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     g = t.events.groupBy("user_id").agg(F.count_if(begin).alias("begins"), F.count_if(end).alias("ends"), (F.countDistinct(F.when(begin | end, F.col("props"))) == 1).alias("same_identity"), F.max(F.when(begin, at)).alias("a"), F.max(F.when(end, at)).alias("b"))
-    return g.select("user_id", "begins", "ends", "same_identity", F.when((F.col("begins") == 1) & (F.col("ends") == 1) & (F.col("b") >= F.col("a")), F.round((F.col("b") - F.col("a")) / 1_000_000.0, 3)).alias("measured"))
+    return g.select("user_id", "begins", "ends", "same_identity", F.when((F.col("begins") == 1) & (F.col("ends") == 1) & (F.col("b") >= F.col("a")), (F.col("b") - F.col("a")) / 1_000_000.0).alias("measured"))
 
 
 SEQUENCES = (("orders", "o_orderkey"), ("customer", "c_custkey"), ("events", "event_id"), ("documents", "doc_id"), ("nation", "n_nationkey"))

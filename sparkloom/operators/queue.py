@@ -199,9 +199,9 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), size.alias("bytes")), seen
 
 
-@query("q14_phase_metrics", "WITH r AS (SELECT event_type, value, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY value) - 1 AS i, COUNT(*) OVER (PARTITION BY event_type) AS n FROM events), a AS (SELECT event_type, COUNT(*) AS n, MAX(value) AS peak, ROUND((MAX(epoch_us(ts)) - MIN(epoch_us(ts))) / 1000000.0, 3) AS wall_seconds, ROUND(SUM(value) / 1000, 6) AS busy_seconds FROM events GROUP BY 1) SELECT a.*, p50, p95 FROM a JOIN (SELECT event_type, MAX(value) FILTER (i = ROUND_EVEN((n - 1) * 0.5, 0)) AS p50, MAX(value) FILTER (i = ROUND_EVEN((n - 1) * 0.95, 0)) AS p95 FROM r GROUP BY 1) USING (event_type)")
+@query("q14_phase_metrics", "WITH r AS (SELECT event_type, value, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY value) - 1 AS i, COUNT(*) OVER (PARTITION BY event_type) AS n FROM events), a AS (SELECT event_type, COUNT(*) AS n, MAX(value) AS peak, (MAX(epoch_us(ts)) - MIN(epoch_us(ts))) / 1000000.0 AS wall_seconds, ROUND(SUM(value) / 1000, 6) AS busy_seconds FROM events GROUP BY 1) SELECT a.*, p50, p95 FROM a JOIN (SELECT event_type, MAX(value) FILTER (i = ROUND_EVEN((n - 1) * 0.5, 0)) AS p50, MAX(value) FILTER (i = ROUND_EVEN((n - 1) * 0.95, 0)) AS p95 FROM r GROUP BY 1) USING (event_type)")
 def phase_metrics(t: Tables) -> DataFrame:
     """Rows, wall and busy time, peak and percentiles of each phase."""
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    a = t.events.groupBy("event_type").agg(F.count("*").alias("n"), F.max("value").alias("peak"), F.round((F.max(at) - F.min(at)) / 1_000_000.0, 3).alias("wall_seconds"), F.round(F.sum("value") / 1000, 6).alias("busy_seconds"))
+    a = t.events.groupBy("event_type").agg(F.count("*").alias("n"), F.max("value").alias("peak"), ((F.max(at) - F.min(at)) / 1_000_000.0).alias("wall_seconds"), F.round(F.sum("value") / 1000, 6).alias("busy_seconds"))
     return a.join(rounded_rank(t.events, "event_type", "value", {"p50": 0.5, "p95": 0.95}), "event_type")
