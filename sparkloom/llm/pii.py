@@ -51,6 +51,7 @@ LOOSE = {
 TOKEN = re.compile(r"(?<!\S)[^\s0-9]{0,32}+[0-9]\S{3,63}+(?!\S)")
 ANY = -1
 SALTS = 16
+MOST_TOLD = 100_000  # patterns of some tens of characters that go to every task
 
 
 def luhn(digits: str) -> bool:
@@ -181,8 +182,8 @@ def scan(docs: DataFrame, *, keep: tuple[str, ...] = ("doc_id",), text_col: str
             rid += len(base)
             yield pa.RecordBatch.from_arrays([rids, *batch.columns[: len(keep)], pa.array(base, found), pa.array(other, cand)], ["rid", *keep, "base", "candidates"])
 
-    kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    schema = f"rid long, {kept}, base array<struct<start:int,kind:int,stop:int>>, candidates array<struct<start:int,kind:int,stop:int,seed:boolean,value:string,patterns:array<string>>>"
+    kept = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    schema = f"rid long, {kept}base array<struct<start:int,kind:int,stop:int>>, candidates array<struct<start:int,kind:int,stop:int,seed:boolean,value:string,patterns:array<string>>>"
     more = () if text_col in keep else (docs[text_col].alias("__text"),)
     return docs.select(*(docs[c] for c in keep), *more).mapInArrow(run, schema)
 
@@ -243,6 +244,49 @@ def count_kind(spans: Column, kind: int) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def told_spans(text: str, good: dict[tuple[str, int], float]) -> list[tuple[int, int, int]]:
+    """All spans of a text, those that good patterns tell among them."""
+    base = base_spans(text)
+    more = set()
+    for start, kind, stop in loose_spans(text, base):
+        found = [(good[p, k], k) for p in contexts(text, start, stop) for k in ((kind,) if kind != ANY else range(len(KINDS))) if (p, k) in good]
+        if found:
+            more.add((start, max(found)[1], stop))
+    return sorted(base + list(more))
+
+
+def redact_texts(docs: DataFrame, *, text_col: str = "text", **settings: float) -> DataFrame:
+    """``docs`` with every span of the texts replaced by its kind.
+
+    Texts are scanned for evidence and then, by the patterns found, once more:
+    that is cheaper than to shuffle or keep them. Patterns go to every task if
+    they are few (``MOST_TOLD``); otherwise spans join the texts.
+    """
+    seen = scan(docs, keep=(), text_col=text_col).select(F.explode("candidates").alias("c")).select("c.*")
+    good = bootstrap(seen, **settings)
+    columns = docs.columns
+    if good.count() > MOST_TOLD:
+        found = find_personal_data(docs, keep=tuple(columns), text_col=text_col, **settings).select(*columns, "spans")
+        known = None
+    else:
+        found, known = docs, {(r["pattern"], r["kind"]): r["confidence"] for r in good.collect()}
+    forget(good)
+    at = columns.index(text_col)
+
+    @lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [x.as_py() for x in batch.column(at)]
+            if known is None:
+                spans = [[(v["start"], v["kind"], v["stop"]) for v in x.as_py()] for x in batch.column(len(columns))]
+            else:
+                spans = (told_spans(x, known) if x else [] for x in texts)
+            out = pa.array([redact(x, own) for x, own in zip(texts, spans, strict=True)], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], out, *batch.columns[at + 1 : len(columns)]], columns)
+
+    return found.mapInArrow(run, docs.schema)
+
+
 def redact(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
     """The text with every span replaced by its kind; of overlapping spans the first one names it."""
     if text is None or not spans:

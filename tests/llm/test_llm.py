@@ -324,7 +324,7 @@ def brute_bootstrap(texts, rounds=3, least=8, confident=0.9):
     return out
 
 
-def test_added_spans_equal_the_plain_rounds(spark):
+def test_added_spans_equal_the_plain_rounds(spark, monkeypatch):
     rng = np.random.default_rng(9)
     shapes = ["+1 (555) 0{a}-{b}", "555 0100 {b}", "user{a}@mail.example", "user{a} (at) mail (dot) example", "10.0.{a}.1", "lot-{b}x", "ID{b}/{a}"]
     heads = ["please call number", "my phone is", "write to", "the server at", "sold as", "in room"]
@@ -338,6 +338,11 @@ def test_added_spans_equal_the_plain_rounds(spark):
     want = brute_bootstrap(texts)
     assert [got[i] for i in range(len(texts))] == want
     assert sum(map(len, want)) > sum(len(pii.base_spans(t)) for t in texts)
+    redacted = [pii.redact(t, own) for t, own in zip(texts, want, strict=True)]
+    for most in (pii.MOST_TOLD, 0):  # by patterns in every task, and by a join
+        monkeypatch.setattr(pii, "MOST_TOLD", most)
+        out = {r["doc_id"]: r["text"] for r in pii.redact_texts(df).collect()}
+        assert [out[i] for i in range(len(texts))] == redacted
 
 
 def test_personal_data_query(spark, sf_dir, documents):
