@@ -11,9 +11,6 @@ takes copies of that one. Ties are settled as the operators' modules say.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -59,14 +56,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span found is replaced by its kind; all documents stay."""
-    found = pii.find_personal_data(as_documents(docs), keep=COLUMNS).select(*COLUMNS, "spans")
-
-    def redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [pii.redact(x.as_py(), [(v["start"], v["kind"], v["stop"]) for v in s.as_py()]) for x, s in zip(batch.column(1), batch.column(5), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), *batch.columns[2:5]], list(COLUMNS))
-
-    return found.mapInArrow(redact, "doc_id long, text string, lang string, source string, n_chars long").withColumn("n_chars", F.length("text").cast("long"))
+    return pii.redact_texts(as_documents(docs)).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
