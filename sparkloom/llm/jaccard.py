@@ -710,7 +710,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         settle(open_pairs(posts, labels, parts))
     forget(close, posts, alone)
     named = labelled(head, labels, "rep", "label")
-    least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    # a table of its own: Spark can then split the join where one class holds very many texts
+    least = cut(named.groupBy("label").agg(F.min("doc_id").alias("component_id")))
     return named.join(least, "label").select("row", "doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"), "component_id", "label")
 
 
