@@ -1,17 +1,21 @@
 """Units of nested articles: leaves by role, glossary sets, visible text, senses and their inventory.
 
-All of it is relational work over the node table: a string knows the selectors
-around it and where they are, so the visible text of any element is a group of
-strings, in document order, whose way from that element leads through ``content``
-fields alone.
+A string knows the selectors around it and where they are, so the visible text of
+any element is a group of strings, in document order, whose way from that element
+leads through ``content`` fields alone. Leaves are relational work over the node
+table; sets, which join nodes of one article, are made in its walk.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from itertools import zip_longest
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.operators.nested import node_table
+from sparkloom.operators.nested import node_table, per_tree, spread, walk
 from sparkloom.registry import Tables, query
 
 #: The role of text by the selector around it, and the selectors whose text is no unit.
@@ -37,7 +41,7 @@ ARTICLE = """'{"tag":"div","lang":"en","content":[{"tag":"span","data":{"content
 
 
 def articles(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", F.expr(ARTICLE).alias("raw"))
+    return spread(t.part).select("p_partkey", F.expr(ARTICLE).alias("raw"))
 
 
 def article_nodes(t: Tables) -> DataFrame:
@@ -69,18 +73,45 @@ def visible(nodes: DataFrame, key: str) -> DataFrame:
     return shown.groupBy(key, "anchor", "selector", "item").agg(F.min("ordinal").alias("at"), F.array_join(texts, " ").alias("text"))
 
 
+#: Ways through content alone, and the item of the content list that one begins with.
+WAY, ITEM = re.compile("(?:/content|/[0-9]+)*"), re.compile("/content/([0-9]+)")
+
+
+def shown_in(nodes: list[tuple]) -> dict[str, list[str]]:
+    """What each element with a selector shows, by where it is: a text for each item of its content list, in order."""
+    shown: dict[str, dict[str, list[str]]] = {}
+    for _, pointer, _, kind, *_, anchors, _, _, text in nodes:
+        if kind == "string" and (text := text.strip(" ")):
+            for anchor in anchors:
+                if WAY.fullmatch(pointer, len(anchor)):
+                    item = ITEM.match(pointer, len(anchor))
+                    shown.setdefault(anchor, {}).setdefault(item[1] if item else "", []).append(text)
+    return {anchor: [" ".join(x) for x in items.values()] for anchor, items in shown.items()}
+
+
 def in_order(order: str, text: str) -> Column:
     return F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text])
 
 
-def lexicographic_units(nodes: DataFrame, key: str) -> DataFrame:
+def units_of(tree) -> Iterator[tuple]:
+    """Rows (ordinal, pointer, role, text) of a parsed tree."""
+    nodes = list(walk(tree))
+    shown = shown_in(nodes)
+    for ordinal, pointer, _, kind, _, _, _, _, selector, path, _, _, hidden, text in nodes:
+        if ROLES.keys().isdisjoint(path) or not set(EXCLUDED).isdisjoint(path):
+            continue
+        if kind == "object":
+            items = shown.get(pointer, [])
+            if selector == "glossary" and path.count("glossary") == 1 and any(re.search(LATIN, x) for x in items):
+                yield ordinal, f"{pointer}/content", "glossary_set", " | ".join(items)
+        elif kind == "string" and not hidden and "glossary" not in path and re.search(LATIN, text):
+            role = "tooltip" if pointer.endswith("/title") else next(ROLES[s] for s in reversed(path) if s in ROLES)
+            yield ordinal, pointer, role, text.strip(" ")
+
+
+def lexicographic_units(rows: DataFrame, key: str, raw: str) -> DataFrame:
     """(key, ordinal, pointer, role, text): an outermost glossary is one unit of its items, other leaves are scalar units."""
-    shown = visible(nodes, key).where("selector = 'glossary'").groupBy(key, "anchor").agg(in_order("at", "text").alias("items"))
-    outer = nodes.where((F.col("kind") == "object") & (F.col("selector") == "glossary") & has_role(F.col("path")) & (F.size(F.filter("path", lambda s: s == "glossary")) == 1))
-    sets = outer.select(key, "ordinal", F.col("pointer").alias("anchor")).join(shown, [key, "anchor"]).where(F.exists("items", lambda x: x.rlike(LATIN)))
-    sets = sets.select(key, "ordinal", F.concat("anchor", F.lit("/content")).alias("pointer"), F.lit("glossary_set").alias("role"), F.array_join("items", " | ").alias("text"))
-    rest = scalar_units(nodes).where(~F.array_contains("path", "glossary")).select(key, "ordinal", "pointer", "role", "text")
-    return sets.unionByName(rest)
+    return per_tree(rows, key, raw, units_of, "ordinal int, pointer string, role string, text string")
 
 
 GLOSS = "SELECT p_partkey, UNNEST(RANGE(0, p_partkey % 14 + 1)) AS k, p_name FROM part"
@@ -102,7 +133,7 @@ GLOSS_TEXT = "CASE WHEN k % 2 = 0 THEN p_name || ' ' || k ELSE p_name || ' ' ||
 UNION ALL SELECT p_partkey, '/content/2/content/0/content', 'glossary_set', p_type FROM part UNION ALL SELECT p_partkey, '/content/0/title', 'tooltip', 'size ' || p_size FROM part UNION ALL SELECT p_partkey, '/content/0/content', 'pos', p_brand FROM part
 UNION ALL SELECT p_partkey, '/content/1/content/2/content', 'example', 'Example ' || p_size FROM part UNION ALL SELECT p_partkey, '/content/2/content/1/title', 'tooltip', 'see note' FROM part UNION ALL SELECT p_partkey, '/content/2/content/1/content/0', 'note', 'note' FROM part""")
 def glossary_sets(t: Tables) -> DataFrame:
-    return lexicographic_units(article_nodes(t), "p_partkey").select("p_partkey", "pointer", "role", "text")
+    return lexicographic_units(articles(t), "p_partkey", "raw").select("p_partkey", "pointer", "role", "text")
 
 
 @query("n04_visible_text", f"WITH g AS ({GLOSS}), s AS (SELECT p_partkey, STRING_AGG({GLOSS_TEXT}, ' ' ORDER BY k) AS glosses FROM g GROUP BY 1) SELECT p_partkey, p_brand || ' ' || glosses || ' 文 x' || p_size || ' Example ' || p_size || CASE WHEN p_partkey % 2 = 0 THEN ' 二' ELSE '' END || ' ' || p_type || ' note Source text 1 2 3' AS visible FROM part JOIN s USING (p_partkey)")

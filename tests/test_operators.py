@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkloom.functions import patterns, scalars
-from sparkloom.operators import aggregates, checks, joins, mutations, nested, packing, queue, rules, windows
+from sparkloom.operators import aggregates, checks, joins, mutations, nested, packing, queue, rules, units, windows
 from sparkloom.registry import Tables
 from sparkloom.sources import blocks, scans, sinks
 from sparkloom.streaming import events
@@ -286,6 +286,14 @@ def test_node_table_skips_what_does_not_parse(spark):
     assert rows(nested.node_table(df, "k", "raw").where("kind = 'string'").select("k", "pointer", "text")) == [(1, "/0", "a"), (1, "/1/content", "b")]
 
 
+def test_glossary_sets_of_a_walk(spark):
+    inner = {"tag": "ul", "data": {"content": "glossary"}, "content": "in"}
+    tree = [{"data": {"content": "glossary"}, "content": ["a", [" b "], inner, {"title": "t", "content": "c"}]}, {"data": {"content": "redirect"}, "content": [inner]}, {"data": {"content": "xref"}, "content": [{"content": " x "}, "文"], "title": "y"}]
+    df = spark.createDataFrame([(1, json.dumps(tree)), (2, "{"), (3, None), (None, json.dumps(inner))], "k int, raw string")
+    want = [(1, "/0/content", "glossary_set", "a | b | in | c"), (1, "/2/content/0/content", "xref_gloss", "x"), (1, "/2/title", "tooltip", "y"), (None, "/content", "glossary_set", "in")]
+    assert sorted(map(tuple, units.lexicographic_units(df, "k", "raw").select("k", "pointer", "role", "text").collect()), key=str) == sorted(want, key=str)
+
+
 def test_rendering():
     tree = {"tag": "div", "content": ["a & b", {"tag": "script", "content": "x"}, {"tag": "img", "path": "m.png"}]}
     assert nested.render(tree) == '<div>a &amp; b<span>x</span><img src="m.png"></div>'

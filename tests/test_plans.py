@@ -31,6 +31,13 @@ def test_top_k_does_not_sort_everything(spark, sf_dir):
     assert "TakeOrderedAndProject" in inspect.plan_text(plan(spark, sf_dir, "w08_order_by_limit"))
 
 
+@pytest.mark.parametrize("name", ["n03_glossary_sets"])
+def test_articles_are_walked_once_by_many_tasks(spark, sf_dir, name):
+    text = inspect.plan_text(plan(spark, sf_dir, name))
+    assert text.count("Scan parquet") == 2 and "Join" not in text  # in the tree, and with its details
+    assert "RoundRobinPartitioning" in text
+
+
 #: A row or three on the other side: scalars, and the phases of a window.
 SCALARS = {"c09_source_identity", "c11_source_preflight", "c15_batch_verification", "c16_table_parity", "c17_manifest_consistency", "f08_time_range", "f09_expired_lease", "g18_rates", "g20_event_window_summary", "g23_ordered_fingerprint", "j16_snapshot_difference", "q06_phase_windows", "q10_window_classification", "q13_deadline_decision", "u01_insert_or_ignore", "u13_requeue_one_claim"}
 
