@@ -294,6 +294,13 @@ def test_glossary_sets_of_a_walk(spark):
     assert sorted(map(tuple, units.lexicographic_units(df, "k", "raw").select("k", "pointer", "role", "text").collect()), key=str) == sorted(want, key=str)
 
 
+def test_tags_of_a_walk(spark):
+    tag = lambda code, content: {"data": {"class": "tag", "code": code}, "content": content}
+    tree = [tag("a", "A"), tag("b", ["B"]), tag("c", tag("d", " D ")), {"data": {"class": "other", "code": "e"}, "content": "E"}, tag(None, "N")]
+    df = spark.createDataFrame([(1, json.dumps(tree)), (2, json.dumps(tag("a", ""))), (3, "{"), (4, None)], "k int, raw string")
+    assert sorted(map(tuple, scans.tags(df, "k", "raw").collect()), key=str) == [(1, "a", "A"), (1, "d", " D "), (1, None, "N"), (2, "a", "")]
+
+
 def test_rendering():
     tree = {"tag": "div", "content": ["a & b", {"tag": "script", "content": "x"}, {"tag": "img", "path": "m.png"}]}
     assert nested.render(tree) == '<div>a &amp; b<span>x</span><img src="m.png"></div>'
