@@ -3,7 +3,7 @@
 A string knows the selectors around it and where they are, so the visible text of
 any element is a group of strings, in document order, whose way from that element
 leads through ``content`` fields alone. Leaves are relational work over the node
-table; sets, which join nodes of one article, are made in its walk.
+table; sets and senses, which join nodes of one article, are made in its walk.
 """
 
 from __future__ import annotations
@@ -64,15 +64,6 @@ def scalar_units(nodes: DataFrame) -> DataFrame:
     return some.withColumn("role", F.when(F.col("pointer").endswith("/title"), "tooltip").otherwise(role_of(F.col("path"))))
 
 
-def visible(nodes: DataFrame, key: str) -> DataFrame:
-    """(key, anchor, selector, item, at, text): what each element with a selector shows, by item of its content list."""
-    strings = nodes.where("kind = 'string'").withColumn("text", F.trim("text")).where("text <> ''")
-    each = strings.select(key, "ordinal", "pointer", "text", F.explode(F.arrays_zip(F.col("anchors").alias("anchor"), F.col("path").alias("selector"))).alias("x")).select(key, "ordinal", "text", "x.*", F.expr("substring(pointer, length(x.anchor) + 1)").alias("way"))
-    shown = each.where(F.col("way").rlike(CONTENT_ONLY)).withColumn("item", F.regexp_extract("way", "^/content/([0-9]+)", 1))
-    texts = F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "text"))), lambda x: x["text"])
-    return shown.groupBy(key, "anchor", "selector", "item").agg(F.min("ordinal").alias("at"), F.array_join(texts, " ").alias("text"))
-
-
 #: Ways through content alone, and the item of the content list that one begins with.
 WAY, ITEM = re.compile("(?:/content|/[0-9]+)*"), re.compile("/content/([0-9]+)")
 
@@ -142,39 +133,40 @@ def visible_text(t: Tables) -> DataFrame:
     return strings.groupBy("p_partkey").agg(F.array_join(in_order("ordinal", "text"), " ").alias("visible"))
 
 
-def sense_context(nodes: DataFrame, key: str) -> DataFrame:
+def senses_of(tree) -> Iterator[tuple]:
+    """Rows (sense, glosses, labels, examples) of a parsed tree; what is inside a sense of a sense belongs to both."""
+    nodes = list(walk(tree))
+    shown = shown_in(nodes)
+    within: dict[str, dict[str, list[list[str]]]] = {}
+    for _, pointer, _, kind, _, _, _, _, selector, path, anchors, *_ in nodes:
+        if kind != "object" or not selector:
+            continue
+        for s, anchor in zip(path, anchors, strict=True):
+            if s == "sense" and anchor != pointer:
+                within[anchor].setdefault(selector, []).append(shown.get(pointer, []))
+        if selector == "sense":
+            within[pointer] = {}
+    for number, own in enumerate(within.values(), 1):
+        text = {s: [" ".join(x) for x in items] for s, items in own.items()}
+        glosses = [x for items in own.get("glossary", []) for x in items]
+        labels = [x for s in SENSE_LABELS for x in text.get(s, []) if x]
+        pairs = zip_longest(text.get("example-sentence-a", []), text.get("example-sentence-b", []), fillvalue="")
+        yield number, " | ".join(glosses), " | ".join(labels), " | ".join(f"{a} = {b}" for a, b in pairs)
+
+
+def sense_context(rows: DataFrame, key: str, raw: str) -> DataFrame:
     """(key, sense, glosses, labels, examples): a row for each sense, in order.
 
     Examples pair sentences by place, the shorter side padded with empty texts;
     labels come by selector, in a fixed order of these.
     """
-    elements = nodes.where("kind = 'object' AND selector IS NOT NULL").select(key, F.col("ordinal").alias("at"), F.col("pointer").alias("anchor"), "selector", F.arrays_zip(F.col("path").alias("s"), F.col("anchors").alias("a")).alias("around"))
-    senses = elements.where("selector = 'sense'").select(key, F.col("anchor").alias("sense_at"), F.col("at").alias("place"))
-    inner = elements.withColumn("w", F.explode(F.filter("around", lambda x: x["s"] == "sense"))).withColumn("sense_at", F.col("w.a")).where("anchor <> sense_at").drop("w", "around")
-    shown = visible(nodes, key).groupBy(key, F.col("anchor")).agg(in_order("at", "text").alias("items"))
-    text = F.coalesce(F.array_join("items", " "), F.lit(""))
-    of = inner.join(shown, [key, "anchor"], "left").withColumn("text", text)
-
-    def pick(selector: str) -> Column:
-        return F.transform(F.array_sort(F.collect_list(F.when(F.col("selector") == selector, F.struct("at", "text")))), lambda x: x["text"])
-
-    own = of.groupBy(key, "sense_at").agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.when(F.col("selector") == "glossary", F.struct("at", F.coalesce("items", F.array().cast("array<string>")).alias("items"))))), lambda x: x["items"])).alias("glosses"),
-        pick("example-sentence-a").alias("a"),
-        pick("example-sentence-b").alias("b"),
-        F.concat(*(pick(s) for s in SENSE_LABELS)).alias("labels"),
-    )
-    pair = F.zip_with("a", "b", lambda x, y: F.concat(F.coalesce(x, F.lit("")), F.lit(" = "), F.coalesce(y, F.lit(""))))
-    none = F.array().cast("array<string>")
-    whole = senses.join(own, [key, "sense_at"], "left").withColumn("examples", pair)
-    number = F.expr(f"row_number() over (partition by `{key}` order by place)").cast("long")
-    return whole.select(key, number.alias("sense"), *(F.array_join(F.filter(F.coalesce(c, none), lambda x: x != ""), " | ").alias(c) for c in ("glosses", "labels", "examples")))
+    return per_tree(rows, key, raw, senses_of, "sense long, glosses string, labels string, examples string")
 
 
 @query("n06_sense_context", f"""WITH g AS ({GLOSS}) SELECT p_partkey, CAST(1 AS BIGINT) AS sense, ANY_VALUE(glosses) AS glosses, '' AS labels, '文 x' || ANY_VALUE(p_size) || ' = Example ' || ANY_VALUE(p_size) || CASE WHEN p_partkey % 2 = 0 THEN ' | 二 = ' ELSE '' END AS examples FROM part JOIN (SELECT p_partkey, STRING_AGG({GLOSS_TEXT}, ' | ' ORDER BY k) AS glosses FROM g GROUP BY 1) USING (p_partkey) GROUP BY p_partkey
 UNION ALL SELECT p_partkey, CAST(2 AS BIGINT), p_type, 'note', '' FROM part""")
 def senses(t: Tables) -> DataFrame:
-    return sense_context(article_nodes(t), "p_partkey")
+    return sense_context(articles(t), "p_partkey", "raw")
 
 
 @query("n06_inventory", "SELECT p_partkey, 'forms' AS element, CAST(1 AS BIGINT) AS n FROM part UNION ALL SELECT p_partkey, 'attribution', 1 FROM part UNION ALL SELECT p_partkey, 'sense-note', 1 FROM part UNION ALL SELECT p_partkey, 'example-sentence-a', CASE WHEN p_partkey % 2 = 0 THEN 2 ELSE 1 END FROM part")

@@ -294,6 +294,15 @@ def test_glossary_sets_of_a_walk(spark):
     assert sorted(map(tuple, units.lexicographic_units(df, "k", "raw").select("k", "pointer", "role", "text").collect()), key=str) == sorted(want, key=str)
 
 
+def test_senses_of_a_walk(spark):
+    e = lambda selector, *content: {"data": {"content": selector}, "content": list(content)}
+    inner = e("sense", e("glossary", "in"), e("example-sentence-b", "B2"))
+    tree = [e("sense", e("sense-note", "n"), e("glossary", "a", ["b", "c"]), e("misc-info", "m"), e("example-sentence-a", "A1"), e("example-sentence-b", "B1"), inner), e("sense")]
+    df = spark.createDataFrame([(1, json.dumps(tree)), (2, '"x"'), (3, "{"), (None, json.dumps(inner))], "k int, raw string")
+    want = [(1, 1, "a | b c | in", "m | n", "A1 = B1 |  = B2"), (1, 2, "in", "", " = B2"), (1, 3, "", "", ""), (None, 1, "in", "", " = B2")]
+    assert sorted(map(tuple, units.sense_context(df, "k", "raw").collect()), key=str) == sorted(want, key=str)
+
+
 def test_tags_of_a_walk(spark):
     tag = lambda code, content: {"data": {"class": "tag", "code": code}, "content": content}
     tree = [tag("a", "A"), tag("b", ["B"]), tag("c", tag("d", " D ")), {"data": {"class": "other", "code": "e"}, "content": "E"}, tag(None, "N")]

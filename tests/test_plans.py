@@ -31,7 +31,7 @@ def test_top_k_does_not_sort_everything(spark, sf_dir):
     assert "TakeOrderedAndProject" in inspect.plan_text(plan(spark, sf_dir, "w08_order_by_limit"))
 
 
-@pytest.mark.parametrize("name", ["n03_glossary_sets", "s09_tag_harvest"])
+@pytest.mark.parametrize("name", ["n03_glossary_sets", "n06_sense_context", "s09_tag_harvest"])
 def test_articles_are_walked_once_by_many_tasks(spark, sf_dir, name):
     text = inspect.plan_text(plan(spark, sf_dir, name))
     assert text.count("Scan parquet") == 2 and "Join" not in text  # in the tree, and with its details
