@@ -71,10 +71,13 @@ def two_key_match(t: Tables) -> DataFrame:
 
 @query("j02_candidate_generation", f"WITH {WORDS}, notes AS (SELECT s_suppkey AS note, CASE s_suppkey % 3 WHEN 0 THEN [] WHEN 1 THEN ['steel', 'brass', 'widget'] ELSE ['none'] END AS variants, (SELECT expression FROM entries WHERE entry = s_suppkey + 1) AS word FROM supplier) SELECT note, entry FROM notes JOIN entries ON word = expression WHERE LEN(variants) = 0 OR LIST_CONTAINS(variants, reading)")
 def candidates(t: Tables) -> DataFrame:
+    """A note without variants meets all entries of its word, another one those whose reading is a variant."""
     w = words_of(t)
     variants = F.when(F.col("s_suppkey") % 3 == 0, F.array().cast("array<string>")).when(F.col("s_suppkey") % 3 == 1, F.array(F.lit("steel"), F.lit("brass"), F.lit("widget"))).otherwise(F.array(F.lit("none")))
-    notes = t.supplier.select(F.col("s_suppkey").alias("note"), variants.alias("variants"), (F.col("s_suppkey") + 1).alias("at")).join(w.select(F.col("entry").alias("at"), F.col("expression").alias("word")), "at")
-    return notes.join(w, F.col("word") == F.col("expression")).where((F.size("variants") == 0) | F.arrays_overlap("variants", F.array("reading"))).select("note", "entry")
+    notes = t.supplier.select(F.col("s_suppkey").alias("note"), variants.alias("variants"), (F.col("s_suppkey") + 1).alias("at")).join(w.select(F.col("entry").alias("at"), F.col("expression").alias("word")).hint("merge"), "at")
+    free = dealt_join(notes.where(F.size("variants") == 0).select("note", F.col("word").alias("expression")), w.select("expression", "entry"), ["expression"], "entry")
+    said = notes.select("note", F.col("word").alias("expression"), F.explode(F.array_distinct("variants")).alias("reading"))
+    return free.select("note", "entry").unionByName(dealt_join(said, w, ["expression", "reading"], "entry").select("note", "entry"))
 
 
 @query("j03_variant_fallback", f"WITH {WORDS}, notes AS (SELECT p_partkey AS note, STRING_SPLIT(p_name, ' ') AS variants FROM part), hits AS (SELECT note, entry, 'expression' AS kind FROM notes JOIN entries ON expression = variants[1] UNION ALL SELECT note, entry, 'reading' FROM (SELECT note, UNNEST(variants) AS v FROM notes) JOIN entries ON reading = v) SELECT note, entry, MIN(kind) AS kind FROM hits GROUP BY note, entry")

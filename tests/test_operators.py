@@ -40,6 +40,16 @@ def test_pairs_of_common_keys_are_dealt_in_cells(spark, monkeypatch):
     assert joins.dealt_join(spark.createDataFrame(left, "k string, x int, note int"), none, ["k"], "entry").count() == 0
 
 
+def test_candidates_of_every_kind_of_note(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(joins, "CELL", 4)
+    names = {i: None if i == 9 else f"{('red', 'old')[i % 2]} {('steel', 'tin', 'widget', 'none')[i // 2 % 4]}" for i in range(1, 60)}
+    spark.createDataFrame(list(names.items()), "p_partkey long, p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(i,) for i in range(1, 70)], "s_suppkey long").write.parquet(str(tmp_path / "supplier.parquet"))
+    variants, words = ((), ("steel", "brass", "widget"), ("none",)), {i: x.split(" ") for i, x in names.items() if x}
+    want = [(i, k) for i in range(1, 70) if i + 1 in words for k, w in words.items() if w[0] == words[i + 1][0] and (i % 3 == 0 or w[1] in variants[i % 3])]
+    assert rows(joins.candidates(Tables(spark, str(tmp_path)))) == sorted(want)
+
+
 def test_division_passes_groups_without_members(spark):
     groups = spark.createDataFrame([(1,), (2,), (3,)], "g int")
     members = spark.createDataFrame([(1, 10), (1, 11), (2, 10)], "g int, m int")
