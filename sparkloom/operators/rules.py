@@ -331,13 +331,16 @@ DONE = "SELECT p_partkey AS unit, SHA2_('old ' || p_name) AS previous, SHA2_(UPP
     "WHEN h.unit IS NULL THEN 'no_history' ELSE 'applied_before' END AS outcome FROM c JOIN n USING (unit_id) LEFT JOIN s ON s.unit = c.unit_id LEFT JOIN h ON h.unit = c.unit_id AND h.previous = c.previous AND h.now = SHA2_(canonical)".replace("SHA2_(", "SHA256(").replace("SHA2_", "SHA256").replace("part_rows", "part"),
 )
 def remediation(t: Tables) -> DataFrame:
-    """What becomes of each change of a manifest: the first rule it breaks, or whether it is still to do."""
+    """What becomes of each change of a manifest: the first rule it breaks, or whether it is still to do.
+
+    Hashes hardly compress in memory though their table may in its file, so no side is broadcast by that size.
+    """
     sql = lambda q: t.spark.sql(q.replace("SHA2_(", "sha2_256(").replace("part_rows", "{part}"), part=t.part)
     t.spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION sha2_256(x STRING) RETURNS STRING RETURN sha2(x, 256)")
     c, s, h = sql(CHANGES), sql(STORED), sql(DONE).select(F.col("unit").alias("done_unit"), F.col("previous").alias("done_previous"), "now")
     times = c.groupBy("unit_id").agg(F.count("*").alias("times"))
     now = F.sha2("canonical", 256)
-    met = c.join(times, "unit_id").join(s, F.col("unit") == F.col("unit_id"), "left").join(h, (F.col("done_unit") == F.col("unit_id")) & (F.col("done_previous") == F.col("previous")) & (F.col("now") == now), "left")
+    met = c.join(times.hint("merge"), "unit_id").join(s.hint("merge"), F.col("unit") == F.col("unit_id"), "left").join(h.hint("merge"), (F.col("done_unit") == F.col("unit_id")) & (F.col("done_previous") == F.col("previous")) & (F.col("now") == now), "left")
     outcome = first_issue({
         "invalid_fields": F.col("fields") != REMEDIATION_FIELDS,
         "empty_value": F.col("canonical") == "",

@@ -34,6 +34,11 @@ def test_pairs_are_not_dealt_by_word_alone(spark, sf_dir, name):
     assert sum("_left" in keys and "_right" in keys for keys in merged) == 2
 
 
+def test_hashes_are_not_broadcast_by_the_size_of_a_file(spark, sf_dir):
+    text = inspect.plan_text(plan(spark, sf_dir, "v13_remediation_rules"))
+    assert "Broadcast" not in text and text.count("SortMergeJoin") == 6  # in the tree, and with its details
+
+
 def test_top_k_does_not_sort_everything(spark, sf_dir):
     assert "TakeOrderedAndProject" in inspect.plan_text(plan(spark, sf_dir, "w08_order_by_limit"))
 
